@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -70,7 +71,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def cut(df: DataFrame, *, name: str = "cut") -> DataFrame:
+_temporary: list[list[DataFrame]] = []
+
+
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Delete what ``cut`` writes inside, at the end; results must be cut with ``keep``."""
+    _temporary.append([])
+    try:
+        yield
+    finally:
+        for df in _temporary.pop():
+            discard(df)
+
+
+def cut(df: DataFrame, *, name: str = "cut", keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
     Cuts the lineage, so that what follows survives the loss of executors
@@ -82,7 +97,10 @@ def cut(df: DataFrame, *, name: str = "cut") -> DataFrame:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    if _temporary and not keep:
+        _temporary[-1].append(written)
+    return written
 
 
 def discard(df: DataFrame) -> None:

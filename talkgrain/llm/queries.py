@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkgrain.llm import decontamination, quality_rules, token_counts
+from talkgrain.llm import decontamination, jaccard_join, license_scan, line_dedup, line_quality, mixing, pii, quality_rules, token_counts, toxicity
 from talkgrain.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,31 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files: a directory of each source, of its languages, of a thousand ids each."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.expr("doc_id div 1000").cast("string"), F.col("doc_id").cast("string"))
+    return license_scan.license_scan(docs.select("doc_id", "text", path.alias("path")))
+
+
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_quality.score(docs, line_quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -30,6 +55,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which lines (from 0, comma-joined) of each document are later copies, and their words."""
+    docs = table(spark, sf_dir, "documents")
+    gone = line_dedup.deletions(docs).select(F.col("d").alias("_d"), F.col("v").alias("_v"), "lines", "n_words")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("_hash")).join(gone, (F.col("doc_id") == F.col("_d")) & (F.col("_hash") == F.col("_v")), "left")
+    return rows.select("doc_id", F.coalesce(F.size("lines"), F.lit(0)).cast("bigint").alias("n_deleted"), F.coalesce("n_words", F.lit(0)).alias("n_deleted_words"), F.coalesce(F.array_join("lines", ","), F.lit("")).alias("deleted_lines"))
+
+
+def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.ordered(mixing.plan(table(spark, sf_dir, "documents")).drop("first_taken", "again_taken"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.prefix_token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), keep_prefixes=False)
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
