@@ -147,10 +147,10 @@ w AS (SELECT arg_min(lev, (full_at, place)) AS level FROM l WHERE lev <= full_at
 t AS (SELECT source, source_size, least(most::DOUBLE, level * weight) AS target FROM l, w),
 c AS (
   SELECT d.*, t.source_size, t.target,
-         COALESCE(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+         COALESCE(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
-       (greatest(0, least(size, round(target)::BIGINT - at))
-        + greatest(0, least(size, round(target)::BIGINT - source_size - at)))::BIGINT AS taken
+       (greatest(0, least(size, round(target)::BIGINT - earlier))
+        + greatest(0, least(size, round(target)::BIGINT - source_size - earlier)))::BIGINT AS taken
 FROM c
 """
