@@ -109,16 +109,21 @@ def _keys(token: str) -> set[str]:
     if len(digits) >= 7:
         keys |= {f"#{digits}", f"#{digits[-7:]}"}
     name, at, _ = low.partition("@")
-    if at and len(name) >= 3:
+    if at and _telling(name):
         keys.add(name)
     return keys
 
 
+def _telling(name: str) -> bool:
+    """Whether the part of an address before the at sign can be no plain short word."""
+    return len(name) >= 6 or len(name) >= 3 and not name.isalpha()
+
+
 def nodes_of(text: str, spans: list[tuple[int, int, int]]) -> list[Node]:
     """Candidate tokens, and tokens that repeat a part of a base span."""
     places = {m.span() for m in _TOKEN.finditer(text) if _FACT.search(m.group())}
     for start, kind, end in spans:
-        if kind == 0 and (name := text[start:end].partition("@")[0]) and len(name) >= 3:
+        if kind == 0 and _telling(name := text[start:end].partition("@")[0]):
             at = text.find(name)
             while at >= 0:
                 left = at
@@ -167,7 +172,9 @@ class Field:
     rounds: int = 20
 
     def local(self, nodes: list[Node]) -> np.ndarray:
-        return np.array([self.weights[features(n, len(self.weights))].sum(0) for n in nodes])
+        """Tokens without a digit or an at sign are in no training sample: only what they repeat speaks for them."""
+        none = np.zeros(self.weights.shape[1])
+        return np.array([self.weights[features(n, len(self.weights))].sum(0) if _FACT.search(n.token) else none for n in nodes])
 
     def edges(self, nodes: list[Node]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
         near = [(k, k + 1) for k in range(len(nodes) - 1) if nodes[k + 1].start - nodes[k].end <= 3]
