@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkgrain import constants as K
-from talkgrain.functions import ids, labels, masking, text
+from talkgrain.functions import gates, ids, labels, masking, text
 from talkgrain.operators import quality, records, score, shortcuts, stream
 from talkgrain.plans import schedule, turns
 
@@ -209,6 +209,25 @@ def request_and_pressure_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _said(spark).select("stream_id", "turn_id", F.array_join(labels.requests(c), ",").alias("requests"), F.array_join(labels.pressure_categories(c), ",").alias("pressures"))
 
 
+_GATE_CASES = (
+    (1, "오늘 안에 [MASKED_OTP] 번호를 말씀해 주세요", ["[MASKED_OTP]"], "new_sensitive_request", "attacker", "safe_containment"),
+    (2, "오늘 안에 번호를 말씀해 주세요 고객님", ["[MASKED_OTP]"], "new_sensitive_request", "attacker", "safe_containment"),
+    (3, "네", [], "needs_more_context", "victim", "safe_containment"), (4, "무슨 말씀이신지 아직 모르겠습니다", [], "needs_more_context", "victim", "safe_containment"),
+    (5, "제 번호 [MASKED_PHONE] 전달하겠습니다 감사합니다", ["[MASKED_PHONE]"], "recipient_partial_or_direct_disclosure", "victim", "partial_disclosure_recovery"),
+    (6, "제 번호 [MASKED_PHONE] 확인 부탁 전달하겠습니다", ["[MASKED_PHONE]"], "recipient_partial_or_direct_disclosure", "victim", "partial_disclosure_recovery"),
+    (7, "조용히 설명을 이어서 듣고 싶습니다 선생님", [], "pressure_escalation", "attacker", "pressure_escalation"), (8, "이상하니 기관에 신고하고 기다려 보겠습니다", [], "no_new_actionable_event", "victim", "benign_thin_context"),
+    (9, "보내 드린 [MASKED_URL] 링크로 접속해 주시기 바랍니다", ["[MASKED_URL]"], "new_caller_directed_path", "attacker", "caller_directed_path"),
+    (10, "공식 창구로 직접 확인하겠습니다 감사합니다", [], "recipient_containment", "victim", "safe_containment"),
+)
+
+
+@registered("""SELECT * FROM (VALUES (1, NULL), (2, 'semantic_placeholder_mismatch'), (3, 'very_short_utterance'), (4, NULL), (5, NULL), (6, 'recipient_disclosure_uses_caller_request_voice'), (7, 'pressure_escalation_missing_pressure_signal'),
+  (8, 'benign_thin_context_uses_overstrong_response_language'), (9, NULL), (10, NULL)) v(id, error)""")
+def semantic_gate_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.createDataFrame(_GATE_CASES, "id int, text string, planned array<string>, event string, speaker string, profile string")
+    return rows.select("id", gates.semantic_error(*(F.col(c) for c in ("text", "planned", "event", "speaker", "profile"))).alias("error"))
+
+
 # Quality of a corpus.
 
 @registered("""SELECT sum(n - 1)::BIGINT AS duplicates, sum(n)::BIGINT AS n FROM (SELECT count(*) AS n FROM documents GROUP BY lower(regexp_replace(COALESCE(text, ''), '\\s+', '', 'g')))""")
