@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 SPACES = b" \t\n\x0b\x0c\r"
 
+#: Rows that a function of ``map_arrow`` gets at once.
+_ROWS = 500
+
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -44,13 +47,13 @@ def ensure_importable(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Apply ``fn`` to every Arrow batch of ``df``; narrow, a batch in memory at a time."""
+    """Apply ``fn`` to the rows of ``df``, a few hundred at a time, which bounds a worker's memory; narrow."""
     ensure_importable(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+            for start in range(0, batch.num_rows, _ROWS):
+                yield fn(batch.slice(start, _ROWS))
 
     return df.mapInArrow(run, schema)
 
