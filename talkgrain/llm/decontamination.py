@@ -225,3 +225,24 @@ def _without(text: bytes, hit: np.ndarray) -> bytes:
             at += 1
     parts.append(text[at:])
     return b"".join(parts)
+
+
+ORACLE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+g AS (
+  SELECT DISTINCT item, n, array_to_string(w[k : k + n - 1], ' ') AS gram
+  FROM (SELECT item, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k FROM i WHERE len(w) > 0)),
+s AS (SELECT DISTINCT n FROM g),
+h AS (
+  SELECT x.doc_id, x.k, x.n, g.item
+  FROM (SELECT doc_id, n, k, array_to_string(w[k : k + n - 1], ' ') AS gram FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, s WHERE len(w) >= n)) x
+  JOIN g ON x.n = g.n AND x.gram = g.gram),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM h) GROUP BY doc_id),
+o AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, COALESCE(n_hit, 0)::BIGINT AS n_hit, COALESCE(n_items, 0)::BIGINT AS n_items, sha256(COALESCE(items, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN o ON d.doc_id = o.doc_id
+"""

@@ -77,4 +77,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_curriculum_mix": mixing.ORACLE_SQL}
+    return {"op3_near_duplicates": jaccard_join.ORACLE_SQL, "op6_decontaminate": decontamination.ORACLE_SQL, "op9_curriculum_mix": mixing.ORACLE_SQL}
