@@ -230,14 +230,19 @@ def _near_duplicates(docs: DataFrame, sim: Similarity, id_col: str, text_col: st
     same_id = full.join(several, "_id", "left_semi").join(nodes.select("key", "rep"), "key").select(F.col("_id").alias("a"), F.col("rep").alias("b"))
     first = components(linked.unionByName(same_id))
 
-    # The rest: pairs of members that are not connected yet, from lists that hold several components.
+    # The rest: pairs of members that are not connected yet, from lists and groups that hold several components.
     placed = members.join(first.withColumnRenamed("node", "rep"), "rep", "left").select("gid", "rep", F.coalesce("component", "rep").alias("component"))
     rest = index.select("s", "gid", "n", "pos").join(placed, "gid")
     mixed_lists = rest.groupBy("s").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high").select("s")
     rest = cut(rest.join(mixed_lists, "s"), name="rest")
     other = rest.select("s", *(F.col(c).alias(f"o_{c}") for c in ("gid", "n", "pos", "rep", "component")))
-    pairs = rest.join(other, "s").where((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")) & fits(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")))
+    pairs = rest.join(other, "s").where((F.col("gid") != F.col("o_gid")) & (F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")) & fits(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")))
     pairs = pairs.select(F.col("rep").alias("a"), F.col("o_rep").alias("b"), F.col("gid").alias("ga"), F.col("o_gid").alias("gb")).distinct()
+    # Members of one group share a whole prefix, which the index need not hold.
+    split = placed.groupBy("gid").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high").select("gid")
+    own = cut(placed.join(split, "gid", "left_semi"), name="split_groups")
+    within = own.join(own.toDF("gid", "o_rep", "o_component"), "gid").where((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")))
+    pairs = pairs.unionByName(within.select(F.col("rep").alias("a"), F.col("o_rep").alias("b"), F.col("gid").alias("ga"), F.col("gid").alias("gb")))
     pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), name="rest_pairs")
     pairs = cut(_promising(pairs.where("ga <> gb"), index, sim).unionByName(pairs.where("ga = gb").select("a", "b")), name="pairs")
     if not pairs.isEmpty():

@@ -63,6 +63,16 @@ def test_near_duplicates(spark):
     assert _near(spark, docs) == brute.near_duplicates(docs)
 
 
+def test_near_duplicates_inside_a_sole_group(spark):
+    core, common = [f"core{k}" for k in range(40)], [f"c{k}" for k in range(160)]
+    passages = [[*common[:20], *(f"{k}x{at}" for at in range(n)), *common[20 + n :]] for k, n in (("a", 60), ("b", 3), ("c", 3))]
+    docs = [(k + 1, " ".join([*core, *p])) for k, p in enumerate(passages)]
+    docs += [(100 + 10 * k + j, " ".join([*(f"own{k}-{j}-{at}" for at in range(200)), *p])) for k, p in enumerate(passages) for j in range(6)]
+    wanted = brute.near_duplicates(docs)
+    assert [wanted[k][1] for k in (1, 2, 3)] == [1, 2, 2]
+    assert _near(spark, docs) == wanted
+
+
 def test_near_duplicates_edges(spark):
     text = " ".join(f"w{k}" for k in range(40))
     rows = [(1, text), (1, text), (2, text), (None, text), (3, None), (4, "x " * 30_000)]
