@@ -2,10 +2,12 @@
 
 Every line of a text that names a licence is compared, alone and with the two
 lines after it, with templates of header notices and of licence texts. Terms
-are words and pairs of words; a term's weight falls with the number of
-documents that hold it, counted over all documents. Terms that no template has
-lengthen a line's vector as the rarest terms do, so prose about something else
-stays far from all templates. A document's own licence is that of its nearest
+are words and pairs of words; a term's weight falls with the share of all
+documents that hold it anywhere in their whole texts. The templates' terms are
+counted one by one, all other words in a sketch of a fixed size, by the lesser
+of two counters each, which may count a rare word too often but none too seldom.
+Words that no template has lengthen a line's vector, rare ones more, so prose
+about something else stays far from all templates. A document's own licence is that of its nearest
 template, at the threshold or above.
 
 A licence file (by its name, or because notices are at least ``file_share`` of
@@ -25,6 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkgrain.llm.common import cut, map_arrow
+from talkgrain.llm.common import cut, ensure_importable, map_arrow, texts_of, word_hashes
 
 #: Public header notices and the openings of licence texts (fixed values).
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -65,6 +68,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 TRIGGERS = re.compile(rb"licen[sc]|copyright|public domain|creative commons|cc0|permission|redistribut", re.IGNORECASE)
 FILE_NAMES = r"(?i)(^|/)(licen[sc]e|copying|notice|unlicense)([.-][^/]*)?$"
 _TERM = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
+_BITS = 20
+_CHUNK = 1 << 14
 
 
 def terms(text: str) -> Counter:
@@ -72,37 +77,48 @@ def terms(text: str) -> Counter:
     return Counter(words) + Counter(f"{a} {b}" for a, b in zip(words, words[1:]))
 
 
+def _places(words: list[str]) -> np.ndarray:
+    """The two counters of each word, in two rows of 2^20 each."""
+    hashes = word_hashes(words)
+    return np.stack([hashes >> np.uint64(64 - _BITS), (hashes & np.uint64((1 << _BITS) - 1)) + np.uint64(1 << _BITS)]).astype(np.int64)
+
+
 @dataclass
 class Templates:
-    """Unit vectors of the templates over their terms, and the terms' weights."""
+    """Unit vectors of the templates over their terms, the terms' weights, and the sketch of all words."""
 
     names: list[str]
     place: dict[str, int]
     weights: np.ndarray
-    strange: float
+    n_documents: int
+    sketch: np.ndarray
     matrix: np.ndarray
 
     @staticmethod
-    def build(templates: tuple[tuple[str, str], ...], holders: dict[str, int], n_documents: int) -> Templates:
+    def build(templates: tuple[tuple[str, str], ...], holders: dict[str, int], n_documents: int, sketch: np.ndarray) -> Templates:
         counted = [terms(text) for _, text in templates]
         place = {t: k for k, t in enumerate(sorted({t for c in counted for t in c}))}
-        rare = math.log1p(n_documents) + 1
         weights = np.array([math.log((n_documents + 1) / (holders.get(t, 0) + 1)) + 1 for t in place])
         matrix = np.zeros((len(templates), len(place)))
         for row, c in enumerate(counted):
             for t, n in c.items():
                 matrix[row, place[t]] = n * weights[place[t]]
-        return Templates([name for name, _ in templates], place, weights, rare, matrix / np.linalg.norm(matrix, axis=1, keepdims=True))
+        return Templates([name for name, _ in templates], place, weights, n_documents, sketch, matrix / np.linalg.norm(matrix, axis=1, keepdims=True))
 
     def nearest(self, text: str) -> tuple[float, str]:
-        own, strange = np.zeros(len(self.place)), 0.0
+        own, others = np.zeros(len(self.place)), {}
         for t, n in terms(text).items():
             k = self.place.get(t)
             if k is None:
                 # A pair of words is as strange as its words: it counts once, not thrice.
-                strange += (n * self.strange) ** 2 if " " not in t else 0.0
+                if " " not in t:
+                    others[t] = n
             else:
                 own[k] = n * self.weights[k]
+        strange = 0.0
+        if others:
+            holders = self.sketch[_places(list(others))].min(0)
+            strange = float(((np.log((self.n_documents + 1) / (holders + 1.0)) + 1) ** 2) @ (np.array(list(others.values())) ** 2))
         size = math.sqrt(float(own @ own) + strange)
         if not size:
             return 0.0, ""
@@ -112,25 +128,59 @@ class Templates:
 
 
 def template_weights(docs: DataFrame, templates: tuple[tuple[str, str], ...], text_col: str) -> Templates:
-    """The templates, weighted by how many of all documents hold each of their terms on a line that is looked at."""
-    wanted = frozenset(t for _, text in templates for t in terms(text))
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts: Counter = Counter({"": batch.num_rows})
-        for raw in batch.column(0).cast(pa.binary()).to_pylist():
-            if raw and TRIGGERS.search(raw):
-                counts.update({t for line in raw.split(b"\n") if TRIGGERS.search(line) for t in terms(line.decode())} & wanted)
-        return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["term", "n"])
-
-    found = map_arrow(docs.select(F.col(text_col).cast("string")), run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    holders = {r.term: r.n for r in found.collect()}  # at most the templates' terms
-    return Templates.build(templates, holders, holders.pop("", 0))
+    """The templates, weighted by how many of all documents hold each term anywhere in their whole text."""
+    ensure_importable(docs.sparkSession)
+    wanted = sorted({t for _, text in templates for t in terms(text)})
+    at = {t: k for k, t in enumerate(wanted, 2 << _BITS)}
+    pairs = {tuple(t.split(" ")): k for t, k in at.items() if " " in t}
+    # Both rows of the sketch, the templates' terms and the number of documents, in whole chunks.
+    size = -(-((2 << _BITS) + len(wanted) + 1) // _CHUNK) * _CHUNK
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        total = np.zeros(size, np.uint32)
+        for batch in batches:
+            total[-1] += batch.num_rows
+            for start in range(0, batch.num_rows, 500):
+                held: list[str] = []
+                for raw in texts_of(batch.column(0).slice(start, 500)):
+                    words = _TERM.findall(raw.decode().lower())
+                    own = set(words)
+                    held += own
+                    for t in own & at.keys():
+                        total[at[t]] += 1
+                    for t in pairs.keys() & set(zip(words, words[1:])):
+                        total[pairs[t]] += 1
+                total[: 2 << _BITS] += np.bincount(_places(held).ravel(), minlength=2 << _BITS).astype(np.uint32)
+        salt = TaskContext.get().partitionId() % 64
+        rows = [(k, total[k : k + _CHUNK]) for k in range(0, size, _CHUNK)]
+        rows = [(k, part.tobytes()) for k, part in rows if part.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([salt] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["chunk", "salt", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, first = np.zeros(_CHUNK, np.uint64), None
+        for batch in batches:
+            first = first or (batch.column(0)[0].as_py(), batch.column(1)[0].as_py())
+            for raw in batch.column(2).to_pylist():
+                total += np.frombuffer(raw, np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array([first[0]], pa.int64()), pa.array([first[1]], pa.int64()), pa.array([np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()])], ["chunk", "salt", "counts"])
+
+    schema = "chunk bigint, salt bigint, counts binary"
+    parts = docs.select(F.col(text_col).cast("string")).mapInArrow(count, schema)
+    for keys in (["chunk", "salt"], ["chunk"]):
+        parts = parts.groupBy(*keys).applyInArrow(add, schema)
+    total = np.zeros(size, np.uint32)
+    for row in parts.select("chunk", "counts").collect():
+        total[row.chunk : row.chunk + _CHUNK] = np.frombuffer(row.counts, np.uint32)
+    return Templates.build(templates, {t: int(total[k]) for t, k in at.items()}, int(total[-1]), total[: 2 << _BITS].copy())
 
 
 def scan(docs: DataFrame, templates: Templates, *, threshold: float = 0.6, id_col: str = "doc_id", text_col: str = "text", path_col: str = "path") -> DataFrame:
     """``id_col, path, own_license, own_score, notice_share``: the nearest template, and the share of words in notices."""
     rows = docs.select(F.col(id_col), F.col(path_col).cast("string").alias("path"), F.col(text_col).cast("string").alias("_text"))
     kind = rows.schema[id_col].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(templates)
 
     def look(raw: bytes) -> tuple[str | None, float, float]:
         if not raw or not TRIGGERS.search(raw):
@@ -140,7 +190,7 @@ def scan(docs: DataFrame, templates: Templates, *, threshold: float = 0.6, id_co
         for k, line in enumerate(lines):
             if TRIGGERS.search(line.encode()):
                 for size in (1, 3):
-                    found = templates.nearest(" ".join(lines[k : k + size]))
+                    found = shared.value.nearest(" ".join(lines[k : k + size]))
                     if found[0] >= threshold:
                         noticed.update(range(k, min(k + size, len(lines))))
                     best = max(best, found)

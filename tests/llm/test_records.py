@@ -142,3 +142,15 @@ def test_licences(spark, edges):
     assert found[2].inherited_from == "a" and found[6].inherited_from == "a/src/deep" and found[3].inherited_from is None
     assert license_scan.license_scan(edges.withColumn("path", F.col("key"))).count() == len(EDGES) + 1
     assert license_scan.license_scan(edges.withColumn("path", F.col("key")).limit(0)).count() == 0
+
+
+def test_licence_weights_count_whole_texts_of_all_documents(spark):
+    notice = "This project is licensed under the MIT License, see our file."
+    scores = {}
+    for n in (200, 20_000):
+        docs = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 100 == 0, notice).when(F.col("id") % 4 > 0, "Our project\nsee file one").otherwise("the text").alias("text"), F.lit("d/f").alias("path"))
+        weights = license_scan.template_weights(docs, license_scan.TEMPLATES, "text")
+        assert {t: round(float(np.exp(1 - weights.weights[weights.place[t]])) * (n + 1)) for t in ("the", "under the")} == {"the": n // 4 + 1, "under the": n // 100 + 1}
+        scores[n] = license_scan.scan(docs, weights).where("doc_id = 0").first()
+    assert {r.own_license for r in scores.values()} == {"MIT"}
+    assert scores[200].own_score == pytest.approx(scores[20_000].own_score, abs=0.02)
