@@ -17,6 +17,7 @@ documents without hits, or no documents. A null id stays null.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -179,37 +180,58 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text"
 
     A span goes with what stands between its words and with the white space
     after it; texts without hits stay as they are, nulls too. The blocks of the
-    benchmark are applied one after the other.
+    benchmark are all looked up in the original text; what they hit together is
+    measured and cut once.
     """
     names = docs.columns
     where = names.index(text_col)
+    marks = "_spans"
+    while marks in names:
+        marks += "_"
+
+    def hits(batch: pa.RecordBatch, windows: WindowSet) -> Iterator[tuple[bytes | None, np.ndarray]]:
+        """The texts, and which of their words this block or one before it hits."""
+        known = _Known(windows.vocabulary)
+        for text, flat in zip(batch.column(where).cast(pa.binary()).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
+            hit = windows.scan(words_of(text), known)[0] if text else np.zeros(0, bool)
+            for start, end in zip((flat or [])[::2], (flat or [])[1::2], strict=True):
+                hit[start:end] = True
+            yield text, hit
+
+    def marker(windows: WindowSet):
+        shared = docs.sparkSession.sparkContext.broadcast(windows)
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            spans = [_spans(hit) for _, hit in hits(batch, shared.value)]
+            return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(spans, pa.list_(pa.int32()))], [*names, marks])
+
+        return run
 
     def cutter(windows: WindowSet):
         shared = docs.sparkSession.sparkContext.broadcast(windows)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            own = shared.value
-            known = _Known(own.vocabulary)
             texts, kept = [], []
-            for text in batch.column(where).cast(pa.binary()).to_pylist():
+            for text, hit in hits(batch, shared.value):
                 cut, keep = text, True
-                if text:
-                    words = words_of(text)
-                    hit, _ = own.scan(words, known)
-                    if hit.any():
-                        keep = hit.mean() <= most_share
-                        cut = _without(text, hit) if keep else b""
+                if hit.any():
+                    keep = hit.mean() <= most_share
+                    cut = _without(text, hit) if keep else b""
                 texts.append(cut)
                 kept.append(keep)
-            columns = list(batch.columns)
+            columns = list(batch.columns[:-1])
             columns[where] = pa.array(texts, pa.binary()).cast(batch.schema.types[where])
             return pa.RecordBatch.from_arrays(columns, names).filter(pa.array(kept, pa.bool_()))
 
         return run
 
-    for windows in blocks_of(benchmark, item_col=item_col, text_col=item_text_col, width=width, block_words=block_words):
-        docs = map_arrow(docs, cutter(windows), docs.schema)
-    return docs
+    marked = docs.select("*", F.lit(None).cast("array<int>").alias(marks))
+    blocks = blocks_of(benchmark, item_col=item_col, text_col=item_text_col, width=width, block_words=block_words)
+    windows = next(blocks)
+    for following in blocks:
+        marked = map_arrow(marked, marker(windows), marked.schema)
+        windows = following
+    return map_arrow(marked, cutter(windows), docs.schema)
 
 
 def _without(text: bytes, hit: np.ndarray) -> bytes:

@@ -107,6 +107,16 @@ def test_hits_are_removed(spark):
     assert left == {1: "Keep this. ! And this.", 3: None, 4: "clean text"}
 
 
+@pytest.mark.parametrize("block", [1_000_000, 4])
+def test_removal_does_not_depend_on_blocks(spark, block):
+    rows = [(1, "p q r s a b c d e f t u v w x y"), (2, "a b c d c d e f p q"), (3, "a b c p q g h i r s"), (4, "a b c p q r g h i s t u v"), (5, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_spans", F.lit(0))
+    items = spark.createDataFrame([(1, "a b c d e f"), (2, "g h i"), (3, "c d e")], "item_id long, text string")
+    out = decontamination.remove_hits(docs, items, width=3, block_words=block)
+    assert out.columns == docs.columns
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "p q r s t u v w x y", 4: "p q r s t u v", 5: None, 6: ""}
+
+
 def test_personal_data(spark, edges):
     rnd = random.Random(6)
     parts = ["@", ".", "a", "1", "23", "+", " ", "-", "(", "555", "4918187128635271", "x.y", "%", "257", "é"]
