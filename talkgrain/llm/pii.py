@@ -10,8 +10,10 @@ pairs of candidates that share a form.
 In each document the field's nodes are its candidates and the tokens that
 repeat a part of a base span (the name before an at sign, the last digits of a
 number). Adjacent nodes share a potential, and so does each node with the next
-one of the same or a similar form, however far away: a chain through the
-mentions, so edges stay linear in the nodes. Loopy sum-product messages make
+one of the same or a similar form, however far away, and each node outside the
+base spans with the first base span of every kind that has its form: a chain
+through the mentions and a star from each base span, so edges stay linear in
+the nodes. Loopy sum-product messages make
 the mentions of an entity agree; nodes in base spans are clamped, and the other
 nodes whose marginal of a kind passes the threshold become spans of that kind.
 
@@ -179,19 +181,25 @@ class Field:
     def edges(self, nodes: list[Node]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
         near = [(k, k + 1) for k in range(len(nodes) - 1) if nodes[k + 1].start - nodes[k].end <= 3]
         last: dict[str, int] = {}
-        far = set()
+        first: dict[str, dict[int, int]] = {}
+        far, keys = set(), [_keys(node.token) for node in nodes]
         for k, node in enumerate(nodes):
-            for key in _keys(node.token):
+            for key in keys[k]:
                 if key in last:
                     far.add((last[key], k))
                 last[key] = k
+                if node.label >= 0:
+                    first.setdefault(key, {}).setdefault(node.label, k)
+        for k, node in enumerate(nodes):
+            if node.label < 0:
+                far |= {(min(k, base), max(k, base)) for key in keys[k] for base in first.get(key, {}).values()}
         return near, sorted(far)
 
     def marginals(self, nodes: list[Node]) -> np.ndarray:
         local = self.local(nodes)
         for k, node in enumerate(nodes):
             if node.label >= 0:
-                local[k] = -1e3
+                local[k] = -1e9
                 local[k, node.label + 1] = 0
         near, far = self.edges(nodes)
         pairs = np.array([*near, *far], np.int64).reshape(-1, 2)
@@ -261,10 +269,11 @@ def train(docs: DataFrame, *, text_col: str = "text", sample_documents: int = 2_
     n_labels = len(KINDS) + 1
     adjacent, distant = np.ones((n_labels, n_labels)) * 0.5, np.eye(n_labels) * 4 + 0.25
     for row in sample:
+        mentions = {k for a, b in zip(row.far[::2], row.far[1::2], strict=True) if bool(row.labels[a]) != bool(row.labels[b]) for k in (a, b)}
         for table, flat in ((adjacent, row.near), (distant, row.far)):
             for a, b in zip(flat[::2], flat[1::2], strict=True):
-                # A mention that the patterns miss says nothing about agreement: distant pairs count inside base spans.
-                if table is adjacent or row.labels[a] and row.labels[b]:
+                # A mention that the patterns miss says nothing about agreement: distant pairs count inside base spans, or when no base span has their forms.
+                if table is adjacent or row.labels[a] and row.labels[b] or not row.labels[a] and not row.labels[b] and not mentions & {a, b}:
                     table[row.labels[a], row.labels[b]] += 1
                     if table is distant:
                         table[row.labels[b], row.labels[a]] += 1
@@ -283,7 +292,9 @@ def train(docs: DataFrame, *, text_col: str = "text", sample_documents: int = 2_
             squares += step * step
             weights -= 0.5 * step / np.sqrt(squares)
     joint = lambda t: np.log(t / t.sum()) - np.log(t.sum(1, keepdims=True) / t.sum()) - np.log(t.sum(0, keepdims=True) / t.sum())
-    return Field(weights, np.clip(joint(adjacent), -3, 3), np.clip(joint(distant), -4, 4))
+    # That a label is rare must not count for it once more at every pair of mentions: agreement is near 0 for all labels.
+    agreement = np.log(distant) - (np.log(distant.sum(1, keepdims=True)) + np.log(distant.sum(0, keepdims=True))) / 2
+    return Field(weights, np.clip(joint(adjacent), -3, 3), np.clip(agreement, -4, 4))
 
 
 def find_pii(docs: DataFrame, field: Field | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

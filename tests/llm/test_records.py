@@ -142,6 +142,15 @@ def test_repeated_mentions_are_found(spark):
     assert "jane.doe@" not in hidden and "[EMAIL]" in hidden
 
 
+@pytest.mark.parametrize("counted", [0, 20, 1_000])
+def test_many_mentions_of_one_name_are_found(spark, counted):
+    docs = [(k, f"Ask jan{k}.roe@mail.example or +1 (578) 555-{1000 + k} first. Again jan{k}.roe@mail.example or +1 (578) 555-{1000 + k} now.") for k in range(counted)]
+    docs += [(2_000 + n, "Write to jane.doe@mail.example now. " + "Later jane.doe wrote again. " * n) for n in (1, 2, 5, 50)]
+    rows = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {n: rows[2_000 + n].n_added for n in (1, 2, 5, 50)} == {1: 1, 2: 2, 5: 5, 50: 50}
+    assert not any(rows[k].n_added for k in range(counted))
+
+
 def test_licences(spark, edges):
     rows = [
         (1, "MIT License\nReleased under the MIT License.", "a/LICENSE"), (2, "just code", "a/src/x"), (3, "code\nLicensed under the Apache License, Version 2.0.\nmore " * 3, "a/src/y"),
