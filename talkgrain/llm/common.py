@@ -1,8 +1,8 @@
 """Helpers that the operators of this subpackage share.
 
-Every operator selects the columns it needs by name before it does anything
-else, so further columns of the input, whatever they are called, never reach
-its plan.
+Operators that return columns of their own select those they need by name
+before they do anything else; operators that return the input's rows name their
+own columns differently from all of the input's (``free_name``).
 """
 
 from __future__ import annotations
@@ -64,9 +64,11 @@ def texts_of(column: pa.Array) -> list[bytes]:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder all executors share; an own one only where none is set."""
+    """The folder all executors share; an own one only where none is set and this machine does all the work."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = getattr(spark, "_talkgrain_checkpoints", None)
         if not root:
             root = tempfile.mkdtemp(prefix="talkgrain-")
@@ -101,17 +103,35 @@ def cut(df: DataFrame, *, name: str = "cut", keep: bool = False) -> DataFrame:
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     written = spark.read.schema(df.schema).parquet(path)
+    written._folder = path
     if _temporary and not keep:
         _temporary[-1].append(written)
     return written
 
 
+def reread(tables: list[DataFrame]) -> DataFrame:
+    """All rows of tables that ``cut`` wrote and that have the same columns, in one scan."""
+    return tables[0].sparkSession.read.schema(tables[0].schema).parquet(*(t._folder for t in tables))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value made once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def free_name(names: list[str], name: str) -> str:
+    """``name`` with as many underscores behind it as make it different from all ``names``."""
+    taken = {n.lower() for n in names}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a table that ``cut`` wrote and that nothing will read again."""
-    jvm, sc = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        where = jvm.org.apache.hadoop.fs.Path(folder)
-        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+    sc = df.sparkSession.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(df._folder)
+    where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
 class WordHashes(dict):

@@ -18,14 +18,15 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b")
     both = cut(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), name="edges")
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component")), name="labels")
+    written = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component")), name="labels")
+    labels = written.select("node", "component")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("_least"))
         told = labels.join(near, "node").select("node", "component", F.least("component", "_least").alias("_new"))
         jump = labels.select(F.col("node").alias("_new"), F.col("component").alias("_far"))
         new = cut(told.join(jump, "_new").select("node", F.least("_new", "_far").alias("component"), (F.least("_new", "_far") < F.col("component")).alias("_changed")), name="labels")
-        discard(labels)
-        labels = new.select("node", "component")
+        discard(written)
+        written, labels = new, new.select("node", "component")
         if new.where("_changed").isEmpty():
             discard(both)
             return labels
