@@ -64,7 +64,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.ordered(mixing.plan(table(spark, sf_dir, "documents"))).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.ordered(mixing.plan(table(spark, sf_dir, "documents"))).select("doc_id", "size", "source_size", "target", "taken", "position", "again_position")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

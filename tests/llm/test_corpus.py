@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import defaultdict
 
 import brute
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from talkgrain.llm import jaccard_join, line_dedup, mixing
+from talkgrain.llm.common import cut
 from talkgrain.llm.components import components
 
 
@@ -31,6 +33,27 @@ def test_line_runs(spark, seed):
     assert _deleted(spark, docs, 9) == brute.deleted_lines(docs, 9)
 
 
+def test_line_runs_that_grow(spark, monkeypatch):
+    cuts = []
+    monkeypatch.setattr(line_dedup, "cut", lambda df, **k: cuts.append(k["name"]) or cut(df, **k))
+    for docs in ([(k, "\n".join(["a b c"] * k)) for k in range(1, 14)], [(14 - k, "\n".join([*["a b c"] * k, f"x {k}"])) for k in range(1, 14)]):
+        cuts.clear()
+        assert _deleted(spark, docs, 6) == brute.deleted_lines(docs, 6)
+        assert cuts.count("ranks") <= 5 and cuts.count("intervals") <= 4
+
+
+def test_line_dedup_of_a_long_text(spark):
+    lines = [f"line {k} of a long text with some words in it" if k % 5 else "- - - - - - - - - - -" for k in range(50_000)]
+    names = ["_hash", "_d", "_gone", "_v", "line", "pos"]
+    df = spark.createDataFrame([(1, "\n".join(lines)), (2, "x y z"), (None, "x y z")], "doc_id long, text string").select("*", *(F.lit(7).alias(c) for c in names))
+    began = time.time()
+    out = line_dedup.dedup_lines(df)
+    rows = {r.doc_id: r for r in out.collect()}
+    assert out.columns == df.columns and all(r[c] == 7 for r in rows.values() for c in names)
+    assert rows[1].text.split("\n") == [line for k, line in enumerate(lines) if k % 5 or not k]
+    assert time.time() - began < 90
+
+
 def test_line_dedup_edges(spark):
     run = "one two three four five six\nseven eight nine ten eleven"
     rows = [(1, f"first\n{run}\nlast", "a"), (2, f"{run}\n\nother end", "b"), (2, f"{run}\n\nother end", "b"), (3, None, "c"), (None, run, None), (4, "short\nshort", "d")]
@@ -118,7 +141,8 @@ def test_mixing_targets(spark):
         taken[of[r.doc_id]] += r.taken
         target[of[r.doc_id]] = r.target
         assert 0 <= r.taken <= 2 * r.size and r.source_size == sizes[of[r.doc_id]]
-        assert (r.position is None) == (r.first_taken == 0) and (r.position is None or 0 <= r.position <= 1)
+        assert r.taken == sum(p.words for p in r.passes) and [p.position for p in r.passes] == [p for p in (r.position, r.again_position) if p is not None]
+        assert all(0 <= p.position <= 1 and 0 < p.words <= r.size for p in r.passes)
     wanted = _filled(sizes, 1.5, 2)
     for s in sizes:
         assert target[s] == pytest.approx(wanted[s]) and abs(taken[s] - target[s]) <= 1
@@ -132,7 +156,43 @@ def test_mixing_sql(spark):
     with duckdb.connect() as db:
         db.register("documents", df.toPandas())
         wanted = sorted(db.sql(mixing.ORACLE_SQL).fetchall())
-    assert sorted(tuple(r) for r in mixing.plan(df).select("doc_id", "size", "source_size", "target", "taken").collect()) == wanted
+    assert sorted(tuple(r) for r in mixing.plan(df).select("doc_id", "size", "source_size", "target", "taken", "position", "again_position").collect()) == wanted
+
+
+def test_positions_invert_the_schedule(spark):
+    docs = [(k, "w " * (5 + k % 7), f"s{k % 3}") for k in range(60)]
+    sizes = {d: len(brute.words(t)) for d, t, _ in docs}
+    of = {d: s for d, _, s in docs}
+    slopes = {"s0": -0.5, "s1": 0.0, "s2": 0.5}
+    rows = mixing.plan(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()
+    steps = 20_000
+    for s in slopes:
+        own = [(p.copy, p.position, p.words, r.doc_id, r.target) for r in rows if of[r.doc_id] == s for p in r.passes]
+        target, demand, before, at = own[0][4], 0.0, 0.0, 0
+        ahead = sorted(own, key=lambda x: x[1])
+        for k in range(steps):
+            demand += target * (1 + slopes[s] * (2 * (k + 0.5) / steps - 1)) / steps
+            while at < len(ahead) and demand >= before + ahead[at][2] / 2 - 1e-6:
+                assert abs(ahead[at][1] - (k + 1) / steps) < 2e-3
+                before += ahead[at][2]
+                at += 1
+        assert at == len(ahead) and [c for c, *_ in ahead] == sorted(c for c, *_ in ahead)
+    assert all(p.words <= sizes[r.doc_id] for r in rows for p in r.passes)
+
+
+def test_a_mix_of_rows_without_or_with_the_same_ids(spark):
+    docs = [(None, "w " * 10, "a")] * 400 + [(None, f"v{k} w x", "a") for k in range(600)] + [(3, "w x y", "a"), (3, "w x y", "a"), (4, None, None), (5, "z " * 900, "b")]
+    names = ["position", "_id", "copy", "_row", "taken_words", "Passes", "_size"]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").select("*", *(F.lit("own").alias(c) for c in names))
+    out = mixing.materialised(df)
+    assert out.columns == [*df.columns, "copy_", "taken_words_", "position_"]
+    rows = out.collect()
+    planned = mixing.plan(df).collect()
+    assert sum(r.taken for r in planned) == sum(r.taken_words_ for r in rows) and sum(len(r.passes) for r in planned) == len(rows) <= 2 * len(docs)
+    assert all(r[c] == "own" for r in rows for c in names)
+    assert mixing.materialised(df.limit(0)).count() == 0
+    with_other = mixing.plan(df.withColumnRenamed("doc_id", "key"), mixing.Mix(cap=3, share=2.8), id_col="key")
+    assert mixing.ordered(with_other, "key").count() == len(docs) and with_other.agg(F.max(F.size("passes"))).first()[0] == 3
 
 
 def test_mix_is_in_order(spark):
