@@ -3,9 +3,10 @@
 The windows of the benchmark's items are hashed and broadcast; one narrow pass
 over the documents looks every window of theirs up, verifies hits word by word
 and marks the words that lie in one. The benchmark is read in blocks of a
-bounded number of windows, so what is broadcast has a proven size whatever the
-benchmark's; each block is a query set against all documents, and what the
-blocks found is merged by document.
+bounded number of words, so a window set has a proven size whatever the
+benchmark's; each block is a query set against all documents, which pass from
+block to block with what the blocks before have marked. The driver holds one
+block at a time.
 
 Words are runs of ``[0-9a-z]`` and of characters beyond ASCII, after A-Z are
 lower-cased. An item of fewer words than a window is one window; items without
@@ -16,7 +17,6 @@ documents without hits, or no documents. A null id stays null.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkgrain.llm.common import covered, map_arrow, texts_of, window_hashes
+from talkgrain.llm.common import covered, free_name, map_arrow, texts_of, window_hashes
 
 _KEPT = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
 #: Lower-cases A-Z and turns what is in no word into a space.
@@ -47,7 +47,7 @@ class _Known(dict):
 class WindowSet:
     """The windows of a block of items, by their number of words."""
 
-    vocabulary: dict[bytes, int]
+    vocabulary: _Known
     widths: list[int]
     hashes: list[np.ndarray]
     windows: list[np.ndarray]
@@ -55,7 +55,7 @@ class WindowSet:
 
     @staticmethod
     def build(items: list[tuple[str, list[bytes]]], width: int) -> WindowSet:
-        vocabulary: dict[bytes, int] = {}
+        vocabulary = _Known()
         found: dict[int, dict[tuple[int, ...], set[str]]] = {}
         for name, words in items:
             ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words]
@@ -73,9 +73,9 @@ class WindowSet:
             names.append([sorted(owners[k]) for k in order])
         return WindowSet(vocabulary, widths, hashes, windows, names)
 
-    def scan(self, words: list[bytes], known: dict[bytes, int]) -> tuple[np.ndarray, set[str]]:
+    def scan(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
         """Which words lie in a window of an item, and the items."""
-        ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        ids = np.fromiter(map(self.vocabulary.__getitem__, words), np.uint64, len(words))
         hit, names = np.zeros(len(words), bool), set()
         strange = np.concatenate([[0], np.cumsum(ids == 0)])
         for size, hashes, windows, owners in zip(self.widths, self.hashes, self.windows, self.items, strict=True):
@@ -117,65 +117,56 @@ def _spans(hit: np.ndarray) -> list[int]:
     return edges.tolist()
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 10, block_words: int = 1_000_000) -> DataFrame:
+def _span_union(hit: np.ndarray, flat: list[int] | None) -> np.ndarray:
+    """``hit``, and what spans of earlier blocks cover."""
+    for start, end in zip((flat or [])[::2], (flat or [])[1::2], strict=True):
+        hit[start:end] = True
+    return hit
+
+
+def _marked(docs: DataFrame, text_col: str, spans: str, items: str, blocks: Iterator[WindowSet]) -> DataFrame:
+    """``docs`` and the columns ``spans`` and ``items``: what the windows of all blocks hit in the text as it is."""
+    where = docs.columns.index(text_col)
+    marked = docs.select("*", F.lit(None).cast("array<int>").alias(spans), F.lit(None).cast("array<string>").alias(items))
+    names = marked.columns
+
+    def marker(windows: WindowSet):
+        shared = docs.sparkSession.sparkContext.broadcast(windows)
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found, owners = [], []
+            for raw, flat, before in zip(batch.column(where).cast(pa.binary()).to_pylist(), *(batch.column(len(names) - k).to_pylist() for k in (2, 1)), strict=True):
+                hit, own = shared.value.scan(words_of(raw or b""))
+                found.append(_spans(_span_union(hit, flat)))
+                owners.append(sorted(own.union(before or ())))
+            return pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, pa.list_(pa.int32())), pa.array(owners, pa.list_(pa.string()))], names)
+
+        return run
+
+    for windows in blocks:
+        marked = map_arrow(marked, marker(windows), marked.schema)
+    return marked
+
+
+def find_hits(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 10, block_words: int = 500_000) -> DataFrame:
     """``id_col, n_words, n_hit, spans, items``: spans are starts and ends of hit words, in turn."""
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+    marked = _marked(rows, "_text", "spans", "items", blocks_of(benchmark, item_col=item_col, text_col=item_text_col, width=width, block_words=block_words))
     kind = rows.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, n_words bigint, spans array<int>, items array<string>"
-    blocks = list(blocks_of(benchmark, item_col=item_col, text_col=item_text_col, width=width, block_words=block_words))
-    if len(blocks) > 1:
-        rows = rows.withColumn("_row", F.monotonically_increasing_id())
-        schema += ", _row bigint"
 
-    def scan(windows: WindowSet) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(windows)
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sizes = [len(words_of(t)) for t in texts_of(batch.column(1))]
+        hits = [sum(spans[1::2]) - sum(spans[::2]) for spans in batch.column(2).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(hits, pa.int64()), batch.column(2), batch.column(3)], [id_col, "n_words", "n_hit", "spans", "items"])
 
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            own = shared.value
-            known = _Known(own.vocabulary)
-            sizes, spans, items = [], [], []
-            for text in texts_of(batch.column(1)):
-                words = words_of(text)
-                hit, names = own.scan(words, known)
-                sizes.append(len(words))
-                spans.append(_spans(hit))
-                items.append(sorted(names))
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), *batch.columns[2:]], [id_col, "n_words", "spans", "items", *batch.schema.names[2:]])
-
-        return map_arrow(rows, run, schema)
-
-    found = scan(blocks[0])
-    if len(blocks) > 1:
-        found = _merged([scan(b) for b in blocks], id_col)
-    covered_words = F.aggregate(F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2)), F.lit(0), lambda n, k: n + F.get("spans", k + 1) - F.get("spans", k))
-    return found.select(id_col, "n_words", F.when(F.size("spans") > 0, covered_words).otherwise(0).cast("bigint").alias("n_hit"), "spans", "items")
-
-
-def _merged(parts: list[DataFrame], id_col: str) -> DataFrame:
-    """One row a document again from what each block of the benchmark found."""
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    kind = whole.schema[id_col].dataType.simpleString()
-    whole = whole.groupBy("_row").agg(F.first(id_col).alias(id_col), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        spans = []
-        for size, flat in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            hit = np.zeros(size, bool)
-            for start, end in zip(flat[::2], flat[1::2], strict=True):
-                hit[start:end] = True
-            spans.append(_spans(hit))
-        return pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(spans, pa.list_(pa.int32())), batch.column(4)], [id_col, "n_words", "spans", "items"])
-
-    return map_arrow(whole, run, f"`{id_col}` {kind}, n_words bigint, spans array<int>, items array<string>")
+    return map_arrow(marked, count, f"`{id_col}` {kind}, n_words bigint, n_hit bigint, spans array<int>, items array<string>")
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return found.select(id_col, "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def remove_hits(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 10, block_words: int = 1_000_000, most_share: float = 0.5) -> DataFrame:
+def remove_hits(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 10, block_words: int = 500_000, most_share: float = 0.5) -> DataFrame:
     """``docs`` with the hit spans cut out of the texts, without the documents of which more than ``most_share`` of the words are hit.
 
     A span goes with what stands between its words and with the white space
@@ -185,60 +176,26 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text"
     """
     names = docs.columns
     where = names.index(text_col)
-    marks = "_spans"
-    while marks in names:
-        marks += "_"
-
-    def hits(batch: pa.RecordBatch, windows: WindowSet) -> Iterator[tuple[bytes | None, np.ndarray]]:
-        """The texts, and which of their words this block or one before it hits."""
-        known = _Known(windows.vocabulary)
-        for text, flat in zip(batch.column(where).cast(pa.binary()).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
-            hit = windows.scan(words_of(text), known)[0] if text else np.zeros(0, bool)
-            for start, end in zip((flat or [])[::2], (flat or [])[1::2], strict=True):
-                hit[start:end] = True
-            yield text, hit
-
-    def marker(windows: WindowSet):
-        shared = docs.sparkSession.sparkContext.broadcast(windows)
-
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            spans = [_spans(hit) for _, hit in hits(batch, shared.value)]
-            return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(spans, pa.list_(pa.int32()))], [*names, marks])
-
-        return run
-
-    def cutter(windows: WindowSet):
-        shared = docs.sparkSession.sparkContext.broadcast(windows)
+    blocks = blocks_of(benchmark, item_col=item_col, text_col=item_text_col, width=width, block_words=block_words)
+    marked = _marked(docs, text_col, free_name(names, "_spans"), free_name(names, "_items"), blocks)
 
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts, kept = [], []
-            for text, hit in hits(batch, shared.value):
-                cut, keep = text, True
-                if hit.any():
-                    keep = hit.mean() <= most_share
-                    cut = _without(text, hit) if keep else b""
-                texts.append(cut)
-                kept.append(keep)
-            columns = list(batch.columns[:-1])
-            columns[where] = pa.array(texts, pa.binary()).cast(batch.schema.types[where])
-            return pa.RecordBatch.from_arrays(columns, names).filter(pa.array(kept, pa.bool_()))
+    def cutter(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, kept = [], []
+        for text, spans in zip(batch.column(where).cast(pa.binary()).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
+            keep = not spans or sum(spans[1::2]) - sum(spans[::2]) <= most_share * len(words_of(text))
+            texts.append(_without(text, spans) if spans and keep else text)
+            kept.append(keep)
+        columns = list(batch.columns[:-2])
+        columns[where] = pa.array(texts, pa.binary()).cast(batch.schema.types[where])
+        return pa.RecordBatch.from_arrays(columns, names).filter(pa.array(kept, pa.bool_()))
 
-        return run
-
-    marked = docs.select("*", F.lit(None).cast("array<int>").alias(marks))
-    blocks = blocks_of(benchmark, item_col=item_col, text_col=item_text_col, width=width, block_words=block_words)
-    windows = next(blocks)
-    for following in blocks:
-        marked = map_arrow(marked, marker(windows), marked.schema)
-        windows = following
-    return map_arrow(marked, cutter(windows), docs.schema)
+    return map_arrow(marked, cutter, docs.schema)
 
 
-def _without(text: bytes, hit: np.ndarray) -> bytes:
+def _without(text: bytes, spans: list[int]) -> bytes:
     normal = np.frombuffer(text.translate(NORMAL), np.uint8) != 32
     edges = np.flatnonzero(np.diff(np.concatenate([[0], normal.view(np.int8), [0]])))
     starts, ends = edges[::2], edges[1::2]
-    spans = _spans(hit)
     parts, at = [], 0
     for first, after in zip(spans[::2], spans[1::2], strict=True):
         parts.append(text[at : starts[first]])
