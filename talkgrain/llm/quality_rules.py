@@ -2,7 +2,8 @@
 
 A text that repeats itself compresses far better than prose, and noise far
 worse. Every text is compressed whole with zstandard, and again in chunks of a
-fixed size, so that one bad stretch of a long text shows; the ratio of raw to
+fixed size (from one chunk's length on; the last chunk ends with the text), so
+that bad stretches of a long text show; the ratio of raw to
 compressed size must stay inside a band that depends on the length, as short
 texts compress less. A text is also rejected when most of its chunks leave
 their band.
@@ -76,8 +77,9 @@ def judged(text: bytes, rules: CompressionBands, compressor: zstandard.ZstdCompr
     ratio = size / len(compressor.compress(text))
     low, high = rules.band(size)
     bad = 0.0
-    if size >= 2 * rules.chunk:
-        chunks = [text[k : k + rules.chunk] for k in range(0, size - rules.chunk + 1, rules.chunk)]
+    if size >= rules.chunk:
+        # The last chunk ends where the text does, so that every byte is in one.
+        chunks = [text[min(k, size - rules.chunk) :][: rules.chunk] for k in range(0, size, rules.chunk)]
         least, most = rules.chunk_band
         bad = sum(not least <= len(c) / len(compressor.compress(c)) <= most for c in chunks) / len(chunks)
     return ratio, bad, low <= ratio <= high and bad <= rules.most_bad_chunks
