@@ -7,7 +7,9 @@ line; forward-backward gives each line's probability of being good, and a
 document's score is their mean, weighted by the lines' lengths.
 
 The training labels are those of documents: each line of a labelled document
-has its label. Null texts count as empty, and an empty text as one empty line.
+has its label. So no training chain changes its label, and the fit would let
+the transitions grow without bound; they are kept within 3, which is what a
+verdict's persistence is worth here. Null texts count as empty, and an empty text as one empty line.
 Repeated rows give repeated rows; an empty table an empty result; a null id
 stays null (and counts as held out). With labels of one kind only, or none,
 every score is the share of good labels, or 0.
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkgrain.llm.common import held_out, map_arrow, window_hashes, word_hashes
+from talkgrain.llm.common import discard, held_out, map_arrow, window_hashes, word_hashes
 from talkgrain.llm.sampling import labelled_sample
 
 FEATURES = ("words", "word_length", "capitals", "symbols", "marks", "digits", "beyond_ascii", "distinct", "adjacent", "windows", "lone_signs", "ended", "seen")
@@ -157,15 +159,16 @@ def fit(x: np.ndarray, sizes: np.ndarray, labels: np.ndarray, *, n_bins: int = 1
     return field
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample_documents: int = 4_000, lines_each: int = 100, id_col: str = "doc_id", text_col: str = "text") -> LineField:
-    """Fit to at most ``sample_documents`` labelled rows that are not held out, and at most ``lines_each`` first lines of each."""
+def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample_documents: int = 4_000, id_col: str = "doc_id", text_col: str = "text") -> LineField:
+    """Fit to all lines of at most ``sample_documents`` labelled rows that are not held out."""
     sample = labelled_sample(docs, labels, label=label, limit=sample_documents, id_col=id_col, text_col=text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [np.array(document_features(lines_of(raw or b"")[:lines_each]), np.float64).ravel() for raw in batch.column(0).cast(pa.binary()).to_pylist()]
+        rows = [np.array(document_features(lines_of(raw or b"")), np.float64).ravel() for raw in batch.column(0).cast(pa.binary()).to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.list_(pa.float64()))], ["label", "x"])
 
     rows = map_arrow(sample.select("_text", "_label"), run, "label int, x array<double>").orderBy("label", "x").toPandas()
+    discard(sample)
     good = rows["label"].to_numpy(int) > 0
     if good.all() or not good.any():
         return LineField([], np.zeros(0), np.zeros((2, 2)), 0.0, float(good.mean()) if len(good) else 0.0)

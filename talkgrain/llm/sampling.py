@@ -1,4 +1,4 @@
-"""The bounded sample of labelled rows that classifiers are fitted to."""
+"""The bounded samples that models are fitted to."""
 
 from __future__ import annotations
 
@@ -7,17 +7,35 @@ from pyspark.sql import functions as F
 
 from talkgrain.llm.common import cut, held_out
 
+_RANGE = 1 << 40
+
+
+def least_hashes(rows: DataFrame, keys: list[str], *, of: DataFrame, limit: int) -> DataFrame:
+    """At most ``limit`` different rows, those whose keys' hashes are least.
+
+    ``of`` is the table that ``rows`` are a part of: by its size, rows with too
+    large a hash are left out at the scan, so that what is sorted is bounded. A
+    small part of a very large table may so give fewer rows than the limit.
+    """
+    total = of.count()
+    share = min(1.0, 8 * limit / total) if total else 1.0
+    near = rows.where(F.pmod(F.xxhash64(*keys), F.lit(_RANGE)) < int(share * _RANGE)) if share < 1 else rows
+    return near.distinct().orderBy(F.pmod(F.xxhash64(*keys), F.lit(_RANGE)), *keys).limit(limit)
+
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, *, label: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``_text, _label, _part``: at most ``limit`` labelled documents that are not held out, by the least hashes of their ids.
 
     ``_part`` is an even number from 0 to 99 for splits. Of labels that repeat
-    an id the largest counts; null labels and ids don't. The limit bounds what
-    is broadcast, as ids and labels only.
+    an id the largest counts, of documents that do the one whose text has the
+    least hash; null labels and ids don't. The limit bounds what is broadcast,
+    as ids and labels only, and the sample.
     """
-    chosen = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
-    chosen = chosen.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label)).cast("int").alias("_label"))
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(limit)
+    usable = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
+    chosen = least_hashes(usable.select(F.col(id_col).alias("_id")), ["_id"], of=labels, limit=limit)
+    known = usable.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label"))
+    chosen = known.join(F.broadcast(chosen), "_id", "left_semi").groupBy("_id").agg(F.max("_label").alias("_label"))
     part = F.pmod(F.xxhash64(F.lit(7), "_id"), F.lit(100)).cast("int")
     rows = docs.select(F.col(id_col).alias("_key"), F.col(text_col).cast("string").alias("_text"))
-    return cut(rows.join(F.broadcast(chosen), F.col("_key") == F.col("_id")).select("_text", "_label", part.alias("_part")), name="sample")
+    found = rows.join(F.broadcast(chosen), F.col("_key") == F.col("_id")).groupBy("_id", "_label").agg(F.min(F.struct(F.xxhash64("_text"), "_text")).alias("_one"))
+    return cut(found.select(F.col("_one._text").alias("_text"), "_label", part.alias("_part")), name="sample")

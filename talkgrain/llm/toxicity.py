@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkgrain.llm.common import held_out, map_arrow
+from talkgrain.llm.common import discard, held_out, map_arrow
 from talkgrain.llm.sampling import labelled_sample
 
 #: Words that address the reader, in the corpus's languages (fixed values).
@@ -81,7 +81,7 @@ class Lexicon:
         return known
 
     def features(self, raw: bytes) -> list[float]:
-        tokens = raw.decode().lower().split()
+        tokens = raw.decode("utf-8", "replace").lower().split()
         look, seen = self.look, self.seen.get
         looked = [seen(t) or look(t) for t in tokens]
         n, size = max(len(tokens), 1), max(len(raw), 1)
@@ -108,7 +108,7 @@ def learn_lexicon(sample: DataFrame, *, most_entries: int = 4_000, least_documen
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts: Counter = Counter()
             for raw in batch.column(0).cast(pa.binary()).to_pylist():
-                words = {_bare(t) for t in (raw or b"").decode().lower().split()}
+                words = {_bare(t) for t in (raw or b"").decode("utf-8", "replace").lower().split()}
                 counts.update({e for w in words if w for e in entries(w) if wanted is None or e in wanted})
             return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["entry", "n"])
 
@@ -224,6 +224,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample_do
         return pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), *(pa.array(x[:, k]) for k in range(x.shape[1]))], ["_label", "_part", *names])
 
     rows = map_arrow(sample.where("_part >= 50"), run, "_label int, _part int, " + ", ".join(f"{n} double" for n in names)).orderBy("_part", *names).toPandas()
+    discard(sample)
     x, y, part = rows[names].to_numpy(), rows["_label"].to_numpy(float), rows["_part"].to_numpy()
     fit, check = part < 80, part >= 80
     if len(set(y[fit])) < 2:
