@@ -1,33 +1,40 @@
 """Personal data: patterns, and a skip-chain conditional random field over what looks like it.
 
-Base spans come from patterns. They also supervise the field: a bounded sample
-of the corpus's candidate tokens (those with a digit or an at sign) is labelled
-by the base spans that hold them, and a log-linear model of a token's shape and
-neighbours is fitted to it; agreement along the text is fitted by counting
-label pairs of adjacent candidates, agreement over a distance by counting label
-pairs of candidates that share a form.
-
-In each document the field's nodes are its candidates and the tokens that
-repeat a part of a base span (the name before an at sign, the last digits of a
-number). Adjacent nodes share a potential, and so does each node with the next
-one of the same or a similar form, however far away, and each node outside the
-base spans with the first base span of every kind that has its form: a chain
-through the mentions and a star from each base span, so edges stay linear in
-the nodes. Loopy sum-product messages make
-the mentions of an entity agree; nodes in base spans are clamped, and the other
-nodes whose marginal of a kind passes the threshold become spans of that kind.
+Base spans come from patterns. They also supervise the field, whose nodes are a
+document's candidate tokens (those with a digit or an at sign) and the tokens
+that repeat a part of a base span (the name before an at sign, the last digits
+of a number). Adjacent nodes share a potential, and so does each node with the
+next one of the same or a similar form, however far away, and each node outside
+the base spans with the first base span of every kind that has its form: a
+chain through the mentions and a star from each base span, so edges stay linear
+in the nodes.
+
+The weights of a node's shape and neighbouring tokens, of adjacent and of
+distant label pairs are fitted together, by pseudo-likelihood, to the documents
+of a bounded sample: each node is predicted from its neighbours' labels, once
+with its own features and once without, as nodes without a digit or an at sign
+have none of their own. A mention that shares its form with a base span and is
+in none has no known label; it takes no part in the fit. Label pairs have a
+prior that equal forms agree.
+
+Loopy sum-product messages make the mentions of an entity agree; nodes in base
+spans are clamped, and the other nodes whose marginal of a kind passes the
+threshold become spans of that kind.
 
 Null texts count as empty: no spans. Repeated rows give repeated rows; an empty
 table an empty result; a null id stays null. A corpus without candidates leaves
-the fitted weights at zero, and only base spans are found.
+the weights at their priors, and only base spans and what repeats them are
+found. Every step is linear in a text's length.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -35,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkgrain.llm.common import map_arrow
+from talkgrain.llm.sampling import least_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 _FACTS = bytes(b for b in range(256) if b not in b"0123456789@")
@@ -90,6 +98,7 @@ class Node:
     end: int
     token: str
     before: str
+    """The token before it, whole."""
     after: str
     label: int
     """-1: not in a base span."""
@@ -122,63 +131,69 @@ def _telling(name: str) -> bool:
 
 
 def nodes_of(text: str, spans: list[tuple[int, int, int]]) -> list[Node]:
-    """Candidate tokens, and tokens that repeat a part of a base span."""
-    places = {m.span() for m in _TOKEN.finditer(text) if _FACT.search(m.group())}
-    for start, kind, end in spans:
-        if kind == 0 and _telling(name := text[start:end].partition("@")[0]):
-            at = text.find(name)
-            while at >= 0:
-                left = at
-                while left and not text[left - 1].isspace():
-                    left -= 1
-                right = at
-                while right < len(text) and not text[right].isspace():
-                    right += 1
-                places.add((left, right))
-                at = text.find(name, right)
+    """Candidate tokens, and tokens that repeat a part of a base span; in one pass over the text for all names."""
+    tokens = [m.span() for m in _TOKEN.finditer(text)]
+    chosen = {k for k, (start, end) in enumerate(tokens) if _FACT.search(text, start, end)}
+    names = {text[start:end].partition("@")[0] for start, kind, end in spans if kind == 0}
+    names = {name for name in names if _telling(name)}
+    if names:
+        told = ahocorasick.Automaton()
+        for name in names:
+            told.add_word(name, len(name))
+        told.make_automaton()
+        starts = [start for start, _ in tokens]
+        for last, size in told.iter(text):
+            chosen.add(bisect_right(starts, last - size + 1) - 1)
     nodes, k = [], 0
-    for start, end in sorted(places):
+    for at in sorted(chosen):
+        start, end = tokens[at]
         while k < len(spans) and spans[k][2] <= start:
             k += 1
-        label = next((kind for s, kind, e in spans[k : k + 4] if s < end and e > start), -1)
+        over, label = k, -1
+        while over < len(spans) and spans[over][0] < end:
+            if spans[over][2] > start:
+                label = spans[over][1]
+                break
+            over += 1
         left, right = _trimmed(text, start, end)
         if left < right:
-            nodes.append(Node(left, right, text[left:right], text[max(0, start - 40) : start], text[end : end + 40], label))
+            beside = [text[slice(*tokens[n])] if 0 <= n < len(tokens) else "" for n in (at - 1, at + 1)]
+            nodes.append(Node(left, right, text[left:right], *beside, label))
     return nodes
 
 
 def _shape(token: str) -> str:
-    shape = "".join("9" if "0" <= c <= "9" else "a" if c.islower() else "A" if c.isalpha() else c for c in token[:64])
+    shape = "".join("9" if "0" <= c <= "9" else "a" if c.islower() else "A" if c.isalpha() else c for c in token)
     return re.sub(r"(.)\1+", r"\1+", shape)
 
 
 def features(node: Node, size: int) -> list[int]:
-    """Hashed features of a token and the words beside it."""
+    """Hashed features of a token and the tokens beside it."""
     digits = sum("0" <= c <= "9" for c in node.token)
-    left, right = node.before.split(), node.after.split()
     names = [
         "1", f"s{_shape(node.token)}", f"d{min(digits, 20)}", f"n{min(len(node.token), 24) // 3}", f"@{'@' in node.token}", f".{min(node.token.count('.'), 4)}", f"+{node.token[0]}",
-        f"l{_shape(left[-1]) if left else ''}", f"r{_shape(right[0]) if right else ''}", f"w{left[-1].lower().strip(_EDGE)[:12] if left else ''}",
+        f"l{_shape(node.before)}", f"r{_shape(node.after)}", f"w{node.before.lower().strip(_EDGE)}",
     ]
     return [xxhash.xxh32_intdigest(n) % size for n in names]
 
 
 @dataclass
 class Field:
-    """Weights of the field: of features by label, of adjacent and of distant label pairs; label 0 is no kind."""
+    """Weights of the field: of features by label, of adjacent and of distant label pairs, and of a label without features; label 0 is no kind."""
 
     weights: np.ndarray
     adjacent: np.ndarray
     distant: np.ndarray
+    bare: np.ndarray
     threshold: float = 0.6
     rounds: int = 20
 
     def local(self, nodes: list[Node]) -> np.ndarray:
-        """Tokens without a digit or an at sign are in no training sample: only what they repeat speaks for them."""
-        none = np.zeros(self.weights.shape[1])
-        return np.array([self.weights[features(n, len(self.weights))].sum(0) if _FACT.search(n.token) else none for n in nodes])
+        """Tokens without a digit or an at sign have no features: only what they repeat speaks for them."""
+        return np.array([self.weights[features(n, len(self.weights))].sum(0) if _FACT.search(n.token) else self.bare for n in nodes])
 
-    def edges(self, nodes: list[Node]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    @staticmethod
+    def edges(nodes: list[Node]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
         near = [(k, k + 1) for k in range(len(nodes) - 1) if nodes[k + 1].start - nodes[k].end <= 3]
         last: dict[str, int] = {}
         first: dict[str, dict[int, int]] = {}
@@ -243,58 +258,88 @@ class Field:
         return found
 
 
-def train(docs: DataFrame, *, text_col: str = "text", sample_documents: int = 2_000, nodes_each: int = 64, size: int = 4_096, epochs: int = 60) -> Field:
-    """Fit the field to at most ``sample_documents`` documents with candidates (the least hashes of their texts), and at most ``nodes_each`` adjacent candidates of each."""
-    rows = docs.select(F.col(text_col).cast("string").alias("_text"))
+@dataclass
+class Sample:
+    """Nodes of all sampled documents: labels, which of them are known, feature ids, adjacent and distant pairs of nodes."""
+
+    labels: np.ndarray
+    known: np.ndarray
+    ids: np.ndarray
+    near: np.ndarray
+    far: np.ndarray
+
+    @staticmethod
+    def gather(rows: list) -> Sample:
+        labels = np.array([y for row in rows for y in row.labels], np.int64)
+        starts = np.cumsum([0, *(len(row.labels) for row in rows)])
+        pairs = lambda name: np.array([v + at for row, at in zip(rows, starts) for v in getattr(row, name)], np.int64).reshape(-1, 2)
+        near, far = pairs("near"), pairs("far")
+        known = np.ones(len(labels), bool)
+        # What shares a base span's form and is in none: the patterns miss it, so its label says nothing.
+        one_sided = far[(labels[far] > 0).sum(1) == 1].ravel()
+        known[one_sided[labels[one_sided] == 0]] = False
+        both = lambda p: p[known[p].all(1)]
+        ids = np.array([f for row in rows for f in row.ids], np.int64).reshape(len(labels), -1 if rows else 1)
+        return Sample(labels, known, ids, both(near), both(far))
+
+
+#: What is believed of pairs before any are seen: nothing of adjacent ones, agreement of distant ones.
+PRIOR_AGREEMENT = 2.5
+
+
+def fit(sample: Sample, *, size: int, epochs: int = 80, rate: float = 0.5, ridge: float = 1e-4, pair_ridge: float = 1e-3) -> Field:
+    """Pseudo-likelihood with quadratic penalties towards the priors, by adaptive gradient steps."""
+    n_labels = len(KINDS) + 1
+    weights, bare, prior = np.zeros((size, n_labels)), np.zeros(n_labels), np.eye(n_labels) * PRIOR_AGREEMENT
+    adjacent, distant = np.zeros((n_labels, n_labels)), prior.copy()
+    n = int(sample.known.sum())
+    if not n:
+        return Field(weights, adjacent, distant, bare)
+    y, one_hot = sample.labels, np.eye(n_labels)[sample.labels]
+    (left, right), (one, other) = sample.near.T, sample.far.T
+    flat, width = sample.ids.ravel(), sample.ids.shape[1]
+    squares = [np.full_like(t, 1e-6) for t in (weights, adjacent, distant, bare)]
+
+    def summed(at: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
+        return np.stack([np.bincount(at, values[:, k], rows) for k in range(n_labels)], 1)
+
+    def error(logits: np.ndarray) -> np.ndarray:
+        p = np.exp(logits - logits.max(1, keepdims=True))
+        return (p / p.sum(1, keepdims=True) - one_hot) * sample.known[:, None] / n
+
+    for _ in range(epochs):
+        told = summed(left, adjacent[:, y[right]].T, len(y)) + summed(right, adjacent[y[left]], len(y)) + summed(one, distant[y[other]], len(y)) + summed(other, distant[y[one]], len(y))
+        whole, plain = error(weights[sample.ids].sum(1) + told), error(bare + told)
+        both = whole + plain
+        pairs = summed(y[one], both[other], n_labels) + summed(y[other], both[one], n_labels)
+        steps = [
+            summed(flat, np.repeat(whole, width, 0), size) + ridge * weights, summed(y[right], both[left], n_labels).T + summed(y[left], both[right], n_labels) + pair_ridge * adjacent,
+            (pairs + pairs.T) / 2 + pair_ridge * (distant - prior), plain.sum(0) + ridge * bare,
+        ]
+        for table, step, square in zip((weights, adjacent, distant, bare), steps, squares, strict=True):
+            square += step * step
+            table -= rate * step / np.sqrt(square)
+    return Field(weights, adjacent, distant, bare)
+
+
+def train(docs: DataFrame, *, text_col: str = "text", sample_documents: int = 2_000, size: int = 4_096, epochs: int = 80) -> Field:
+    """Fit the field to all nodes of at most ``sample_documents`` different texts with a digit or an at sign, those of the least hashes."""
+    rows = docs.select(F.col(text_col).cast("string").alias("_text")).where(F.col("_text").rlike("[0-9@]"))
+    rows = least_hashes(rows, ["_text"], of=docs, limit=sample_documents)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys, labels, ids, near, far = [], [], [], [], []
+        columns: list[list] = [[], [], [], []]
         for raw in batch.column(0).cast(pa.binary()).to_pylist():
-            if not raw or not raw.translate(None, _FACTS):
-                continue
-            text = raw.decode()
-            nodes = nodes_of(text, base_spans(text))[:nodes_each]
-            if nodes:
-                field = Field(np.zeros((1, 1)), np.zeros((1, 1)), np.zeros((1, 1)))
-                adjacent, distant = field.edges(nodes)
-                keys.append(xxhash.xxh3_64_intdigest(raw) >> 1)
-                labels.append([n.label + 1 for n in nodes])
-                ids.append([f for n in nodes for f in features(n, size)])
-                near.append([v for pair in adjacent for v in pair])
-                far.append([v for pair in distant for v in pair])
-        ints = pa.list_(pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(pa.array(x, ints) for x in (labels, ids, near, far))], ["key", "labels", "ids", "near", "far"])
-
-    sample = map_arrow(rows, run, "key bigint, labels array<int>, ids array<int>, near array<int>, far array<int>").orderBy("key").limit(sample_documents).collect()
-    n_labels = len(KINDS) + 1
-    adjacent, distant = np.ones((n_labels, n_labels)) * 0.5, np.eye(n_labels) * 4 + 0.25
-    for row in sample:
-        mentions = {k for a, b in zip(row.far[::2], row.far[1::2], strict=True) if bool(row.labels[a]) != bool(row.labels[b]) for k in (a, b)}
-        for table, flat in ((adjacent, row.near), (distant, row.far)):
-            for a, b in zip(flat[::2], flat[1::2], strict=True):
-                # A mention that the patterns miss says nothing about agreement: distant pairs count inside base spans, or when no base span has their forms.
-                if table is adjacent or row.labels[a] and row.labels[b] or not row.labels[a] and not row.labels[b] and not mentions & {a, b}:
-                    table[row.labels[a], row.labels[b]] += 1
-                    if table is distant:
-                        table[row.labels[b], row.labels[a]] += 1
-    weights = np.zeros((size, n_labels))
-    labels = np.array([y for row in sample for y in row.labels], np.int64)
-    if len(labels):
-        ids = np.array([f for row in sample for f in row.ids], np.int64).reshape(len(labels), -1)
-        squares = np.full_like(weights, 1e-6)
-        for _ in range(epochs):
-            scores = weights[ids].sum(1)
-            scores = np.exp(scores - scores.max(1, keepdims=True))
-            error = scores / scores.sum(1, keepdims=True)
-            error[np.arange(len(labels)), labels] -= 1
-            step = 1e-4 * weights
-            np.add.at(step, ids.ravel(), np.repeat(error / len(labels), ids.shape[1], 0))
-            squares += step * step
-            weights -= 0.5 * step / np.sqrt(squares)
-    joint = lambda t: np.log(t / t.sum()) - np.log(t.sum(1, keepdims=True) / t.sum()) - np.log(t.sum(0, keepdims=True) / t.sum())
-    # That a label is rare must not count for it once more at every pair of mentions: agreement is near 0 for all labels.
-    agreement = np.log(distant) - (np.log(distant.sum(1, keepdims=True)) + np.log(distant.sum(0, keepdims=True))) / 2
-    return Field(weights, np.clip(joint(adjacent), -3, 3), np.clip(agreement, -4, 4))
+            text = raw.decode("utf-8", "replace")
+            nodes = nodes_of(text, base_spans(text))
+            adjacent, distant = Field.edges(nodes)
+            found = [n.label + 1 for n in nodes], [f for n in nodes for f in features(n, size)], [v for pair in adjacent for v in pair], [v for pair in distant for v in pair]
+            for column, value in zip(columns, found, strict=True):
+                column.append(value)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int32())) for c in columns], ["labels", "ids", "near", "far"])
+
+    found = map_arrow(rows, run, "labels array<int>, ids array<int>, near array<int>, far array<int>").collect()
+    return fit(Sample.gather(sorted(found)), size=size, epochs=epochs)
 
 
 def find_pii(docs: DataFrame, field: Field | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -313,7 +358,7 @@ def find_pii(docs: DataFrame, field: Field | None = None, *, id_col: str = "doc_
                 spans.append("")
                 added.append(0)
                 continue
-            text = raw.decode()
+            text = raw.decode("utf-8", "replace")
             base = base_spans(text)
             more = field.added(text, base)
             for _, k, _ in base:
@@ -335,7 +380,7 @@ def masked(docs: DataFrame, field: Field | None = None, *, text_col: str = "text
         texts = []
         for raw in batch.column(where).cast(pa.binary()).to_pylist():
             if raw and raw.translate(None, _FACTS):
-                text = raw.decode()
+                text = raw.decode("utf-8", "replace")
                 base = base_spans(text)
                 parts, at = [], 0
                 for start, k, end in sorted([*base, *field.added(text, base)]):
