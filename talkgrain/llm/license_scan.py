@@ -1,25 +1,32 @@
-"""License scans: notices by sparse TF-IDF cosine to templates, then inheritance along directories.
-
-Every line of a text that names a licence is compared, alone and with the two
-lines after it, with templates of header notices and of licence texts. Terms
-are words and pairs of words; a term's weight falls with the share of all
-documents that hold it anywhere in their whole texts. The templates' terms are
-counted one by one, all other words in a sketch of a fixed size, by the lesser
-of two counters each, which may count a rare word too often but none too seldom.
-Words that no template has lengthen a line's vector, rare ones more, so prose
-about something else stays far from all templates. A document's own licence is that of its nearest
-template, at the threshold or above.
-
-A licence file (by its name, or because notices are at least ``file_share`` of
-its words) licenses its directory. Documents without a licence of their own
-inherit from the nearest directory above them that has one: each directory's
-ancestors are joined with the licensed directories, the deepest one counts, and
-documents are joined with their directory. Of several licence files in a
-directory the first by path counts.
+"""License scans: headers and licence files against templates by sparse TF-IDF cosine, then inheritance along directories.
+
+A text is compared as a whole, by its blocks (runs of lines that are not blank),
+by each line, and by each three lines together, with templates: notices of file
+headers, SPDX tags, and texts and openings of licences. Comment markers are in
+no term. Terms are words and pairs of words; a term's weight falls with the
+share of all documents that hold it anywhere in their whole texts. The
+templates' terms are counted one by one, all other words in a sketch of a fixed
+size, by the lesser of two counters each, which may count a rare word too often
+but none too seldom. Vectors are sparse: an index of the templates' terms gives
+the products; words that no template has lengthen a part's vector, rare ones
+more, so prose about something else stays far from all templates. A part is
+passed over only where the words that no template has are too many for the
+threshold, however common they were. A document's own licence is that of the
+template nearest to one of its parts, at the threshold or above; of equals the
+first template counts.
+
+A licence file licenses its directory: a file by its name, or one that as a
+whole is like a licence's whole text. Notices in headers license their own file
+only. Documents without a licence of their own inherit from the nearest
+directory above them that has one: each directory's ancestors are joined with
+the licensed directories, the deepest one counts, and documents are joined with
+their directory, in salted parts. Of several licence files in a directory the
+first by path counts, of rows with one path the first by licence.
 
 Null and empty texts have no licence of their own; a null path is in no
 directory and inherits nothing. Repeated rows give repeated rows; an empty
-table an empty result; a null id stays null.
+table an empty result; a null id stays null. Bytes that are no UTF-8 count as
+replacement characters.
 """
 
 from __future__ import annotations
@@ -37,24 +44,54 @@ from pyspark.sql import functions as F
 
 from talkgrain.llm.common import cut, ensure_importable, map_arrow, texts_of, word_hashes
 
-#: Public header notices and the openings of licence texts (fixed values).
-TEMPLATES: tuple[tuple[str, str], ...] = (
+# Public licence texts, openings and notices.
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this
+permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+_BSD_NAMES = " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_END = """ THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.
+IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR
+PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+POSSIBILITY OF SUCH DAMAGE."""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS"
+AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any
+purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you
+use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This
+notice may not be removed or altered from any source distribution."""
+_UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
+commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit
+of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law."""
+#: Whole texts: a file like one of them is a licence file.
+WHOLE_TEXTS: tuple[tuple[str, str], ...] = (("MIT", _MIT), ("BSD-3-Clause", _BSD + _BSD_NAMES + _BSD_END), ("BSD-2-Clause", _BSD + _BSD_END), ("ISC", _ISC), ("Zlib", _ZLIB), ("Unlicense", _UNLICENSE))
+#: Notices of headers, and openings of the longer texts.
+NOTICES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT license."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0; you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: neither the name of the copyright holder nor the names of its contributors may be used"),
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
@@ -64,16 +101,24 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC0-1.0", "Released under CC0 1.0, to the public domain."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
-#: What a line must have to be looked at: a part of a word that names a licence or grants one (fixed values).
-TRIGGERS = re.compile(rb"licen[sc]|copyright|public domain|creative commons|cc0|permission|redistribut", re.IGNORECASE)
+SPDX_NAMES = ("MIT", "Apache-2.0", "GPL-3.0", "GPL-2.0", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "BSD-3-Clause", "BSD-2-Clause", "ISC", "Zlib", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "Unlicense")
+#: SPDX tags also name what GPL versions allow.
+SPDX_SUFFIXES = {"GPL-3.0": ("", "-only", "-or-later"), "GPL-2.0": ("", "-only", "-or-later"), "LGPL-3.0": ("", "-only", "-or-later"), "AGPL-3.0": ("", "-only", "-or-later")}
+SPDX_TAGS = tuple((name, f"SPDX-License-Identifier: {name}{end}") for name in SPDX_NAMES for end in SPDX_SUFFIXES.get(name, ("",)))
+TEMPLATES: tuple[tuple[str, str], ...] = (*NOTICES, *SPDX_TAGS, *WHOLE_TEXTS)
 FILE_NAMES = r"(?i)(^|/)(licen[sc]e|copying|notice|unlicense)([.-][^/]*)?$"
 _TERM = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 _BITS = 20
 _CHUNK = 1 << 14
+_SALTS = 16
+
+
+def words_of(text: str) -> list[str]:
+    return _TERM.findall(text.lower())
 
 
 def terms(text: str) -> Counter:
-    words = _TERM.findall(text.lower())
+    words = words_of(text)
     return Counter(words) + Counter(f"{a} {b}" for a, b in zip(words, words[1:]))
 
 
@@ -85,53 +130,109 @@ def _places(words: list[str]) -> np.ndarray:
 
 @dataclass
 class Templates:
-    """Unit vectors of the templates over their terms, the terms' weights, and the sketch of all words."""
+    """The templates' unit vectors as an index of their terms, the terms' weights, and the sketch of all words."""
 
     names: list[str]
+    whole: list[bool]
     place: dict[str, int]
     weights: np.ndarray
+    index: list[tuple[np.ndarray, np.ndarray]]
     n_documents: int
     sketch: np.ndarray
-    matrix: np.ndarray
 
     @staticmethod
     def build(templates: tuple[tuple[str, str], ...], holders: dict[str, int], n_documents: int, sketch: np.ndarray) -> Templates:
         counted = [terms(text) for _, text in templates]
         place = {t: k for k, t in enumerate(sorted({t for c in counted for t in c}))}
-        weights = np.array([math.log((n_documents + 1) / (holders.get(t, 0) + 1)) + 1 for t in place])
-        matrix = np.zeros((len(templates), len(place)))
-        for row, c in enumerate(counted):
+        weights = np.array([math.log((n_documents + 1) / (min(holders.get(t, 0), n_documents) + 1)) + 1 for t in place])
+        rows: list[list[tuple[int, float]]] = [[] for _ in place]
+        for at, c in enumerate(counted):
+            size = math.sqrt(sum((n * weights[place[t]]) ** 2 for t, n in c.items()))
             for t, n in c.items():
-                matrix[row, place[t]] = n * weights[place[t]]
-        return Templates([name for name, _ in templates], place, weights, n_documents, sketch, matrix / np.linalg.norm(matrix, axis=1, keepdims=True))
+                rows[place[t]].append((at, n * weights[place[t]] / size))
+        index = [(np.array([at for at, _ in row]), np.array([w for _, w in row])) for row in rows]
+        return Templates([name for name, _ in templates], [t in WHOLE_TEXTS for t in templates], place, weights, index, n_documents, sketch)
+
+    def near(self, words: list[str], least: float = 0.0) -> np.ndarray | None:
+        """The cosine to every template; None if it is surely below ``least`` for all."""
+        own, strange, place = Counter(), Counter(), self.place
+        before = False
+        for k, word in enumerate(words):
+            known = place.get(word)
+            if known is None:
+                strange[word] += 1
+            else:
+                own[known] += 1
+                if before and (pair := place.get(f"{words[k - 1]} {word}")) is not None:
+                    own[pair] += 1
+            before = known is not None
+        if not own:
+            return None
+        ids, counts = np.fromiter(own, np.int64, len(own)), np.fromiter(own.values(), float, len(own))
+        values = counts * self.weights[ids]
+        inside = float(values @ values)
+        # No word weighs less than 1: more strange words than this leave no template near enough.
+        if inside < least * least * (inside + sum(n * n for n in strange.values())):
+            return None
+        size = inside
+        if strange:
+            # A pair of words is as strange as its words: it counts once, not thrice.
+            holders = np.minimum(self.sketch[_places(list(strange))].min(0), self.n_documents)
+            size += float(((np.log((self.n_documents + 1) / (holders + 1.0)) + 1) ** 2) @ (np.fromiter(strange.values(), float, len(strange)) ** 2))
+        out = np.zeros(len(self.names))
+        for k, value in zip(ids, values, strict=True):
+            at, weight = self.index[k]
+            out[at] += value * weight
+        return out / math.sqrt(size)
 
     def nearest(self, text: str) -> tuple[float, str]:
-        own, others = np.zeros(len(self.place)), {}
-        for t, n in terms(text).items():
-            k = self.place.get(t)
-            if k is None:
-                # A pair of words is as strange as its words: it counts once, not thrice.
-                if " " not in t:
-                    others[t] = n
-            else:
-                own[k] = n * self.weights[k]
-        strange = 0.0
-        if others:
-            holders = self.sketch[_places(list(others))].min(0)
-            strange = float(((np.log((self.n_documents + 1) / (holders + 1.0)) + 1) ** 2) @ (np.array(list(others.values())) ** 2))
-        size = math.sqrt(float(own @ own) + strange)
-        if not size:
+        """The cosine to the nearest template, and its licence."""
+        near = self.near(words_of(text))
+        if near is None:
             return 0.0, ""
-        near = self.matrix @ own / size
         best = int(near.argmax())
         return float(near[best]), self.names[best]
 
+    def look(self, text: str, threshold: float) -> tuple[str | None, float, bool]:
+        """A text's own licence, its cosine (0: below the threshold), and whether the text as a whole is a licence's."""
+        lines = [words_of(line) for line in text.split("\n")]
+        known = [not self.place.keys().isdisjoint(line) for line in lines]
+        if not any(known):
+            return None, 0.0, False
+        near = self.near([w for line in lines for w in line], threshold)
+        whole = near is not None and any(near[k] >= threshold for k, is_whole in enumerate(self.whole) if is_whole)
+        best = np.zeros(len(self.names)) if near is None else near
+        for start, end in _parts(lines):
+            if any(known[start:end]):
+                near = self.near([w for line in lines[start:end] for w in line], threshold)
+                if near is not None:
+                    best = np.maximum(best, near)
+        top = int(best.argmax())
+        score = round(float(best[top]), 9)
+        return (self.names[top], score, whole) if score >= threshold else (None, 0.0, False)
+
+
+def _parts(lines: list[list[str]]) -> Iterator[tuple[int, int]]:
+    """Where the lines, the three lines together and the blocks of a text begin and end."""
+    start = 0
+    for k, line in enumerate(lines):
+        if line:
+            yield k, k + 1
+        if k + 3 <= len(lines):
+            yield k, k + 3
+        if not line or k + 1 == len(lines):
+            end = k if not line else k + 1
+            if end - start > 1 and end - start != 3 and (start, end) != (0, len(lines)):
+                yield start, end
+            start = k + 1
+
 
 def template_weights(docs: DataFrame, templates: tuple[tuple[str, str], ...], text_col: str) -> Templates:
     """The templates, weighted by how many of all documents hold each term anywhere in their whole text."""
     ensure_importable(docs.sparkSession)
     wanted = sorted({t for _, text in templates for t in terms(text)})
     at = {t: k for k, t in enumerate(wanted, 2 << _BITS)}
+    singles = {t for t in wanted if " " not in t}
     pairs = {tuple(t.split(" ")): k for t, k in at.items() if " " in t}
     # Both rows of the sketch, the templates' terms and the number of documents, in whole chunks.
     size = -(-((2 << _BITS) + len(wanted) + 1) // _CHUNK) * _CHUNK
@@ -145,13 +246,14 @@ def template_weights(docs: DataFrame, templates: tuple[tuple[str, str], ...], te
             for start in range(0, batch.num_rows, 500):
                 held: list[str] = []
                 for raw in texts_of(batch.column(0).slice(start, 500)):
-                    words = _TERM.findall(raw.decode().lower())
+                    words = words_of(raw.decode("utf-8", "replace"))
                     own = set(words)
                     held += own
-                    for t in own & at.keys():
-                        total[at[t]] += 1
-                    for t in pairs.keys() & set(zip(words, words[1:])):
-                        total[pairs[t]] += 1
+                    if known := own & singles:
+                        total[[at[t] for t in known]] += 1
+                        if len(known) > 1:
+                            met = {pair for pair in zip(words, words[1:]) if pair[0] in known and pair in pairs}
+                            total[[pairs[pair] for pair in met]] += 1
                 total[: 2 << _BITS] += np.bincount(_places(held).ravel(), minlength=2 << _BITS).astype(np.uint32)
         salt = TaskContext.get().partitionId() % 64
         rows = [(k, total[k : k + _CHUNK]) for k in range(0, size, _CHUNK)]
@@ -177,41 +279,26 @@ def template_weights(docs: DataFrame, templates: tuple[tuple[str, str], ...], te
 
 
 def scan(docs: DataFrame, templates: Templates, *, threshold: float = 0.6, id_col: str = "doc_id", text_col: str = "text", path_col: str = "path") -> DataFrame:
-    """``id_col, path, own_license, own_score, notice_share``: the nearest template, and the share of words in notices."""
+    """``id_col, path, own_license, own_score, whole_text``: the nearest template, and whether the whole text is like a licence's."""
     rows = docs.select(F.col(id_col), F.col(path_col).cast("string").alias("path"), F.col(text_col).cast("string").alias("_text"))
     kind = rows.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(templates)
 
-    def look(raw: bytes) -> tuple[str | None, float, float]:
-        if not raw or not TRIGGERS.search(raw):
-            return None, 0.0, 0.0
-        lines = [line.decode() for line in raw.split(b"\n")]
-        best, noticed = (0.0, ""), set()
-        for k, line in enumerate(lines):
-            if TRIGGERS.search(line.encode()):
-                for size in (1, 3):
-                    found = shared.value.nearest(" ".join(lines[k : k + size]))
-                    if found[0] >= threshold:
-                        noticed.update(range(k, min(k + size, len(lines))))
-                    best = max(best, found)
-        share = sum(len(lines[k].split()) for k in noticed) / max(1, len(raw.split()))
-        return (best[1] if best[0] >= threshold else None), best[0], share
-
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [look(raw) for raw in batch.column(2).cast(pa.binary()).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found]), pa.array([f[2] for f in found])], [id_col, "path", "own_license", "own_score", "notice_share"])
+        found = [shared.value.look(raw.decode("utf-8", "replace"), threshold) for raw in texts_of(batch.column(2))]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())], [id_col, "path", "own_license", "own_score", "whole_text"])
 
-    return map_arrow(rows, run, f"`{id_col}` {kind}, path string, own_license string, own_score double, notice_share double")
+    return map_arrow(rows, run, f"`{id_col}` {kind}, path string, own_license string, own_score double, whole_text boolean")
 
 
 def _parent(path: Column) -> Column:
     return F.regexp_replace(path, "/?[^/]*$", "")
 
 
-def inherit(scanned: DataFrame, *, file_share: float = 0.2) -> DataFrame:
+def inherit(scanned: DataFrame) -> DataFrame:
     """Adds ``license`` (own or inherited) and ``inherited_from`` (the directory; null: own or none)."""
     scanned = scanned.withColumn("_dir", _parent(F.col("path")))
-    is_file = F.col("own_license").isNotNull() & (F.col("path").rlike(FILE_NAMES) | (F.col("notice_share") >= file_share))
+    is_file = F.col("own_license").isNotNull() & (F.col("path").rlike(FILE_NAMES) | F.col("whole_text"))
     licensed = scanned.where(is_file & F.col("path").isNotNull()).groupBy("_dir").agg(F.min(F.struct("path", "own_license")).alias("_f"))
     licensed = licensed.select(F.col("_dir").alias("_above"), F.col("_f.own_license").alias("_license"))
     parts = F.split("_dir", "/", -1)
@@ -219,12 +306,17 @@ def inherit(scanned: DataFrame, *, file_share: float = 0.2) -> DataFrame:
     directories = scanned.where("own_license IS NULL AND path IS NOT NULL").select("_dir").distinct()
     above = directories.select("_dir", F.explode(F.array_distinct(ancestors)).alias("_a")).join(licensed, F.col("_a.dir") == F.col("_above"))
     nearest = above.groupBy("_dir").agg(F.max(F.struct("_a.depth", "_above", "_license")).alias("_n")).select("_dir", "_n._above", "_n._license")
-    joined = scanned.join(nearest, "_dir", "left")
+    # A directory may hold any share of all documents: they come to it in parts.
+    nearest = nearest.withColumnRenamed("_dir", "_key").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    mixed = F.xxhash64("path", scanned.columns[0])
+    nowhere = F.concat(F.lit("\0"), mixed.cast("string"))
+    salted = scanned.withColumn("_salt", F.pmod(mixed, F.lit(_SALTS)).cast("int")).withColumn("_key", F.coalesce("_dir", nowhere))
+    joined = salted.join(nearest, ["_key", "_salt"], "left")
     own = F.col("own_license").isNotNull()
     return joined.select(*(c for c in scanned.columns if c != "_dir"), F.coalesce("own_license", "_license").alias("license"), F.when(~own, F.col("_above")).alias("inherited_from"))
 
 
-def license_scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, *, threshold: float = 0.6, file_share: float = 0.2, id_col: str = "doc_id", text_col: str = "text", path_col: str = "path") -> DataFrame:
+def license_scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, *, threshold: float = 0.6, id_col: str = "doc_id", text_col: str = "text", path_col: str = "path") -> DataFrame:
     """``scan`` and ``inherit`` over one table of documents with paths."""
     weighted = template_weights(docs, templates, text_col)
-    return inherit(cut(scan(docs, weighted, threshold=threshold, id_col=id_col, text_col=text_col, path_col=path_col), name="scanned"), file_share=file_share)
+    return inherit(cut(scan(docs, weighted, threshold=threshold, id_col=id_col, text_col=text_col, path_col=path_col), name="scanned"))
