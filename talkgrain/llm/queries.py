@@ -68,7 +68,7 @@ def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = token_counts.prefix_token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), keep_prefixes=False)
+    counted = token_counts.prefix_token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), budget=TOKEN_LIMIT, keep_prefixes=False)
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 

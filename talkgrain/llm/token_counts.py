@@ -20,7 +20,6 @@ rows; an empty table gives an empty table; a null id stays null.
 
 from __future__ import annotations
 
-import base64
 import json
 from functools import lru_cache
 
@@ -50,6 +49,8 @@ class PrefixCounter:
     """Token counts of all prefixes under one vocabulary."""
 
     KEPT = 1_000_000
+    #: Characters of all pieces whose tables are kept, and of one such piece.
+    KEPT_CHARS, LONGEST_KEPT = 16_000_000, 200
 
     def __init__(self, tokens: list[bytes], special: tuple[str, ...] = ()) -> None:
         """``tokens``: the 256 bytes first, then what is merged, in the order of merging."""
@@ -66,6 +67,7 @@ class PrefixCounter:
         for k in range(256, len(tokens)):
             self._learn(k, tokens[k])
         self.tables: dict[str, bytes] = {}
+        self.kept_chars = 0
         self.pieces = regex.compile(PATTERN).findall
         self.gaps = regex.compile(r"\s{2,}(?=\S)").finditer
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
@@ -85,11 +87,9 @@ class PrefixCounter:
     @staticmethod
     @lru_cache(maxsize=4)
     def load(path: str) -> PrefixCounter:
-        """From a ``tokenizers`` file of a byte-level BPE, or from a file of tiktoken ranks."""
-        if path.endswith(".tiktoken"):
-            with open(path, "rb") as lines:
-                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            return PrefixCounter(sorted(ranks, key=lambda t: (len(t) > 1, ranks[t])))
+        """From a ``tokenizers`` file of a byte-level BPE; other files, whose splitting is not known, raise."""
+        if not path.endswith(".json"):
+            raise ValueError(f"{path} does not say by which pattern texts are split")
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model, split = spec["model"], spec.get("pre_tokenizer") or {}
@@ -148,7 +148,7 @@ class PrefixCounter:
                 if found or token is None:
                     continue
                 if start:
-                    pair = last[start] * 65536 + token
+                    pair = last[start] << 32 | token
                     found = follows.get(pair)
                     if found is None:
                         if len(follows) > self.KEPT:
@@ -167,8 +167,6 @@ class PrefixCounter:
         """By how much the count of a piece's prefixes grows with each character."""
         known = self.tables.get(piece)
         if known is None:
-            if len(self.tables) >= self.KEPT:
-                self.tables.clear()
             raw = piece.encode()
             counts = self.counts(raw)
             if len(raw) != len(piece):
@@ -177,7 +175,12 @@ class PrefixCounter:
             if piece in LONG_CONTRACTIONS:
                 counts[2] = counts[1] + self.counts(raw[1:2])[1]
             known = bytes([(after - before) & 255 for before, after in zip(counts, counts[1:])])
-            self.tables[piece] = known
+            if len(piece) <= self.LONGEST_KEPT:
+                if len(self.tables) >= self.KEPT or self.kept_chars > self.KEPT_CHARS:
+                    self.tables.clear()
+                    self.kept_chars = 0
+                self.tables[piece] = known
+                self.kept_chars += len(piece)
         return known
 
     def _segment(self, text: str) -> np.ndarray:
@@ -232,11 +235,12 @@ def longest_prefix(prefix: bytes, budget: int) -> int:
     return int(np.flatnonzero(counts <= budget)[-1]) if budget >= 0 else 0
 
 
-def prefix_token_counts(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", keep_prefixes: bool = True) -> DataFrame:
-    """``id_col, n_bytes, n_tokens`` and, if kept, ``prefix``: the table of each text.
+def prefix_token_counts(docs: DataFrame, tokenizer: str, *, budget: int | None = None, id_col: str = "doc_id", text_col: str = "text", keep_prefixes: bool = True) -> DataFrame:
+    """``id_col, n_bytes, n_tokens``, if kept ``prefix``, the table of each text, and with a budget ``budget_chars``.
 
-    ``tokenizer`` is a file that every executor can read, such as one of an
-    installed package.
+    ``budget_chars`` is the most code points that a prefix of ``budget`` tokens
+    has, read from the table. ``tokenizer`` is a file that every executor can
+    read, such as one of an installed package.
     """
     rows = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("_text"))
     kind = rows.schema[id_col].dataType.simpleString()
@@ -244,20 +248,22 @@ def prefix_token_counts(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_i
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         counter = PrefixCounter.load(tokenizer)
         sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())
-        counts, kept = [], []
+        counts, kept, within = [], [], []
         for text in batch.column(1).to_pylist():
             grown = counter.prefixes(text or "")
             counts.append(int(grown.sum(dtype=np.int64)))
             if keep_prefixes:
                 kept.append(grown.tobytes())
-        columns = [batch.column(0), sizes, pa.array(counts, pa.int64())]
-        names = [id_col, "n_bytes", "n_tokens"]
+            if budget is not None:
+                within.append(len(grown) if counts[-1] <= budget else longest_prefix(grown.tobytes(), budget))
+        columns, names = [batch.column(0), sizes, pa.array(counts, pa.int64())], [id_col, "n_bytes", "n_tokens"]
         if keep_prefixes:
-            columns.append(pa.array(kept, pa.binary()))
-            names.append("prefix")
+            columns, names = [*columns, pa.array(kept, pa.binary())], [*names, "prefix"]
+        if budget is not None:
+            columns, names = [*columns, pa.array(within, pa.int64())], [*names, "budget_chars"]
         return pa.RecordBatch.from_arrays(columns, names)
 
-    return map_arrow(rows, run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint" + ", prefix binary" * keep_prefixes)
+    return map_arrow(rows, run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint" + ", prefix binary" * keep_prefixes + ", budget_chars bigint" * (budget is not None))
 
 
 def truncated(docs: DataFrame, counted: DataFrame, budget: int, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
