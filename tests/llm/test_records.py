@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 import random
+import re
+import textwrap
+import time
+from collections import Counter
 
 import brute
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from talkgrain.llm import decontamination, license_scan, pii, quality_rules, token_counts
@@ -52,6 +59,38 @@ def test_token_counts_edges(edges):
     assert token_counts.prefix_token_counts(edges.limit(0), str(paths.path("byte_bpe_50k.json"))).count() == 0
 
 
+def test_token_counts_of_whole_documents(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    paths = pytest.importorskip("public_tokenizers")
+    path = str(paths.path("byte_bpe_50k.json"))
+    library, rnd = tokenizers.Tokenizer.from_file(path), random.Random(5)
+    words = ["the", "of", "Zürich", "日本語", "don't", "x1y2", "...", "😀", "supercalifragilistic"]
+    texts = [rnd.choice([" ", "  ", "\n"]).join(rnd.choice(words) for _ in range(n)) for n in (0, 5, 900, 20_000)] + ["a" * 30_000, " " * 5_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in token_counts.prefix_token_counts(docs, path, budget=100, keep_prefixes=False).collect():
+        size = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+        assert r.n_tokens == size(texts[r.doc_id]) and size(texts[r.doc_id][: r.budget_chars]) <= 100
+        assert r.budget_chars == len(texts[r.doc_id]) or size(texts[r.doc_id][: r.budget_chars + 1]) > 100
+
+
+def test_verdicts_by_compression(spark):
+    rnd = random.Random(2)
+    rules = quality_rules.CompressionBands()
+    prose = lambda n: " ".join("".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+    noise = lambda n: " ".join("".join(rnd.choice("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZéßøñ") for _ in range(60)) for _ in range(n))
+    texts = [prose(n) for n in (30, 200, 900, 3_000)] + [noise(90), prose(300) + " " + noise(200), noise(60) + prose(640) + noise(70), "ab cd " * 900 + prose(40), prose(800) + "\n" + "same words here " * 500, " ".join(rnd.choice(["ab", "cd", "ef", "gh"]) for _ in range(1_500)), prose(10), "", None]
+    ratio = lambda raw: len(raw) / len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(raw))
+    rows = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for k, text in enumerate(texts):
+        raw, n, repeated = (text or "").encode(), *(brute.base_counts(text)[i] for i in (0, 4))
+        failed = n < 20 or 100 * repeated > 30 * n
+        low, high = max(((0, 0.0, float("inf")), *rules.bands), key=lambda b: (len(raw) >= b[0], b[0] if len(raw) >= b[0] else -b[0]))[1:]
+        chunks = [raw[i : i + 4096] for i in range(0, len(raw) // 4096 * 4096, 4096)] + ([raw[-4096:]] if len(raw) > 4096 and len(raw) % 4096 else [])
+        bad = sum(not 1.15 <= ratio(c) <= 4.5 for c in chunks)
+        assert rows[k].kept == (not failed and bool(raw) and low <= ratio(raw) <= high and bad <= 0.5 * len(chunks)), k
+    assert any(r.kept for r in rows.values()) and any(not r.kept and not r.base_failed for r in rows.values())
+
+
 def test_quality_rules_counts(spark, edges):
     rnd = random.Random(1)
     words = ["a", "bb", "#x", "c|", "dé", "<e>"]
@@ -151,6 +190,110 @@ def test_many_mentions_of_one_name_are_found(spark, counted):
     assert not any(rows[k].n_added for k in range(counted))
 
 
+def test_addresses_without_end(spark):
+    for joint in (";", " "):
+        text = joint.join(["jane.doe@mail.example"] * 45_000)
+        began = time.time()
+        spans = pii.base_spans(text)
+        nodes = pii.nodes_of(text, spans)
+        assert len(spans) == 45_000 and {n.label for n in nodes} == {0} and len(nodes) == (1 if joint == ";" else 45_000)
+        assert time.time() - began < 20
+
+
+def test_marginals_on_a_tree():
+    """Loopy messages are exact where there are no loops: against all labellings."""
+    rnd = np.random.default_rng(5)
+    n = len(pii.KINDS) + 1
+    distant = rnd.normal(size=(n, n))
+    field = pii.Field(rnd.normal(size=(64, n)), rnd.normal(size=(n, n)), distant + distant.T, rnd.normal(size=n), rounds=200)
+    text = "see jane.doe@mail.example or 12 then jane.doe again"
+    nodes = pii.nodes_of(text, pii.base_spans(text))
+    near, far = field.edges(nodes)
+    assert len(nodes) == 3 and (0, 2) in far
+    local = field.local(nodes)
+    logs = {}
+    for y in itertools.product(range(n), repeat=len(nodes)):
+        if all(node.label < 0 or y[k] == node.label + 1 for k, node in enumerate(nodes)):
+            logs[y] = sum(local[k][y[k]] for k in range(len(nodes)) if nodes[k].label < 0) + sum(field.adjacent[y[a], y[b]] for a, b in near) + sum(field.distant[y[a], y[b]] for a, b in far)
+    total = np.logaddexp.reduce(list(logs.values()))
+    wanted = np.zeros((len(nodes), n))
+    for y, log in logs.items():
+        for k, label in enumerate(y):
+            wanted[k, label] += np.exp(log - total)
+    assert np.allclose(field.marginals(nodes), wanted, atol=1e-3)
+
+
+def test_added_spans_on_planted_repeats(spark):
+    """Precision and recall of added spans, where every second document repeats its address's name and its number's end."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("etaoinshr") for _ in range(rnd.randint(3, 8)))
+    docs, planted = [], {}
+    for k in range(300):
+        name, number = f"{word()}.{word()}{k}", f"555-{rnd.randint(1000, 9999)}"
+        text = f"{word()} {name}@mail.example {word()} {rnd.randint(2, 99)} {word()} +1 (578) {number} {word()} {rnd.randint(100, 9999)} {word()}"
+        if k % 2:
+            text += f" {word()} "
+            planted[k] = {(0, len(text), len(text) + len(name))}
+            text += f"{name} {word()} {rnd.randint(2, 99)} {word()} "
+            planted[k].add((3, len(text), len(text) + len(number)))
+            text += f"{number} {word()}"
+        docs.append((k, text))
+    found = {}
+    for r in pii.find_pii(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        spans = {(pii.KINDS.index(kind), int(start), int(end)) for kind, start, end in (s.split(":") for s in r.spans.split(","))}
+        found[r.doc_id] = spans - {(kind, start, end) for start, kind, end in pii.base_spans(docs[r.doc_id][1])}
+    right = sum(len(found[k] & spans) for k, spans in planted.items())
+    added, wanted = sum(map(len, found.values())), sum(map(len, planted.values()))
+    print("added spans: precision", right / max(added, 1), "recall", right / wanted)
+    assert right >= 0.9 * wanted and right >= 0.9 * added
+
+
+def test_licences_against_a_plain_version(spark):
+    rnd = random.Random(12)
+    filler = ["project", "see", "our", "file", "code", "the", "of", "work", "software", "copy"]
+    texts = []
+    for k in range(120):
+        lines = [" ".join(rnd.choice(filler) + rnd.choice(["", str(rnd.randint(0, 40))]) for _ in range(rnd.randint(1, 9))) for _ in range(rnd.randint(0, 6))]
+        if k % 2:
+            told = rnd.choice(license_scan.TEMPLATES)[1]
+            words = told.split()
+            lines[rnd.randint(0, len(lines)) : 0] = ["# " + " ".join(words[i : i + 9]) for i in range(0, len(words), 9)] if k % 4 == 1 else [told]
+        texts.append("\n".join(lines) if k % 3 else "\n\n".join(lines))
+    docs = spark.createDataFrame([(k, t, f"d{k % 7}/f{k}") for k, t in enumerate(texts)], "doc_id long, text string, path string")
+    holders = Counter(t for text in texts for t in license_scan.terms(text))
+    holders = {t: sum(t in license_scan.terms(text) for text in texts) for t in holders}
+    known = {t for _, text in license_scan.TEMPLATES for t in license_scan.terms(text)}
+    weight = lambda t: math.log((len(texts) + 1) / (holders.get(t, 0) + 1)) + 1
+
+    def cosine(part, template):
+        a, b = ({t: n * weight(t) for t, n in license_scan.terms(x).items() if t in known or " " not in t} for x in (part, template))
+        return sum(v * b.get(t, 0) for t, v in a.items()) / math.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values())) if a else 0.0
+
+    found = {r.doc_id: r for r in license_scan.scan(docs, license_scan.template_weights(docs, license_scan.TEMPLATES, "text")).collect()}
+    for k, text in enumerate(texts):
+        lines = text.split("\n")
+        parts = {text, *lines, *("\n".join(lines[i : i + 3]) for i in range(len(lines) - 2)), *re.split(r"\n\s*\n", text)}
+        best = [max(cosine(p, t) for p in parts) for _, t in license_scan.TEMPLATES]
+        top = max(best)
+        assert found[k].own_score == pytest.approx(top if top >= 0.6 else 0.0, abs=1e-6), text
+        if top >= 0.6:
+            assert found[k].own_license in {name for (name, _), b in zip(license_scan.TEMPLATES, best) if b > top - 1e-6}
+    assert 30 < sum(r.own_license is not None for r in found.values()) <= 60
+
+
+def test_licence_forms(spark):
+    gpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    rows = [
+        (1, "// SPDX-License-Identifier: Apache-2.0\nint x;", "a/b/x.c"), (2, "\n".join("# " + line for line in textwrap.wrap(gpl, 40)) + "\n\nx = 1", "a/b/y.py"), (3, license_scan.WHOLE_TEXTS[2][1], "a/terms.txt"), (4, "nothing", "a/b/z"),
+        (5, "x\n" * 30 + "Licensed under the MIT license.", "q/main.c"), (6, "nothing", "q/other.c"), (7, "MIT License\n\nCopyright (c) 2020 Someone\n\n" + license_scan.WHOLE_TEXTS[0][1], "m/anything"), (7, "again", "m/x"), (None, "again", "m/x"),
+    ]
+    found = {(r.doc_id, r.path): (r.license, r.inherited_from) for r in license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string, path string")).collect()}
+    assert found == {
+        (1, "a/b/x.c"): ("Apache-2.0", None), (2, "a/b/y.py"): ("GPL-3.0", None), (3, "a/terms.txt"): ("BSD-2-Clause", None), (4, "a/b/z"): ("BSD-2-Clause", "a"), (5, "q/main.c"): ("MIT", None), (6, "q/other.c"): (None, None),
+        (7, "m/anything"): ("MIT", None), (7, "m/x"): ("MIT", "m"), (None, "m/x"): ("MIT", "m"),
+    }
+
+
 def test_licences(spark, edges):
     rows = [
         (1, "MIT License\nReleased under the MIT License.", "a/LICENSE"), (2, "just code", "a/src/x"), (3, "code\nLicensed under the Apache License, Version 2.0.\nmore " * 3, "a/src/y"),
