@@ -38,6 +38,10 @@ def _rewritten(text: Column, tokens: Column, target) -> Column:
 
 def normalise_aliases(text: Column) -> Column:
     """Exact aliases, names in brackets, lower-case tokens, then names of masked tokens."""
+    return F.when(text.contains("["), _normalised(text)).otherwise(text)
+
+
+def _normalised(text: Column) -> Column:
     text = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), ALIASES.items(), text)
     text = F.regexp_replace(text, r"(?iu)\[(?:" + "|".join(BRACKET_NAMES) + r")\]", "[MASKED_NAME]")
 
@@ -72,12 +76,20 @@ def mask_text(text: Column) -> Column:
     return state
 
 
+#: What a text must hold for a pattern to match: a cheap test before a costly one. Words are looked for in lower case.
+_SIGNS = {
+    "url": ("://", "www."), "rrn": ("-",), "otp": ("otp", "인증번호", "보안코드", "verification code"), "phone": ("01",), "email": ("@",), "account": ("-",),
+    "credential": ("password", "passwd", "비밀번호", "pin"),
+}
+
+
 def _applied(label: str, placeholder: str, pattern: str):
     """One pattern's step: its items, and the text without its values."""
 
     def step(state: Column) -> Column:
         found = F.array_repeat(_item(label, placeholder), F.regexp_count(state["text"], F.lit(pattern)))
-        return F.struct(F.regexp_replace(state["text"], pattern, placeholder).alias("text"), F.concat(state["masked_items"], found).alias("masked_items"))
+        masked = F.struct(F.regexp_replace(state["text"], pattern, placeholder).alias("text"), F.concat(state["masked_items"], found).alias("masked_items"))
+        return F.when(contains_any(F.lower(state["text"]), _SIGNS[label]), masked).otherwise(state)
 
     return step
 

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from talkgrain.constants import LEAKAGE_TERMS, PLACEHOLDER, RESIDUE_MARKERS, SHORT_UTTERANCES, STANDARD_PLACEHOLDERS, UNKNOWN_BRACKET
 
+# What an empty answer becomes, pairs of quotes, role names and stage directions before an utterance, nouns that must not be said twice in a row.
 DEFAULT_UTTERANCE = "공식 경로로 다시 확인하겠습니다."
 QUOTES = (('"', '"'), ("'", "'"), ("“", "”"), ("‘", "’"))
 _ROLE = r"(?iU)^\s*(?:공격자|피해자|attacker|victim|assistant)\s*[:：-]\s*"
 _STAGE = r"(?U)^\s*\[(?!MASKED_)[^\]]{1,80}\]\s*"
+#: What Unicode, and the separators of ASCII, count as white space.
+WHITE_SPACE = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 NOUNS = "알림|안내|확인|처리|경로|절차|요청"
 REPEATED_NOUN = rf"(?U)({NOUNS})(\s+\1)+"
 
@@ -34,7 +37,8 @@ def contains_any(text: Column, terms: Iterable[str]) -> Column:
 
 
 def stripped(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Without white space of any kind at its ends; only the ends are looked at."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def _unquoted(text: Column) -> Column:
@@ -109,6 +113,11 @@ def evidence_sentence(text: Column, keywords: Iterable[str]) -> Column:
     return F.get(F.filter(sentences(text), lambda s: contains_any(s, keys)), 0)
 
 
+def is_exact_evidence(evidence: Column, text: Column) -> Column:
+    """Whether a text has the evidence, word for word; empty evidence is none."""
+    return (stripped(evidence) != "") & text.contains(evidence)
+
+
 def has_unknown_bracket(text: Column) -> Column:
     return text.rlike(UNKNOWN_BRACKET)
 

@@ -10,13 +10,12 @@ from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from talkgrain import constants as K
 from talkgrain.functions import labels as L
 from talkgrain.functions.masking import alias_of, residual_labels
-from talkgrain.functions.text import contains_any, duplicate_key, nonstandard_placeholders, truncated
+from talkgrain.functions.text import contains_any, duplicate_key, nonstandard_placeholders, stripped, truncated
 from talkgrain.operators.records import attacker_risks, speaker_texts
 
 
@@ -33,7 +32,7 @@ def duplicate_utterances(turns: DataFrame, text: str = "utterance") -> DataFrame
 
 
 def duplicate_ids(rows: DataFrame, column: str = "id") -> DataFrame:
-    named = rows.where(F.col(column).isNotNull() & (F.trim(F.col(column).cast("string")) != ""))
+    named = rows.where(F.col(column).isNotNull() & (stripped(F.col(column).cast("string")) != ""))
     return named.groupBy(column).agg(F.count("*").alias("n")).where("n > 1")
 
 
@@ -60,14 +59,14 @@ def residual_patterns(rows: DataFrame, text: str | Column) -> DataFrame:
 def contexts(records: DataFrame) -> DataFrame:
     """``field, present, missing, distinct``: how the environmental context is filled."""
     context = F.col("gen_metadata.environmental_context")
-    fields = F.array(*[F.struct(F.lit(f).alias("field"), F.when(F.trim(context[f]) != "", context[f]).alias("value")) for f in K.CONTEXT_FIELDS])
+    fields = F.array(*[F.struct(F.lit(f).alias("field"), F.when(stripped(context[f]) != "", context[f]).alias("value")) for f in K.CONTEXT_FIELDS])
     return records.select(F.inline(fields)).groupBy("field").agg(F.count("value").alias("present"), F.count_if(F.col("value").isNull()).alias("missing"), F.count_distinct("value").alias("distinct"))
 
 
 def context_values(records: DataFrame) -> DataFrame:
     context = F.col("gen_metadata.environmental_context")
     fields = F.array(*[F.struct(F.lit(f).alias("field"), context[f].alias("value")) for f in K.CONTEXT_FIELDS])
-    return records.select(F.inline(fields)).where("trim(value) <> ''").groupBy("field", "value").agg(F.count("*").alias("n"))
+    return records.select(F.inline(fields)).where(stripped(F.col("value")) != "").groupBy("field", "value").agg(F.count("*").alias("n"))
 
 
 def risk_coverage(records: DataFrame, defaults: DataFrame) -> DataFrame:
@@ -101,7 +100,7 @@ def cue_diversity(turns: DataFrame, order: str = "ord") -> tuple[DataFrame, Data
 def style_alignment(records: DataFrame) -> DataFrame:
     """``assigned, matches, urgency_leaks``: the style a record was to have against its attacker's cues."""
     style = F.col("gen_metadata.pressure_style")
-    seen = records.where(F.trim(style) != "").select(style.alias("_style"), L.pressure_cues(F.array_join(speaker_texts(F.col("dialogue"), "attacker"), " ")).alias("_cues"))
+    seen = records.where(stripped(style) != "").select(style.alias("_style"), L.pressure_cues(F.array_join(speaker_texts(F.col("dialogue"), "attacker"), " ")).alias("_cues"))
     urgent = F.array_contains("_cues", "urgency")
     return seen.agg(F.count("*").alias("assigned"), F.count_if(F.array_contains("_cues", F.col("_style"))).alias("matches"), F.count_if((F.col("_style") != "urgency") & urgent).alias("urgency_leaks"))
 
@@ -112,7 +111,7 @@ def target_rows(records: DataFrame) -> DataFrame:
     observed = F.coalesce("outcome", F.lit("unknown"))
     repaired = F.coalesce(meta["target_outcome_deterministic_repair_applied"], meta["target_outcome_repair_applied"], F.lit(False))
     rewritten = F.coalesce(meta["target_outcome_llm_rewrite_applied"], F.lit(False))
-    rows = records.where(F.trim(target) != "").select("*", target.alias("target"), observed.alias("observed"), repaired.alias("repaired"), rewritten.alias("rewritten"), meta["target_outcome_generation_attempts"].alias("attempts"), meta["target_outcome_llm_rewrite_attempts"].alias("rewrites"))
+    rows = records.where(stripped(target) != "").select("*", target.alias("target"), observed.alias("observed"), repaired.alias("repaired"), rewritten.alias("rewritten"), meta["target_outcome_generation_attempts"].alias("attempts"), meta["target_outcome_llm_rewrite_attempts"].alias("rewrites"))
     return rows.withColumn("matches", F.when(F.col("target") == "masked_compromise", F.col("observed") == "compromised").otherwise(F.col("observed") == F.col("target")))
 
 
@@ -217,8 +216,14 @@ def report(records: DataFrame, turns: DataFrame, defaults: DataFrame) -> dict[st
 
 
 def ordered(rows: DataFrame, *keys: str) -> DataFrame:
-    """Adds ``ord``, the place in the order of ``keys``: first-seen ties and first-few examples need one."""
-    return rows.withColumn("ord", F.row_number().over(W.orderBy(*keys)))
+    """Adds ``ord``, by which first-seen ties and first-few examples go: the values of ``keys``, which need no global numbering."""
+    return rows.withColumn("ord", F.struct(*keys))
+
+
+def most_common(rows: DataFrame, column: str, *, order: str, limit: int = 20) -> DataFrame:
+    """A top-k report: ``column, n, first``, the most frequent values, of equals the one that came first."""
+    counted = rows.groupBy(column).agg(F.count("*").alias("n"), F.min(order).alias("first"))
+    return counted.orderBy(F.desc("n"), "first").limit(limit)
 
 
 def union(parts: list[DataFrame]) -> DataFrame:

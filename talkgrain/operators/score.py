@@ -133,10 +133,16 @@ def macro_f1(items: DataFrame, labels: tuple[str, ...], predicted: str, gold: st
 def latencies(items: DataFrame) -> DataFrame:
     """Turns from the due to the given first alert, over the streams where one came at the due turn or later."""
     streams = _streams(items).where("due IS NOT NULL").withColumn("wait", F.when(F.col("came") >= F.col("due"), F.col("came") - F.col("due")))
-    waits = streams.where("wait IS NOT NULL").withColumn("_k", F.row_number().over(W.partitionBy("run").orderBy("wait", "stream_id"))).withColumn("_n", F.count("*").over(W.partitionBy("run")))
+    # Places among the waits come from how often each wait occurs: as many rows as there are different waits.
+    run = W.partitionBy("run")
+    waits = streams.where("wait IS NOT NULL").groupBy("run", "wait").agg(F.count("*").alias("_c"))
+    waits = waits.withColumn("_upto", F.sum("_c").over(run.orderBy("wait"))).withColumn("_n", F.sum("_c").over(run))
+    at = lambda place: F.min(F.when(F.col("_upto") >= place, F.col("wait"))).cast("double")
     # The nearest rank, halves to even.
-    place = F.bround((F.col("_n") - 1) * 0.95).cast("int") + 1
-    ranked = waits.groupBy("run").agg(F.avg("wait").alias("mean_turn_latency"), F.percentile("wait", F.lit(0.5)).alias("median_turn_latency"), F.max(F.when(F.col("_k") == place, F.col("wait"))).cast("double").alias("p95_turn_latency"), F.max("wait").alias("max_turn_latency"))
+    last = at(F.bround((F.col("_n") - 1) * 0.95) + 1)
+    median = (at(F.floor((F.col("_n") + 1) / 2)) + at(F.floor(F.col("_n") / 2) + 1)) / 2
+    mean = F.sum(F.col("wait") * F.col("_c")) / F.sum("_c")
+    ranked = waits.groupBy("run").agg(mean.alias("mean_turn_latency"), median.alias("median_turn_latency"), last.alias("p95_turn_latency"), F.max("wait").alias("max_turn_latency"))
     counted = streams.groupBy("run").agg(F.count("*").alias("scored_stream_count"), F.count_if(F.col("came").isNull()).alias("missed_stream_count"))
     return counted.join(ranked, "run", "left")
 

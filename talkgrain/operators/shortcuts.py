@@ -30,7 +30,7 @@ ACTION_CUES = {
 def majority(rows: DataFrame, keys: list[str], label: str, order: str) -> DataFrame:
     """``keys, label, hits, n``: the most frequent label of each key, of equals the one that came first."""
     counted = rows.groupBy(*keys, label).agg(F.count("*").alias("_n"), F.min(order).alias("_first"))
-    best = F.max_by(label, F.struct("_n", -F.col("_first")))
+    best = F.min_by(label, F.struct(-F.col("_n"), F.col("_first")))
     return counted.groupBy(*keys).agg(best.alias(label), F.max("_n").alias("hits"), F.sum("_n").alias("n"))
 
 
@@ -49,14 +49,17 @@ def train_test_majority(rows: DataFrame, *, feature: str, label: str, split_key:
     have get the overall majority.
     """
     halves = rows.withColumn("_half", hash_bucket(F.col(split_key).cast("string"), 2))
-    everything = W.partitionBy(F.lit(0))
-    halves = halves.withColumn("_sides", F.size(F.collect_set("_half").over(everything))).withColumn("_n", F.count("*").over(everything))
-    place = F.row_number().over(W.orderBy(order))
-    half = F.when(F.col("_sides") == 2, F.col("_half")).when(F.col("_n") == 1, F.lit(2)).otherwise((place > F.floor(F.col("_n") / 2)).cast("int"))
+    sides = halves.agg(F.count_if(F.col("_half") == 0).alias("a"), F.count_if(F.col("_half") == 1).alias("b")).first()
+    if sides.a and sides.b:
+        half = F.col("_half")
+    elif sides.a + sides.b == 1:
+        half = F.lit(2)
+    else:  # few streams, all with one hash: only here rows are numbered through
+        half = (F.row_number().over(W.orderBy(order)) > (sides.a + sides.b) // 2).cast("int")
     halves = halves.withColumn("_side", half)
     train, test = halves.where("_side IN (0, 2)"), halves.where("_side IN (1, 2)")
     by_feature = majority(train, [feature], label, order).select(F.col(feature).alias("_f"), F.col(label).alias("_guess"))
-    overall = train.groupBy(label).agg(F.count("*").alias("_c"), F.min(order).alias("_first")).agg(F.max_by(label, F.struct("_c", -F.col("_first"))).alias("_overall"))
+    overall = train.groupBy(label).agg(F.count("*").alias("_c"), F.min(order).alias("_first")).agg(F.min_by(label, F.struct(-F.col("_c"), F.col("_first"))).alias("_overall"))
     guessed = test.join(by_feature, test[feature].eqNullSafe(F.col("_f")), "left").crossJoin(F.broadcast(overall))
     hits = guessed.agg(F.count_if(F.coalesce("_guess", "_overall") == F.col(label)).alias("hits"), F.count_if(F.col("_guess").isNull()).alias("unseen"), F.count("*").alias("test_count"))
     return hits.crossJoin(rows.agg(F.count("*").alias("support"), F.count_distinct(label).alias("unique_label_count")))
@@ -123,9 +126,7 @@ def joined(public: DataFrame, manifest: DataFrame, gold: DataFrame) -> DataFrame
 def shortcut_report(public: DataFrame, manifest: DataFrame, gold: DataFrame, rejected: DataFrame, *, order: str | None = None) -> dict[str, Any]:
     """The report's figures and its gates; every figure is one aggregation of the joined rows."""
     rows = joined(public, manifest, gold)
-    rows = rows.withColumn("ord", F.struct("stream_id", "position", "benchmark_id")) if order is None else rows.withColumn("ord", F.col(order))
-    if order is None:
-        rows = rows.withColumn("ord", F.row_number().over(W.orderBy("stream_id", "position", "benchmark_id")))
+    rows = rows.withColumn("ord", F.struct("stream_id", "position", "benchmark_id") if order is None else F.col(order))
     rows = rows.persist()
     try:
         return _report(rows, public, rejected)

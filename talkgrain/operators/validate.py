@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkgrain import constants as K
+from talkgrain.functions.text import stripped
 
 _KIND = "coalesce(schema_of_variant(try_variant_get({v}, '{p}', 'variant')), 'MISSING')"
 
@@ -33,7 +34,7 @@ def _keys(v: str) -> str:
 
 
 def _filled(v: str, path: str) -> Column:
-    return _is(v, path, "STRING") & (F.trim(_text(v, path)) != "")
+    return _is(v, path, "STRING") & (stripped(_text(v, path)) != "")
 
 
 def _missing(keys: Column, needed: tuple[str, ...]) -> Column:
@@ -61,7 +62,7 @@ def record_error(raw: str = "raw", *, max_turns: int = 10, risk_labels: tuple[st
         F.when(size > max_turns, f"dialogue exceeds max_turns={max_turns}"),
         F.when(~_is(raw, "$.protected_assets", "ARRAY") | (F.size(_array(raw, "$.protected_assets")) == 0), "protected_assets must be a non-empty list"),
         F.when(~_is(raw, "$.risk_labels", "ARRAY") | (F.size(risks) == 0), "risk_labels must be a non-empty list"),
-        F.when(F.exists(risks, lambda r: (F.schema_of_variant(r) != "STRING") | (F.trim(r.cast("string")) == "")), "risk_labels entries must be non-empty strings"),
+        F.when(F.exists(risks, lambda r: (F.schema_of_variant(r) != "STRING") | (stripped(r.cast("string")) == "")), "risk_labels entries must be non-empty strings"),
     ]
     if risk_labels is not None:
         unknown = F.array_sort(F.array_distinct(F.filter(risk_texts, lambda r: ~r.isin(*risk_labels))))
@@ -99,7 +100,7 @@ def _mask_error(masks: Column, name: Column) -> Column:
         for field in ("label", "placeholder"):
             bad = bad.when(~F.array_contains(keys, field), F.concat(place, F.lit(f" is missing {field}")))
             value = _get(mask, f"$.{field}", "variant")
-            blank = ~F.coalesce((F.schema_of_variant(value) == "STRING") & (F.trim(value.cast("string")) != ""), F.lit(False))
+            blank = ~F.coalesce((F.schema_of_variant(value) == "STRING") & (stripped(value.cast("string")) != ""), F.lit(False))
             bad = bad.when(blank, F.concat(place, F.lit(f".{field} must be a non-empty string")))
         return bad
 

@@ -9,71 +9,137 @@ from talkgrain import constants as K
 from talkgrain.operators.stream import action_of
 from talkgrain.plans.schedule import planned_phase
 
-#: Events by short name (fixed values).
-SHORT = {"ctx": "needs_more_context", "none": "no_new_actionable_event", "pmon": "pressure_only_monitor", "REQ": "new_sensitive_request", "PATH": "new_caller_directed_path", "PESC": "pressure_escalation", "cont": "recipient_containment", "DISC": "recipient_partial_or_direct_disclosure", "RECV": "recovery_followup_due"}
-#: The layouts: events of turns one to eight; [R] the goal's placeholder, [U] a link, [P] a phone; @n the turn that is evidence (fixed values).
-LAYOUTS = {
+#: Turns three to eight of each profile's six varied plans: event, what the turn shows (the goal's value, a link, a phone), the turn that is evidence. The first plan is also the canonical one (fixed values).
+PLANS = {
     "safe_containment": (
-        "ctx ctx pmon none REQ[R] cont[R] none[R] cont", "ctx ctx REQ[R] cont[R] PESC cont none none", "ctx ctx pmon none PATH[U] cont REQ[R] cont[R]",
-        "ctx ctx ctx none pmon none REQ[R] cont[R]", "ctx ctx REQ[R] none PATH[U] cont PESC cont", "ctx ctx pmon none REQ[R] none PESC cont",
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("new_sensitive_request", "goal", 5), ("recipient_containment", "goal", 6), ("no_new_actionable_event", "goal", 7), ("recipient_containment", "", 8)),
+        (("new_sensitive_request", "goal", 3), ("recipient_containment", "goal", 4), ("pressure_escalation", "", 5), ("recipient_containment", "", 6), ("no_new_actionable_event", "", 7), ("no_new_actionable_event", "", 8)),
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("new_caller_directed_path", "link", 5), ("recipient_containment", "", 6), ("new_sensitive_request", "goal", 7), ("recipient_containment", "goal", 8)),
+        (("needs_more_context", "", 3), ("no_new_actionable_event", "", 4), ("pressure_only_monitor", "", 5), ("no_new_actionable_event", "", 6), ("new_sensitive_request", "goal", 7), ("recipient_containment", "goal", 8)),
+        (("new_sensitive_request", "goal", 3), ("no_new_actionable_event", "", 4), ("new_caller_directed_path", "link", 5), ("recipient_containment", "", 6), ("pressure_escalation", "", 7), ("recipient_containment", "", 8)),
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("new_sensitive_request", "goal", 5), ("no_new_actionable_event", "", 6), ("pressure_escalation", "", 7), ("recipient_containment", "", 8)),
     ),
     "caller_directed_path": (
-        "ctx ctx pmon none REQ[R] none PATH[U] cont", "ctx ctx PATH[U] cont REQ[R] cont[R] none none", "ctx ctx pmon none PATH[U] cont REQ[R] cont[R]",
-        "ctx ctx ctx none REQ[R] none PATH[U] cont", "ctx ctx REQ[R] none PESC none PATH[U] cont", "ctx ctx pmon none REQ[R] cont[R] PATH[U] cont",
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("new_sensitive_request", "goal", 5), ("no_new_actionable_event", "", 6), ("new_caller_directed_path", "link", 7), ("recipient_containment", "", 8)),
+        (("new_caller_directed_path", "link", 3), ("recipient_containment", "", 4), ("new_sensitive_request", "goal", 5), ("recipient_containment", "goal", 6), ("no_new_actionable_event", "", 7), ("no_new_actionable_event", "", 8)),
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("new_caller_directed_path", "link", 5), ("recipient_containment", "", 6), ("new_sensitive_request", "goal", 7), ("recipient_containment", "goal", 8)),
+        (("needs_more_context", "", 3), ("no_new_actionable_event", "", 4), ("new_sensitive_request", "goal", 5), ("no_new_actionable_event", "", 6), ("new_caller_directed_path", "link", 7), ("recipient_containment", "", 8)),
+        (("new_sensitive_request", "goal", 3), ("no_new_actionable_event", "", 4), ("pressure_escalation", "", 5), ("no_new_actionable_event", "", 6), ("new_caller_directed_path", "link", 7), ("recipient_containment", "", 8)),
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("new_sensitive_request", "goal", 5), ("recipient_containment", "goal", 6), ("new_caller_directed_path", "link", 7), ("recipient_containment", "", 8)),
     ),
     "partial_disclosure_recovery": (
-        "ctx ctx pmon none REQ[P] DISC[P] RECV[R]@6 RECV@6", "ctx ctx REQ[P] DISC[P] RECV[R]@4 RECV@4 RECV[R]@4 RECV@4", "ctx ctx pmon none REQ[P] DISC[P] RECV[R]@6 RECV@6",
-        "ctx ctx REQ[P] none PESC DISC[P] RECV[R]@6 RECV@6", "ctx ctx pmon none REQ[P] none PESC DISC[P]", "ctx ctx REQ[P] none PATH[U] DISC[P] RECV[R]@6 RECV@6",
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("new_sensitive_request", "phone", 5), ("recipient_partial_or_direct_disclosure", "phone", 6), ("recovery_followup_due", "goal", 6), ("recovery_followup_due", "", 6)),
+        (("new_sensitive_request", "phone", 3), ("recipient_partial_or_direct_disclosure", "phone", 4), ("recovery_followup_due", "goal", 4), ("recovery_followup_due", "", 4), ("recovery_followup_due", "goal", 4), ("recovery_followup_due", "", 4)),
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("new_sensitive_request", "phone", 5), ("recipient_partial_or_direct_disclosure", "phone", 6), ("recovery_followup_due", "goal", 6), ("recovery_followup_due", "", 6)),
+        (("new_sensitive_request", "phone", 3), ("no_new_actionable_event", "", 4), ("pressure_escalation", "", 5), ("recipient_partial_or_direct_disclosure", "phone", 6), ("recovery_followup_due", "goal", 6), ("recovery_followup_due", "", 6)),
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("new_sensitive_request", "phone", 5), ("no_new_actionable_event", "", 6), ("pressure_escalation", "", 7), ("recipient_partial_or_direct_disclosure", "phone", 8)),
+        (("new_sensitive_request", "phone", 3), ("no_new_actionable_event", "", 4), ("new_caller_directed_path", "link", 5), ("recipient_partial_or_direct_disclosure", "phone", 6), ("recovery_followup_due", "goal", 6), ("recovery_followup_due", "", 6)),
     ),
     "pressure_escalation": (
-        "ctx ctx pmon none REQ[R] none PESC cont", "ctx ctx REQ[R] none PESC none PESC cont", "ctx ctx ctx none REQ[R] none PESC cont",
-        "ctx ctx pmon none REQ[R] cont[R] PESC cont", "ctx ctx REQ[R] none PATH[U] none PESC cont", "ctx ctx pmon none REQ[R] none none cont",
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("new_sensitive_request", "goal", 5), ("no_new_actionable_event", "", 6), ("pressure_escalation", "", 7), ("recipient_containment", "", 8)),
+        (("new_sensitive_request", "goal", 3), ("no_new_actionable_event", "", 4), ("pressure_escalation", "", 5), ("no_new_actionable_event", "", 6), ("pressure_escalation", "", 7), ("recipient_containment", "", 8)),
+        (("needs_more_context", "", 3), ("no_new_actionable_event", "", 4), ("new_sensitive_request", "goal", 5), ("no_new_actionable_event", "", 6), ("pressure_escalation", "", 7), ("recipient_containment", "", 8)),
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("new_sensitive_request", "goal", 5), ("recipient_containment", "goal", 6), ("pressure_escalation", "", 7), ("recipient_containment", "", 8)),
+        (("new_sensitive_request", "goal", 3), ("no_new_actionable_event", "", 4), ("new_caller_directed_path", "link", 5), ("no_new_actionable_event", "", 6), ("pressure_escalation", "", 7), ("recipient_containment", "", 8)),
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("new_sensitive_request", "goal", 5), ("no_new_actionable_event", "", 6), ("no_new_actionable_event", "", 7), ("recipient_containment", "", 8)),
     ),
     "benign_thin_context": (
-        "ctx ctx ctx ctx pmon none none cont", "ctx ctx pmon none ctx ctx none none", "ctx ctx ctx none ctx none pmon none",
-        "ctx ctx pmon none pmon none none cont", "ctx ctx none none pmon none pmon none", "ctx ctx ctx ctx none none pmon cont",
+        (("needs_more_context", "", 3), ("needs_more_context", "", 4), ("pressure_only_monitor", "", 5), ("no_new_actionable_event", "", 6), ("no_new_actionable_event", "", 7), ("recipient_containment", "", 8)),
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("needs_more_context", "", 5), ("needs_more_context", "", 6), ("no_new_actionable_event", "", 7), ("no_new_actionable_event", "", 8)),
+        (("needs_more_context", "", 3), ("no_new_actionable_event", "", 4), ("needs_more_context", "", 5), ("no_new_actionable_event", "", 6), ("pressure_only_monitor", "", 7), ("no_new_actionable_event", "", 8)),
+        (("pressure_only_monitor", "", 3), ("no_new_actionable_event", "", 4), ("pressure_only_monitor", "", 5), ("no_new_actionable_event", "", 6), ("no_new_actionable_event", "", 7), ("recipient_containment", "", 8)),
+        (("no_new_actionable_event", "", 3), ("no_new_actionable_event", "", 4), ("pressure_only_monitor", "", 5), ("no_new_actionable_event", "", 6), ("pressure_only_monitor", "", 7), ("no_new_actionable_event", "", 8)),
+        (("needs_more_context", "", 3), ("needs_more_context", "", 4), ("no_new_actionable_event", "", 5), ("no_new_actionable_event", "", 6), ("pressure_only_monitor", "", 7), ("recipient_containment", "", 8)),
     ),
 }
-#: Which varied layout a profile's canonical one equals (fixed values).
-CANONICAL = {profile: 0 for profile in K.PROFILES}
-GOAL_PLACEHOLDERS = {"money_transfer": "[MASKED_ACCOUNT]", "credential_capture": "[MASKED_CREDENTIAL]", "voice_sample_or_callback": "[MASKED_PHONE]"}
+#: Every plan's first two turns (fixed values).
+OPENING = (("needs_more_context", "", 1), ("needs_more_context", "", 2))
+#: Recipients' turns without a new event that name an official way or refuse: profile, variant, turn (fixed values).
+GUARDED = (("caller_directed_path", 3, 6), ("caller_directed_path", 4, 6), ("partial_disclosure_recovery", 4, 6), ("pressure_escalation", 5, 6))
+#: What a goal asks for, and the risk of asking (fixed values).
+GOAL_PLACEHOLDERS = {"credential_capture": "[MASKED_CREDENTIAL]", "money_transfer": "[MASKED_ACCOUNT]", "voice_sample_or_callback": "[MASKED_PHONE]"}
+GOAL_RISKS = {"credential_capture": "credential_request", "money_transfer": "money_transfer_request", "voice_sample_or_callback": "callback_or_voice_sample_request"}
+OTHER_PLACEHOLDER, OTHER_RISK = "[MASKED_PHONE]", "identity_information_request"
+#: Parts of protected assets' names that say what is asked for, whatever the goal (fixed values).
+CREDENTIAL_ASSETS, ACCOUNT_ASSETS = ("credential", "password"), ("bank", "payment", "account")
+#: Intent and risk of a recipient's turn by event; other events leave the recipient unsure (fixed values).
+RECIPIENT = {
+    "recipient_containment": ("resist_or_verify_request", "victim_resistance"),
+    "recovery_followup_due": ("resist_or_verify_request", "victim_resistance"),
+    "recipient_partial_or_direct_disclosure": ("disclose_or_comply", "asset_disclosure"),
+}
 
 
 def layout_table(spark: SparkSession) -> DataFrame:
-    """``profile, variant, turn_id, speaker, event, slot, evidence_turn_id``: the layouts as rows."""
+    """``profile, variant, turn_id, speaker, event, slot, guarded, evidence_turn_id``: the plans as rows, 280 in all."""
     rows = []
-    for profile, layouts in LAYOUTS.items():
-        for variant, layout in [*enumerate(layouts), ("canonical", layouts[CANONICAL[profile]])]:
-            for turn, cell in enumerate(layout.split(), start=1):
-                cell, _, evidence = cell.partition("@")
-                name, _, slot = cell.rstrip("]").partition("[")
-                rows.append((profile, str(variant), turn, "attacker" if turn % 2 else "victim", SHORT[name], slot or None, int(evidence or turn)))
-    return spark.createDataFrame(rows, "profile string, variant string, turn_id int, speaker string, event string, slot string, evidence_turn_id int")
+    for profile, plans in PLANS.items():
+        for variant, plan in [*enumerate(plans), ("canonical", plans[0])]:
+            for turn, (event, slot, evidence) in enumerate((*OPENING, *plan), start=1):
+                rows.append((profile, str(variant), turn, "attacker" if turn % 2 else "victim", event, slot or None, (profile, variant, turn) in GUARDED, evidence))
+    return spark.createDataFrame(rows, "profile string, variant string, turn_id int, speaker string, event string, slot string, guarded boolean, evidence_turn_id int")
 
 
-def placeholder_for(slot: Column, goal: Column) -> Column:
-    by_goal = F
-    for name, placeholder in GOAL_PLACEHOLDERS.items():
-        by_goal = by_goal.when(goal == name, placeholder)
-    return F.when(slot == "U", "[MASKED_URL]").when(slot == "P", "[MASKED_PHONE]").when(slot == "R", by_goal.otherwise("[MASKED_RRN]"))
+def _mentions(assets: Column, parts: tuple[str, ...]) -> Column:
+    joined = F.lower(F.array_join(F.coalesce(assets, F.array().cast("array<string>")), " "))
+    found = F.lit(False)
+    for part in parts:
+        found = found | joined.contains(part)
+    return found
 
 
-def visible_action(event: Column, speaker: Column, turn_id: Column, placeholder: Column, *, pressure: Column, link: Column, guarded: Column) -> Column:
-    """The action a reader of the turn would take; told apart from the event by speaker, turn and what is shown.
+def placeholder_for_goal(goal: Column, assets: Column) -> Column:
+    """The value that a record's caller asks for: by the goal, or by what the assets are."""
+    return (
+        F.when((goal == "credential_capture") | _mentions(assets, CREDENTIAL_ASSETS), GOAL_PLACEHOLDERS["credential_capture"])
+        .when((goal == "money_transfer") | _mentions(assets, ACCOUNT_ASSETS), GOAL_PLACEHOLDERS["money_transfer"])
+        .otherwise(OTHER_PLACEHOLDER)
+    )
 
-    ``pressure``, ``link`` and ``guarded`` say whether the turn's plan has words
-    of pressure, of a link or path, and of an official way or a refusal.
+
+def risk_for_goal(goal: Column) -> Column:
+    out = F
+    for name, risk in GOAL_RISKS.items():
+        out = out.when(goal == name, risk)
+    return out.otherwise(OTHER_RISK)
+
+
+def _caller(event: Column, slot: Column, goal: Column) -> Column:
+    """Intent and risk of a caller's turn: who asks for the goal's value has the goal's risk."""
+    said = lambda intent, risk: F.struct(F.lit(intent).alias("intent_label"), (F.lit(risk) if isinstance(risk, str) else risk).alias("risk_signal"))
+    return (
+        F.when(event == "pressure_escalation", said("escalate_urgency", "urgency"))
+        .when(event == "pressure_only_monitor", said("social_engineering_probe", "urgency"))
+        .when(slot == "goal", said("request_identity_information", risk_for_goal(goal)))
+        .when(slot.isNotNull(), said("request_identity_information", OTHER_RISK))
+        .otherwise(said("social_engineering_probe", "authority_impersonation"))
+    )
+
+
+def _recipient(event: Column) -> Column:
+    out = F
+    for name, (intent, risk) in RECIPIENT.items():
+        out = out.when(event == name, F.struct(F.lit(intent).alias("intent_label"), F.lit(risk).alias("risk_signal")))
+    return out.otherwise(F.struct(F.lit("uncertain_response").alias("intent_label"), F.lit("victim_uncertainty").alias("risk_signal")))
+
+
+def visible_action(event: Column, speaker: Column, turn_id: Column, placeholder: Column, risk: Column, guarded: Column) -> Column:
+    """The action a reader of the turn would take; told apart from the event by speaker, turn, risk and what is shown.
+
+    ``guarded``: the turn names an official way or a refusal; what contains a
+    request always does.
     """
     caller, shown = speaker == "attacker", placeholder.isNotNull()
     secret, phone = placeholder.isin("[MASKED_CREDENTIAL]", "[MASKED_ACCOUNT]"), placeholder == "[MASKED_PHONE]"
+    link, pressure = F.coalesce(placeholder == "[MASKED_URL]", F.lit(False)), risk.isin("urgency", "money_transfer_request")
     rules = {
         "needs_more_context": F.when(caller, "no_alert").otherwise("monitor_only"),
         "no_new_actionable_event": F.when(caller, "no_alert").when((turn_id <= 4) | ~guarded, "monitor_only").otherwise("no_alert"),
         "pressure_only_monitor": F.when(pressure & (turn_id >= 5), "pause_or_verify").otherwise("monitor_only"),
         "new_sensitive_request": F.when(F.coalesce(secret, F.lit(False)) | (turn_id >= 5), "refuse_or_pause").otherwise("pause_or_verify"),
-        "new_caller_directed_path": F.when((link | F.coalesce(placeholder == "[MASKED_URL]", F.lit(False))) & turn_id.isin(5, 8), "refuse_or_pause").otherwise("pause_or_verify"),
+        "new_caller_directed_path": F.when(link & turn_id.isin(5, 8), "refuse_or_pause").otherwise("pause_or_verify"),
         "pressure_escalation": F.when(pressure & (turn_id >= 7), "pause_or_verify").otherwise("monitor_only"),
-        "recipient_containment": F.when((turn_id >= 8) & ~shown, "no_alert").when(shown | guarded, "monitor_only").otherwise("no_alert"),
+        "recipient_containment": F.when((turn_id >= 8) & ~shown, "no_alert").otherwise("monitor_only"),
         "recipient_partial_or_direct_disclosure": F.when((turn_id <= 4) & F.coalesce(phone, F.lit(False)), "pause_or_verify").otherwise("preserve_and_report"),
         "recovery_followup_due": F.when(caller, "refuse_or_pause").otherwise("preserve_and_report"),
     }
@@ -91,16 +157,19 @@ def rules_for_action(action: Column) -> Column:
 
 
 def planned_turns(assignments: DataFrame) -> DataFrame:
-    """The turns of ``record_id, profile, variant, goal``: eight rows each, with event, action, rules and evidence.
+    """The turns of ``record_id, profile, variant, goal`` (and ``protected_assets``, if there): eight rows each.
 
-    Canonical plans take each event's usual action; varied ones the visible
-    action of a plan without words of its own.
+    They have event, intent and risk, placeholder, action, rules and evidence.
+    Canonical plans take each event's usual action, varied ones the visible one.
+    The plans are a table of 280 rows, which is broadcast.
     """
-    layouts = layout_table(assignments.sparkSession)
-    rows = assignments.join(F.broadcast(layouts), ["profile", "variant"]).withColumn("placeholder", placeholder_for(F.col("slot"), F.col("goal")))
-    none = F.lit(False)
-    shown = visible_action(F.col("event"), F.col("speaker"), F.col("turn_id"), F.col("placeholder"), pressure=none, link=none, guarded=none)
-    rows = rows.withColumn("action", F.when(F.col("variant") == "canonical", action_of(F.col("event"))).otherwise(shown))
+    assets = F.col("protected_assets") if "protected_assets" in assignments.columns else F.lit(None).cast("array<string>")
+    rows = assignments.join(F.broadcast(layout_table(assignments.sparkSession)), ["profile", "variant"])
+    shown = F.when(F.col("slot") == "link", "[MASKED_URL]").when(F.col("slot") == "phone", "[MASKED_PHONE]").when(F.col("slot") == "goal", placeholder_for_goal(F.col("goal"), assets))
+    said = F.when(F.col("speaker") == "attacker", _caller(F.col("event"), F.col("slot"), F.col("goal"))).otherwise(_recipient(F.col("event")))
+    rows = rows.withColumn("placeholder", shown).withColumn("_said", said).select("*", "_said.*").drop("_said")
+    visible = visible_action(*(F.col(c) for c in ("event", "speaker", "turn_id", "placeholder", "risk_signal", "guarded")))
+    rows = rows.withColumn("action", F.when(F.col("variant") == "canonical", action_of(F.col("event"))).otherwise(visible))
     return rows.select("*", planned_phase(F.col("turn_id")).alias("phase"), rules_for_action(F.col("action")).alias("policy_rule_ids"), F.array("evidence_turn_id").alias("evidence_turn_ids"))
 
 

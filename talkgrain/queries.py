@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from talkgrain import constants as K
 from talkgrain.functions import gates, ids, labels, masking, text
 from talkgrain.operators import quality, records, score, shortcuts, stream
-from talkgrain.plans import schedule, turns
+from talkgrain.plans import schedule
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,9 +86,9 @@ def items_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_turns(spark, sf_dir).groupBy("turn_id").agg(F.count("*").alias("items"), F.count_distinct("stream_id").alias("streams"))
 
 
-@registered(_TURNS + """SELECT stream_id, turn_id, CASE speaker WHEN 'attacker' THEN 'caller' ELSE 'recipient' END AS speaker, md5(utterance) AS digest FROM t WHERE turn_id <= 4""")
+@registered(_TURNS + """SELECT stream_id, turn_id, CASE speaker WHEN 'attacker' THEN 'caller' ELSE 'recipient' END AS speaker, md5(utterance) AS digest FROM t""")
 def public_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = conversation_records(spark, sf_dir).select("id", F.explode(stream.public_turns(F.col("dialogue"), upto=F.lit(4))).alias("t"))
+    seen = conversation_records(spark, sf_dir).select("id", F.explode(stream.public_turns(F.col("dialogue"))).alias("t"))
     return seen.select(F.col("id").alias("stream_id"), "t.turn_id", "t.speaker", F.md5("t.utterance").alias("digest"))
 
 
@@ -112,9 +112,9 @@ def truncated_utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_turns(spark, sf_dir).select("turn_id", "stream_id", text.truncated(F.col("utterance")).alias("shown"))
 
 
-@registered("""SELECT doc_id, len(list_filter(list_transform(regexp_extract_all(text, '[^.!?\\n。！？]+[.!?。！？]?'), lambda x: trim(x, ' \t\r')), lambda x: x <> ''))::INT AS sentences FROM documents WHERE text IS NOT NULL AND text <> ''""")
+@registered("""SELECT doc_id, greatest(1, len(list_filter(list_transform(regexp_extract_all(COALESCE(text, ''), '[^.!?\\n。！？]+[.!?。！？]?'), lambda x: trim(x, ' \t\r')), lambda x: x <> '')))::INT AS sentences FROM documents""")
 def sentence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").where("text <> ''").select("doc_id", F.size(text.sentences(F.col("text"))).alias("sentences"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(text.sentences(F.coalesce("text", F.lit("")))).alias("sentences"))
 
 
 # Identity.
@@ -134,9 +134,9 @@ def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MASKED = r"""regexp_replace(regexp_replace({c}, '(?i)https?://[^\s]+|www\.[^\s]+', '[MASKED_URL]', 'g'), '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{{2,}}\b', '[MASKED_EMAIL]', 'g')"""
 
 
-@registered(f"SELECT doc_id, md5({_MASKED.format(c='text')}) AS digest, (len(regexp_extract_all({_MASKED.format(c='text')}, '\\[MASKED_(URL|EMAIL)\\]')))::INT AS masks FROM documents WHERE text IS NOT NULL")
+@registered(f"SELECT doc_id, md5({_MASKED.format(c="COALESCE(text, '')")}) AS digest, (len(regexp_extract_all({_MASKED.format(c="COALESCE(text, '')")}, '\\[MASKED_(URL|EMAIL)\\]')))::INT AS masks FROM documents")
 def mask_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", masking.mask_text(F.col("text")).alias("m"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", masking.mask_text(F.coalesce("text", F.lit(""))).alias("m"))
     return rows.select("doc_id", F.md5("m.text").alias("digest"), F.size("m.masked_items").alias("masks"))
 
 
@@ -384,24 +384,15 @@ def schedule_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("index", "victim_id", "attacker_id", "scenario_type", "pressure_style", "target_outcome_mode", "split", "record_id")
 
 
-@registered("""SELECT event, action, count(*) AS n FROM (VALUES ('x')) d(x), (SELECT unnest(['needs_more_context', 'needs_more_context', 'pressure_only_monitor', 'no_new_actionable_event', 'new_sensitive_request', 'recipient_containment', 'no_new_actionable_event', 'recipient_containment']) AS event,
-  unnest(['monitor_only', 'monitor_only', 'monitor_only', 'no_alert', 'refuse_or_pause', 'no_alert', 'no_alert', 'no_alert']) AS action) GROUP BY ALL""")
-def planned_turn_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one = spark.createDataFrame([("r", "safe_containment", "canonical", "money_transfer")], "record_id string, profile string, variant string, goal string")
-    return turns.planned_turns(one).groupBy("event", "action").agg(F.count("*").alias("n"))
-
-
-@registered("SELECT c_custkey FROM customer ANTI JOIN orders ON c_custkey = o_custkey")
-def append_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
-
-
 @registered("""SELECT count(*) FILTER (g IS NOT NULL AND p IS NULL) AS missing, count(*) FILTER (g IS NULL AND p IS NOT NULL) AS extra, count(*) FILTER (g IS NOT NULL AND p IS NOT NULL) AS matched
 FROM (SELECT DISTINCT doc_id AS g FROM documents) a FULL JOIN (SELECT DISTINCT doc_id + 100 AS p FROM labels) b ON g = p""")
 def missing_and_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold, predicted = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("g")).distinct(), table(spark, sf_dir, "labels").select((F.col("doc_id") + 100).alias("p")).distinct()
-    both = gold.join(predicted, F.col("g") == F.col("p"), "full")
-    return both.agg(F.count_if(F.col("g").isNotNull() & F.col("p").isNull()).alias("missing"), F.count_if(F.col("g").isNull()).alias("extra"), F.count_if(F.col("g").isNotNull() & F.col("p").isNotNull()).alias("matched"))
+    """Labels, a hundred ids on, as predictions for documents."""
+    shaped = lambda key: [key.cast("string").alias("benchmark_id"), F.lit("needs_more_context").alias("event"), F.lit("monitor_only").alias("action"), F.array(F.lit("P_MONITOR")).alias("policy_rule_ids"), F.array(F.lit(1)).alias("evidence_turn_ids")]
+    docs, key = table(spark, sf_dir, "documents"), F.col("doc_id")
+    public = docs.select(key.cast("string").alias("benchmark_id"), key.cast("string").alias("stream_id"), F.lit(1).alias("position"), F.array(F.lit(1)).alias("window_ids"))
+    found = score.score(public, docs.select(*shaped(key)), table(spark, sf_dir, "labels").select(F.lit("labels").alias("run"), *shaped(key + 100)))
+    return found.select(F.col("missing_prediction_count").alias("missing"), F.col("extra_prediction_count").alias("extra"), F.col("matched_prediction_count").alias("matched"))
 
 
 @registered("""SELECT k AS event_type, COALESCE(n, 0) AS n FROM (VALUES ('click'), ('view'), ('purchase'), ('error'), ('never')) v(k) LEFT JOIN (SELECT event_type, count(*) AS n FROM events GROUP BY 1) ON k = event_type""")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from talkgrain.functions.text import stripped
 from talkgrain.schemas import RECORD
 
 
@@ -24,12 +25,12 @@ def read_records(spark: SparkSession, path: str, schema: str = RECORD) -> DataFr
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """``line, raw``: a VARIANT per line; a line that is not JSON raises."""
-    return spark.read.text(path).where(F.trim("value") != "").select(F.col("value").alias("line"), F.parse_json("value").alias("raw"))
+    return spark.read.text(path).where(stripped(F.col("value")) != "").select(F.col("value").alias("line"), F.parse_json("value").alias("raw"))
 
 
 def read_with_errors(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The lines that parse, and ``file, line`` of those that don't: a side channel instead of a stop."""
-    rows = spark.read.text(path).where(F.trim("value") != "").select(F.col("value").alias("line"), F.try_parse_json("value").alias("raw"), F.col("_metadata.file_path").alias("file"))
+    rows = spark.read.text(path).where(stripped(F.col("value")) != "").select(F.col("value").alias("line"), F.try_parse_json("value").alias("raw"), F.col("_metadata.file_path").alias("file"))
     return rows.where("raw IS NOT NULL").drop("file"), rows.where("raw IS NULL").select("file", "line")
 
 
@@ -66,12 +67,20 @@ def write_records(df: DataFrame, path: str, *, append: bool = False) -> None:
     with_sorted_keys(df).write.mode("append" if append else "overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def _files(spark: SparkSession, path: str) -> set[str]:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {str(f.getPath()) for f in files.listStatus(where) if f.isFile() and f.getLen()} if files.exists(where) else set()
+
+
 def append_new(df: DataFrame, path: str, key: str = "id") -> DataFrame:
-    """Append the rows whose id the file does not have; gives those rows."""
-    known = existing_ids(df.sparkSession, path)
-    new = df.join(known.withColumnRenamed("id", key), key, "left_anti").select(df.columns)
-    write_records(new, path, append=True)
-    return new
+    """Append the rows whose id the folder of records does not have; gives those rows, as they were written."""
+    spark = df.sparkSession
+    before = _files(spark, path)
+    known = existing_ids(spark, path)
+    write_records(df.join(known.withColumnRenamed("id", key), key, "left_anti").select(df.columns), path, append=True)
+    added = sorted(f for f in _files(spark, path) - before if not f.endswith("_SUCCESS"))
+    return spark.read.schema(df.schema).json(added) if added else df.limit(0)
 
 
 def errors_path(path: str) -> str:
