@@ -32,6 +32,21 @@ def test_schedule(spark, catalogs):
     assert schedule.attempt_limit(5, 1, 3, 3) == 24
 
 
+def test_planned_actions(spark):
+    """The published counts of three hundred varied plans, and of canonical ones."""
+    rows = [(str(k), K.PROFILES[k % 5], v, ("money_transfer", "other")[k % 2]) for k in range(300) for v in (str(k // 5 % 6), "canonical")]
+    planned = turns.planned_turns(spark.createDataFrame(rows, "record_id string, profile string, variant string, goal string"))
+    counts = {(r.kind, r.value): r.n for r in planned.select((planned.variant == "canonical").alias("kind"), F.explode(F.array("event", "action")).alias("value")).groupBy("kind", "value").agg(F.count("*").alias("n")).collect()}
+    varied = {v: n for (canonical, v), n in counts.items() if not canonical}
+    assert {v: varied[v] for v in K.EVENTS} == {
+        "needs_more_context": 710, "new_caller_directed_path": 100, "new_sensitive_request": 240, "no_new_actionable_event": 550, "pressure_escalation": 120, "pressure_only_monitor": 210, "recipient_containment": 290,
+        "recipient_partial_or_direct_disclosure": 60, "recovery_followup_due": 120,
+    }
+    assert {v: varied[v] for v in ("monitor_only", "no_alert", "preserve_and_report")} == {"monitor_only": 1060, "no_alert": 670, "preserve_and_report": 110}
+    assert varied["pause_or_verify"] + varied["refuse_or_pause"] == 253 + 307
+    assert {v: counts[True, v] for v in K.ACTIONS} == {"monitor_only": 1020, "no_alert": 840, "pause_or_verify": 60, "preserve_and_report": 180, "refuse_or_pause": 300}
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     """Sixty records: five profiles, six variants, two goals; every turn has filler text of its own."""
