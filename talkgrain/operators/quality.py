@@ -138,7 +138,7 @@ def signal_counts(turns: DataFrame) -> DataFrame:
     )
 
 
-def examples(turns: DataFrame, condition: Column, *, order: str, limit: int = 10) -> DataFrame:
+def examples(turns: DataFrame, condition: Column, *, order: str | Column, limit: int = 10) -> DataFrame:
     """The first few turns of a kind, in the corpus's order: a top-k report."""
     return turns.where(condition).orderBy(order).limit(limit).select("record_id", "turn_id", truncated(F.col("utterance")).alias("utterance"))
 
@@ -172,6 +172,13 @@ def pair_mismatches(records: DataFrame, pairs: DataFrame) -> DataFrame:
     return keyed.join(pairs, ["victim_id", "attacker_id"]).where(F.coalesce("scenario_type", F.lit("")) != F.col("expected"))
 
 
+def run_summary(records: DataFrame, flags: tuple[str, ...]) -> DataFrame:
+    """``records, fallback_turns, semantic_repair_turns`` and how many records pass each flag."""
+    meta = F.col("gen_metadata")
+    total = lambda c: F.coalesce(F.sum(F.coalesce(F.size(c), F.lit(0))), F.lit(0))
+    return records.agg(F.count("*").alias("records"), total(meta["fallback_turn_ids"]).alias("fallback_turns"), total(meta["semantic_repair_turn_ids"]).alias("semantic_repair_turns"), *(F.count_if(F.col(f"quality_checks.{f}")).alias(f) for f in flags))
+
+
 def review(duplicate_rate: float, target: dict[str, Any], signals: dict[str, Any], unclassified: int) -> dict[str, Any]:
     """The final gate: reasons for a look at the corpus, in a fixed order."""
     reasons = {
@@ -197,6 +204,13 @@ def report(records: DataFrame, turns: DataFrame, defaults: DataFrame) -> dict[st
     flags = {r["flag"]: {k: r[k] for k in ("pass", "fail", "missing")} for r in quality_checks(records).collect()}
     observations = sum(r["n"] for r in cue_rows)
     dominant = max(cue_rows, key=lambda r: r["n"], default=None)
+    order = "ord" if "ord" in turns.columns else F.struct("record_id", "turn_id")
+    told = signal_turns(turns)
+    shown = {
+        "stage_direction_examples": F.col("stage_directions") > 0, "mask_usage_anomaly_examples": F.col("odd_mask"), "unknown_masked_placeholder_examples": F.size("unknown_placeholders") > 0, "partial_compliance_examples": F.col("partial_compliance"),
+        "korean_entity_warnings": F.size("entities") > 0,
+    }
+    signals |= {name: [r.asDict() for r in examples(told, condition, order=order).collect()] for name, condition in shown.items()}
     n, length = (records.agg(F.count("*").alias("n"), F.avg(F.size("dialogue")).alias("avg")).first()[k] for k in (0, 1))
     duplicate_rate = rate(repeats["duplicates"], repeats["n"])
     urgent = rate(cue_sums["urgent"], cue_sums["with_cue"])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from talkgrain.functions.ids import hash_bucket
 from talkgrain.functions.text import REPEATED_NOUN, contains_any, leakage_terms, placeholders, utterance_artifact
+from talkgrain.operators.quality import most_common
 
 #: Words by which a window's surface is described (fixed values).
 SURFACE_WORDS = (
@@ -158,6 +159,12 @@ def _report(rows: DataFrame, public: DataFrame, rejected: DataFrame) -> dict[str
     repeated = fallback.join(strings["fallback"].where("n >= 2").select("text"), "text")
     artifacts = {r["artifact"]: r["count"] for r in rows.where("artifact IS NOT NULL").groupBy("artifact").count().collect()}
     leaks, nouns, n_rejected, n_fallback = rows.where(F.size("leaks") > 0).count(), repeated_nouns(public).count(), rejected.count(), fallback.count()
+    common = {f"top_{k}_strings": [{"utterance": r["text"], "count": r["n"]} for r in most_common(df, "text", order="ord").collect()] for k, df in (("fallback", fallback), ("non_fallback", normal))}
+    once = lambda df: [{"utterance": r["text"], "event": r["event"], "count": r["n"]} for r in df.where("n >= 5 AND events = 1").orderBy(F.desc("n"), "text").limit(20).collect()]
+    common |= {"high_count_single_event_fallback_strings": once(strings["fallback"]), "high_count_single_event_non_fallback_strings": once(strings["normal"])}
+    sample = lambda condition: [r.asDict() for r in rows.where(condition).orderBy("ord").limit(20).select("benchmark_id", "stream_id", "position", F.col("text").alias("utterance")).collect()]
+    kinds = {"placeholder_only": "placeholder_only_utterance", "very_short": "very_short_utterance", "instruction_residue": "instruction_residue_in_utterance"}
+    common |= {f"{name}_turn_examples": sample(F.col("artifact") == kind) for name, kind in kinds.items()} | {"category_leakage_examples": sample(F.size("leaks") > 0)}
     for df in strings.values():
         df.unpersist()
     profile_position, least_sequences = accuracy(rows, ["profile", "position"]), min(sequences.values(), default=0)
@@ -180,7 +187,7 @@ def _report(rows: DataFrame, public: DataFrame, rejected: DataFrame) -> dict[str
         "high_count_single_event_fallback_string_count": counts["fallback"]["single"], "repeated_non_fallback_string_count": counts["normal"]["repeated"], "repeated_non_fallback_pair_count": counts["normal"]["pairs"],
         "high_count_single_event_non_fallback_string_count": counts["normal"]["single"], "placeholder_only_turn_count": artifacts.get("placeholder_only_utterance", 0), "very_short_turn_count": artifacts.get("very_short_utterance", 0),
         "instruction_residue_turn_count": artifacts.get("instruction_residue_in_utterance", 0), "category_leakage_turn_count": leaks, "repeated_noun_artifact_count": nouns, "gate_checks": gates, "shortcut_gate_passed": all(gates.values()),
-    }
+    } | common
 
 
 def top_strings(rows: DataFrame, *, text: str, limit: int = 20) -> DataFrame:

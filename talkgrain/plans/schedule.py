@@ -145,3 +145,44 @@ def schedule(
 def not_yet_written(scheduled: DataFrame, existing_ids: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` scheduled rows whose record is not there yet: what an append or a resumed run still has to do."""
     return scheduled.join(existing_ids.select(F.col("id").alias("record_id")), "record_id", "left_anti").orderBy("index").limit(limit)
+
+
+#: What a scenario's callers are after, where a persona pair says nothing else (fixed values).
+SCENARIO_ASSETS = {
+    "family_emergency": ("bank_account_access", "otp_or_security_card", "family_relationship_details"),
+    "bank_fraud_alert": ("account_password", "otp_or_security_card", "identity_document_image"),
+    "workplace_authority": ("company_payment_authority", "internal_credentials", "vendor_account_details"),
+    "essential_service_notice": ("utility_account_credentials", "billing_or_autopay_details", "service_address_details"),
+    "document_verification_notice": ("identity_document_image", "case_reference_number", "language_support_portal_credentials"),
+    "public_benefit_notice": ("benefit_portal_credentials", "identity_document_image", "bank_account_for_disbursement", "case_reference_number"),
+    "platform_policy_notice": ("creator_platform_credentials", "payout_account_details", "tax_or_identity_documents"),
+    "education_admin_notice": ("guardian_identity_details", "student_or_dependent_records", "school_portal_credentials", "activity_payment_details"),
+    "tax_refund_notice": ("tax_portal_access_status", "taxpayer_identity_reference", "case_reference_number", "refund_status_details", "voice_sample"),
+    "travel_booking_notice": ("travel_account_credentials", "booking_reference_number", "itinerary_contact_details", "booking_payment_status_reference", "voice_sample"),
+    "property_claim_notice": ("claim_reference_number", "property_policy_account", "policyholder_identity_reference", "incident_contact_details", "voice_sample"),
+    "emergency_drill_notice": ("preparedness_notice_reference", "drill_callback_reference", "registered_contact_details", "callback_window_preference", "voice_sample"),
+    "nonprofit_admin_notice": ("event_callback_reference", "volunteer_role_details", "coordinator_contact_details", "voice_sample"),
+    "pet_appointment_notice": ("appointment_reference_number", "pet_profile_reference", "registered_contact_details", "clinic_callback_reference", "voice_sample"),
+    "research_study_notice": ("study_reference_number", "participant_contact_details", "participant_identity_reference", "study_portal_inbox_reference", "voice_sample"),
+    "library_account_notice": ("library_account_reference", "digital_library_access_status", "hold_pickup_details", "registered_contact_details", "voice_sample"),
+    "vehicle_service_notice": ("vehicle_account_reference", "service_appointment_details", "registered_contact_details", "recall_notice_reference", "voice_sample"),
+    "ticketing_refund_notice": ("ticketing_account_access_status", "order_reference_number", "registered_contact_details", "event_account_inbox", "voice_sample"),
+    "membership_access_notice": ("membership_reference_number", "member_contact_details", "entry_reservation_status", "mailed_notice_reference", "voice_sample"),
+    "childcare_service_notice": ("guardian_identity_reference", "waitlist_reference_number", "registered_contact_details", "intake_appointment_details", "voice_sample"),
+}
+OTHER_ASSETS = ("identity_information", "voice_sample")
+#: What a record's context says, where neither its pair nor its scenario has one (fixed value).
+OTHER_CONTEXT = "딥보이스 사칭 기반 사회공학 대화 상황."
+
+
+def default_assets(scenario: Column) -> Column:
+    out = F
+    for name, assets in SCENARIO_ASSETS.items():
+        out = out.when(scenario == name, F.array(*map(F.lit, assets)))
+    return out.otherwise(F.array(*map(F.lit, OTHER_ASSETS)))
+
+
+def with_context(rows: DataFrame, pair_contexts: DataFrame, scenario_contexts: DataFrame) -> DataFrame:
+    """Adds ``context``: of the persona pair, else of the scenario. Catalogs: ``victim_id, attacker_id, context`` and ``scenario_type, context``."""
+    found = rows.join(pair_contexts.withColumnRenamed("context", "_pair"), ["victim_id", "attacker_id"], "left").join(scenario_contexts.withColumnRenamed("context", "_scenario"), "scenario_type", "left")
+    return found.select(*rows.columns, F.coalesce(F.nullif("_pair", F.lit("")), "_scenario", F.lit(OTHER_CONTEXT)).alias("context"))

@@ -483,3 +483,65 @@ def utterance_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("phrase")
     return spoken(spark, sf_dir).select("stream_id", "turn_id", F.concat(F.when(text.has_unknown_bracket(p), "x").otherwise(""), F.when(text.has_placeholder(p), "m").otherwise("")).alias("shape"))
 
+
+@registered("""SELECT asset, count(*) AS n FROM (SELECT unnest(CASE c_custkey % 3 WHEN 0 THEN ['account_password', 'otp_or_security_card', 'identity_document_image'] WHEN 1 THEN ['benefit_portal_credentials', 'identity_document_image', 'bank_account_for_disbursement', 'case_reference_number']
+  ELSE ['identity_information', 'voice_sample'] END) AS asset FROM customer) GROUP BY asset""")
+def scenario_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scenario = _said(("bank_fraud_alert", "public_benefit_notice", "no_such_notice"), F.col("c_custkey"))
+    return table(spark, sf_dir, "customer").select(F.explode(schedule.default_assets(scenario)).alias("asset")).groupBy("asset").agg(F.count("*").alias("n"))
+
+
+@registered(f"""SELECT c_custkey AS k, CASE WHEN c_nationkey = 3 AND c_custkey % 2 = 1 THEN 'a pair of their own' WHEN c_custkey % 4 = 0 THEN 'at the gate' ELSE '{schedule.OTHER_CONTEXT}' END AS context FROM customer""")
+def persona_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(k.alias("k"), F.concat(F.lit("v"), F.col("c_nationkey").cast("string")).alias("victim_id"), F.concat(F.lit("a"), (k % 2).cast("string")).alias("attacker_id"), F.concat(F.lit("s"), (k % 4).cast("string")).alias("scenario_type"))
+    pairs = spark.createDataFrame([("v3", "a1", "a pair of their own"), ("v4", "a1", "")], "victim_id string, attacker_id string, context string")
+    scenarios = spark.createDataFrame([("s0", "at the gate")], "scenario_type string, context string")
+    return schedule.with_context(rows, pairs, scenarios).select("k", "context")
+
+
+@registered(_SPOKEN + f""", f AS (SELECT *, regexp_extract_all(phrase, '{_MASK}') AS found, regexp_replace(phrase, '{_MASK}', ' ', 'g') AS bare FROM u)
+SELECT stream_id, turn_id, (turn_id % 2 = 0 OR len(found) = 0) AND NOT contains(phrase, '[한숨]') AND len(regexp_extract_all(bare, '[가-힣]')) >= 9 AND NOT {_any('phrase', K.SHORT_UTTERANCES)} AND NOT {_any('phrase', K.RESIDUE_MARKERS)} AS valid FROM f""")
+def valid_utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether an utterance fits the placeholders that every second turn is to have."""
+    p = F.col("phrase")
+    required = F.when(F.col("turn_id") % 2 == 0, text.placeholders(p)).otherwise(F.array().cast("array<string>"))
+    return spoken(spark, sf_dir).select("stream_id", "turn_id", gates.valid_utterance(p, required).alias("valid"))
+
+
+@registered(_RECORDS + f""", g AS (SELECT *, {_list(K.PROFILES)}[(k % 5)::INT + 1] AS profile, array_to_string(said, '|') AS whole FROM q)
+SELECT id, len(list_distinct(said)) = len(said) AS duplicate_turns_clean, profile <> 'benign_thin_context' OR NOT {_any('whole', ('[MASKED_', *gates.STRONG_RESPONSE))} AS benign_thin_context_valid,
+  NOT list_contains(list_transform(said, lambda s, i: i % 4 = 2 AND {_any('s', gates.REQUEST_VOICE)}), true) AS speaker_perspective_valid FROM g""")
+def stream_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags of records in which every fourth turn, from the second on, is to be a disclosure."""
+    dialogue = F.expr("transform(dialogue, t -> named_struct('turn_id', t.turn_id, 'speaker', t.speaker, 'utterance', t.utterance, 'stream_event', if(t.turn_id % 4 = 2, 'recipient_partial_or_direct_disclosure', 'needs_more_context')))")
+    flags = gates.stream_flags(F.col("dialogue"), _said(K.PROFILES, F.col("id").cast("bigint")))
+    return spoken_records(spark, sf_dir).withColumn("dialogue", dialogue).select("id", *(flags[c].alias(c) for c in ("duplicate_turns_clean", "benign_thin_context_valid", "speaker_perspective_valid")))
+
+
+@registered("""SELECT count(*) AS records, 2 * count(*) FILTER (c_custkey % 2 = 0) AS fallback_turns, count(*) FILTER (c_custkey % 3 <> 0) AS semantic_repair_turns, count(*) FILTER (c_custkey % 4 = 0) AS schema_valid, count(*) FILTER (c_custkey % 5 <> 0) AS safety_passed FROM customer""")
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, ids = F.col("c_custkey"), lambda *v: F.array(*map(F.lit, v)).cast("array<int>")
+    meta = F.struct(F.when(k % 2 == 0, ids(1, 2)).alias("fallback_turn_ids"), F.when(k % 3 == 0, ids()).otherwise(ids(4)).alias("semantic_repair_turn_ids"))
+    checks = F.struct((k % 4 == 0).alias("schema_valid"), (k % 5 != 0).alias("safety_passed"))
+    return quality.run_summary(table(spark, sf_dir, "customer").select(meta.alias("gen_metadata"), checks.alias("quality_checks")), ("schema_valid", "safety_passed"))
+
+
+@registered("SELECT count(*) AS lines, sum(c_custkey + 1)::BIGINT AS numbers FROM customer WHERE c_custkey % 7 = 3")
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh line of a file is no JSON; the sum of their numbers, which the key and one are."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="talkgrain-")
+    path = f"{root.rstrip('/')}/lines-{uuid.uuid4().hex}"
+    rows = table(spark, sf_dir, "customer")
+    told = F.when(F.col("c_custkey") % 7 == 3, F.concat(F.lit("{"), F.col("c_custkey").cast("string"))).otherwise(F.to_json(F.struct("c_custkey")))
+    rows.orderBy("c_custkey").select(told.alias("value")).coalesce(1).write.text(path)
+    return jsonl.malformed(spark, path).agg(F.count("*").alias("lines"), F.sum("number").alias("numbers"))
+
+
+@registered(_SPOKEN + """, b AS (SELECT stream_id, bool_or(contains(phrase, '[한숨]')) AS bracket FROM u GROUP BY stream_id)
+SELECT 3 AS fixtures, true AS whole FROM (SELECT count(*) AS n FROM u JOIN b USING (stream_id) WHERE NOT bracket) WHERE n >= 3""")
+def sample_fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A top-k report: three items, each with its manifest and gold."""
+    found = jsonl.sample_fixtures(stream.build_planned_items(_item_records(spark, sf_dir), {}))
+    same = lambda name: F.get_json_object(name, "$.benchmark_id") == F.col("benchmark_id")
+    return found.agg(F.count("*").cast("int").alias("fixtures"), F.min(same("public") & same("manifest") & same("gold")).alias("whole"))

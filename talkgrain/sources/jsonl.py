@@ -12,6 +12,7 @@ from pathlib import Path
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,17 +24,55 @@ def read_records(spark: SparkSession, path: str, schema: str = RECORD) -> DataFr
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def _parsed(line: Column) -> Column:
+    """The line's one JSON value as VARIANT, or null: the parser alone would pass over what follows a value."""
+    alone = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    return F.when(F.size(F.try_variant_get(alone, "$", "array<variant>")) == 1, F.try_parse_json(line))
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """``line, raw``: a VARIANT per line; a line that is not JSON raises."""
-    return spark.read.text(path).where(stripped(F.col("value")) != "").select(F.col("value").alias("line"), F.parse_json("value").alias("raw"))
+    return spark.read.text(path).where(stripped(F.col("value")) != "").select(F.col("value").alias("line"), F.coalesce(_parsed(F.col("value")), F.raise_error(F.concat(F.lit("not JSON: "), F.col("value"))).cast("variant")).alias("raw"))
 
 
 def read_with_errors(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The lines that parse, and ``file, line`` of those that don't: a side channel instead of a stop."""
-    rows = spark.read.text(path).where(stripped(F.col("value")) != "").select(F.col("value").alias("line"), F.try_parse_json("value").alias("raw"), F.col("_metadata.file_path").alias("file"))
+    rows = spark.read.text(path).where(stripped(F.col("value")) != "").select(F.col("value").alias("line"), _parsed(F.col("value")).alias("raw"), F.col("_metadata.file_path").alias("file"))
     return rows.where("raw IS NOT NULL").drop("file"), rows.where("raw IS NULL").select("file", "line")
 
 
+def line_numbers(spark: SparkSession, path: str) -> DataFrame:
+    """``file, number, line``: the lines of text files with their numbers from 1, blank ones too.
+
+    A number is the lines of a file's earlier blocks and the place in the block,
+    so no task holds more than a block.
+    """
+    place = F.monotonically_increasing_id()  # grows along a block, and only there it is compared
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), place.alias("_at"), F.col("value").alias("line"))
+    inside = rows.withColumn("_k", F.row_number().over(W.partitionBy("file", "_block").orderBy("_at")))
+    blocks = rows.groupBy("file", "_block").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.partitionBy("file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1))
+    blocks = blocks.select("file", "_block", F.coalesce(before, F.lit(0)).alias("_before"))
+    return inside.join(blocks, ["file", "_block"]).select("file", (F.col("_before") + F.col("_k")).alias("number"), "line")
+
+
+def malformed(spark: SparkSession, path: str) -> DataFrame:
+    """``file, number, line`` of the lines that are no JSON."""
+    return line_numbers(spark, path).where((stripped(F.col("line")) != "") & _parsed(F.col("line")).isNull())
+
+
+def source_metadata(spark: SparkSession, path: str | None, record_count: int) -> dict[str, Any]:
+    """What a file's name and lines say about how many records it should have."""
+    if path is None:
+        return {"source_path": None, "record_count": record_count, "jsonl_line_count": None, "filename_count_hint": None, "ignored_date_like_tokens": [], "count_mismatch_warning": False}
+    hint = count_hint(Path(path).name)
+    lines = spark.read.text(path).where(stripped(F.col("value")) != "").count() if Path(path).exists() else None
+    return {
+        "source_path": path, "record_count": record_count, "jsonl_line_count": lines, "filename_count_hint": hint["count_hint"], "ignored_date_like_tokens": hint["ignored_date_like_tokens"], "numeric_tokens": hint["numeric_tokens"],
+        "count_mismatch_warning": hint["count_hint"] is not None and hint["count_hint"] != record_count, "line_count_mismatch_warning": lines is not None and lines != record_count,
+    }
+
+
 def read_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The entries of a file that holds one JSON array, with their place as ``pos``."""
     text = spark.read.option("wholetext", True).text(path)
@@ -110,7 +149,20 @@ def write_artifacts(items: dict[str, DataFrame], reports: dict[str, dict[str, An
             df.unpersist()
     for name, report in reports.items():
         write_report(report, f"{folder}/{name}.json")
-        Path(folder, f"{name}.md").write_text(markdown(name, report), encoding="utf-8")
+        told = yield_markdown(report) if name == "yield_report" else markdown(name, report)
+        Path(folder, f"{name}.md").write_text(told, encoding="utf-8")
+    samples = [{"benchmark_id": r.benchmark_id} | {k: json.loads(r[k]) for k in ("public", "manifest", "gold")} for r in sample_fixtures(items).collect()]
+    Path(folder, "sample_fixtures.md").write_text(fixtures_markdown(samples), encoding="utf-8")
+
+
+def sample_fixtures(items: dict[str, DataFrame], limit: int = 3) -> DataFrame:
+    """A top-k report: the first items by stream and place, with their manifest and gold, as JSON."""
+    first = items["public"].orderBy("stream_id", "stream_position", "benchmark_id").limit(limit)
+    told = lambda df, name: df.select("benchmark_id", F.to_json(F.struct("*")).alias(name))
+    found = first.select("benchmark_id", "stream_id", "stream_position").join(told(first, "public"), "benchmark_id")
+    for name in ("manifest", "gold"):
+        found = found.join(told(items[name].join(first.select("benchmark_id"), "benchmark_id", "left_semi"), name), "benchmark_id")
+    return found.orderBy("stream_id", "stream_position", "benchmark_id")
 
 
 def markdown(title: str, report: dict[str, Any], level: int = 1) -> str:
@@ -125,6 +177,33 @@ def markdown(title: str, report: dict[str, Any], level: int = 1) -> str:
     return "\n".join(lines)
 
 
+def _listed(mapping: dict[str, Any]) -> list[str]:
+    return [f"- {k}: {v}" for k, v in sorted(mapping.items())] or ["- none"]
+
+
+def yield_markdown(report: dict[str, Any]) -> str:
+    """The yield report in its published layout."""
+    heads = ("status", "family", "source_path", "surface", "window_size", "public_item_count", "stream_count", "rejected_count", "public_whitelist_violation_count")
+    parts = (
+        ("## Event Distribution", "event_distribution"), ("## Action Distribution", "action_distribution"), ("## Release Floors", None), ("### Events", "release_floor_30_by_event"), ("### Actions", "release_floor_30_by_action"),
+        ("## Rejections", "rejected_by_reason"),
+    )
+    lines = ["# Stream Benchmark Yield Report", "", *(f"- {h}: {report.get(h)}" for h in heads), ""]
+    for title, key in parts:
+        lines += [title, "", *([*_listed(report.get(key, {})), ""] if key else [])]
+    return "\n".join(lines)
+
+
+def fixtures_markdown(fixtures: list[dict[str, Any]]) -> str:
+    """Sample items in their published layout; each has ``benchmark_id``, ``public``, ``manifest`` and ``gold``."""
+    lines = ["# Stream Benchmark Sample Fixtures", ""]
+    for item in fixtures:
+        lines += [f"## {item['benchmark_id']}", ""]
+        for name in ("public", "manifest", "gold"):
+            lines += [f"{name.capitalize()}:", "", "```json", json.dumps(item[name], ensure_ascii=False, indent=2, sort_keys=True), "```", ""]
+    return "\n".join(lines)
+
+
 def count_hint(filename: str) -> dict[str, Any]:
     """Numbers in a file's name; the last one that is no compact date may be a record count."""
     import re
