@@ -9,9 +9,10 @@ templates' terms are counted one by one, all other words in a sketch of a fixed
 size, by the lesser of two counters each, which may count a rare word too often
 but none too seldom. Vectors are sparse: an index of the templates' terms gives
 the products; words that no template has lengthen a part's vector, rare ones
-more, so prose about something else stays far from all templates. A part is
-passed over only where the words that no template has are too many for the
-threshold, however common they were. A document's own licence is that of the
+more, so prose about something else stays far from all templates. A part's
+cosine is at most the sum, over its terms, of the largest product that any
+template gives, by a lower bound of its length; both come from running sums over
+the text, and only parts that may reach the threshold are compared. A document's own licence is that of the
 template nearest to one of its parts, at the threshold or above; of equals the
 first template counts.
 
@@ -128,22 +129,51 @@ def _places(words: list[str]) -> np.ndarray:
     return np.stack([hashes >> np.uint64(64 - _BITS), (hashes & np.uint64((1 << _BITS) - 1)) + np.uint64(1 << _BITS)]).astype(np.int64)
 
 
+class Vocabulary:
+    """The templates' terms: words by name, pairs of words by the places of their words."""
+
+    def __init__(self, terms_: list[str]) -> None:
+        self.place = {t: k for k, t in enumerate(terms_)}
+        self.size = len(terms_)
+        pairs = sorted((self.place[a] * self.size + self.place[b], k) for t, k in self.place.items() if " " in t for a, b in [t.split(" ")])
+        self.codes, self.pairs = np.array([c for c, _ in pairs], np.int64), np.array([k for _, k in pairs], np.int64)
+
+    def look(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For each word its term, and the term of the pair it ends; -1 for none."""
+        get = self.place.get
+        ids = np.array([get(w, -1) for w in words], np.int64)
+        pairs = np.full(len(ids), -1, np.int64)
+        both = np.flatnonzero((ids[1:] >= 0) & (ids[:-1] >= 0)) + 1
+        if len(both) and len(self.codes):
+            codes = ids[both - 1] * self.size + ids[both]
+            at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+            pairs[both] = np.where(self.codes[at] == codes, self.pairs[at], -1)
+        return ids, pairs
+
+
 @dataclass
 class Templates:
     """The templates' unit vectors as an index of their terms, the terms' weights, and the sketch of all words."""
 
     names: list[str]
     whole: list[bool]
-    place: dict[str, int]
+    vocabulary: Vocabulary
     weights: np.ndarray
     index: list[tuple[np.ndarray, np.ndarray]]
+    most: np.ndarray
+    """The largest weight that a term has in any template's unit vector."""
     n_documents: int
     sketch: np.ndarray
 
+    @property
+    def place(self) -> dict[str, int]:
+        return self.vocabulary.place
+
     @staticmethod
     def build(templates: tuple[tuple[str, str], ...], holders: dict[str, int], n_documents: int, sketch: np.ndarray) -> Templates:
         counted = [terms(text) for _, text in templates]
-        place = {t: k for k, t in enumerate(sorted({t for c in counted for t in c}))}
+        vocabulary = Vocabulary(sorted({t for c in counted for t in c}))
+        place = vocabulary.place
         weights = np.array([math.log((n_documents + 1) / (min(holders.get(t, 0), n_documents) + 1)) + 1 for t in place])
         rows: list[list[tuple[int, float]]] = [[] for _ in place]
         for at, c in enumerate(counted):
@@ -151,62 +181,56 @@ class Templates:
             for t, n in c.items():
                 rows[place[t]].append((at, n * weights[place[t]] / size))
         index = [(np.array([at for at, _ in row]), np.array([w for _, w in row])) for row in rows]
-        return Templates([name for name, _ in templates], [t in WHOLE_TEXTS for t in templates], place, weights, index, n_documents, sketch)
-
-    def near(self, words: list[str], least: float = 0.0) -> np.ndarray | None:
-        """The cosine to every template; None if it is surely below ``least`` for all."""
-        own, strange, place = Counter(), Counter(), self.place
-        before = False
-        for k, word in enumerate(words):
-            known = place.get(word)
-            if known is None:
-                strange[word] += 1
-            else:
-                own[known] += 1
-                if before and (pair := place.get(f"{words[k - 1]} {word}")) is not None:
-                    own[pair] += 1
-            before = known is not None
-        if not own:
-            return None
-        ids, counts = np.fromiter(own, np.int64, len(own)), np.fromiter(own.values(), float, len(own))
-        values = counts * self.weights[ids]
-        inside = float(values @ values)
-        # No word weighs less than 1: more strange words than this leave no template near enough.
-        if inside < least * least * (inside + sum(n * n for n in strange.values())):
-            return None
-        size = inside
-        if strange:
-            # A pair of words is as strange as its words: it counts once, not thrice.
-            holders = np.minimum(self.sketch[_places(list(strange))].min(0), self.n_documents)
-            size += float(((np.log((self.n_documents + 1) / (holders + 1.0)) + 1) ** 2) @ (np.fromiter(strange.values(), float, len(strange)) ** 2))
+        return Templates([name for name, _ in templates], [t in WHOLE_TEXTS for t in templates], vocabulary, weights, index, np.array([w.max() for _, w in index]), n_documents, sketch)
+
+    def strangeness(self, words: list[str]) -> np.ndarray:
+        """The weights of words by the sketch."""
+        holders = np.minimum(self.sketch[_places(words)].min(0), self.n_documents)
+        return np.log((self.n_documents + 1) / (holders + 1.0)) + 1
+
+    def near(self, words: list[str], ids: np.ndarray, pairs: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The cosine of a part to every template: its words, their terms, the terms of their pairs, and the words' weights."""
+        known = np.concatenate([ids[ids >= 0], pairs[1:][pairs[1:] >= 0]])
+        own, counts = np.unique(known, return_counts=True)
+        values = counts * self.weights[own]
+        size = float(values @ values)
+        # A pair of strange words is as strange as its words: it counts once, not thrice.
+        strange: dict[str, list[float]] = {}
+        for k in np.flatnonzero(ids < 0):
+            strange.setdefault(words[k], [0.0, weights[k]])[0] += 1
+        size += sum((n * w) ** 2 for n, w in strange.values())
         out = np.zeros(len(self.names))
-        for k, value in zip(ids, values, strict=True):
+        for k, value in zip(own, values, strict=True):
             at, weight = self.index[k]
             out[at] += value * weight
-        return out / math.sqrt(size)
-
-    def nearest(self, text: str) -> tuple[float, str]:
-        """The cosine to the nearest template, and its licence."""
-        near = self.near(words_of(text))
-        if near is None:
-            return 0.0, ""
-        best = int(near.argmax())
-        return float(near[best]), self.names[best]
+        return out / math.sqrt(size) if size else out
 
     def look(self, text: str, threshold: float) -> tuple[str | None, float, bool]:
         """A text's own licence, its cosine (0: below the threshold), and whether the text as a whole is a licence's."""
         lines = [words_of(line) for line in text.split("\n")]
-        known = [not self.place.keys().isdisjoint(line) for line in lines]
-        if not any(known):
+        words = [w for line in lines for w in line]
+        ids, pairs = self.vocabulary.look(words)
+        if not (ids >= 0).any():
             return None, 0.0, False
-        near = self.near([w for line in lines for w in line], threshold)
-        whole = near is not None and any(near[k] >= threshold for k, is_whole in enumerate(self.whole) if is_whole)
-        best = np.zeros(len(self.names)) if near is None else near
-        for start, end in _parts(lines):
-            if any(known[start:end]):
-                near = self.near([w for line in lines[start:end] for w in line], threshold)
-                if near is not None:
-                    best = np.maximum(best, near)
+        weights = np.where(ids >= 0, self.weights[ids], self.strangeness(words))
+        met = pairs >= 0
+        # Running sums: what the terms can give at most, and their squares at least, if none repeats.
+        gives = np.concatenate([[0.0], np.cumsum(np.where(ids >= 0, weights * self.most[ids], 0.0))])
+        squares = np.concatenate([[0.0], np.cumsum(weights**2)])
+        pair_gives = np.concatenate([[0.0], np.cumsum(np.where(met, self.weights[pairs] * self.most[pairs], 0.0))])
+        pair_squares = np.concatenate([[0.0], np.cumsum(np.where(met, self.weights[pairs] ** 2, 0.0))])
+        first = np.concatenate([[0], np.cumsum([len(line) for line in lines])])
+        places = np.array([(0, len(lines)), *_parts(lines)], np.int64)
+        starts, ends = first[places[:, 0]], first[places[:, 1]]
+        inner = np.minimum(starts + 1, ends)
+        most = gives[ends] - gives[starts] + pair_gives[ends] - pair_gives[inner]
+        least = squares[ends] - squares[starts] + pair_squares[ends] - pair_squares[inner]
+        best, whole = np.zeros(len(self.names)), False
+        for k in np.flatnonzero((ends > starts) & (most >= threshold * np.sqrt(least) - 1e-9)):
+            part = slice(starts[k], ends[k])
+            near = self.near(words[part], ids[part], pairs[part], weights[part])
+            best = np.maximum(best, near)
+            whole = whole or k == 0 and any(near[t] >= threshold for t, is_whole in enumerate(self.whole) if is_whole)
         top = int(best.argmax())
         score = round(float(best[top]), 9)
         return (self.names[top], score, whole) if score >= threshold else (None, 0.0, False)
@@ -231,11 +255,9 @@ def template_weights(docs: DataFrame, templates: tuple[tuple[str, str], ...], te
     """The templates, weighted by how many of all documents hold each term anywhere in their whole text."""
     ensure_importable(docs.sparkSession)
     wanted = sorted({t for _, text in templates for t in terms(text)})
-    at = {t: k for k, t in enumerate(wanted, 2 << _BITS)}
-    singles = {t for t in wanted if " " not in t}
-    pairs = {tuple(t.split(" ")): k for t, k in at.items() if " " in t}
+    vocabulary, offset = Vocabulary(wanted), 2 << _BITS
     # Both rows of the sketch, the templates' terms and the number of documents, in whole chunks.
-    size = -(-((2 << _BITS) + len(wanted) + 1) // _CHUNK) * _CHUNK
+    size = -(-(offset + len(wanted) + 1) // _CHUNK) * _CHUNK
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -247,13 +269,9 @@ def template_weights(docs: DataFrame, templates: tuple[tuple[str, str], ...], te
                 held: list[str] = []
                 for raw in texts_of(batch.column(0).slice(start, 500)):
                     words = words_of(raw.decode("utf-8", "replace"))
-                    own = set(words)
-                    held += own
-                    if known := own & singles:
-                        total[[at[t] for t in known]] += 1
-                        if len(known) > 1:
-                            met = {pair for pair in zip(words, words[1:]) if pair[0] in known and pair in pairs}
-                            total[[pairs[pair] for pair in met]] += 1
+                    held += set(words)
+                    known = np.concatenate(vocabulary.look(words))
+                    total[np.unique(known[known >= 0]) + offset] += 1
                 total[: 2 << _BITS] += np.bincount(_places(held).ravel(), minlength=2 << _BITS).astype(np.uint32)
         salt = TaskContext.get().partitionId() % 64
         rows = [(k, total[k : k + _CHUNK]) for k in range(0, size, _CHUNK)]
@@ -275,7 +293,7 @@ def template_weights(docs: DataFrame, templates: tuple[tuple[str, str], ...], te
     total = np.zeros(size, np.uint32)
     for row in parts.select("chunk", "counts").collect():
         total[row.chunk : row.chunk + _CHUNK] = np.frombuffer(row.counts, np.uint32)
-    return Templates.build(templates, {t: int(total[k]) for t, k in at.items()}, int(total[-1]), total[: 2 << _BITS].copy())
+    return Templates.build(templates, {t: int(total[offset + k]) for k, t in enumerate(wanted)}, int(total[-1]), total[:offset].copy())
 
 
 def scan(docs: DataFrame, templates: Templates, *, threshold: float = 0.6, id_col: str = "doc_id", text_col: str = "text", path_col: str = "path") -> DataFrame:
