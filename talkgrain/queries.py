@@ -7,7 +7,6 @@ table holds run over small tables written into the query.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +16,7 @@ from talkgrain import constants as K
 from talkgrain.functions import gates, ids, labels, masking, text
 from talkgrain.operators import quality, records, score, shortcuts, stream
 from talkgrain.plans import schedule
+from talkgrain.sources import jsonl
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -424,12 +424,11 @@ def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same by a stateful stream over files, with the state in a state store."""
     from talkgrain.streaming import alerts
 
-    root = (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="talkgrain-stream-")).rstrip("/")
-    run = f"{root}/alerts-{spark.sparkContext.applicationId}-{id(object())}"
+    run = jsonl.scratch(spark, "alerts")
     alerts.replay(_alert_turns(spark, sf_dir), f"{run}/in")
     source = spark.readStream.schema("stream_id string, position long, active boolean").parquet(f"{run}/in")
     alerts.run_available(source, f"{run}/state", f"{run}/out")
-    return spark.read.parquet(f"{run}/out").drop("late_dropped")
+    return spark.read.parquet(f"{run}/out").where("NOT late").drop("late", "late_dropped")
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

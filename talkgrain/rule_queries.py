@@ -7,9 +7,6 @@ and the turn; the SQL builds the same turns and says each rule on its own.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -464,8 +461,7 @@ def repeated_nouns(spark: SparkSession, sf_dir: str) -> DataFrame:
 UNION ALL SELECT 'ids', count(*), sum(c_custkey)::BIGINT FROM customer UNION ALL SELECT 'bad', count(*), sum(r_regionkey)::BIGINT FROM region""")
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as JSON lines: written, read again, appended to by id; and lines that are not JSON, put aside."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="talkgrain-")
-    path = f"{root.rstrip('/')}/lines-{uuid.uuid4().hex}"
+    path = jsonl.scratch(spark, "lines")
     rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.struct(F.col("c_nationkey").alias("z"), F.col("c_acctbal").alias("a")).alias("more"))
     jsonl.write_records(rows.where("id % 3 <> 0"), f"{path}/records")
     total = lambda df, step, key="id": df.agg(F.lit(step).alias("step"), F.count("*").alias("n"), F.sum(F.col(key).cast("bigint")).alias("keys"))
@@ -530,8 +526,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("SELECT count(*) AS lines, sum(c_custkey + 1)::BIGINT AS numbers FROM customer WHERE c_custkey % 7 = 3")
 def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh line of a file is no JSON; the sum of their numbers, which the key and one are."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="talkgrain-")
-    path = f"{root.rstrip('/')}/lines-{uuid.uuid4().hex}"
+    path = jsonl.scratch(spark, "lines")
     rows = table(spark, sf_dir, "customer")
     told = F.when(F.col("c_custkey") % 7 == 3, F.concat(F.lit("{"), F.col("c_custkey").cast("string"))).otherwise(F.to_json(F.struct("c_custkey")))
     rows.orderBy("c_custkey").select(told.alias("value")).coalesce(1).write.text(path)
@@ -545,3 +540,36 @@ def sample_fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jsonl.sample_fixtures(stream.build_planned_items(_item_records(spark, sf_dir), {}))
     same = lambda name: F.get_json_object(name, "$.benchmark_id") == F.col("benchmark_id")
     return found.agg(F.count("*").cast("int").alias("fixtures"), F.min(same("public") & same("manifest") & same("gold")).alias("whole"))
+
+
+_KEPT = ", b AS (SELECT stream_id, bool_or(contains(phrase, '[한숨]')) AS bracket FROM u GROUP BY stream_id), i AS (SELECT u.* FROM u JOIN b USING (stream_id) WHERE NOT bracket AND turn_id % 4 <> 0)"
+
+
+@registered(_SPOKEN.rstrip() + _KEPT + rf"""
+SELECT turn_id AS position, turn_id = 2 AS fallback, array_to_string(list_sort(list_distinct(regexp_extract_all(phrase, '\[MASKED_([A-Z0-9_]+)\]', 1))), ',') AS types, {_names('phrase', shortcuts.ACTION_CUES, False)} AS cues, least(length(phrase) // 18, 5)::INT AS length, count(*) AS n
+FROM i GROUP BY ALL""")
+def surface_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold rows with what their manifest and public item add: what a turn looks like from outside."""
+    items = stream.build_planned_items(_item_records(spark, sf_dir), {})
+    rows = shortcuts.joined(items["public"], items["manifest"], items["gold"])
+    shape = [F.array_join("surface_feature.own_types", ",").alias("types"), F.array_join("action_feature.cues", ",").alias("cues"), F.col("surface_feature.length").alias("length")]
+    return rows.groupBy("position", "fallback", *shape).agg(F.count("*").alias("n"))
+
+
+@registered(_SPOKEN.rstrip() + _KEPT + """, p AS (SELECT run, turn_id % 2 = 1 AS due, CASE run WHEN 'always_active' THEN true WHEN 'static_verify' THEN true WHEN 'never_active' THEN false WHEN 'caller_turn_only' THEN speaker = 'attacker' WHEN 'position_only' THEN turn_id >= 3 ELSE least(turn_id, 6) >= 4 END AS came
+  FROM i, (SELECT unnest(['always_active', 'static_verify', 'never_active', 'caller_turn_only', 'position_only', 'window_length_only']) AS run))
+SELECT run, count(*) FILTER (due AND NOT came) AS missed, count(*) FILTER (due) AS actionable, count(*) FILTER (came AND NOT due) AS false_active, count(*) FILTER (NOT due) AS inactive FROM p GROUP BY run""")
+def baseline_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trivial baselines that don't read the words, scored on planned items."""
+    items = stream.build_planned_items(_item_records(spark, sf_dir), {})
+    found = score.score_baselines(items["public"], items["gold"]).where(F.col("run").isin("always_active", "static_verify", "never_active", "caller_turn_only", "position_only", "window_length_only"))
+    return found.select("run", "missed", "actionable", "false_active", "inactive")
+
+
+@registered("SELECT (n_nationkey)::INT AS pos, n_nationkey AS k, n_name AS name FROM nation")
+def json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as one JSON array in a file, and its entries again with their places."""
+    path = jsonl.scratch(spark, "array")
+    entries = F.array_sort(F.collect_list(F.struct(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"))))
+    table(spark, sf_dir, "nation").agg(F.to_json(entries).alias("value")).write.text(path)
+    return jsonl.read_array(spark, path, "k: bigint, name: string")

@@ -8,6 +8,8 @@ wrongly typed values must be told apart.
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 from pathlib import Path
 from typing import Any
 
@@ -20,6 +22,16 @@ from talkgrain.functions.text import stripped
 from talkgrain.schemas import RECORD
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that the driver and all executors share; on one machine, where none is named, a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="talkgrain-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def read_records(spark: SparkSession, path: str, schema: str = RECORD) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 

@@ -2,8 +2,8 @@
 
 A batch query has this as a window over stream and position; a running one
 keeps two values a stream. Turns of one micro-batch are taken in order of
-position; a turn that comes later than one with a higher position is dropped
-and counted, as its predecessors' state is gone.
+position; a turn that comes later than one with a higher position is marked
+``late``, without a state, as that of its predecessors is gone, and counted.
 """
 
 from __future__ import annotations
@@ -11,30 +11,33 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-OUTPUT = "stream_id string, position long, active boolean, prior_alert boolean, first_alert long, late_dropped long"
+OUTPUT = "stream_id string, position long, active boolean, prior_alert boolean, first_alert long, late boolean, late_dropped long"
 STATE = "seen boolean, first long, last long, dropped long"
 
 
 def _advance(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """One stream's turns of one micro-batch, as columns."""
     seen, first, last, dropped = state.get if state.exists else (False, None, None, 0)
-    rows = pd.concat(list(batches)).sort_values("position", kind="stable")  # one stream's turns of one micro-batch
-    out = []
-    for position, active in zip(rows["position"].tolist(), rows["active"].tolist(), strict=True):
-        if last is not None and position < last:
-            dropped += 1
-            continue
-        out.append((key[0], position, bool(active), seen, first, dropped))
-        if active:
-            seen, first = True, position if first is None else first
-        last = position
-    state.update((seen, first, last, dropped))
-    yield pd.DataFrame(out, columns=["stream_id", "position", "active", "prior_alert", "first_alert", "late_dropped"]).astype({"first_alert": "Int64", "position": "int64", "late_dropped": "int64"})
+    rows = pd.concat(list(batches)).sort_values("position", kind="stable")
+    position, active = rows["position"].to_numpy("int64"), rows["active"].fillna(False).to_numpy(bool)
+    late = position < last if last is not None else np.zeros(len(rows), bool)
+    active &= ~late
+    alerts = np.cumsum(active) - active
+    earliest = first if first is not None else int(position[active][0]) if active.any() else None
+    prior = (alerts > 0) | bool(seen)
+    out = pd.DataFrame({"stream_id": key[0], "position": position, "active": rows["active"].fillna(False).to_numpy(bool), "prior_alert": prior, "first_alert": pd.array(np.where(prior, earliest or 0, 0), "Int64"), "late": late, "late_dropped": dropped + np.cumsum(late)})
+    # A late turn's predecessors' state is gone: it comes out as it is, marked.
+    out.loc[~prior | late, "first_alert"] = pd.NA
+    out["prior_alert"] = out["prior_alert"].astype("boolean").mask(late)
+    state.update((bool(seen or active.any()), earliest, int(position[~late][-1]) if (~late).any() else last, int(dropped + late.sum())))
+    yield out
 
 
 def alert_state(turns: DataFrame) -> DataFrame:

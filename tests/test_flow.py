@@ -178,5 +178,6 @@ def test_stream_keeps_state_between_batches(spark, tmp_path):
     for batch in ([("a", 1, False), ("a", 2, True), ("b", 1, True)], [("a", 3, False), ("a", 1, True), ("b", 2, False)]):
         alerts.replay(spark.createDataFrame(batch, shape), folder)
         alerts.run_available(spark.readStream.schema(shape).parquet(folder), state, out)
-    rows = {(r.stream_id, r.position): (r.prior_alert, r.first_alert) for r in spark.read.parquet(out).collect()}
+    rows = {(r.stream_id, r.position): (r.prior_alert, r.first_alert) for r in spark.read.parquet(out).where("NOT late").collect()}
+    assert [(r.stream_id, r.position, r.active, r.prior_alert, r.first_alert, r.late_dropped) for r in spark.read.parquet(out).where("late").collect()] == [("a", 1, True, None, None, 1)]
     assert rows == {("a", 1): (False, None), ("a", 2): (False, None), ("b", 1): (False, None), ("a", 3): (True, 2), ("b", 2): (True, 1)}
