@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkgrain.llm import decontamination, jaccard_join, license_scan, line_dedup, line_quality, mixing, pii, quality_rules, token_counts, toxicity
+from talkgrain.llm import decontamination, jaccard_join, license_scan, line_dedup, line_quality, merkle, mixing, pii, quality_rules, simhash, token_counts, toxicity, txlog
 from talkgrain.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_transaction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes, commits = txlog.resolve(txlog.document_log(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+    return txlog.digest(changes, txlog.epoch_states(changes, commits))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(merkle.manifest(merkle.document_leaves(table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 

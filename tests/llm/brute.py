@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 
 def words(text):
     return re.findall("[^\x20\x09-\x0d]+", text or "")
@@ -114,3 +117,113 @@ def personal(text):
         if 9 <= sum(c in "0123456789" for c in m.group()) <= 15:
             found.append((m.start(), 3, m.end()))
     return sorted(found)
+
+
+def transaction_log(records, per_epoch=64):
+    """records: [(seq, stream, op, key, value)] in order; (changes {seq: (fate, by)}, states [(n, total)], store)."""
+    open_, fates, store, states, commits = defaultdict(lambda: ([], [])), {}, {}, [], 0
+    shown = lambda: (len(store), sum(v or 0 for v in store.values()))
+    for seq, stream, op, key, value in records:
+        pending, marks = open_[stream]
+        if op == "change":
+            pending.append((seq, key, value))
+        elif op == "savepoint":
+            marks.append(len(pending))
+        elif op == "rollback":
+            start = marks.pop() if marks else 0
+            fates |= {s: ("rollback", seq) for s, *_ in pending[start:]}
+            del pending[start:]
+        else:
+            fates |= {s: (op, seq) for s, *_ in pending}
+            if op == "commit":
+                for _, k, v in pending:
+                    store.pop(k, None)
+                    if v is not None:
+                        store[k] = v
+                commits += 1
+                if commits % per_epoch == 0:
+                    states.append(shown())
+            del open_[stream]
+    for pending, _ in open_.values():
+        fates |= {s: ("abort", None) for s, *_ in pending}
+    return fates, states + [shown()] * (commits % per_epoch > 0), store
+
+
+def document_records(docs, labels):
+    """docs: [(doc_id, text, source)], labels: {doc_id: toxic}."""
+    out = []
+    for doc_id, text, source in sorted(docs, key=lambda d: d[0]):
+        h = zlib.crc32(str(doc_id).encode())
+        op = ["commit"] * 2 + ["abort"] + ["savepoint"] * 2 + ["rollback"] * 2
+        kind, key = h % 17, h // 100 % 30000
+        gone = text is None or labels.get(doc_id) == 1
+        out.append((doc_id, source, op[kind] if kind < 7 else "change", key, None if gone else zlib.crc32(f"{key}:{text}".encode())))
+    return out
+
+
+def fingerprint(text, width=3):
+    w = words(ascii_lower(text))
+    grams = [" ".join(w[k : k + width]) for k in range(len(w) - width + 1)] if len(w) >= width else [" ".join(w)] * bool(w)
+    hashes = [xxhash.xxh64(g.encode(), seed=42).intdigest() for g in grams]
+    return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64)) if hashes else 0
+
+
+def close_fingerprints(prints, radius=2):
+    """prints: [(id, int)]; {(place): least id reachable}."""
+    root = list(range(len(prints)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i][1] ^ prints[j][1]).bit_count() <= radius:
+                root[find(i)] = find(j)
+    least = {}
+    for k, (name, _) in enumerate(prints):
+        least[find(k)] = min(least.get(find(k), name), name)
+    return [least[find(k)] for k in range(len(prints))]
+
+
+def digest_of(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def document_leaf(row):
+    return digest_of(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def merkle(rows):
+    """rows: [(doc_id, source, lang, n_chars, text)] -> [(doc_id, leaf, subroot, root, proof, folded, verified)]."""
+
+    def tree(nodes):
+        """The root, and each node's run and slot, level by level."""
+        ways, at = [[] for _ in nodes], list(range(len(nodes)))
+        while len(nodes) > 1:
+            runs = [nodes[k : k + 2] for k in range(0, len(nodes), 2)]
+            for k, p in enumerate(at):
+                ways[k].append((runs[p // 2], p % 2))
+            at, nodes = [p // 2 for p in at], [digest_of(*r) for r in runs]
+        return nodes[0], ways
+
+    by_lang = defaultdict(list)
+    for r in rows:
+        by_lang[r[2]].append(r)
+    langs = sorted(by_lang, key=lambda v: (v is not None, (v or "").encode()))
+    trees = {}
+    for v in langs:
+        by_lang[v].sort(key=lambda r: (r[0] is not None, r[0] or 0, document_leaf(r)))
+        trees[v] = tree([document_leaf(r) for r in by_lang[v]])
+    root, tops = tree([trees[v][0] for v in langs])
+    out = []
+    for v, top in zip(langs, tops, strict=True):
+        for r, way in zip(by_lang[v], trees[v][1], strict=True):
+            way = way + top
+            wrong = r[0] is not None and r[3] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 0
+            acc = document_leaf((*r[:3], r[3] + 1, r[4]) if wrong else r)
+            for run, slot in way:
+                acc = digest_of(*(acc if k == slot else h for k, h in enumerate(run)))
+            out.append((r[0], document_leaf(r), trees[v][0], root, digest_of(*(h for run, slot in way for k, h in enumerate(run) if k != slot)), acc, acc == root))
+    return out
