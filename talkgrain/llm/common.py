@@ -190,3 +190,12 @@ def held_out(doc_id: Column) -> Column:
 
 def sha256_hex(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
+
+
+#: SQL of a table ``crc`` that ``crc32_sql`` reads, as a common table expression.
+CRC32_TABLE = "crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"
+
+
+def crc32_sql(text: str) -> str:
+    """SQL of the unsigned crc32 of a text's UTF-8 bytes."""
+    return f"xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)"

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkgrain.llm.common import cut, temporary
+from talkgrain.llm.common import CRC32_TABLE, crc32_sql, cut, temporary
 from talkgrain.llm.scan import ranked
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -75,7 +75,7 @@ def build(nodes: DataFrame, counts: DataFrame, most: int) -> list[DataFrame]:
 
 
 #: The way from a node at ``_o`` in its block up to the block's top.
-_OWN = f"transform(filter(pre, p -> size(p) > 0), (p, k) -> struct(shiftright(_o, k) & 1 AS slot, p[shiftright(_o, k + 1)] AS preimage))"
+_OWN = "transform(filter(pre, p -> size(p) > 0), (p, k) -> struct(shiftright(_o, k) & 1 AS slot, p[shiftright(_o, k + 1)] AS preimage))"
 
 
 def paths(leaves: DataFrame, steps: list[DataFrame], above: DataFrame) -> DataFrame:
@@ -135,3 +135,26 @@ def digest(found: DataFrame) -> DataFrame:
     """What a manifest says of every row, and whether the row as it is now leads to the manifest's root."""
     rows = found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(siblings(), 256).alias("proof_sha256"), folded("changed").alias("folded_root"))
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+#: For the fields of documents.
+ORACLE_SQL = f"""
+WITH RECURSIVE {CRC32_TABLE},
+d AS (SELECT doc_id, source, lang, n_chars, text, {crc32_sql("doc_id::VARCHAR")} % 7 = 0 AS wrong FROM documents, crc),
+f AS (SELECT doc_id, lang, wrong, COALESCE(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || COALESCE(strlen(source) || ':' || source, '-') || COALESCE(strlen(lang) || ':' || lang, '-') AS head, n_chars, COALESCE(strlen(text) || ':' || text, '-') AS tail FROM d),
+l AS (SELECT doc_id, lang, sha256(head || COALESCE(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf, CASE WHEN wrong THEN sha256(head || COALESCE(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) END AS other FROM f),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l),
+n AS (SELECT COALESCE('s' || lang, '') AS tree, 0 AS level, pos, leaf AS hash, count(*) OVER (PARTITION BY lang) AS size FROM p
+  UNION ALL SELECT tree, level + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), any_value((size + 1) // 2) FROM n WHERE size > 1 GROUP BY tree, level, pos // 2),
+s AS (SELECT tree, hash, row_number() OVER (ORDER BY tree) - 1 AS pos FROM n WHERE size = 1),
+u AS (SELECT 0 AS level, pos, hash, count(*) OVER () AS size FROM s UNION ALL SELECT level + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), any_value((size + 1) // 2) FROM u WHERE size > 1 GROUP BY level, pos // 2),
+h AS (SELECT p.doc_id, p.leaf, COALESCE(p.other, p.leaf) AS now, s.tree, s.pos AS place, s.hash AS subroot, p.pos FROM p JOIN s ON s.tree = COALESCE('s' || p.lang, '')),
+w AS (SELECT h.*, 0 AS level, false AS up, now AS folded, '' AS beside, (SELECT max(level) FROM n WHERE n.tree = h.tree) AS top FROM h
+  UNION ALL SELECT w.doc_id, w.leaf, w.now, w.tree, w.place, w.subroot, w.pos // 2, w.level + 1, false,
+    CASE WHEN n.hash IS NULL THEN sha256(w.folded) WHEN w.pos % 2 = 0 THEN sha256(w.folded || n.hash) ELSE sha256(n.hash || w.folded) END, w.beside || COALESCE(n.hash, ''), w.top
+  FROM w LEFT JOIN n ON n.tree = w.tree AND n.level = w.level AND n.pos = xor(w.pos, 1) WHERE w.level < w.top),
+v AS (SELECT doc_id, leaf, subroot, 0 AS level, place AS pos, folded, beside FROM w WHERE level = top
+  UNION ALL SELECT v.doc_id, v.leaf, v.subroot, v.level + 1, v.pos // 2, CASE WHEN u.hash IS NULL THEN sha256(v.folded) WHEN v.pos % 2 = 0 THEN sha256(v.folded || u.hash) ELSE sha256(u.hash || v.folded) END, v.beside || COALESCE(u.hash, '')
+  FROM v LEFT JOIN u ON u.level = v.level AND u.pos = xor(v.pos, 1) WHERE v.level < (SELECT max(level) FROM u))
+SELECT doc_id, leaf, subroot, root, sha256(beside) AS proof_sha256, folded AS folded_root, folded = root AS verified FROM v, (SELECT hash AS root FROM u WHERE size = 1) WHERE level = (SELECT max(level) FROM u)
+"""

@@ -90,4 +90,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_near_duplicates": jaccard_join.ORACLE_SQL, "op6_decontaminate": decontamination.ORACLE_SQL, "op9_curriculum_mix": mixing.ORACLE_SQL}
+    return {"op3_near_duplicates": jaccard_join.ORACLE_SQL, "op6_decontaminate": decontamination.ORACLE_SQL, "op9_curriculum_mix": mixing.ORACLE_SQL, "op11_transaction_log": txlog.ORACLE_SQL, "op13_merkle_manifest": merkle.ORACLE_SQL}

@@ -34,7 +34,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from talkgrain.llm import scan as S
-from talkgrain.llm.common import cut, temporary
+from talkgrain.llm.common import CRC32_TABLE, crc32_sql, cut, temporary
 
 #: A chunk is so many bits of ``seq``.
 CHUNK_BITS = 10
@@ -169,3 +169,24 @@ def digest(changes: DataFrame, states: DataFrame) -> DataFrame:
     """``kind, id, n, value``: a row for each epoch, and for each change that was undone."""
     undone = changes.where("fate <> 'commit'").select(F.col("fate").alias("kind"), F.col("seq").alias("id"), F.col("by").alias("n"), F.col("key").alias("value"))
     return states.select(F.lit("state").alias("kind"), F.col("epoch").alias("id"), "n", F.col("total").alias("value")).unionByName(undone)
+
+
+#: For documents with unique ids: the same rule about depths, over whole streams at once.
+ORACLE_SQL = f"""
+WITH {CRC32_TABLE},
+h AS (SELECT doc_id, source, text, {crc32_sql("doc_id::VARCHAR")} AS h FROM documents, crc),
+o AS (SELECT doc_id, COALESCE('s' || source, '') AS s, h % 17 AS k, (h // 100) % 30000 AS key, text, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic FROM h),
+r AS (SELECT doc_id, s, key, CASE WHEN k <= 1 THEN 'commit' WHEN k = 2 THEN 'abort' WHEN k <= 4 THEN 'savepoint' WHEN k <= 6 THEN 'rollback' ELSE 'change' END AS op, CASE WHEN NOT toxic AND k > 6 THEN {crc32_sql("key || ':' || text")} END AS v FROM o, crc),
+t AS (SELECT *, count(*) FILTER (op IN ('commit', 'abort')) OVER (PARTITION BY s ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS txn FROM r),
+w AS (SELECT *, COALESCE(sum(CASE op WHEN 'savepoint' THEN 1 WHEN 'rollback' THEN -1 ELSE 0 END) OVER b, 0) AS walk FROM t WINDOW b AS (PARTITION BY s, txn ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (SELECT *, walk - least(0, COALESCE(min(walk - CASE op WHEN 'rollback' THEN 1 ELSE 0 END) OVER (PARTITION BY s, txn ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS depth FROM w),
+u AS (SELECT *, min(doc_id) FILTER (op = 'rollback') OVER (PARTITION BY s, txn, depth ORDER BY doc_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS back FROM g),
+e AS (SELECT s, txn, op AS ending, doc_id AS ended, CASE WHEN op = 'commit' THEN row_number() OVER (PARTITION BY op ORDER BY doc_id) END AS number FROM t WHERE op IN ('commit', 'abort')),
+c AS (SELECT u.*, CASE WHEN back IS NOT NULL THEN 'rollback' ELSE COALESCE(ending, 'abort') END AS fate, COALESCE(back, ended) AS undoing, (number - 1) // 64 + 1 AS epoch, number FROM u LEFT JOIN e USING (s, txn) WHERE op = 'change'),
+l AS (SELECT key, epoch, arg_max({{'v': v}}, (number, doc_id)).v AS v FROM c WHERE fate = 'commit' GROUP BY key, epoch),
+m AS (SELECT *, lag({{'v': v}}) OVER (PARTITION BY key ORDER BY epoch) AS old FROM l),
+x AS (SELECT epoch, sum((v IS NOT NULL)::INT - (old IS NOT NULL AND old.v IS NOT NULL)::INT) AS n, sum(COALESCE(v, 0) - COALESCE(old.v, 0)) AS total FROM m GROUP BY epoch),
+y AS (SELECT DISTINCT (number - 1) // 64 + 1 AS epoch FROM e WHERE ending = 'commit')
+SELECT 'state' AS kind, epoch AS id, sum(COALESCE(n, 0)) OVER (ORDER BY epoch)::BIGINT AS n, sum(COALESCE(total, 0)) OVER (ORDER BY epoch)::BIGINT AS value FROM y LEFT JOIN x USING (epoch)
+UNION ALL SELECT fate, doc_id, undoing, key FROM c WHERE fate <> 'commit'
+"""
