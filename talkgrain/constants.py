@@ -116,14 +116,14 @@ ALIASES = {
     "[MASKED_WAITLIST_REFERENCE_NUMBER]": "[MASKED_CASE_REFERENCE]",
 }
 BRACKET_NAMES = ("caller_name", "customer_name", "manager_name", "victim_name")
-#: Parts of a placeholder's name that say what it stands for, the first that fits counts.
+#: Whole names that say what a placeholder stands for, and parts of a name, of which the first that fits counts.
+ALIAS_NAMES = {"ID_LAST4": "[MASKED_RRN]", "ID_NUMBER": "[MASKED_RRN]", "TAXPAYER_ID": "[MASKED_RRN]"}
 ALIAS_PARTS = (
     (("URL", "LINK"), "[MASKED_URL]"),
     (("CREDENTIAL", "PASSWORD"), "[MASKED_CREDENTIAL]"),
     (("CONTACT", "PHONE"), "[MASKED_PHONE]"),
     (("ACCOUNT", "BANK", "PAYOUT", "PAYMENT"), "[MASKED_ACCOUNT]"),
     (("OTP", "VERIFICATION_CODE", "SECURITY_CODE"), "[MASKED_OTP]"),
-    (("=ID_LAST4", "=ID_NUMBER", "=TAXPAYER_ID"), "[MASKED_RRN]"),
     (("DOCUMENT", "IMAGE", "PHOTO", "TRANSLATION_FILE"), "[MASKED_ID_IMAGE]"),
     (("COMPANY", "BUILDING", "OFFICE", "CENTER", "TEAM", "DEPARTMENT", "CLINIC", "SCHOOL", "HOSPITAL", "INSTITUTION"), "[MASKED_COMPANY]"),
     (("NAME", "PET", "STUDENT", "OFFICER", "AGENT"), "[MASKED_NAME]"),

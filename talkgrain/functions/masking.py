@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from talkgrain.constants import ALIAS_PARTS, ALIASES, BRACKET_COMPANY_PARTS, BRACKET_NAMES, FORBIDDEN_TERMS, MASKS, PLACEHOLDER, REVIEWED_PLACEHOLDERS, STANDARD_PLACEHOLDERS
+from talkgrain.constants import ALIAS_NAMES, ALIAS_PARTS, ALIASES, BRACKET_COMPANY_PARTS, BRACKET_NAMES, FORBIDDEN_TERMS, MASKS, PLACEHOLDER, REVIEWED_PLACEHOLDERS, STANDARD_PLACEHOLDERS
 from talkgrain.functions.text import contains_any, let
 
 _LABELS = {placeholder: label for label, placeholder, _ in MASKS}
@@ -19,9 +19,10 @@ def alias_of(placeholder: Column) -> Column:
     known = F.create_map(*[F.lit(x) for pair in ALIASES.items() for x in pair])
     out = F.when(placeholder.isin(*STANDARD_PLACEHOLDERS, *REVIEWED_PLACEHOLDERS), F.lit(None).cast("string")).when(F.try_element_at(known, placeholder).isNotNull(), F.try_element_at(known, placeholder))
     out = out.when(~placeholder.startswith("[MASKED_") | ~placeholder.endswith("]"), F.lit(None).cast("string"))
+    for name, target in ALIAS_NAMES.items():
+        out = out.when(token == name, target)
     for parts, target in ALIAS_PARTS:
-        whole = [p[1:] for p in parts if p[0] == "="]
-        out = out.when(token.isin(*whole) if whole else contains_any(token, parts), target)
+        out = out.when(contains_any(token, parts), target)
     return out
 
 

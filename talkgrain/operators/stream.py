@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from talkgrain import constants as K
 from talkgrain.functions import labels as L
 from talkgrain.functions.ids import stable_id
-from talkgrain.functions.text import placeholders, surface_text
+from talkgrain.functions.text import contains_any, placeholders, surface_text
 from talkgrain.operators.records import has_bracket
 
 DIRECT = "direct_masked_disclosure_or_entry"
@@ -65,49 +65,79 @@ def sliding_windows(turns: DataFrame, *, stream: str, position: str, fields: tup
     return turns.withColumn("window", F.collect_list(F.struct(position, *fields)).over(w))
 
 
-def transitions(turns: DataFrame, *, stream: str = "stream_id", position: str = "turn_id") -> DataFrame:
-    """Adds ``event`` and what it rests on to a table of turns with ``speaker`` and ``utterance``.
+#: The sets of earlier turns are kept as bits of a number, a bit for each name.
+REQUESTS, PRESSURES = tuple(sorted(K.REQUEST_KEYWORDS)), tuple(sorted(K.PRESSURE_KEYWORDS))
 
-    Everything that came before is a set of what earlier turn ids did, so one
-    partitioning by stream, ordered by turn id, serves all of it.
-    """
-    before = W.partitionBy(stream).orderBy(position).rangeBetween(W.unboundedPreceding, -1)
-    caller, text = F.col("speaker") == "attacker", F.coalesce("utterance", F.lit(""))
-    none = F.array().cast("array<string>")
-    flagged = turns.select(
+
+def _bits(text: Column, lexicon: dict[str, tuple[str, ...]], names: tuple[str, ...]) -> Column:
+    return reduce(lambda out, k: out + F.when(contains_any(text, lexicon[names[k]]), 1 << k).otherwise(0), range(len(names)), F.lit(0))
+
+
+def unpacked(bits: Column, names: tuple[str, ...]) -> Column:
+    """The names of the bits that are set, in order."""
+    return F.filter(F.array(*[F.when(bits.bitwiseAND(F.lit(1 << k)) != 0, name) for k, name in enumerate(names)]), lambda x: x.isNotNull())
+
+
+def signs(turns: DataFrame) -> DataFrame:
+    """Adds what one turn's words say: ``_requests`` and ``_pressures`` as bits, ``_disclosure``, ``_defense``, ``_caller``, ``_path``."""
+    caller, victim, text = F.col("speaker") == "attacker", F.col("speaker") == "victim", F.coalesce("utterance", F.lit(""))
+    return turns.select(
         "*",
-        F.when(caller, L.requests(text)).otherwise(none).alias("_requests"),
-        F.when(caller, L.pressure_categories(text)).otherwise(none).alias("_pressures"),
-        F.when(F.col("speaker") == "victim", L.stream_disclosure_state(text)).otherwise("none").alias("_disclosure"),
-        F.when(F.col("speaker") == "victim", L.defense_action(text)).otherwise("none").alias("_defense"),
+        F.when(caller, _bits(text, K.REQUEST_KEYWORDS, REQUESTS)).otherwise(0).alias("_requests"),
+        F.when(caller, _bits(text, K.PRESSURE_KEYWORDS, PRESSURES)).otherwise(0).alias("_pressures"),
+        F.when(victim, L.stream_disclosure_state(text)).otherwise("none").alias("_disclosure"),
+        F.when(victim, L.defense_action(text)).otherwise("none").alias("_defense"),
+        F.coalesce(caller, F.lit(False)).alias("_caller"),
         L.names_path(text).alias("_path"),
     )
-    earlier = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c).over(before))))
-    disclosed = F.when(F.col("_disclosure") == DIRECT, F.col(position))
-    seen = flagged.select("*", earlier("_requests").alias("_before_requests"), earlier("_pressures").alias("_before_pressures"), F.sort_array(F.collect_list(disclosed).over(before)).alias("_disclosures"))
-    has = lambda c: F.size(c) > 0
-    before_path = F.array_contains("_before_requests", K.PATH_REQUEST)
-    path = F.array_contains("_requests", K.PATH_REQUEST) | F.col("_path")
-    new_request, new_pressure = has(F.array_except("_requests", "_before_requests")), has(F.array_except("_pressures", "_before_pressures"))
+
+
+def decided(rows: DataFrame, position: str = "turn_id") -> DataFrame:
+    """Adds ``event``, ``action``, ``policy_rule_ids`` and ``evidence_turn_ids`` to signs with ``_before_requests``, ``_before_pressures`` and ``_last``, the last earlier disclosure."""
+    requests, pressures, earlier, pressed = (F.col(c) for c in ("_requests", "_pressures", "_before_requests", "_before_pressures"))
+    has = lambda bits: bits != 0
+    new = lambda bits, before: bits.bitwiseAND(F.bitwise_not(before)) != 0
+    names_path = F.lit(1 << REQUESTS.index(K.PATH_REQUEST))
+    before_path, path = has(earlier.bitwiseAND(names_path)), has(requests.bitwiseAND(names_path)) | F.col("_path")
     event = (
         F.when(F.col("_disclosure") == DIRECT, "recipient_partial_or_direct_disclosure")
-        .when(has("_disclosures"), "recovery_followup_due")
-        .when(caller & path & ~before_path, "new_caller_directed_path")
-        .when(caller & new_request, "new_sensitive_request")
-        .when(caller & new_pressure & (has("_before_requests") | has("_requests") | before_path), "pressure_escalation")
+        .when(F.col("_last").isNotNull(), "recovery_followup_due")
+        .when(F.col("_caller") & path & ~before_path, "new_caller_directed_path")
+        .when(F.col("_caller") & new(requests, earlier), "new_sensitive_request")
+        .when(F.col("_caller") & new(pressures, pressed) & (has(earlier) | has(requests)), "pressure_escalation")
         .when(F.col("_defense") == "safe_verify_or_refuse", "recipient_containment")
-        .when(caller & has("_pressures") & ~has("_requests") & ~has("_before_requests") & ~before_path, "pressure_only_monitor")
-        .when(~has("_before_requests") & ~has("_requests") & ~has("_before_pressures") & ~has("_pressures"), "needs_more_context")
+        .when(F.col("_caller") & has(pressures) & ~has(requests) & ~has(earlier), "pressure_only_monitor")
+        .when(~has(earlier) & ~has(requests) & ~has(pressed) & ~has(pressures), "needs_more_context")
         .otherwise("no_new_actionable_event")
     )
-    state = F.struct(
-        F.col("_before_requests").alias("prior_request_types"), F.col("_requests").alias("current_request_types"), F.col("_before_pressures").alias("prior_pressure_categories"),
-        F.col("_pressures").alias("current_pressure_categories"), F.col("_disclosure").alias("current_disclosure_state"), F.col("_defense").alias("current_recipient_defense_action"),
+    out = rows.withColumn("event", event)
+    evidence = F.array(F.when(F.col("event") == "recovery_followup_due", F.col("_last")).otherwise(F.col(position)))
+    return out.withColumn("action", action_of(F.col("event"))).withColumn("policy_rule_ids", rules_of(F.col("event"))).withColumn("evidence_turn_ids", evidence)
+
+
+def transitions(turns: DataFrame, *, stream: str = "stream_id", position: str = "turn_id", state: bool = True) -> DataFrame:
+    """Adds ``event`` and what it rests on to a table of turns with ``speaker`` and ``utterance``.
+
+    Everything that came before is a set of what earlier turn ids did: bits that
+    are or-ed along one partitioning by stream, ordered by turn id, so a turn
+    costs the same wherever it stands. ``state`` adds ``oracle_state``, which lists all
+    earlier disclosures, and so grows along a stream that has many.
+    """
+    before = W.partitionBy(stream).orderBy(position).rangeBetween(W.unboundedPreceding, -1)
+    disclosed = F.when(F.col("_disclosure") == DIRECT, F.col(position))
+    earlier = {f"_before{c}": F.coalesce(F.bit_or(c).over(before), F.lit(0)) for c in ("_requests", "_pressures")} | {"_last": F.max(disclosed).over(before)}
+    if state:
+        earlier["_disclosures"] = F.sort_array(F.collect_list(disclosed).over(before))
+    out = decided(signs(turns).withColumns(earlier), position)
+    kept = [*turns.columns, "event", "action", "policy_rule_ids", "evidence_turn_ids"]
+    if not state:
+        return out.select(*kept)
+    found = F.struct(
+        unpacked(F.col("_before_requests"), REQUESTS).alias("prior_request_types"), unpacked(F.col("_requests"), REQUESTS).alias("current_request_types"), unpacked(F.col("_before_pressures"), PRESSURES).alias("prior_pressure_categories"),
+        unpacked(F.col("_pressures"), PRESSURES).alias("current_pressure_categories"), F.col("_disclosure").alias("current_disclosure_state"), F.col("_defense").alias("current_recipient_defense_action"),
         F.col("_disclosures").alias("prior_direct_disclosure_turn_ids"),
     )
-    out = seen.withColumn("event", event)
-    evidence = F.when(F.col("event") == "recovery_followup_due", F.array(F.element_at("_disclosures", -1))).otherwise(F.array(F.col(position)))
-    return out.select(*turns.columns, "event", action_of(F.col("event")).alias("action"), rules_of(F.col("event")).alias("policy_rule_ids"), evidence.alias("evidence_turn_ids"), state.alias("oracle_state"))
+    return out.select(*kept, found.alias("oracle_state"))
 
 
 def risky_placeholders(window: Column, buckets: dict[str, str]) -> Column:

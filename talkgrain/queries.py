@@ -1,8 +1,7 @@
 """The registered queries over the driver's tables, and what they say in SQL.
 
 Conversations stand for dialogues (users call, assistants receive), events for
-the turns of streams, star-schema keys for catalogs. Rules about words that no
-table holds run over small tables written into the query.
+the turns of streams, star-schema keys for catalogs.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkgrain import constants as K
-from talkgrain.functions import gates, ids, labels, masking, text
+from talkgrain.functions import ids, masking, text
 from talkgrain.operators import quality, records, score, shortcuts, stream
 from talkgrain.plans import schedule
 from talkgrain.sources import jsonl
@@ -147,87 +146,6 @@ def residual_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.residual_patterns(table(spark, sf_dir, "pages"), "url")
 
 
-_MASK_CASES = (
-    (1, "otp 123456, https://a.example/x 010-1234-5678"), (2, "900101-1234567 a.b@c.example password: abcd1234"), (3, "123-456-789012 [MASKED_CASE_ID] [caller_name]"),
-    (4, "2026-06-02 번호010-1234-5678"), (5, "[otp] [school_office] [MASKED_TEAM_LEAD] [MASKED_NAME]"), (6, "pineapple"), (7, ""),
-)
-
-
-@registered("""SELECT * FROM (VALUES (1, '[MASKED_OTP], [MASKED_URL] [MASKED_PHONE]', 'url,otp,phone'), (2, '[MASKED_RRN] [MASKED_EMAIL] [MASKED_CREDENTIAL]', 'rrn,email,credential'),
-  (3, '[MASKED_ACCOUNT] [MASKED_CASE_REFERENCE] [MASKED_NAME]', 'account'), (4, '2026-06-02 번호010-1234-5678', ''), (5, '[MASKED_CASE_REFERENCE] [MASKED_COMPANY] [MASKED_COMPANY] [MASKED_NAME]', ''),
-  (6, '[MASKED_CREDENTIAL]', 'credential'), (7, '', '')) v(id, masked, labels)""")
-def mask_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame(_MASK_CASES, "id int, text string").select("id", masking.mask_text(F.col("text")).alias("m"))
-    return rows.select("id", F.col("m.text").alias("masked"), F.array_join(F.transform("m.masked_items", lambda i: i["label"]), ",").alias("labels"))
-
-
-# Labels.
-
-_SAID = (
-    (1, 1, "attacker", "은행 보안팀 담당자입니다"), (1, 2, "victim", "무슨 일인가요"), (1, 3, "attacker", "지금 [MASKED_OTP] 인증번호를 입력해 주세요"), (1, 4, "victim", "공식 채널로 직접 확인하겠습니다"), (1, 5, "attacker", "오늘 마감입니다, 즉시 처리하세요"),
-    (2, 1, "attacker", "링크로 접속해 주세요 [MASKED_URL]"), (2, 2, "victim", "[MASKED_PHONE] 제공하겠습니다"), (2, 3, "attacker", "감사합니다"), (2, 4, "victim", "네"), (3, 1, "attacker", "안녕하세요"), (3, 2, "victim", "네 안녕하세요"),
-)
-
-
-def _said(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(_SAID, "stream_id int, turn_id int, speaker string, utterance string")
-
-
-@registered("""SELECT * FROM (VALUES (1, 1, 'pressure_only_monitor', 'monitor_only', 1), (1, 2, 'no_new_actionable_event', 'no_alert', 2), (1, 3, 'new_sensitive_request', 'refuse_or_pause', 3), (1, 4, 'recipient_containment', 'no_alert', 4),
-  (1, 5, 'pressure_escalation', 'pause_or_verify', 5), (2, 1, 'new_caller_directed_path', 'refuse_or_pause', 1), (2, 2, 'recipient_partial_or_direct_disclosure', 'preserve_and_report', 2), (2, 3, 'recovery_followup_due', 'preserve_and_report', 2),
-  (2, 4, 'recovery_followup_due', 'preserve_and_report', 2), (3, 1, 'needs_more_context', 'monitor_only', 1), (3, 2, 'needs_more_context', 'monitor_only', 2)) v(stream_id, turn_id, event, action, evidence)""")
-def transition_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream.transitions(_said(spark)).select("stream_id", "turn_id", "event", "action", F.get("evidence_turn_ids", 0).alias("evidence"))
-
-
-@registered("""SELECT * FROM (VALUES (1, 1, 'assert_authority', 'authority_impersonation'), (1, 2, 'uncertain_response', 'victim_uncertainty'), (1, 3, 'request_masked_credential_or_otp', 'credential_request'), (1, 4, 'resist_or_verify_request', 'victim_resistance'),
-  (1, 5, 'social_engineering_probe', 'other'), (2, 1, 'social_engineering_probe', 'other'), (2, 2, 'disclose_or_comply', 'asset_disclosure'), (2, 3, 'social_engineering_probe', 'other'), (2, 4, 'uncertain_response', 'victim_uncertainty'),
-  (3, 1, 'social_engineering_probe', 'other'), (3, 2, 'uncertain_response', 'victim_uncertainty')) v(stream_id, turn_id, intent_label, risk_signal)""")
-def label_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _said(spark).select("stream_id", "turn_id", labels.annotate_turn(F.col("speaker"), F.col("utterance"), F.lit("other")).alias("a"))
-    return rows.select("stream_id", "turn_id", "a.*")
-
-
-@registered("""SELECT * FROM (VALUES (1, 'defended_success', ''), (2, 'compromised', 'masked_phone'), (3, 'inconclusive', '')) v(stream_id, outcome, assets)""")
-def outcome_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turn = F.struct("turn_id", "speaker", "utterance", masking.mask_text(F.col("utterance"))["masked_items"].alias("masked_items"))
-    rows = _said(spark).groupBy("stream_id").agg(F.array_sort(F.collect_list(turn)).alias("dialogue"))
-    return rows.select("stream_id", records.outcome(F.col("dialogue")).alias("outcome"), F.array_join(records.compromised_assets(F.col("dialogue")), ",").alias("assets"))
-
-
-def _sql_lexicon(lexicon: dict[str, tuple[str, ...]], column: str) -> str:
-    found = [f"CASE WHEN {' OR '.join(f'''contains({column}, '{w}')''' for w in words)} THEN '{name}' END" for name, words in lexicon.items()]
-    return f"array_to_string(list_sort(list_filter([{', '.join(found)}], lambda x: x IS NOT NULL)), ',')"
-
-
-_SAID_SQL = "(VALUES " + ", ".join(f"({a}, {b}, '{c}', '{d}')" for a, b, c, d in _SAID) + ") v(stream_id, turn_id, speaker, utterance)"
-
-
-@registered(f"SELECT stream_id, turn_id, {_sql_lexicon(K.REQUEST_KEYWORDS, 'utterance')} AS requests, {_sql_lexicon(K.PRESSURE_KEYWORDS, 'utterance')} AS pressures FROM {_SAID_SQL}")
-def request_and_pressure_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.col("utterance")
-    return _said(spark).select("stream_id", "turn_id", F.array_join(labels.requests(c), ",").alias("requests"), F.array_join(labels.pressure_categories(c), ",").alias("pressures"))
-
-
-_GATE_CASES = (
-    (1, "오늘 안에 [MASKED_OTP] 번호를 말씀해 주세요", ["[MASKED_OTP]"], "new_sensitive_request", "attacker", "safe_containment"),
-    (2, "오늘 안에 번호를 말씀해 주세요 고객님", ["[MASKED_OTP]"], "new_sensitive_request", "attacker", "safe_containment"),
-    (3, "네", [], "needs_more_context", "victim", "safe_containment"), (4, "무슨 말씀이신지 아직 모르겠습니다", [], "needs_more_context", "victim", "safe_containment"),
-    (5, "제 번호 [MASKED_PHONE] 전달하겠습니다 감사합니다", ["[MASKED_PHONE]"], "recipient_partial_or_direct_disclosure", "victim", "partial_disclosure_recovery"),
-    (6, "제 번호 [MASKED_PHONE] 확인 부탁 전달하겠습니다", ["[MASKED_PHONE]"], "recipient_partial_or_direct_disclosure", "victim", "partial_disclosure_recovery"),
-    (7, "조용히 설명을 이어서 듣고 싶습니다 선생님", [], "pressure_escalation", "attacker", "pressure_escalation"), (8, "이상하니 기관에 신고하고 기다려 보겠습니다", [], "no_new_actionable_event", "victim", "benign_thin_context"),
-    (9, "보내 드린 [MASKED_URL] 링크로 접속해 주시기 바랍니다", ["[MASKED_URL]"], "new_caller_directed_path", "attacker", "caller_directed_path"),
-    (10, "공식 창구로 직접 확인하겠습니다 감사합니다", [], "recipient_containment", "victim", "safe_containment"),
-)
-
-
-@registered("""SELECT * FROM (VALUES (1, NULL), (2, 'semantic_placeholder_mismatch'), (3, 'very_short_utterance'), (4, NULL), (5, NULL), (6, 'recipient_disclosure_uses_caller_request_voice'), (7, 'pressure_escalation_missing_pressure_signal'),
-  (8, 'benign_thin_context_uses_overstrong_response_language'), (9, NULL), (10, NULL)) v(id, error)""")
-def semantic_gate_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame(_GATE_CASES, "id int, text string, planned array<string>, event string, speaker string, profile string")
-    return rows.select("id", gates.semantic_error(*(F.col(c) for c in ("text", "planned", "event", "speaker", "profile"))).alias("error"))
-
-
 # Quality of a corpus.
 
 @registered("""SELECT sum(n - 1)::BIGINT AS duplicates, sum(n)::BIGINT AS n FROM (SELECT count(*) AS n FROM documents GROUP BY lower(regexp_replace(COALESCE(text, ''), '\\s+', '', 'g')))""")
@@ -252,17 +170,6 @@ def quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_checks(rows.select(F.struct((F.col("quality") == 1).alias("good"), (F.col("toxic") == 0).alias("clean")).alias("quality_checks")), ("good", "clean"))
 
 
-_PLACEHOLDER_CASES = ("[MASKED_NAME]", "[MASKED_VOICE_SAMPLE]", "[MASKED_COMPANY_EMAIL]", "[MASKED_PORTAL_LINK]", "[MASKED_MEMBER_STATUS]", "[MASKED_SOMETHING]", "[MASKED_JOB_TITLE]", "[MASKED_ID_NUMBER]")
-
-
-@registered("""SELECT * FROM (VALUES ('[MASKED_NAME]', 1, 'allowlist_candidate', 'allowlist'), ('[MASKED_VOICE_SAMPLE]', 2, 'allowlist_candidate', 'reviewed_sensitive'), ('[MASKED_COMPANY_EMAIL]', 3, 'normalize_to_existing', 'normalize'),
-  ('[MASKED_PORTAL_LINK]', 4, 'normalize_to_existing', 'normalize'), ('[MASKED_MEMBER_STATUS]', 5, 'unclassified_review_required', 'reviewed_sensitive'), ('[MASKED_SOMETHING]', 6, 'unclassified_review_required', 'reject_or_escalate'),
-  ('[MASKED_JOB_TITLE]', 7, 'warning_keep_unstandardized', 'reject_or_escalate'), ('[MASKED_ID_NUMBER]', 8, 'normalize_to_existing', 'normalize')) v(placeholder, n, decision, bucket)""")
-def placeholder_policy_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(p, k) for k, p in enumerate(_PLACEHOLDER_CASES, 1)], "placeholder string, n int")
-    return quality.placeholder_policy(rows).select("placeholder", "n", "decision", "bucket")
-
-
 @registered(_TURNS + """SELECT CASE WHEN NOT regexp_matches(utterance, '[가-힣A-Za-z0-9]') THEN 'placeholder_only_utterance' ELSE 'very_short_utterance' END AS artifact, count(*) AS n FROM t WHERE len(regexp_extract_all(utterance, '[가-힣]')) < 9 GROUP BY 1""")
 def utterance_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_turns(spark, sf_dir).groupBy(text.utterance_artifact(F.col("utterance")).alias("artifact")).agg(F.count("*").alias("n")).where("artifact IS NOT NULL")
