@@ -130,3 +130,28 @@ def contract(raw: DataFrame, *, max_turns: int = 10, risk_labels: tuple[str, ...
     """Good rows, and bad ones with their ``error``: one pass, two outputs."""
     checked = raw.withColumn("error", record_error(max_turns=max_turns, risk_labels=risk_labels))
     return checked.where("error IS NULL").drop("error"), checked.where("error IS NOT NULL")
+
+
+def forbidden_paths(items: DataFrame, key: str, raw: str = "raw") -> DataFrame:
+    """``key, name, path`` of every field of a VARIANT, at any depth, whose name a public item must not have.
+
+    A look at the text, which is narrow, keeps items without such a name out;
+    the others are taken apart level by level, maps and arrays included, until nothing is left to open.
+    """
+    spark = items.sparkSession
+    named = F.to_json(raw).rlike('"(' + "|".join(K.FORBIDDEN_PUBLIC_KEYS) + ')":')
+    for limit in ("spark.sql.cteRecursionRowLimit", "spark.sql.cteRecursionLevelLimit"):  # else deep or many items would stop the job
+        spark.conf.set(limit, "-1")
+    names = ", ".join(f"'{name}'" for name in K.FORBIDDEN_PUBLIC_KEYS)
+    return spark.sql(
+        f"""WITH RECURSIVE walk(k, path, name, value) AS (
+          SELECT `{key}`, '$', CAST(NULL AS STRING), `{raw}` FROM {{items}}
+          UNION ALL SELECT w.k, concat(w.path, if(e.key IS NULL, concat('[', e.pos, ']'), concat('.', e.key))), e.key, e.value FROM walk w, LATERAL variant_explode(w.value) e)
+        SELECT k AS `{key}`, name, path FROM walk WHERE name IN ({names})""",
+        items=items.where(named).select(key, raw),
+    )
+
+
+def forbidden_names(items: DataFrame, key: str, raw: str = "raw") -> DataFrame:
+    """``key, names``: of the items that have such fields, the fields' names, each once and in order."""
+    return forbidden_paths(items, key, raw).groupBy(key).agg(F.array_sort(F.collect_set("name")).alias("names"))

@@ -7,6 +7,8 @@ and the turn; the SQL builds the same turns and says each rule on its own.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -566,10 +568,27 @@ def baseline_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("run", "missed", "actionable", "false_active", "inactive")
 
 
-@registered("SELECT (n_nationkey)::INT AS pos, n_nationkey AS k, n_name AS name FROM nation")
+@registered(r"""SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS pos, c_custkey AS k, 'a "b", {c} [' || c_name || '] \, ' AS name, c_nationkey || '/' || c_custkey % 3 AS more FROM customer""")
 def json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as one JSON array in a file, and its entries again with their places."""
+    """Customers as one JSON array in a file, with commas, brackets and quotes in strings, and its entries again with their places."""
     path = jsonl.scratch(spark, "array")
-    entries = F.array_sort(F.collect_list(F.struct(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"))))
-    table(spark, sf_dir, "nation").agg(F.to_json(entries).alias("value")).write.text(path)
-    return jsonl.read_array(spark, path, "k: bigint, name: string")
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.concat(F.lit('a "b", {c} ['), "c_name", F.lit("] \\, ")).alias("name"), F.array(F.col("c_nationkey").cast("bigint"), F.col("c_custkey") % 3).alias("more"))
+    low, high = rows.agg(F.min("k"), F.max("k")).first()
+    line = F.concat(F.when(F.col("k") == low, "[").otherwise(" "), F.to_json(F.struct("*")), F.when(F.col("k") == high, "]").otherwise(","))
+    rows.orderBy("k").select(line.alias("value")).coalesce(1).write.text(path)
+    found = jsonl.read_array(spark, path, "k: bigint, name: string, more: array<bigint>")
+    return found.select("pos", "k", "name", F.array_join(F.transform("more", lambda x: x.cast("string")), "/").alias("more"))
+
+
+#: Items with a name in an object, below arrays, beside a text that looks like it, and only in texts; and the paths there.
+_ITEMS = ({"input": {"a": {"@": 1}}}, {"input": [{"x": [[3, {"@": {"y": 2}}]]}]}, {"@": None, "s": '"@": 1'}, {"s": '{"@": 1}', "names": ["@"]})
+_PATHS = ("$.input.a.", "$.input[0].x[0][1].", "$.", "")
+
+
+@registered(f"""WITH k AS (SELECT c_custkey AS k, {_list(K.FORBIDDEN_PUBLIC_KEYS)}[(c_custkey % {len(K.FORBIDDEN_PUBLIC_KEYS)})::INT + 1] AS name, {_list(_PATHS)}[((c_custkey // 5) % 4)::INT + 1] AS place FROM customer)
+SELECT k, name, place || name AS path FROM k WHERE place <> ''""")
+def forbidden_key_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where in raw items the names are that a public item must not have: in objects, maps and arrays of any depth."""
+    k = F.col("c_custkey")
+    item = F.replace(_said(tuple(json.dumps(i) for i in _ITEMS), F.floor(k / 5)), F.lit("@"), _said(K.FORBIDDEN_PUBLIC_KEYS, k))
+    return validate.forbidden_paths(table(spark, sf_dir, "customer").select(k.alias("k"), F.parse_json(item).alias("raw")), "k")

@@ -85,10 +85,47 @@ def source_metadata(spark: SparkSession, path: str | None, record_count: int) ->
     }
 
 
+def array_entries(spark: SparkSession, path: str) -> DataFrame:
+    """``file, pos, text``: the entries of files that hold one JSON array each, with their places from 0.
+
+    A file is read in blocks, cut at every comma. Which commas stand between
+    entries depends on all that comes before them: whether a string is open, and how deep brackets
+    are. A piece says how it changes both, whatever it finds; sums of this along a block, and
+    then along the blocks of a file, give each piece what it finds. So a large array
+    is read by many tasks, and no task holds more than a block; a string's escapes end in their piece.
+    """
+    place = F.monotonically_increasing_id()  # grows along a block, and only there it is compared
+    pieces = spark.read.option("lineSep", ",").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), place.alias("_at"), F.col("value").alias("text"))
+    outside = F.split(F.regexp_replace("text", r"\\.", ""), '"', -1)
+    count = lambda part, brackets: F.length(part) - F.length(F.translate(part, brackets, ""))
+    change = lambda side: F.aggregate(F.transform("_parts", lambda p, k: F.when(k % 2 == side, count(p, "[{") - count(p, "]}")).otherwise(0)), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    pieces = pieces.withColumn("_parts", outside).select("file", "_block", "_at", "text", (F.size("_parts") - 1).cast("bigint").alias("_quotes"), change(0).alias("_plain"), change(1).alias("_quoted"))
+
+    along = W.partitionBy("file", "_block").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
+    blocks_before = W.partitionBy("file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    earlier = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    flipped = lambda odd, a, b: F.when(F.col(odd) % 2 == 0, F.col(a)).otherwise(F.col(b))
+    # Within a block, for a block that begins outside a string and for one that begins in one.
+    rows = pieces.withColumn("_q", earlier("_quotes", along)).withColumn("_d0", flipped("_q", "_plain", "_quoted")).withColumn("_d1", flipped("_q", "_quoted", "_plain"))
+    rows = rows.withColumn("_depth0", earlier("_d0", along)).withColumn("_depth1", earlier("_d1", along))
+    blocks = rows.groupBy("file", "_block").agg(F.sum("_quotes").alias("_q"), F.sum("_d0").alias("_d0"), F.sum("_d1").alias("_d1"))
+    blocks = blocks.withColumn("_odd", earlier("_q", blocks_before)).withColumn("_base", earlier(flipped("_odd", "_d0", "_d1"), blocks_before)).select("file", "_block", "_odd", "_base")
+    rows = rows.join(blocks, ["file", "_block"])
+    depth, inside = F.col("_base") + flipped("_odd", "_depth0", "_depth1"), (F.col("_odd") + F.col("_q")) % 2 == 1
+    rows = rows.select("file", "_block", "_at", "text", depth.alias("_depth"), (depth + flipped("_odd", "_d0", "_d1")).alias("_left"), (~inside & (depth <= 1)).cast("bigint").alias("_starts"))
+    opened = F.when(F.col("_depth") == 0, F.regexp_replace("text", r"^[\s\uFEFF]*\[", "")).otherwise(F.col("text"))
+    closed = F.when(F.col("_left") == 0, F.regexp_replace(opened, r"\]\s*$", "")).otherwise(opened)
+    rows = rows.select("file", "_block", "_at", closed.alias("text"), "_starts", (earlier("_starts", along) + F.col("_starts")).alias("_here"))
+    starts = rows.groupBy("file", "_block").agg(F.sum("_starts").alias("_n")).select("file", "_block", earlier("_n", blocks_before).alias("_before"))
+    rows = rows.join(starts, ["file", "_block"]).withColumn("pos", F.col("_before") + F.col("_here") - 1)
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_block", "_at", "text"))), lambda p: p["text"]), ",")
+    return rows.groupBy("file", "pos").agg(whole.alias("text")).where((F.col("pos") > 0) | (stripped(F.col("text")) != ""))
+
+
 def read_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The entries of a file that holds one JSON array, with their place as ``pos``."""
-    text = spark.read.option("wholetext", True).text(path)
-    return text.select(F.posexplode(F.from_json("value", f"array<struct<{schema}>>", {"mode": "FAILFAST"})).alias("pos", "e")).select("pos", "e.*")
+    """The entries of a file that holds one JSON array, with their place as ``pos``; an entry that does not parse, or is none, stops the job."""
+    text = F.when(stripped(F.col("text")) == "", F.raise_error(F.lit("an entry of the array is missing"))).otherwise(F.col("text"))
+    return array_entries(spark, path).select("pos", F.from_json(text, f"struct<{schema}>", {"mode": "FAILFAST"}).alias("e")).select("pos", "e.*")
 
 
 def existing_ids(spark: SparkSession, path: str) -> DataFrame:
