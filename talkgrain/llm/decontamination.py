@@ -3,10 +3,10 @@
 The windows of the benchmark's items are hashed and broadcast; one narrow pass
 over the documents looks every window of theirs up, verifies hits word by word
 and marks the words that lie in one. The benchmark is read in blocks of a
-bounded number of words, so a window set has a proven size whatever the
-benchmark's; each block is a query set against all documents, which pass from
-block to block with what the blocks before have marked. The driver holds one
-block at a time.
+bounded number of words, each a query set against all documents. There is one pass
+for any number of blocks: a worker takes some megabytes of text through one block after
+the other and holds one of them at a time, as the driver does; the others are
+on its machine's disk, as Spark keeps broadcasts.
 
 Words are runs of ``[0-9a-z]`` and of characters beyond ASCII, after A-Z are
 lower-cased. An item of fewer words than a window is one window; items without
@@ -17,17 +17,20 @@ documents without hits, or no documents. A null id stays null.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkgrain.llm.common import covered, free_name, map_arrow, texts_of, window_hashes
+from talkgrain.llm.common import covered, ensure_importable, texts_of, window_hashes
 
 _KEPT = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
+#: Bytes of text that are looked up in one block after the other.
+_CHUNK_BYTES = 8_000_000
 #: Lower-cases A-Z and turns what is in no word into a space.
 NORMAL = bytes(b if b in _KEPT else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
@@ -117,49 +120,56 @@ def _spans(hit: np.ndarray) -> list[int]:
     return edges.tolist()
 
 
-def _span_union(hit: np.ndarray, flat: list[int] | None) -> np.ndarray:
-    """``hit``, and what spans of earlier blocks cover."""
-    for start, end in zip((flat or [])[::2], (flat or [])[1::2], strict=True):
-        hit[start:end] = True
-    return hit
+def _in_turn(batches: Iterator[pa.RecordBatch], where: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows, and their texts, of some megabytes of text at once."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(where)), 0).to_numpy(zero_copy_only=False)
+        upto, start = np.cumsum(sizes), 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + _CHUNK_BYTES, "right")))
+            part = batch.slice(start, end - start)
+            yield part, texts_of(part.column(where))
+            start = end
 
 
-def _marked(docs: DataFrame, text_col: str, spans: str, items: str, blocks: Iterator[WindowSet]) -> DataFrame:
-    """``docs`` and the columns ``spans`` and ``items``: what the windows of all blocks hit in the text as it is."""
-    where = docs.columns.index(text_col)
-    marked = docs.select("*", F.lit(None).cast("array<int>").alias(spans), F.lit(None).cast("array<string>").alias(items))
-    names = marked.columns
-
-    def marker(windows: WindowSet):
-        shared = docs.sparkSession.sparkContext.broadcast(windows)
+def _scanned(docs: DataFrame, text_col: str, blocks: Iterator[WindowSet], finish: Callable[[pa.RecordBatch, list[bytes], list[int], list[list[int]], list[list[str]]], pa.RecordBatch], schema) -> DataFrame:
+    """``finish(rows, texts, numbers of words, spans, items)`` of all rows, in one pass, whatever the number of blocks.
 
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found, owners = [], []
-            for raw, flat, before in zip(batch.column(where).cast(pa.binary()).to_pylist(), *(batch.column(len(names) - k).to_pylist() for k in (2, 1)), strict=True):
-                hit, own = shared.value.scan(words_of(raw or b""))
-                found.append(_spans(_span_union(hit, flat)))
-                owners.append(sorted(own.union(before or ())))
-            return pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, pa.list_(pa.int32())), pa.array(owners, pa.list_(pa.string()))], names)
+    A worker takes some megabytes of text, looks them up in one block after the
+    other, and holds one block at a time.
+    """
+    ensure_importable(docs.sparkSession)
+    where = docs.columns.index(text_col)
+    shared = [docs.sparkSession.sparkContext.broadcast(windows) for windows in blocks]
 
-        return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _in_turn(batches, where):
+            words = [words_of(t) for t in texts]
+            hits, names = [np.zeros(len(w), bool) for w in words], [set() for _ in words]
+            for block in shared:
+                windows = block.value
+                for own, hit, found in zip(words, hits, names, strict=True):
+                    here, items = windows.scan(own)
+                    hit |= here
+                    found |= items
+                if len(shared) > 1:
+                    vars(block).pop("_value", None)  # the next block takes its place; it is read from the worker's disk again
+            yield finish(part, texts, [len(w) for w in words], [_spans(hit) for hit in hits], [sorted(n) for n in names])
 
-    for windows in blocks:
-        marked = map_arrow(marked, marker(windows), marked.schema)
-    return marked
+    return docs.mapInArrow(run, schema)
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 10, block_words: int = 500_000) -> DataFrame:
     """``id_col, n_words, n_hit, spans, items``: spans are starts and ends of hit words, in turn."""
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
-    marked = _marked(rows, "_text", "spans", "items", blocks_of(benchmark, item_col=item_col, text_col=item_text_col, width=width, block_words=block_words))
     kind = rows.schema[id_col].dataType.simpleString()
 
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes = [len(words_of(t)) for t in texts_of(batch.column(1))]
-        hits = [sum(spans[1::2]) - sum(spans[::2]) for spans in batch.column(2).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(hits, pa.int64()), batch.column(2), batch.column(3)], [id_col, "n_words", "n_hit", "spans", "items"])
+    def counted(part: pa.RecordBatch, texts: list[bytes], sizes: list[int], spans: list[list[int]], items: list[list[str]]) -> pa.RecordBatch:
+        hits = [sum(s[1::2]) - sum(s[::2]) for s in spans]
+        return pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(hits, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))], [id_col, "n_words", "n_hit", "spans", "items"])
 
-    return map_arrow(marked, count, f"`{id_col}` {kind}, n_words bigint, n_hit bigint, spans array<int>, items array<string>")
+    blocks = blocks_of(benchmark, item_col=item_col, text_col=item_text_col, width=width, block_words=block_words)
+    return _scanned(rows, "_text", blocks, counted, f"`{id_col}` {kind}, n_words bigint, n_hit bigint, spans array<int>, items array<string>")
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -176,20 +186,19 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text"
     """
     names = docs.columns
     where = names.index(text_col)
-    blocks = blocks_of(benchmark, item_col=item_col, text_col=item_text_col, width=width, block_words=block_words)
-    marked = _marked(docs, text_col, free_name(names, "_spans"), free_name(names, "_items"), blocks)
-
-    def cutter(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, kept = [], []
-        for text, spans in zip(batch.column(where).cast(pa.binary()).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
-            keep = not spans or sum(spans[1::2]) - sum(spans[::2]) <= most_share * len(words_of(text))
-            texts.append(_without(text, spans) if spans and keep else text)
-            kept.append(keep)
-        columns = list(batch.columns[:-2])
-        columns[where] = pa.array(texts, pa.binary()).cast(batch.schema.types[where])
+
+    def cutter(part: pa.RecordBatch, texts: list[bytes], sizes: list[int], spans: list[list[int]], items: list[list[str]]) -> pa.RecordBatch:
+        left, kept = part.column(where).cast(pa.binary()).to_pylist(), []
+        for k, own in enumerate(spans):
+            kept.append(not own or sum(own[1::2]) - sum(own[::2]) <= most_share * sizes[k])
+            if own and kept[-1]:
+                left[k] = _without(texts[k], own)
+        columns = list(part.columns)
+        columns[where] = pa.array(left, pa.binary()).cast(part.schema.types[where])
         return pa.RecordBatch.from_arrays(columns, names).filter(pa.array(kept, pa.bool_()))
 
-    return map_arrow(marked, cutter, docs.schema)
+    blocks = blocks_of(benchmark, item_col=item_col, text_col=item_text_col, width=width, block_words=block_words)
+    return _scanned(docs, text_col, blocks, cutter, docs.schema)
 
 
 def _without(text: bytes, spans: list[int]) -> bytes:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from talkgrain.llm.common import cut, discard, ensure_importable, map_arrow, mixed, temporary, texts_of, window_hashes, word_hashes
+from talkgrain.llm.common import cut, discard, ensure_importable, free_name, map_arrow, mixed, temporary, texts_of, window_hashes, word_hashes
 from talkgrain.llm.components import components
 
 _CHUNK = 1 << 14
@@ -74,40 +74,42 @@ def shingles(text: bytes, width: int) -> np.ndarray:
 
 
 def frequency_sketch(docs: DataFrame, text_col: str, sim: Similarity) -> np.ndarray:
-    """How many shingles of all documents fall on each value of the first bits of a hash."""
+    """How many shingles of all documents fall on each value of the first bits of a hash, as numbers of 21 bits that grow with it."""
     ensure_importable(docs.sparkSession)
     size, shift = 1 << sim.sketch_bits, np.uint64(64 - sim.sketch_bits)
+    chunk = min(_CHUNK, size)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        total = np.zeros(size, np.uint32)
+        total = np.zeros(size, np.uint64)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 sets = [shingles(t, sim.width) for t in texts_of(batch.column(0).slice(start, 500))]
-                total += np.bincount(np.concatenate(sets) >> shift, minlength=size).astype(np.uint32)
+                total += np.bincount(np.concatenate(sets) >> shift, minlength=size).astype(np.uint64)
         salt = TaskContext.get().partitionId() % 64
-        rows = [(k, total[k : k + _CHUNK]) for k in range(0, size, _CHUNK)]
+        rows = [(k, total[k : k + chunk]) for k in range(0, size, chunk)]
         rows = [(k, part.tobytes()) for k, part in rows if part.any()]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([salt] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["chunk", "salt", "counts"])
 
     def add(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(_CHUNK, np.uint64)
+        total = np.zeros(chunk, np.uint64)
         first = None
         for batch in rows:
             first = first or (batch.column(0)[0].as_py(), batch.column(1)[0].as_py())
             for raw in batch.column(2).to_pylist():
-                total += np.frombuffer(raw, np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array([first[0]], pa.int64()), pa.array([first[1]], pa.int64()), pa.array([np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()])], ["chunk", "salt", "counts"])
+                total += np.frombuffer(raw, np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array([first[0]], pa.int64()), pa.array([first[1]], pa.int64()), pa.array([total.tobytes()])], ["chunk", "salt", "counts"])
 
     schema = "chunk bigint, salt bigint, counts binary"
     parts = docs.select(F.col(text_col).cast("string")).mapInArrow(count, schema)
     for keys in (["chunk", "salt"], ["chunk"]):
         parts = parts.groupBy(*keys).applyInArrow(add, schema)
-    sketch = np.zeros(size, np.uint32)
+    sketch = np.zeros(size, np.uint64)
     for row in parts.select("chunk", "counts").collect():
-        sketch[row.chunk : row.chunk + _CHUNK] = np.frombuffer(row.counts, np.uint32)[: size - row.chunk]
-    return sketch
+        sketch[row.chunk : row.chunk + chunk] = np.frombuffer(row.counts, np.uint64)
+    # By magnitude, to a part in two thousand: 21 bits for any count.
+    return sketch.astype(np.float32).view(np.uint32) >> np.uint32(11)
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> DataFrame:
@@ -127,7 +129,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) ->
                 groups.append(None)
                 prefixes.append(None)
                 continue
-            rank = (np.minimum(counts[own >> shift], (1 << 20) - 1).astype(np.uint64) << np.uint64(44)) | (mixed(own) >> np.uint64(20))
+            rank = (counts[own >> shift].astype(np.uint64) << np.uint64(43)) | (mixed(own) >> np.uint64(21))
             prefix = own[np.argsort(rank, kind="stable")[: sim.prefix(len(own))]]
             keys.append(xxhash.xxh3_128_digest(own.tobytes()))
             groups.append(xxhash.xxh3_128_digest(prefix.tobytes() + len(own).to_bytes(8, "little")))
@@ -258,10 +260,21 @@ def _near_duplicates(docs: DataFrame, sim: Similarity, id_col: str, text_col: st
 
 
 def keep_one(docs: DataFrame, sim: Similarity | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with the least id, in one row; rows without an id stay."""
-    kept = near_duplicates(docs, sim, id_col=id_col, text_col=text_col).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col)).distinct()
-    with_id = docs.where(F.col(id_col).isNotNull()).join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return with_id.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    """``docs`` with one row of each group of near copies: the one with the least id; rows without an id stay.
+
+    Texts that share an id are documents of their own, of which the one with the
+    least hash comes first, so no text is lost that has no near copy. Of rows
+    that repeat id and text, the one with the least hash of all columns stays.
+    """
+    name = free_name(docs.columns, "_key")
+    keyed = docs.where(F.col(id_col).isNotNull()).withColumn(name, F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text")))
+    found = near_duplicates(keyed, sim, id_col=name, text_col=text_col)
+    kept = found.where(F.col(name) == F.col("component_id")).groupBy(name).agg(F.count("*").alias("_rows"))
+    # A null text has a hash too; rows that repeat a key are few and meet by it.
+    once = keyed.join(kept.where("_rows = 1").select(name), name, "left_semi").select(docs.columns)
+    told = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    several = keyed.join(kept.where("_rows > 1").select(name), name, "left_semi").groupBy(name).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*told)).alias("_row"))
+    return once.unionByName(several.select("_row.*")).unionByName(docs.where(F.col(id_col).isNull()))
 
 
 #: For three words a shingle and 0.9; ids must be unique.

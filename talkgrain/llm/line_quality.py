@@ -159,9 +159,9 @@ def fit(x: np.ndarray, sizes: np.ndarray, labels: np.ndarray, *, n_bins: int = 1
     return field
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample_documents: int = 4_000, id_col: str = "doc_id", text_col: str = "text") -> LineField:
-    """Fit to all lines of at most ``sample_documents`` labelled rows that are not held out."""
-    sample = labelled_sample(docs, labels, label=label, limit=sample_documents, id_col=id_col, text_col=text_col)
+def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample_documents: int = 4_000, max_chars: int = 40_000_000, id_col: str = "doc_id", text_col: str = "text") -> LineField:
+    """Fit to all lines of at most ``sample_documents`` labelled rows that are not held out, of ``max_chars`` characters in all."""
+    sample = labelled_sample(docs, labels, label=label, limit=sample_documents, max_chars=max_chars, id_col=id_col, text_col=text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [np.array(document_features(lines_of(raw or b"")), np.float64).ravel() for raw in batch.column(0).cast(pa.binary()).to_pylist()]

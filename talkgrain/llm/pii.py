@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkgrain.llm.common import map_arrow
-from talkgrain.llm.sampling import least_hashes
+from talkgrain.llm.sampling import least_hashes, within
 
 KINDS = ("email", "ip", "card", "phone")
 _FACTS = bytes(b for b in range(256) if b not in b"0123456789@")
@@ -322,10 +322,10 @@ def fit(sample: Sample, *, size: int, epochs: int = 80, rate: float = 0.5, ridge
     return Field(weights, adjacent, distant, bare)
 
 
-def train(docs: DataFrame, *, text_col: str = "text", sample_documents: int = 2_000, size: int = 4_096, epochs: int = 80) -> Field:
-    """Fit the field to all nodes of at most ``sample_documents`` different texts with a digit or an at sign, those of the least hashes."""
+def train(docs: DataFrame, *, text_col: str = "text", sample_documents: int = 2_000, max_chars: int = 40_000_000, size: int = 4_096, epochs: int = 80) -> Field:
+    """Fit the field to all nodes of at most ``sample_documents`` different texts with a digit or an at sign, those of the least hashes, of ``max_chars`` characters in all."""
     rows = docs.select(F.col(text_col).cast("string").alias("_text")).where(F.col("_text").rlike("[0-9@]"))
-    rows = least_hashes(rows, ["_text"], of=docs, limit=sample_documents)
+    rows = within(least_hashes(rows, ["_text"], limit=sample_documents), ["_text"], max_chars)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns: list[list] = [[], [], [], []]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from talkgrain.llm.common import cut, held_out
@@ -10,20 +11,27 @@ from talkgrain.llm.common import cut, held_out
 _RANGE = 1 << 40
 
 
-def least_hashes(rows: DataFrame, keys: list[str], *, of: DataFrame, limit: int) -> DataFrame:
-    """At most ``limit`` different rows, those whose keys' hashes are least.
+def least_hashes(rows: DataFrame, keys: list[str], *, limit: int) -> DataFrame:
+    """``limit`` different rows, those whose keys' hashes are least; all if there are no more.
 
-    ``of`` is the table that ``rows`` are a part of: by its size, rows with too
-    large a hash are left out at the scan, so that what is sorted is bounded. A
-    small part of a very large table may so give fewer rows than the limit.
+    About how many different keys there are tells from which hash on rows need
+    not be looked at, so that what is made distinct and sorted is some times the limit.
     """
-    total = of.count()
-    share = min(1.0, 8 * limit / total) if total else 1.0
-    near = rows.where(F.pmod(F.xxhash64(*keys), F.lit(_RANGE)) < int(share * _RANGE)) if share < 1 else rows
-    return near.distinct().orderBy(F.pmod(F.xxhash64(*keys), F.lit(_RANGE)), *keys).limit(limit)
+    place = F.pmod(F.xxhash64(*keys), F.lit(_RANGE))
+    different = rows.agg(F.approx_count_distinct(F.xxhash64(*keys))).first()[0]
+    near = rows.where(place < int(8 * limit / different * _RANGE)) if different > 8 * limit else rows
+    return near.distinct().orderBy(place, *keys).limit(limit)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, *, label: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def within(sample: DataFrame, keys: list[str], max_chars: int, text_col: str = "_text") -> DataFrame:
+    """The rows of a sample, in the order of their keys' hashes, whose texts have ``max_chars`` characters in all; a text longer than that is passed over."""
+    sizes = sample.select(F.xxhash64(*keys).alias("_h"), F.length(text_col).cast("bigint").alias("_n")).where(F.col("_n") <= max_chars)
+    # Two numbers a row, of as many rows as the sample's limit.
+    upto = sizes.withColumn("_sum", F.sum("_n").over(W.partitionBy(F.lit(0)).orderBy("_h"))).where(F.col("_sum") <= max_chars).select("_h").distinct()
+    return sample.withColumn("_h", F.xxhash64(*keys)).join(upto, "_h", "left_semi").drop("_h")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, *, label: str, limit: int, max_chars: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``_text, _label, _part``: at most ``limit`` labelled documents that are not held out, by the least hashes of their ids.
 
     ``_part`` is an even number from 0 to 99 for splits. Of labels that repeat
@@ -32,10 +40,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, label: str, limit: in
     as ids and labels only, and the sample.
     """
     usable = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
-    chosen = least_hashes(usable.select(F.col(id_col).alias("_id")), ["_id"], of=labels, limit=limit)
+    chosen = least_hashes(usable.select(F.col(id_col).alias("_id")), ["_id"], limit=limit)
     known = usable.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label"))
     chosen = known.join(F.broadcast(chosen), "_id", "left_semi").groupBy("_id").agg(F.max("_label").alias("_label"))
     part = F.pmod(F.xxhash64(F.lit(7), "_id"), F.lit(100)).cast("int")
     rows = docs.select(F.col(id_col).alias("_key"), F.col(text_col).cast("string").alias("_text"))
     found = rows.join(F.broadcast(chosen), F.col("_key") == F.col("_id")).groupBy("_id", "_label").agg(F.min(F.struct(F.xxhash64("_text"), "_text")).alias("_one"))
-    return cut(found.select(F.col("_one._text").alias("_text"), "_label", part.alias("_part")), name="sample")
+    found = cut(found.select("_id", F.coalesce("_one._text", F.lit("")).alias("_text"), "_label", part.alias("_part")), name="sample")
+    return within(found, ["_id"], max_chars).drop("_id")

@@ -210,7 +210,8 @@ class PrefixCounter:
             # Prefixes that end inside the special string take its start as ordinary text.
             pieces = self.pieces(before)
             tail = pieces[-1] if pieces else ""
-            base = int(grown.sum()) - int(grown[len(grown) - len(tail) :].sum()) if tail else 0
+            # The piece as such: what a run of white space before it adds and takes again is no part of it.
+            base = int(grown.sum(dtype=np.int64)) - int(np.frombuffer(self.table(tail), np.int8).sum(dtype=np.int64)) if tail else 0
             counts = [int(grown.sum())]
             for k in range(1, hit.end() - hit.start()):
                 counts.append(base + int(self._segment(tail + hit.group()[:k]).sum()))

@@ -213,9 +213,9 @@ class Model:
         return np.clip(np.interp(margin, *self.knots), 0, 1)
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample_documents: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Half of at most ``sample_documents`` labelled rows for the lexicon, three tenths for the trees, the rest for calibration."""
-    sample = labelled_sample(docs, labels, label=label, limit=sample_documents, id_col=id_col, text_col=text_col)
+def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample_documents: int = 20_000, max_chars: int = 200_000_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Half of at most ``sample_documents`` labelled rows, of ``max_chars`` characters in all, for the lexicon, three tenths for the trees, the rest for calibration."""
+    sample = labelled_sample(docs, labels, label=label, limit=sample_documents, max_chars=max_chars, id_col=id_col, text_col=text_col)
     lexicon = learn_lexicon(sample.where("_part < 50"))
     names = [f"f{k}" for k in range(len(FEATURES))]
 

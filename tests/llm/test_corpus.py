@@ -8,12 +8,14 @@ from collections import defaultdict
 
 import brute
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from talkgrain.llm import jaccard_join, line_dedup, mixing
 from talkgrain.llm.common import cut
 from talkgrain.llm.components import components
+from talkgrain.llm.sampling import least_hashes, within
 
 
 def _lines(rnd, n, pool, longest):
@@ -202,3 +204,38 @@ def test_mix_is_in_order(spark):
     assert positions == sorted(positions)
     mean = {s: sum(r.position for r in rows if r.source == s) / sum(r.source == s for r in rows) for s in ("s0", "s2")}
     assert mean["s0"] < mean["s2"]
+
+
+def test_keep_one_loses_no_text(spark):
+    """Texts that share an id are documents of their own; which rows stay does not depend on their order."""
+    a, b = (" ".join(f"{c}{k}" for k in range(40)) for c in "wx")
+    rows = [(1, a, "p"), (1, b, "q"), (2, b + " y", "r"), (3, a, "s"), (1, a, "t"), (1, a, "p"), (None, a, "u"), (5, None, "v"), (5, "", "w"), (6, "z", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, extra string").withColumn("_key", F.lit(1))
+    kept = [sorted(map(str, map(tuple, jaccard_join.keep_one(d, jaccard_join.Similarity(5, 4, 5, sketch_bits=bits)).collect()))) for d, bits in ((df, 9), (df.repartition(7), 20))]
+    assert kept[0] == kept[1] and len(kept[0]) == 6
+    assert [(r[0], r[1][:2]) for r in sorted(map(lambda x: (x.doc_id, x.text or "-"), jaccard_join.keep_one(df).collect()), key=str)] == [(1, "w0"), (1, "x0"), (5, "-"), (5, "-"), (6, "z"), (None, "w0")]
+    assert jaccard_join.keep_one(df.limit(0)).isEmpty()
+
+
+def test_order_without_a_cap(spark, monkeypatch):
+    """However many shingles there are, what many documents share comes last in the order."""
+    rnd = random.Random(2)
+    shared = " ".join(f"s{k}" for k in range(60))
+    docs = [(k, " ".join(f"u{rnd.randint(0, 10**9)}" for _ in range(40)) + " " + shared) for k in range(300)]
+    real = jaccard_join.frequency_sketch
+    low = real(spark.createDataFrame(docs, "doc_id long, text string"), "text", jaccard_join.Similarity())
+    counts = [1, 2, 3, 500, 2**20, 2**21, 2**32, 2**45]
+    assert (lambda x: x == sorted(set(x)))([int(v) for v in np.array(counts, np.uint64).astype(np.float32).view(np.uint32) >> np.uint32(11)])
+    assert low.max() < 1 << 21 and len(set(low.tolist())) > 3
+    assert _near(spark, docs) == {k: (98, k) for k, _ in docs}
+
+
+def test_samples(spark):
+    rows = spark.range(200).select((F.col("id") * 7).alias("_id")).union(spark.range(20_000).select(F.lit(7).cast("long").alias("_id")))
+    assert least_hashes(rows, ["_id"], limit=2_000).count() == 200 and least_hashes(rows, ["_id"], limit=15).count() == 15
+    many = spark.range(100_000).withColumnRenamed("id", "_id")
+    least = [r[0] for r in many.orderBy(F.pmod(F.xxhash64("_id"), F.lit(1 << 40)), "_id").limit(50).collect()]
+    assert sorted(r[0] for r in least_hashes(many, ["_id"], limit=50).collect()) == sorted(least)
+    texts = spark.createDataFrame([(k, "x" * (10 if k else 1000)) for k in range(50)] + [(60, "")], "_id long, _text string")
+    kept = within(texts, ["_id"], 120).collect()
+    assert 12 <= len(kept) <= 13 and all(r._id for r in kept)

@@ -17,6 +17,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from talkgrain.llm import decontamination, license_scan, pii, quality_rules, token_counts
+from talkgrain.llm.queries import tokenizer_path
 
 EDGES = [(1, None), (2, ""), (3, " \n\t "), (4, "word " * 30_000), (5, "x" * 50_000), (None, "no id here"), (7, "é" * 25 + " ß \x0b日本")]
 
@@ -316,3 +317,33 @@ def test_licence_weights_count_whole_texts_of_all_documents(spark):
         scores[n] = license_scan.scan(docs, weights).where("doc_id = 0").first()
     assert {r.own_license for r in scores.values()} == {"MIT"}
     assert scores[200].own_score == pytest.approx(scores[20_000].own_score, abs=0.02)
+
+
+@pytest.mark.parametrize("chunk", [1, 30, 8_000_000])
+def test_one_pass_for_any_number_of_blocks(spark, monkeypatch, chunk):
+    monkeypatch.setattr(decontamination, "_CHUNK_BYTES", chunk)
+    docs = spark.createDataFrame([(k, f"w{k} w{k + 1} w{k + 2} w{k + 3} and w{k}") for k in range(60)] + [(100, None), (101, "")], "doc_id long, text string").coalesce(2)
+    items = spark.createDataFrame([(k, f"w{k} w{k + 1} w{k + 2}") for k in range(0, 60, 3)], "item_id long, text string")
+    found = decontamination.find_hits(docs, items, width=3, block_words=6)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r.doc_id: r.n_hit for r in found.collect()} == {**dict(_plain_hits(60)), 100: 0, 101: 0}
+
+
+def _plain_hits(n):
+    """Words of each document that lie in one of the items of three words."""
+    wanted = {tuple(f"w{k + j}" for j in range(3)) for k in range(0, n, 3)}
+    for k in range(n):
+        words = [f"w{k}", f"w{k + 1}", f"w{k + 2}", f"w{k + 3}", "and", f"w{k}"]
+        yield k, len({p for at in range(4) if tuple(words[at : at + 3]) in wanted for p in range(at, at + 3)})
+
+
+def test_every_prefix_near_special_strings_and_gaps():
+    """What a run of white space before a word adds and takes again, also where a special string follows."""
+    tokenizers = pytest.importorskip("tokenizers")
+    library, counter = tokenizers.Tokenizer.from_file(tokenizer_path()), token_counts.PrefixCounter.load(tokenizer_path())
+    rnd, parts = random.Random(1), ["a", "b", " ", "  ", "\n", "\n\n", "\t", "'s", "'ll", "<|endoftext|>", "é", "한", "!", "12", "x ", "<|", "The", " dog"]
+    for _ in range(1500):
+        text, total = "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 14))), 0
+        for k, more in enumerate(counter.prefixes(text), 1):
+            total += int(more)
+            assert total == len(library.encode(text[:k], add_special_tokens=False).ids), (text, k)
