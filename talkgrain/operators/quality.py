@@ -10,6 +10,7 @@ from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from talkgrain import constants as K
@@ -192,39 +193,121 @@ def review(duplicate_rate: float, target: dict[str, Any], signals: dict[str, Any
     return {"review_required": bool(found), "reasons": found}
 
 
-def report(records: DataFrame, turns: DataFrame, defaults: DataFrame) -> dict[str, Any]:
-    """All figures of a corpus as one dictionary, rounded at four places."""
-    one = lambda df: df.first().asDict()
-    table = lambda df, key: {r[key]: r["n"] for r in df.orderBy(key).collect()}
-    rate = lambda a, b: round(a / b, 4) if b else 0.0
-    repeats, risk, style, target, signals = one(duplicate_utterances(turns)), one(risk_coverage(records, defaults)), one(style_alignment(records)), one(target_alignment(records)), one(signal_counts(turns))
-    sums, cues = cue_diversity(turns)
-    cue_sums, cue_rows = one(sums), cues.collect()
-    policy = placeholder_policy(unknown_placeholder_counts(turns)).collect()
-    flags = {r["flag"]: {k: r[k] for k in ("pass", "fail", "missing")} for r in quality_checks(records).collect()}
-    observations = sum(r["n"] for r in cue_rows)
-    dominant = max(cue_rows, key=lambda r: r["n"], default=None)
+def _record_facts(records: DataFrame, defaults: DataFrame) -> DataFrame:
+    """``section, key, n, place``: what each record adds to the figures."""
+    usual = defaults.select("scenario_type", F.array_sort(F.array_distinct("risks")).alias("_usual"))
+    rows = records.join(usual, "scenario_type", "left")
+    meta, seen = F.col("gen_metadata"), attacker_risks(F.col("dialogue"))
+    context, style, target = meta["environmental_context"], meta["pressure_style"], meta["target_outcome_mode"]
+    named = lambda section, value: F.struct(F.lit(section).alias("section"), F.coalesce(value.cast("string"), F.lit("unknown")).alias("key"), F.lit(1).cast("bigint").alias("n"))
+    counted = lambda section, key, n=None: F.struct(F.lit(section).alias("section"), F.lit(key).alias("key"), (F.lit(1) if n is None else n).cast("bigint").alias("n"))
+    when = lambda condition, fact: F.when(F.coalesce(condition, F.lit(False)), fact)
+    flag = lambda c: F.when(c, "pass").when(~c, "fail").otherwise("missing")
+    styled, aimed = stripped(style) != "", stripped(target) != ""
+    cues = F.when(styled, L.pressure_cues(F.array_join(speaker_texts(F.col("dialogue"), "attacker"), " ")))
+    rows = rows.withColumns({"_seen": seen, "_cues": cues})
+    observed = F.coalesce("outcome", F.lit("unknown"))
+    matches = F.when(target == "masked_compromise", observed == "compromised").otherwise(observed == target)
+    repaired = F.coalesce(meta["target_outcome_deterministic_repair_applied"], meta["target_outcome_repair_applied"], F.lit(False))
+    rewritten = F.coalesce(meta["target_outcome_llm_rewrite_applied"], F.lit(False))
+    facts = [
+        counted("corpus", "records"), counted("corpus", "turns", F.greatest(F.size("dialogue"), F.lit(0))), *(named(k, F.col(c)) for k, c in (("label", "label"), ("outcome", "outcome"), ("scenario", "scenario_type"))),
+        named("victim", F.col("victim_persona.id")), named("attacker", F.col("attacker_persona.id")), *(named(f"flag {f}", flag(F.col(f"quality_checks.{f}"))) for f in K.QUALITY_FLAGS if "quality_checks" in records.columns),
+        counted("risk", "records"), when(F.coalesce("_usual", F.array(F.lit("voice_impersonation"))) != F.col("_seen"), counted("risk", "mismatches")), when(F.size("_seen") == 0, counted("risk", "without_risk")),
+        when(F.coalesce(F.col("label") != "attack", F.lit(True)), counted("corpus", "not_attacks")), when(stripped(F.col("id").cast("string")) != "", named("id", F.col("id"))),
+        *(F.when(stripped(context[f]) != "", named(f"context {f}", context[f])).otherwise(counted(f"context {f}", "")) for f in K.CONTEXT_FIELDS),
+        when(styled, counted("style", "assigned")), when(F.array_contains("_cues", style), counted("style", "matches")), when((style != "urgency") & F.array_contains("_cues", "urgency"), counted("style", "urgency_leaks")),
+        when(aimed, counted("target", "assigned")), when(aimed & matches, counted("target", "matches")), when(aimed & repaired, counted("target", "repaired")), when(aimed & rewritten, counted("target", "rewritten")),
+        when(aimed & matches & ~repaired & ~rewritten & (meta["target_outcome_generation_attempts"] > 1), counted("target", "retried")),
+    ]
+    masks = F.transform(F.coalesce("safety_masks", F.array().cast("array<struct<label:string,placeholder:string>>")), lambda m: named("mask", m["label"]))
+    return rows.select(F.inline(F.filter(F.concat(F.array(*facts), masks), lambda x: x.isNotNull())))
+
+
+def _turn_facts(turns: DataFrame) -> DataFrame:
+    """The same of each turn; ``place``: where a cue was seen."""
+    counted = lambda section, key, n=None: F.struct(F.lit(section).alias("section"), (key if isinstance(key, Column) else F.lit(key)).alias("key"), (F.lit(1) if n is None else n).cast("bigint").alias("n"), F.lit(None).cast("int").alias("at"))
+    rows = signal_turns(turns).withColumn("_cues", F.when(F.col("speaker") == "attacker", L.pressure_cues(F.coalesce("utterance", F.lit("")))))
+    when = lambda condition, fact: F.when(F.coalesce(condition, F.lit(False)), fact)
+    facts = [
+        counted("utterance", F.hex(F.xxhash64(duplicate_key(F.coalesce("utterance", F.lit("")))))), when(F.col("speaker") == "attacker", counted("cues", "attacker_turns")), when(F.size("_cues") > 0, counted("cues", "with_cue")), when(F.array_contains("_cues", "urgency"), counted("cues", "urgent")),
+        counted("signal", "stage_direction_count", F.col("stage_directions")), when(F.col("odd_mask"), counted("signal", "mask_usage_anomaly_count")), counted("signal", "unknown_masked_placeholder_count", F.size("unknown_placeholders")),
+        when(F.col("partial_compliance"), counted("signal", "partial_compliance_signal_count")), when(F.size("entities") > 0, counted("signal", "korean_entity_warning_count")),
+    ]
+    each = F.concat(
+        F.array(*facts), F.transform("unknown_placeholders", lambda p: counted("placeholder", p)),
+        F.transform(F.coalesce("_cues", F.array().cast("array<string>")), lambda c, k: F.struct(F.lit("cue").alias("section"), c.alias("key"), F.lit(1).cast("bigint").alias("n"), k.alias("at"))),
+    )
     order = "ord" if "ord" in turns.columns else F.struct("record_id", "turn_id")
-    told = signal_turns(turns)
-    shown = {
+    told = rows.select((F.col(order) if isinstance(order, str) else order).alias("_order"), F.inline(F.filter(each, lambda x: x.isNotNull())))
+    return told.select("section", "key", "n", F.when(F.col("at").isNotNull(), F.struct(F.col("_order").alias("order"), "at")).alias("place"))
+
+
+def figures(records: DataFrame, turns: DataFrame, defaults: DataFrame) -> DataFrame:
+    """``section, key, n, repeats, kinds, first``: every count of the report, from one pass over records and one over turns.
+
+    All counts are sums over one long table. Utterances and ids are as many as
+    the corpus has: they come out as one row each section, with how many repeat another one, and ids that do by themselves.
+    ``first`` is where a cue was first seen, for ties.
+    """
+    told = _turn_facts(turns)
+    long = _record_facts(records, defaults).withColumn("place", F.lit(None).cast(told.schema["place"].dataType)).unionByName(told)
+    each = long.groupBy("section", "key").agg(F.sum("n").alias("n"), F.min("place").alias("first"))
+    single = (F.col("section") == "utterance") | ((F.col("section") == "id") & (F.col("n") <= 1))
+    named = each.select("section", F.when(single, "").otherwise(F.col("key")).alias("key"), "n", "first")
+    return named.groupBy("section", "key").agg(F.sum("n").alias("n"), F.sum(F.col("n") - 1).alias("repeats"), F.count("*").alias("kinds"), F.min("first").alias("first"))
+
+
+def _example_kinds() -> Column:
+    kinds = {
         "stage_direction_examples": F.col("stage_directions") > 0, "mask_usage_anomaly_examples": F.col("odd_mask"), "unknown_masked_placeholder_examples": F.size("unknown_placeholders") > 0, "partial_compliance_examples": F.col("partial_compliance"),
         "korean_entity_warnings": F.size("entities") > 0,
     }
-    signals |= {name: [r.asDict() for r in examples(told, condition, order=order).collect()] for name, condition in shown.items()}
-    n, length = (records.agg(F.count("*").alias("n"), F.avg(F.size("dialogue")).alias("avg")).first()[k] for k in (0, 1))
-    duplicate_rate = rate(repeats["duplicates"], repeats["n"])
-    urgent = rate(cue_sums["urgent"], cue_sums["with_cue"])
+    return F.filter(F.array(*[F.when(condition, name) for name, condition in kinds.items()]), lambda x: x.isNotNull())
+
+
+def all_examples(turns: DataFrame, limit: int = 10) -> DataFrame:
+    """A top-k report: ``kind, place, record_id, turn_id, utterance``, the first few turns of each kind, all kinds in one pass."""
+    order = F.col("ord") if "ord" in turns.columns else F.struct("record_id", "turn_id")
+    rows = signal_turns(turns).select(F.explode(_example_kinds()).alias("kind"), order.alias("_order"), "record_id", "turn_id", truncated(F.col("utterance")).alias("utterance"))
+    return rows.withColumn("place", F.row_number().over(W.partitionBy("kind").orderBy("_order"))).where(F.col("place") <= limit).drop("_order")
+
+
+def report(records: DataFrame, turns: DataFrame, defaults: DataFrame) -> dict[str, Any]:
+    """All figures of a corpus as one dictionary, rounded at four places: one query for the figures, one for examples."""
+    rate = lambda a, b: round(a / b, 4) if b else 0.0
+    found: dict[str, dict[str, Any]] = {}
+    for r in figures(records, turns, defaults).collect():
+        found.setdefault(r.section, {})[r.key] = r
+    number = lambda section, key: found.get(section, {})[key].n if key in found.get(section, {}) else 0
+    some = lambda section, keys: {k: number(section, k) for k in keys}
+    table = lambda section: {k: r.n for k, r in sorted(found.get(section, {}).items())}
+    said = found.get("utterance", {}).get("")
+    repeats = {"duplicates": said.repeats if said else 0, "n": said.n if said else 0}
+    risk, style = some("risk", ("records", "mismatches", "without_risk")), some("style", ("assigned", "matches", "urgency_leaks"))
+    target, cue_sums = some("target", ("assigned", "matches", "repaired", "rewritten", "retried")), some("cues", ("attacker_turns", "with_cue", "urgent"))
+    signals: dict[str, Any] = some("signal", ("stage_direction_count", "mask_usage_anomaly_count", "unknown_masked_placeholder_count", "partial_compliance_signal_count", "korean_entity_warning_count"))
+    cues = sorted(found.get("cue", {}).values(), key=lambda r: (-r.n, r.first))
+    observations = sum(r.n for r in cues)
+    flags = {f: some(f"flag {f}", ("pass", "fail", "missing")) for f in K.QUALITY_FLAGS}
+    spark = records.sparkSession
+    policy = placeholder_policy(spark.createDataFrame([(k, n) for k, n in table("placeholder").items()], "placeholder string, n bigint")).collect() if found.get("placeholder") else []
+    shown: dict[str, list] = {name: [] for name in ("stage_direction_examples", "mask_usage_anomaly_examples", "unknown_masked_placeholder_examples", "partial_compliance_examples", "korean_entity_warnings")}
+    for r in sorted(all_examples(turns).collect(), key=lambda r: r.place):
+        shown[r.kind].append({"record_id": r.record_id, "turn_id": r.turn_id, "utterance": r.utterance})
+    n, duplicate_rate, urgent = number("corpus", "records"), rate(repeats["duplicates"], repeats["n"]), rate(cue_sums["urgent"], cue_sums["with_cue"])
+    contexts_ = {f: {"present": sum(r.n for k, r in own.items() if k), "missing": own[""].n if "" in own else 0, "distinct": sum(1 for k in own if k)} for f in K.CONTEXT_FIELDS for own in [found.get(f"context {f}", {})]}
     return {
-        "record_count": n, "average_turns": round(length or 0.0, 2), "duplicate_utterances": repeats["duplicates"], "duplicate_utterance_rate": duplicate_rate,
-        "duplicate_record_ids": table(duplicate_ids(records), "id"), "mask_counts": table(mask_counts(records), "label"), "quality_checks": flags,
-        "quality_pass_rate": {k: rate(v["pass"], sum(v.values())) for k, v in flags.items()}, "outcome_distribution": table(value_counts(records, "outcome", "outcome"), "outcome"),
-        "attack_only_policy": {"pass": (bad := one(not_attacks(records))["non_attack_count"]) == 0, "non_attack_count": bad}, "scenario_risk_coverage": risk | {"mismatch_rate": rate(risk["mismatches"], risk["records"])},
-        "pressure_cues": cue_sums | {"category_counts": dict(sorted((r["cue"], r["n"]) for r in cue_rows)), "dominant": dominant["cue"] if dominant else "", "dominant_rate": rate(dominant["n"], observations) if dominant else 0.0,
-                                     "urgency_rate": urgent, "urgency_warning": cue_sums["with_cue"] >= 3 and urgent >= 0.75 and len(cue_rows) <= 2},
+        "record_count": n, "average_turns": round(number("corpus", "turns") / n, 2) if n else 0.0, "duplicate_utterances": repeats["duplicates"], "duplicate_utterance_rate": duplicate_rate,
+        "duplicate_record_ids": {k: r for k, r in table("id").items() if k}, "mask_counts": table("mask"), "quality_checks": flags,
+        "quality_pass_rate": {k: rate(v["pass"], sum(v.values())) for k, v in flags.items()}, "outcome_distribution": table("outcome"), "label_distribution": table("label"), "scenario_distribution": table("scenario"),
+        "victim_distribution": table("victim"), "attacker_distribution": table("attacker"),
+        "attack_only_policy": {"pass": (bad := number("corpus", "not_attacks")) == 0, "non_attack_count": bad}, "scenario_risk_coverage": risk | {"mismatch_rate": rate(risk["mismatches"], risk["records"])},
+        "pressure_cues": cue_sums | {"category_counts": {r.key: r.n for r in sorted(cues, key=lambda r: r.key)}, "dominant": cues[0].key if cues else "", "dominant_rate": rate(cues[0].n, observations) if cues else 0.0,
+                                     "urgency_rate": urgent, "urgency_warning": cue_sums["with_cue"] >= 3 and urgent >= 0.75 and len(cues) <= 2},
         "pressure_style_alignment": style | {"match_rate": rate(style["matches"], style["assigned"]), "urgency_leakage_rate": rate(style["urgency_leaks"], style["assigned"])},
-        "target_outcome_alignment": target | {"match_rate": rate(target["matches"], target["assigned"]), "repair_rate": rate(target["repaired"], target["assigned"])}, "quality_signals": signals,
-        "environmental_context": {r["field"]: {k: r[k] for k in ("present", "missing", "distinct")} for r in contexts(records).collect()},
-        "placeholder_policy": {r.placeholder: {"count": r.n, "decision": r.decision, "bucket": r.bucket} for r in sorted(policy, key=lambda r: r.placeholder)},
+        "target_outcome_alignment": target | {"match_rate": rate(target["matches"], target["assigned"]), "repair_rate": rate(target["repaired"], target["assigned"])}, "quality_signals": signals | shown,
+        "environmental_context": contexts_, "placeholder_policy": {r.placeholder: {"count": r.n, "decision": r.decision, "bucket": r.bucket} for r in sorted(policy, key=lambda r: r.placeholder)},
         "final_review": review(duplicate_rate, target, signals, sum(r.n for r in policy if r.decision == "unclassified_review_required")),
     }
 

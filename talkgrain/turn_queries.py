@@ -9,7 +9,7 @@ from talkgrain import constants as K
 from talkgrain.functions import gates, labels, masking, text
 from talkgrain.operators import quality, records, stream
 from talkgrain.queries import registered
-from talkgrain.rule_queries import _HAS, _MASK, _REFUSES, _RULES, _SPOKEN, _any, _item_records, _list, _names, _said, spoken
+from talkgrain.rule_queries import _HAS, _MASK, _RECORDS, _REFUSES, _RULES, _SPOKEN, _any, _item_records, _list, _names, _re, _said, spoken, spoken_records
 from talkgrain.sources import jsonl
 from talkgrain.streaming import transitions as online
 
@@ -202,3 +202,46 @@ def placeholder_policy_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = _said(tuple(p for p, _, _ in PLACEHOLDERS), F.col("stream_id").cast("bigint") * 3 + F.col("turn_id"))
     turns = spoken(spark, sf_dir).select(F.concat("phrase", F.lit(" "), more).alias("utterance"))
     return quality.placeholder_policy(quality.unknown_placeholder_counts(turns)).select("placeholder", "n", "decision", "bucket")
+
+
+def _corpus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Records, their turns in order, and the usual risks of two scenarios."""
+    rows = spoken_records(spark, sf_dir)
+    told = records.turns(rows.select(F.col("id").alias("record_id"), "dialogue")).withColumn("ord", F.struct(F.col("record_id").cast("bigint"), "place"))
+    defaults = spark.createDataFrame([("scenario-0", ["urgency", "authority_impersonation"]), ("scenario-1", ["urgency"])], "scenario_type string, risks array<string>")
+    return rows, told, defaults
+
+
+_CUE_LIST = "list_filter([" + ", ".join(f"CASE WHEN {_re('{c}', p)} THEN '{n}' END" for n, p in K.PRESSURE_CUES.items()).replace("{c}", "@") + "], lambda c: c IS NOT NULL)"
+_LONG = _RECORDS.rstrip() + f""", d AS (SELECT *, CASE scenario_type WHEN 'scenario-0' THEN ['authority_impersonation', 'urgency'] WHEN 'scenario-1' THEN ['urgency'] ELSE ['voice_impersonation'] END AS usual, {_CUE_LIST.replace('@', "array_to_string(list_filter(said, lambda s, i: i % 2 = 1), ' ')")} AS cues,
+  CASE WHEN target = 'masked_compromise' THEN outcome = 'compromised' ELSE outcome = target END AS matches, len(said) AS n_turns FROM q),
+w AS (SELECT u.*, {_CUE_LIST.replace('@', 'phrase')} AS cues, regexp_extract_all(phrase, '{_MASK}') AS found FROM u),
+l AS (SELECT 'corpus' AS section, 'records' AS key, 1 AS n FROM d UNION ALL SELECT 'corpus', 'turns', n_turns FROM d UNION ALL SELECT 'corpus', 'not_attacks', 1 FROM d WHERE label <> 'attack' UNION ALL SELECT 'label', label, 1 FROM d UNION ALL SELECT 'outcome', outcome, 1 FROM d
+  UNION ALL SELECT 'scenario', scenario_type, 1 FROM d UNION ALL SELECT 'victim', 'v' || k % 5, 1 FROM d UNION ALL SELECT 'attacker', 'a' || k % 3, 1 FROM d UNION ALL SELECT 'risk', 'records', 1 FROM d UNION ALL SELECT 'risk', 'mismatches', 1 FROM d WHERE usual <> seen
+  UNION ALL SELECT 'risk', 'without_risk', 1 FROM d WHERE len(seen) = 0 UNION ALL SELECT 'id', '', 1 FROM d UNION ALL SELECT 'context ' || f, CASE WHEN k % (j + 3) = 0 THEN '' ELSE f || '-' || k % (j + 2) END, 1 FROM d, (SELECT unnest({_list(K.CONTEXT_FIELDS)}) AS f, unnest(range({len(K.CONTEXT_FIELDS)})) AS j)
+  UNION ALL SELECT 'style', 'assigned', 1 FROM d WHERE style IS NOT NULL UNION ALL SELECT 'style', 'matches', 1 FROM d WHERE list_contains(cues, style) UNION ALL SELECT 'style', 'urgency_leaks', 1 FROM d WHERE style <> 'urgency' AND list_contains(cues, 'urgency')
+  UNION ALL SELECT 'target', 'assigned', 1 FROM d WHERE target IS NOT NULL UNION ALL SELECT 'target', 'matches', 1 FROM d WHERE matches UNION ALL SELECT 'target', 'repaired', 1 FROM d WHERE target IS NOT NULL AND k % 6 = 1 UNION ALL SELECT 'target', 'rewritten', 1 FROM d WHERE target IS NOT NULL AND k % 8 = 1
+  UNION ALL SELECT 'target', 'retried', 1 FROM d WHERE matches AND k % 6 <> 1 AND k % 8 <> 1 AND k % 3 > 0 UNION ALL SELECT 'mask', lower(unnest(list_filter(found, lambda p: list_contains({_list(K.STANDARD_PLACEHOLDERS)}, p)))[9:-2]), 1 FROM w
+  UNION ALL SELECT 'cues', 'attacker_turns', 1 FROM w WHERE speaker = 'attacker' UNION ALL SELECT 'cues', 'with_cue', 1 FROM w WHERE speaker = 'attacker' AND len(cues) > 0 UNION ALL SELECT 'cues', 'urgent', 1 FROM w WHERE speaker = 'attacker' AND list_contains(cues, 'urgency')
+  UNION ALL SELECT 'cue', unnest(cues), 1 FROM w WHERE speaker = 'attacker' UNION ALL SELECT 'signal', 'stage_direction_count', CASE WHEN contains(phrase, '[한숨]') THEN 1 ELSE 0 END FROM w UNION ALL SELECT 'signal', 'mask_usage_anomaly_count', 1 FROM w WHERE {_re('phrase', K.OTP_TRANSFER)}
+  UNION ALL SELECT 'signal', 'unknown_masked_placeholder_count', CASE WHEN contains(phrase, '[MASKED_MEMBER_STATUS]') THEN 1 ELSE 0 END FROM w UNION ALL SELECT 'placeholder', '[MASKED_MEMBER_STATUS]', 1 FROM w WHERE contains(phrase, '[MASKED_MEMBER_STATUS]')
+  UNION ALL SELECT 'signal', 'partial_compliance_signal_count', 1 FROM w WHERE speaker = 'victim' AND {_HAS('phrase')} AND {_any('lower(phrase)', K.COMPLIANCE_KEYWORDS)} UNION ALL SELECT 'signal', 'korean_entity_warning_count', 1 FROM w WHERE {_re(f"regexp_replace(phrase, '{_MASK}', '', 'g')", K.ENTITY)})
+"""
+
+
+@registered(_LONG + """SELECT section, key, sum(n)::BIGINT AS n, NULL::BIGINT AS repeats FROM l GROUP BY section, key
+UNION ALL SELECT 'utterance', '', sum(n)::BIGINT, sum(n - 1)::BIGINT FROM (SELECT count(*) AS n FROM u GROUP BY lower(regexp_replace(phrase, '\\s+', '', 'g')))""")
+def quality_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every count of a corpus's report, from one pass."""
+    found = quality.figures(*_corpus(spark, sf_dir))
+    return found.select("section", "key", "n", F.when(F.col("section") == "utterance", F.col("repeats")).alias("repeats"))
+
+
+@registered(_SPOKEN.rstrip() + f""", w AS (SELECT stream_id, turn_id, phrase, unnest(list_filter([CASE WHEN contains(phrase, '[한숨]') THEN 'stage_direction_examples' END, CASE WHEN {_re('phrase', K.OTP_TRANSFER)} THEN 'mask_usage_anomaly_examples' END,
+  CASE WHEN contains(phrase, '[MASKED_MEMBER_STATUS]') THEN 'unknown_masked_placeholder_examples' END, CASE WHEN speaker = 'victim' AND {_HAS('phrase')} AND {_any('lower(phrase)', K.COMPLIANCE_KEYWORDS)} THEN 'partial_compliance_examples' END,
+  CASE WHEN {_re(f"regexp_replace(phrase, '{_MASK}', '', 'g')", K.ENTITY)} THEN 'korean_entity_warnings' END], lambda x: x IS NOT NULL)) AS kind FROM u),
+p AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY stream_id::BIGINT, turn_id)::INT AS place FROM w)
+SELECT kind, place, stream_id AS record_id, turn_id, phrase AS utterance FROM p WHERE place <= 10""")
+def quality_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A top-k report: the first ten turns of each kind that a reader should look at."""
+    return quality.all_examples(_corpus(spark, sf_dir)[1])
