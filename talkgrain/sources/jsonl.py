@@ -36,7 +36,7 @@ def read_records(spark: SparkSession, path: str, schema: str = RECORD) -> DataFr
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def _parsed(line: Column) -> Column:
+def parsed_line(line: Column) -> Column:
     """The line's one JSON value as VARIANT, or null: the parser alone would pass over what follows a value."""
     alone = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
     return F.when(F.size(F.try_variant_get(alone, "$", "array<variant>")) == 1, F.try_parse_json(line))
@@ -44,12 +44,12 @@ def _parsed(line: Column) -> Column:
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """``line, raw``: a VARIANT per line; a line that is not JSON raises."""
-    return spark.read.text(path).where(stripped(F.col("value")) != "").select(F.col("value").alias("line"), F.coalesce(_parsed(F.col("value")), F.raise_error(F.concat(F.lit("not JSON: "), F.col("value"))).cast("variant")).alias("raw"))
+    return spark.read.text(path).where(stripped(F.col("value")) != "").select(F.col("value").alias("line"), F.coalesce(parsed_line(F.col("value")), F.raise_error(F.concat(F.lit("not JSON: "), F.col("value"))).cast("variant")).alias("raw"))
 
 
 def read_with_errors(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The lines that parse, and ``file, line`` of those that don't: a side channel instead of a stop."""
-    rows = spark.read.text(path).where(stripped(F.col("value")) != "").select(F.col("value").alias("line"), _parsed(F.col("value")).alias("raw"), F.col("_metadata.file_path").alias("file"))
+    rows = spark.read.text(path).where(stripped(F.col("value")) != "").select(F.col("value").alias("line"), parsed_line(F.col("value")).alias("raw"), F.col("_metadata.file_path").alias("file"))
     return rows.where("raw IS NOT NULL").drop("file"), rows.where("raw IS NULL").select("file", "line")
 
 
@@ -70,7 +70,7 @@ def line_numbers(spark: SparkSession, path: str) -> DataFrame:
 
 def malformed(spark: SparkSession, path: str) -> DataFrame:
     """``file, number, line`` of the lines that are no JSON."""
-    return line_numbers(spark, path).where((stripped(F.col("line")) != "") & _parsed(F.col("line")).isNull())
+    return line_numbers(spark, path).where((stripped(F.col("line")) != "") & parsed_line(F.col("line")).isNull())
 
 
 def source_metadata(spark: SparkSession, path: str | None, record_count: int) -> dict[str, Any]:
@@ -253,6 +253,15 @@ def fixtures_markdown(fixtures: list[dict[str, Any]]) -> str:
     return "\n".join(lines)
 
 
+def count_hint_of(name: Column) -> Column:
+    """``count_hint`` of a column of file names: the last number that is no compact date, and the dates."""
+    numbers = F.regexp_extract_all(name, F.lit(r"\d+"), F.lit(0))
+    part = lambda n, at: F.substring(n, at, 2).cast("int")
+    dated = lambda n: (F.length(n) == 6) & part(n, 3).between(1, 12) & part(n, 5).between(1, 31)
+    rest = F.filter(numbers, lambda n: ~F.coalesce(dated(n), F.lit(False)))
+    return F.struct(F.try_element_at(rest, F.lit(-1)).cast("bigint").alias("count_hint"), F.filter(numbers, lambda n: F.coalesce(dated(n), F.lit(False))).alias("ignored_date_like_tokens"))
+
+
 def count_hint(filename: str) -> dict[str, Any]:
     """Numbers in a file's name; the last one that is no compact date may be a record count."""
     import re

@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from talkgrain import queries, rule_queries, turn_queries  # noqa: F401 (their queries are registered with the others)
+from talkgrain import queries, rule_queries, run_queries, turn_queries  # noqa: F401 (their queries are registered with the others)
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
