@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from talkgrain.functions.ids import hash_bucket
 from talkgrain.functions.text import REPEATED_NOUN, contains_any, leakage_terms, placeholders, utterance_artifact
-from talkgrain.operators.quality import most_common
 
 #: Words by which a window's surface is described (fixed values).
 SURFACE_WORDS = (
@@ -124,8 +123,69 @@ def joined(public: DataFrame, manifest: DataFrame, gold: DataFrame) -> DataFrame
     return rows.withColumn("artifact", utterance_artifact(F.col("text"))).withColumn("leaks", leakage_terms(F.col("text"))).drop("_pp", "_mp", "_mf", "window", "is_fallback_turn")
 
 
+def _models(rows: DataFrame) -> DataFrame:
+    """``model, feature, label, side, ord``: what each row says to each of the majority models; a row of ``joined`` with ``ord``."""
+    told = lambda c: F.to_json(c, {"ignoreNullFields": "false"})
+    of = lambda model, feature, label: F.struct(model.alias("model") if isinstance(model, Column) else F.lit(model).alias("model"), feature.cast("string").alias("feature"), label.cast("string").alias("label"))
+    varied = ~F.col("fallback") & ~F.coalesce("trajectory_variant", F.lit("")).isin("", "canonical")
+    nothing, one = F.lit(None).cast("string"), F.lit("")
+    models = [
+        of("profile_position", told(F.struct("profile", "position")), F.col("event")), of("position", F.col("position"), F.col("event")), of(F.when(F.col("fallback"), "fallback_text").otherwise("normal_text"), F.col("text"), F.col("event")), of("dominance", F.col("event"), F.col("action")),
+        of(F.concat(F.lit("branch "), F.col("event")), told(F.col("action_feature")), F.col("action")), F.when(varied, of("variant", told(F.col("surface_feature")), F.col("trajectory_variant"))), of("rows", one, nothing), F.when(F.col("fallback"), of("fallback", one, nothing)),
+        F.when(F.col("artifact").isNotNull(), of(F.concat(F.lit("artifact "), F.col("artifact")), one, nothing)), F.when(F.size("leaks") > 0, of("leaks", one, nothing)),
+    ]
+    long = rows.select(F.inline(F.filter(F.array(*models), lambda m: m.isNotNull())), hash_bucket(F.col("stream_id").cast("string"), 2).alias("side"), "ord")
+    return long
+
+
+def model_figures(rows: DataFrame) -> DataFrame:
+    """``model, feature, n, hits, features, labels, best, ...``: every majority model of the report, from one pass over joined rows.
+
+    ``hits``: rows that the most frequent label of their feature gets right; ``repeated``: the features that several rows have, with their rows and hits; ``single``: those of five rows or more that
+    have one label. ``test_count``, ``test_hits`` and ``unseen`` are of rows of the one half of streams, guessed from the other half; a feature
+    that it lacks gets its most frequent label. ``sides``: how many rows each half has. Only ``dominance`` has a row a feature.
+    """
+    at = F.col("ord")
+    train, test = F.col("side") == 0, F.col("side") == 1
+    each = _models(rows).groupBy("model", "feature", "label").agg(F.count("*").alias("n"), F.count_if(train).alias("train"), F.count_if(test).alias("test"), F.min(at).alias("first"), F.min(F.when(train, at)).alias("first_train"))
+    learned = F.when(F.col("train") > 0, F.struct(-F.col("train"), F.col("first_train")))
+    overall = each.groupBy("model", "label").agg(F.sum("train").alias("train"), F.min("first_train").alias("first_train")).groupBy("model").agg(F.min_by("label", F.when(F.col("train") > 0, F.struct(-F.col("train"), F.col("first_train")))).alias("_usual"))
+    # A feature has few labels: events, actions or variants.
+    by = each.groupBy("model", "feature").agg(
+        F.sum("n").alias("n"), F.max("n").alias("hits"), F.count("*").alias("labels"), F.min_by("label", F.struct(-F.col("n"), F.col("first"))).alias("best"), F.sum("train").alias("_train"), F.sum("test").alias("_test"),
+        F.min_by(F.struct("label", "test"), learned).alias("_guess"), F.collect_list(F.when(F.col("test") > 0, F.struct("label", "test"))).alias("_tests"), F.collect_set("label").alias("_labels"),
+    )
+    right = F.when(F.col("_train") > 0, F.col("_guess.test")).otherwise(F.aggregate(F.filter("_tests", lambda t: t["label"] == F.col("_usual")), F.lit(0).cast("bigint"), lambda a, t: a + t["test"]))
+    several = F.col("n") >= 2
+    placed = by.join(overall, "model").withColumn("_right", right).withColumn("feature", F.when(F.col("model") == "dominance", F.col("feature")).otherwise(""))
+    return placed.groupBy("model", "feature").agg(
+        F.sum("n").alias("n"), F.sum("hits").alias("hits"), F.count("*").alias("features"), F.size(F.array_distinct(F.flatten(F.collect_set("_labels")))).alias("labels"), F.min("best").alias("best"),
+        F.count_if(several).alias("repeated"), F.coalesce(F.sum(F.when(several, F.col("n"))), F.lit(0)).alias("repeated_n"), F.coalesce(F.sum(F.when(several, F.col("hits"))), F.lit(0)).alias("repeated_hits"), F.count_if((F.col("n") >= 5) & (F.col("labels") == 1)).alias("single"),
+        F.sum("_train").alias("train_count"), F.sum("_test").alias("test_count"), F.sum("_right").alias("test_hits"), F.coalesce(F.sum(F.when(F.col("_train") == 0, F.col("_test"))), F.lit(0)).alias("unseen"),
+    )
+
+
+#: Lists of turns: how they are called, and which artifact or, for none, leak is in them.
+_SHOWN = {"placeholder_only_turn_examples": "placeholder_only_utterance", "very_short_turn_examples": "very_short_utterance", "instruction_residue_turn_examples": "instruction_residue_in_utterance", "category_leakage_examples": None}
+
+
+def report_lists(rows: DataFrame, limit: int = 20) -> DataFrame:
+    """Top-k reports: ``list, place, benchmark_id, stream_id, position, utterance, event, count`` of the strings and turns that the report shows, all lists in one pass."""
+    none = lambda kind: F.lit(None).cast(kind)
+    strings = rows.groupBy("fallback", "text").agg(F.count("*").alias("count"), F.count_distinct("event").alias("_events"), F.min("event").alias("event"), F.min("ord").alias("_first"))
+    kind = F.when(F.col("fallback"), "fallback").otherwise("non_fallback")
+    often = F.struct((-F.col("count")).alias("n"), F.col("_first").alias("first"), F.lit("").alias("text"))
+    single = F.struct((-F.col("count")).alias("n"), F.lit(None).cast(rows.schema["ord"].dataType).alias("first"), F.col("text").alias("text"))
+    lists = F.array(F.struct(F.concat(F.lit("top_"), kind, F.lit("_strings")).alias("list"), often.alias("_by")), F.when((F.col("count") >= 5) & (F.col("_events") == 1), F.struct(F.concat(F.lit("high_count_single_event_"), kind, F.lit("_strings")).alias("list"), single.alias("_by"))))
+    told = strings.select(F.inline(F.filter(lists, lambda x: x.isNotNull())), none("string").alias("benchmark_id"), none("string").alias("stream_id"), none("int").alias("position"), F.col("text").alias("utterance"), "event", "count")
+    shown = F.filter(F.array(*[F.when(F.size("leaks") > 0 if a is None else F.col("artifact") == a, name) for name, a in _SHOWN.items()]), lambda x: x.isNotNull())
+    place = F.struct(F.lit(0).cast("bigint").alias("n"), F.col("ord").alias("first"), F.lit("").alias("text"))
+    turns = rows.select(F.explode(shown).alias("list"), place.alias("_by"), "benchmark_id", "stream_id", F.col("position").cast("int").alias("position"), F.col("text").alias("utterance"), none("string").alias("event"), none("bigint").alias("count"))
+    return told.unionByName(turns).withColumn("place", F.row_number().over(W.partitionBy("list").orderBy("_by"))).where(F.col("place") <= limit).drop("_by")
+
+
 def shortcut_report(public: DataFrame, manifest: DataFrame, gold: DataFrame, rejected: DataFrame, *, order: str | None = None) -> dict[str, Any]:
-    """The report's figures and its gates; every figure is one aggregation of the joined rows."""
+    """The report's figures and its gates: one query for all counts, one for all lists."""
     rows = joined(public, manifest, gold)
     rows = rows.withColumn("ord", F.struct("stream_id", "position", "benchmark_id") if order is None else F.col(order))
     rows = rows.persist()
@@ -136,56 +196,64 @@ def shortcut_report(public: DataFrame, manifest: DataFrame, gold: DataFrame, rej
 
 
 def _report(rows: DataFrame, public: DataFrame, rejected: DataFrame) -> dict[str, Any]:
-    ratio = lambda r: r["hits"] / r["n"] if r["n"] else 0.0
-    accuracy = lambda df, keys: ratio(majority_hits(df, keys, "event").first())
-    n = rows.count()
-    fallback, normal = rows.where("fallback"), rows.where("NOT fallback")
-
-    def model(df: DataFrame, feature: str, label: str) -> dict[str, Any]:
-        r = train_test_majority(df, feature=feature, label=label, split_key="stream_id", order="ord").first()
-        out = r.asDict() if r and r["support"] else {"hits": 0, "unseen": 0, "test_count": 0, "support": 0, "unique_label_count": 0}
-        tests = out["test_count"]
-        return {k: out[k] for k in ("test_count", "support", "unique_label_count")} | {"accuracy": out["hits"] / tests if tests else 0.0, "unseen_feature_rate": out["unseen"] / tests if tests else 0.0}
-
-    sequences = {r["profile"]: r["sequences"] for r in unique_sequences(rows, group="profile", stream="stream_id", position="position", event="event").collect()}
-    dominant = {r["event"]: r.asDict() for r in dominance(rows).collect()}
+    names = ("n", "hits", "features", "labels", "best", "repeated", "repeated_n", "repeated_hits", "single", "train_count", "test_count", "test_hits", "unseen")
+    plain = lambda df, model, feature, n: df.select(model.alias("model"), feature.alias("feature"), n.cast("bigint").alias("n"), *[F.lit(None).cast("string" if c == "best" else "bigint").alias(c) for c in names[1:]])
+    sequences_ = unique_sequences(rows, group="profile", stream="stream_id", position="position", event="event")
+    counted = model_figures(rows).select("model", "feature", *[F.col(c).cast("string" if c == "best" else "bigint").alias(c) for c in names])
+    counted = counted.unionByName(plain(sequences_, F.lit("sequences"), F.col("profile"), F.col("sequences")))
+    for df, name in ((repeated_nouns(public), "nouns"), (rejected, "rejected")):
+        counted = counted.unionByName(plain(df.agg(F.count("*").alias("n")), F.lit(name), F.lit(""), F.col("n")))
+    found: dict[str, dict[str, Any]] = {}
+    for r in counted.collect():
+        found.setdefault(r.model, {})[r.feature] = r.asDict()
+    zero = dict.fromkeys(names, 0)
+    one = lambda model: found.get(model, {}).get("", zero)
+    ratio = lambda hits, n: hits / n if n else 0.0
+    accuracy = lambda model: ratio(one(model)["hits"], one(model)["n"])
+
+    def model(name: str, where: str | Column, feature: str, label: str) -> dict[str, Any]:
+        r = one(name)
+        if r["n"] and not (r["train_count"] and r["test_count"]):  # few streams, all with one hash: rows are split in the middle instead
+            r = (train_test_majority(rows.where(where), feature=feature, label=label, split_key="stream_id", order="ord").first() or zero).asDict()
+            r = {"n": r["support"], "labels": r["unique_label_count"], "test_count": r["test_count"], "test_hits": r["hits"], "unseen": r["unseen"]}
+        return {"test_count": r["test_count"], "support": r["n"], "unique_label_count": r["labels"], "accuracy": ratio(r["test_hits"], r["test_count"]), "unseen_feature_rate": ratio(r["unseen"], r["test_count"])}
+
+    n, n_fallback = one("rows")["n"], one("fallback")["n"]
+    sequences = {k: r["n"] for k, r in found.get("sequences", {}).items()}
+    dominant = {k: {"event": k, "count": r["n"], "dominant_action": r["best"], "dominant_action_count": r["hits"]} for k, r in sorted(found.get("dominance", {}).items())}
     ratios = [r["dominant_action_count"] / r["count"] for r in dominant.values()]
-    branching = [r["event"] for r in rows.groupBy("event").agg(F.count("*").alias("n"), F.count_distinct("action").alias("a")).where("a >= 2 AND n >= 30").orderBy("event").collect()]
-    branches = {event: model(rows.where(F.col("event") == event), "action_feature", "action") for event in branching}
+    branching = [k for k, r in sorted(found.get("dominance", {}).items()) if r["labels"] >= 2 and r["n"] >= 30]
+    branches = {event: model(f"branch {event}", F.col("event") == event, "action_feature", "action") for event in branching}
     weak = [event for event, r in branches.items() if r["test_count"] >= 10 and r["accuracy"] < 0.60]
-    varied = model(normal.where("coalesce(trajectory_variant, '') NOT IN ('', 'canonical')"), "surface_feature", "trajectory_variant")
-    strings = {k: string_concentration(df, text="text", event="event").persist() for k, df in (("fallback", fallback), ("normal", normal))}
-    counts = {k: df.agg(F.count("*").alias("unique"), F.count_if(F.col("n") >= 2).alias("repeated"), F.coalesce(F.sum(F.when(F.col("n") >= 2, F.col("n"))), F.lit(0)).alias("pairs"), F.count_if((F.col("n") >= 5) & (F.col("events") == 1)).alias("single")).first() for k, df in strings.items()}
-    repeated = fallback.join(strings["fallback"].where("n >= 2").select("text"), "text")
-    artifacts = {r["artifact"]: r["count"] for r in rows.where("artifact IS NOT NULL").groupBy("artifact").count().collect()}
-    leaks, nouns, n_rejected, n_fallback = rows.where(F.size("leaks") > 0).count(), repeated_nouns(public).count(), rejected.count(), fallback.count()
-    common = {f"top_{k}_strings": [{"utterance": r["text"], "count": r["n"]} for r in most_common(df, "text", order="ord").collect()] for k, df in (("fallback", fallback), ("non_fallback", normal))}
-    once = lambda df: [{"utterance": r["text"], "event": r["event"], "count": r["n"]} for r in df.where("n >= 5 AND events = 1").orderBy(F.desc("n"), "text").limit(20).collect()]
-    common |= {"high_count_single_event_fallback_strings": once(strings["fallback"]), "high_count_single_event_non_fallback_strings": once(strings["normal"])}
-    sample = lambda condition: [r.asDict() for r in rows.where(condition).orderBy("ord").limit(20).select("benchmark_id", "stream_id", "position", F.col("text").alias("utterance")).collect()]
-    kinds = {"placeholder_only": "placeholder_only_utterance", "very_short": "very_short_utterance", "instruction_residue": "instruction_residue_in_utterance"}
-    common |= {f"{name}_turn_examples": sample(F.col("artifact") == kind) for name, kind in kinds.items()} | {"category_leakage_examples": sample(F.size("leaks") > 0)}
-    for df in strings.values():
-        df.unpersist()
-    profile_position, least_sequences = accuracy(rows, ["profile", "position"]), min(sequences.values(), default=0)
-    repeated_accuracy, some_fallback, rate = accuracy(repeated, ["text"]), 0 < n_fallback < n, n_fallback / n if n else 0.0
-    varied_applies, repeated_applies = varied["support"] >= 200 and varied["unique_label_count"] >= 2, some_fallback and counts["fallback"]["pairs"] >= 20
+    varied = model("variant", "NOT fallback AND coalesce(trajectory_variant, '') NOT IN ('', 'canonical')", "surface_feature", "trajectory_variant")
+    fallback, normal = one("fallback_text"), one("normal_text")
+    artifacts = {k.removeprefix("artifact "): v[""]["n"] for k, v in found.items() if k.startswith("artifact ")}
+    leaks, nouns, n_rejected = one("leaks")["n"], one("nouns")["n"], one("rejected")["n"]
+    common: dict[str, list] = {name: [] for name in ("top_fallback_strings", "top_non_fallback_strings", "high_count_single_event_fallback_strings", "high_count_single_event_non_fallback_strings", *_SHOWN)}
+    for r in sorted(report_lists(rows).collect(), key=lambda r: r.place):
+        if r.list in _SHOWN:
+            common[r.list].append({k: r[k] for k in ("benchmark_id", "stream_id", "position", "utterance")})
+        else:
+            common[r.list].append({"utterance": r.utterance, "count": r["count"]} | ({} if r.list.startswith("top_") else {"event": r.event}))
+    profile_position, least_sequences = accuracy("profile_position"), min(sequences.values(), default=0)
+    repeated_accuracy, some_fallback, rate = ratio(fallback["repeated_hits"], fallback["repeated_n"]), 0 < n_fallback < n, n_fallback / n if n else 0.0
+    varied_applies, repeated_applies = varied["support"] >= 200 and varied["unique_label_count"] >= 2, some_fallback and fallback["repeated_n"] >= 20
     gates = {
         "min_profile_unique_event_sequences_at_least_4": least_sequences >= 4, "profile_position_event_accuracy_below_0_90": profile_position < 0.90, "event_action_not_fully_deterministic": not all(r == 1.0 for r in ratios),
         "max_event_action_dominance_below_0_85": max(ratios, default=0.0) < 0.85, "low_action_branch_signal_events_is_empty": not weak, "variant_surface_event_accuracy_below_0_45_or_skipped": not varied_applies or varied["accuracy"] < 0.45,
         "fallback_turn_rate_below_0_08_or_skipped": not some_fallback or rate < 0.08, "repeated_fallback_string_event_accuracy_below_0_80_or_skipped": not repeated_applies or repeated_accuracy < 0.80,
-        "high_count_single_event_fallback_strings_is_zero_or_skipped": not some_fallback or counts["fallback"]["single"] == 0, "placeholder_only_turn_count_is_zero": not artifacts.get("placeholder_only_utterance"),
+        "high_count_single_event_fallback_strings_is_zero_or_skipped": not some_fallback or fallback["single"] == 0, "placeholder_only_turn_count_is_zero": not artifacts.get("placeholder_only_utterance"),
         "very_short_turn_count_is_zero": not artifacts.get("very_short_utterance"), "instruction_residue_turn_count_is_zero": not artifacts.get("instruction_residue_in_utterance"),
-        "high_count_single_event_non_fallback_strings_is_zero": counts["normal"]["single"] == 0, "repeated_noun_artifact_count_is_zero": nouns == 0, "rejected_count_is_zero": n_rejected == 0,
+        "high_count_single_event_non_fallback_strings_is_zero": normal["single"] == 0, "repeated_noun_artifact_count_is_zero": nouns == 0, "rejected_count_is_zero": n_rejected == 0,
     }
     return {
-        "profile_position_majority_event_accuracy": profile_position, "position_only_majority_event_accuracy": accuracy(rows, ["position"]), "profile_unique_event_sequence_counts": dict(sorted(sequences.items())),
+        "profile_position_majority_event_accuracy": profile_position, "position_only_majority_event_accuracy": accuracy("position"), "profile_unique_event_sequence_counts": dict(sorted(sequences.items())),
         "min_profile_unique_event_sequences": least_sequences, "max_event_action_dominance": max(ratios, default=0.0), "event_action_dominance": dominant, "action_branch_surface_accuracy_by_event": branches,
         "low_action_branch_signal_events": weak, "variant_surface_model": varied, "variant_surface_gate_applicable": varied_applies, "fallback_turn_count": n_fallback, "fallback_turn_rate": rate,
-        "fallback_quality_gate_applicable": some_fallback, "fallback_string_majority_event_accuracy": accuracy(fallback, ["text"]), "fallback_unique_string_count": counts["fallback"]["unique"],
-        "repeated_fallback_pair_count": counts["fallback"]["pairs"], "repeated_fallback_string_majority_event_accuracy": repeated_accuracy, "repeated_fallback_gate_applicable": repeated_applies,
-        "high_count_single_event_fallback_string_count": counts["fallback"]["single"], "repeated_non_fallback_string_count": counts["normal"]["repeated"], "repeated_non_fallback_pair_count": counts["normal"]["pairs"],
-        "high_count_single_event_non_fallback_string_count": counts["normal"]["single"], "placeholder_only_turn_count": artifacts.get("placeholder_only_utterance", 0), "very_short_turn_count": artifacts.get("very_short_utterance", 0),
+        "fallback_quality_gate_applicable": some_fallback, "fallback_string_majority_event_accuracy": accuracy("fallback_text"), "fallback_unique_string_count": fallback["features"],
+        "repeated_fallback_pair_count": fallback["repeated_n"], "repeated_fallback_string_majority_event_accuracy": repeated_accuracy, "repeated_fallback_gate_applicable": repeated_applies,
+        "high_count_single_event_fallback_string_count": fallback["single"], "repeated_non_fallback_string_count": normal["repeated"], "repeated_non_fallback_pair_count": normal["repeated_n"],
+        "high_count_single_event_non_fallback_string_count": normal["single"], "placeholder_only_turn_count": artifacts.get("placeholder_only_utterance", 0), "very_short_turn_count": artifacts.get("very_short_utterance", 0),
         "instruction_residue_turn_count": artifacts.get("instruction_residue_in_utterance", 0), "category_leakage_turn_count": leaks, "repeated_noun_artifact_count": nouns, "gate_checks": gates, "shortcut_gate_passed": all(gates.values()),
     } | common
 

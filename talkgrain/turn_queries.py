@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from talkgrain import constants as K
 from talkgrain.functions import gates, labels, masking, text
-from talkgrain.operators import quality, records, stream
+from talkgrain.operators import quality, records, shortcuts, stream
 from talkgrain.queries import registered
 from talkgrain.rule_queries import _HAS, _MASK, _RECORDS, _REFUSES, _RULES, _SPOKEN, _any, _item_records, _list, _names, _re, _said, spoken, spoken_records
 from talkgrain.sources import jsonl
@@ -245,3 +245,43 @@ SELECT kind, place, stream_id AS record_id, turn_id, phrase AS utterance FROM p
 def quality_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A top-k report: the first ten turns of each kind that a reader should look at."""
     return quality.all_examples(_corpus(spark, sf_dir)[1])
+
+
+def _joined_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = stream.build_planned_items(_item_records(spark, sf_dir), {})
+    return shortcuts.joined(items["public"], items["manifest"], items["gold"]).withColumn("ord", F.struct("stream_id", "position", "benchmark_id"))
+
+
+_ITEM_ROWS = _SPOKEN.rstrip() + f""", b AS (SELECT stream_id, bool_or(contains(phrase, '[한숨]')) AS bracket FROM u GROUP BY stream_id),
+i AS (SELECT turn_id, phrase AS text, turn_id = 2 AS fallback, CASE WHEN turn_id % 2 = 0 THEN 'needs_more_context' ELSE 'new_sensitive_request' END AS event, CASE WHEN turn_id % 2 = 0 THEN 'monitor_only' ELSE 'refuse_or_pause' END AS action,
+  CASE WHEN turn_id % 2 = 1 THEN 'caller' ELSE 'recipient' END || ':' || turn_id || ':' || array_to_string(list_sort(list_distinct(regexp_extract_all(phrase, '\\[MASKED_([A-Z0-9_]+)\\]', 1))), ',') || ':' || {_names('phrase', shortcuts.ACTION_CUES, False)} AS shape,
+  CASE WHEN {_any('phrase', K.SHORT_UTTERANCES)} OR len(regexp_extract_all(regexp_replace(phrase, '{_MASK}', ' ', 'g'), '[가-힣]')) < 9 THEN 'very_short_utterance' END AS artifact, {_any('phrase', K.LEAKAGE_TERMS)} AS leaks,
+  'streamv2_' || substr(sha256(stream_id || '␟typed_raw'), 1, 12) AS stream FROM u JOIN b USING (stream_id) WHERE NOT bracket AND turn_id % 4 <> 0),
+s AS (SELECT *, ('0x' || substr(sha1(stream), 1, 8))::BIGINT % 2 AS side FROM i),
+"""
+
+
+@registered(_ITEM_ROWS + """m AS (SELECT 'profile_position' AS model, turn_id::VARCHAR AS feature, event AS label, side, stream, turn_id FROM s UNION ALL SELECT 'position', turn_id::VARCHAR, event, side, stream, turn_id FROM s
+  UNION ALL SELECT CASE WHEN fallback THEN 'fallback_text' ELSE 'normal_text' END, text, event, side, stream, turn_id FROM s UNION ALL SELECT 'dominance', event, action, side, stream, turn_id FROM s UNION ALL SELECT 'branch ' || event, shape, action, side, stream, turn_id FROM s
+  UNION ALL SELECT 'rows', '', '', side, stream, turn_id FROM s UNION ALL SELECT 'fallback', '', '', side, stream, turn_id FROM s WHERE fallback UNION ALL SELECT 'artifact ' || artifact, '', '', side, stream, turn_id FROM s WHERE artifact IS NOT NULL UNION ALL SELECT 'leaks', '', '', side, stream, turn_id FROM s WHERE leaks),
+c AS (SELECT model, feature, label, count(*) AS n, count(*) FILTER (side = 0) AS train, count(*) FILTER (side = 1) AS test, min((stream, turn_id)) FILTER (side = 0) AS first FROM m GROUP BY model, feature, label),
+o AS (SELECT model, label AS usual FROM (SELECT model, label, row_number() OVER (PARTITION BY model ORDER BY sum(train) DESC, min(first)) AS k FROM c GROUP BY model, label HAVING sum(train) > 0) WHERE k = 1),
+g AS (SELECT model, feature, label AS guess FROM (SELECT *, row_number() OVER (PARTITION BY model, feature ORDER BY train DESC, first) AS k FROM c WHERE train > 0) WHERE k = 1),
+f AS (SELECT c.model, c.feature, sum(n) AS n, max(n) AS hits, count(*) AS labels, sum(test) AS test, sum(test) FILTER (label = COALESCE(guess, usual)) AS good, bool_and(guess IS NULL) AS unseen FROM c LEFT JOIN g ON g.model = c.model AND g.feature = c.feature LEFT JOIN o ON o.model = c.model GROUP BY c.model, c.feature)
+SELECT model, CASE WHEN model = 'dominance' THEN feature ELSE '' END AS feature, sum(n)::BIGINT AS n, sum(hits)::BIGINT AS hits, count(*) AS features, count(*) FILTER (n >= 2) AS repeated, COALESCE(sum(n) FILTER (n >= 2), 0)::BIGINT AS repeated_n, COALESCE(sum(hits) FILTER (n >= 2), 0)::BIGINT AS repeated_hits,
+  count(*) FILTER (n >= 5 AND labels = 1) AS single, sum(test)::BIGINT AS test_count, COALESCE(sum(good) FILTER (model NOT IN ('rows', 'fallback', 'leaks') AND model NOT LIKE 'artifact %'), 0)::BIGINT AS test_hits, COALESCE(sum(test) FILTER (unseen), 0)::BIGINT AS unseen FROM f GROUP BY ALL""")
+def shortcut_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All majority models of the shortcut report, from one pass: by profile and position, by text, by event, by what a turn looks like."""
+    counts = shortcuts.model_figures(_joined_items(spark, sf_dir))
+    plain = F.col("model").isin("rows", "fallback", "leaks") | F.col("model").startswith("artifact ")
+    hits = F.when(plain, F.lit(0)).otherwise(F.coalesce("test_hits", F.lit(0))).cast("bigint")
+    return counts.where("model <> 'variant'").select("model", "feature", "n", "hits", "features", "repeated", "repeated_n", "repeated_hits", "single", "test_count", hits.alias("test_hits"), "unseen")
+
+
+@registered(_ITEM_ROWS + """c AS (SELECT CASE WHEN fallback THEN 'fallback' ELSE 'non_fallback' END AS kind, text, count(*) AS n, count(DISTINCT event) AS events, min(event) AS event, min((stream, turn_id)) AS first FROM s GROUP BY ALL),
+l AS (SELECT 'top_' || kind || '_strings' AS list, row_number() OVER (PARTITION BY kind ORDER BY n DESC, first) AS place, text AS utterance, n AS count FROM c UNION ALL SELECT 'high_count_single_event_' || kind || '_strings', row_number() OVER (PARTITION BY kind ORDER BY n DESC, text), text, n FROM c WHERE n >= 5 AND events = 1
+  UNION ALL SELECT 'very_short_turn_examples', row_number() OVER (ORDER BY stream, turn_id), text, NULL FROM s WHERE artifact IS NOT NULL UNION ALL SELECT 'category_leakage_examples', row_number() OVER (ORDER BY stream, turn_id), text, NULL FROM s WHERE leaks)
+SELECT list, place::INT AS place, utterance, count FROM l WHERE place <= 20""")
+def shortcut_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-k reports: the strings and turns that the shortcut report shows, twenty of each kind."""
+    return shortcuts.report_lists(_joined_items(spark, sf_dir)).select("list", "place", "utterance", "count")
