@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from talkgrain.llm.common import cut, held_out
+from talkgrain.llm.common import cut, discard, held_out
 
 _RANGE = 1 << 40
 
@@ -47,4 +47,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, label: str, limit: in
     rows = docs.select(F.col(id_col).alias("_key"), F.col(text_col).cast("string").alias("_text"))
     found = rows.join(F.broadcast(chosen), F.col("_key") == F.col("_id")).groupBy("_id", "_label").agg(F.min(F.struct(F.xxhash64("_text"), "_text")).alias("_one"))
     found = cut(found.select("_id", F.coalesce("_one._text", F.lit("")).alias("_text"), "_label", part.alias("_part")), name="sample")
-    return within(found, ["_id"], max_chars).drop("_id")
+    kept = cut(within(found, ["_id"], max_chars).drop("_id"), name="sample")
+    discard(found)
+    return kept

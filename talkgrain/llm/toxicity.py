@@ -101,29 +101,50 @@ class Lexicon:
         ]
 
 
-def learn_lexicon(sample: DataFrame, *, most_entries: int = 4_000, least_documents: int = 4, least_weight: float = math.log(8)) -> Lexicon:
-    """Entries that toxic documents of the sample have at least ``exp(least_weight)`` times as often as the others."""
+#: Parts of the sample; what is said about a part is learned from the others.
+FOLDS = 4
+
+
+def learn_lexicons(sample: DataFrame, *, most_entries: int = 4_000, least_weight: float = math.log(8)) -> list[Lexicon]:
+    """Entries that toxic documents have at least ``exp(least_weight)`` times as often as the others: for each of ``_fold`` from the others, and last from all.
+
+    Documents of all folds are counted in one pass, and then those that hold what toxic ones have.
+    """
 
     def counting(wanted: frozenset | None):
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts: Counter = Counter()
-            for raw in batch.column(0).cast(pa.binary()).to_pylist():
+            for raw, fold in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = {_bare(t) for t in (raw or b"").decode("utf-8", "replace").lower().split()}
-                counts.update({e for w in words if w for e in entries(w) if wanted is None or e in wanted})
-            return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["entry", "n"])
+                counts.update({(e, fold) for w in words if w for e in entries(w) if wanted is None or e in wanted})
+            return pa.RecordBatch.from_arrays([pa.array([e for e, _ in counts], pa.string()), pa.array([f for _, f in counts], pa.int32()), pa.array(counts.values(), pa.int64())], ["entry", "fold", "n"])
 
         return run
 
-    totals = {r["_label"]: r["n"] for r in sample.groupBy("_label").agg(F.count("*").alias("n")).collect()}
-    toxic, clean = totals.get(1, 0), totals.get(0, 0)
-    if not toxic or not clean:
-        return Lexicon({})
-    tally = lambda label, wanted: map_arrow(sample.where(F.col("_label") == label).select("_text"), counting(wanted), "entry string, n bigint").groupBy("entry").agg(F.sum("n").alias("n"))
-    often = {r.entry: r.n for r in tally(1, None).where(F.col("n") >= max(least_documents, toxic // 500)).orderBy(F.desc("n"), "entry").limit(50_000).collect()}
-    others = {r.entry: r.n for r in tally(0, frozenset(often)).collect()}
-    weights = {e: math.log((n + 0.5) / (toxic + 1)) - math.log((others.get(e, 0) + 0.5) / (clean + 1)) for e, n in often.items()}
-    best = sorted((e for e, w in weights.items() if w >= least_weight), key=lambda e: (-weights[e] * math.sqrt(often[e]), e))[:most_entries]
-    return Lexicon({e: weights[e] for e in best})
+    totals = np.zeros((2, FOLDS), np.int64)
+    for r in sample.groupBy("_label", "_fold").agg(F.count("*").alias("n")).collect():
+        totals[r["_label"], r["_fold"]] = r["n"]
+
+    def tally(label: int, wanted: frozenset | None, least: int = 0) -> dict[str, np.ndarray]:
+        told = map_arrow(sample.where(F.col("_label") == label).select("_text", "_fold"), counting(wanted), "entry string, fold int, n bigint")
+        each = told.groupBy("entry").agg(*[F.coalesce(F.sum(F.when(F.col("fold") == k, F.col("n"))), F.lit(0)).alias(f"n{k}") for k in range(FOLDS)])
+        total = sum((F.col(f"n{k}") for k in range(FOLDS)), F.lit(0))
+        return {r.entry: np.array([r[f"n{k}"] for k in range(FOLDS)]) for r in each.where(total >= least).orderBy(total.desc(), "entry").limit(50_000).collect()}
+
+    all_toxic = int(totals[1].sum())
+    least_of = lambda toxic: max(2, min(4, toxic // 8), toxic // 500)
+    often = tally(1, None, least_of(all_toxic)) if all_toxic else {}
+    others = tally(0, frozenset(often)) if often else {}
+    nothing, found = np.zeros(FOLDS, np.int64), []
+    for left_out in [*range(FOLDS), None]:
+        kept = np.arange(FOLDS) != left_out if left_out is not None else np.ones(FOLDS, bool)
+        toxic, clean = int(totals[1][kept].sum()), int(totals[0][kept].sum())
+        there = {e: int(n[kept].sum()) for e, n in often.items()} if toxic and clean else {}
+        there = {e: n for e, n in there.items() if n >= least_of(toxic)}
+        weights = {e: math.log((n + 0.5) / (toxic + 1)) - math.log((int(others.get(e, nothing)[kept].sum()) + 0.5) / (clean + 1)) for e, n in there.items()}
+        best = sorted((e for e, w in weights.items() if w >= least_weight), key=lambda e: (-weights[e] * math.sqrt(there[e]), e))[:most_entries]
+        found.append(Lexicon({e: weights[e] for e in best}))
+    return found
 
 
 @dataclass
@@ -150,10 +171,12 @@ class Trees:
         return total
 
     @staticmethod
-    def fit(x: np.ndarray, y: np.ndarray, *, rounds: int = 60, depth: int = 3, rate: float = 0.2, n_bins: int = 32, ridge: float = 2.0, least: float = 5.0) -> Trees:
+    def fit(x: np.ndarray, y: np.ndarray, *, rounds: int = 60, depth: int = 3, rate: float = 0.2, n_bins: int = 32, ridge: float = 2.0, least: float | None = None) -> Trees:
         trees = Trees([np.unique(np.quantile(x[:, k], np.linspace(0, 1, n_bins + 1)[1:-1])) for k in range(x.shape[1])])
         prior = float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
         trees.start = math.log(prior / (1 - prior))
+        if least is None:  # what a leaf needs follows the labels there are
+            least = float(np.clip(len(y) * prior * (1 - prior) / 50, 0.5, 5.0))
         bins, total = trees.binned(x), np.full(len(y), trees.start)
         n_inner, n_features, rows = 2**depth - 1, x.shape[1], np.arange(len(y))
         offsets = np.arange(n_features) * n_bins
@@ -214,24 +237,34 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample_documents: int = 20_000, max_chars: int = 200_000_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Half of at most ``sample_documents`` labelled rows, of ``max_chars`` characters in all, for the lexicon, three tenths for the trees, the rest for calibration."""
-    sample = labelled_sample(docs, labels, label=label, limit=sample_documents, max_chars=max_chars, id_col=id_col, text_col=text_col)
-    lexicon = learn_lexicon(sample.where("_part < 50"))
+    """Fit to at most ``sample_documents`` labelled rows, of ``max_chars`` characters in all, by cross-fitting.
+
+    A row's features come from a lexicon that the other folds' rows gave, and the
+    margin that the calibration sees from trees of the other folds; the model's own lexicon
+    and trees are those of all rows. So every label serves all three, and none judges itself.
+    """
+    written = labelled_sample(docs, labels, label=label, limit=sample_documents, max_chars=max_chars, id_col=id_col, text_col=text_col)
+    sample = written.withColumn("_fold", F.col("_part") % FOLDS)
+    *lexicons, lexicon = learn_lexicons(sample)
     names = [f"f{k}" for k in range(len(FEATURES))]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = np.array([lexicon.features(raw or b"") for raw in batch.column(0).cast(pa.binary()).to_pylist()])
-        return pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), *(pa.array(x[:, k]) for k in range(x.shape[1]))], ["_label", "_part", *names])
-
-    rows = map_arrow(sample.where("_part >= 50"), run, "_label int, _part int, " + ", ".join(f"{n} double" for n in names)).orderBy("_part", *names).toPandas()
-    discard(sample)
-    x, y, part = rows[names].to_numpy(), rows["_label"].to_numpy(float), rows["_part"].to_numpy()
-    fit, check = part < 80, part >= 80
-    if len(set(y[fit])) < 2:
+        texts, folds = batch.column(0).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()
+        x = np.array([lexicons[fold].features(raw or b"") for raw, fold in zip(texts, folds, strict=True)])
+        return pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), *(pa.array(x[:, k]) for k in range(x.shape[1]))], ["_label", "_fold", *names])
+
+    rows = map_arrow(sample.select("_text", "_label", "_fold"), run, "_label int, _fold int, " + ", ".join(f"{n} double" for n in names)).orderBy("_fold", *names, "_label").toPandas()
+    discard(written)
+    x, y, fold = rows[names].to_numpy(), rows["_label"].to_numpy(float), rows["_fold"].to_numpy()
+    if len(set(y)) < 2:
         return Model(lexicon, None, None)
-    trees = Trees.fit(x[fit], y[fit])
-    knots = isotonic(trees.margin(x[check]), y[check]) if len(set(y[check])) == 2 else None
-    return Model(lexicon, trees, knots)
+    margin = np.full(len(y), np.nan)
+    for k in range(FOLDS):
+        if len(set(y[fold != k])) == 2 and (fold == k).any():
+            margin[fold == k] = Trees.fit(x[fold != k], y[fold != k]).margin(x[fold == k])
+    judged = ~np.isnan(margin)
+    knots = isotonic(margin[judged], y[judged]) if len(set(y[judged])) == 2 else None
+    return Model(lexicon, Trees.fit(x, y), knots)
 
 
 def score(docs: DataFrame, model: Model, *, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
