@@ -27,9 +27,14 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents as files: a directory of each source, of its languages, of a thousand ids each."""
+    """The documents as files: a directory of each source, of its languages, of a thousand ids, of a hundred each.
+
+    Documents that speak of a licence stand in the directory of a thousand ids under a licence file's name; those whose text is one license what lies below.
+    """
     docs = table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.expr("doc_id div 1000").cast("string"), F.col("doc_id").cast("string"))
+    above = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.expr("doc_id div 1000").cast("string"))
+    name = F.col("doc_id").cast("string")
+    path = F.when(F.lower("text").rlike("licen[cs]e"), F.concat_ws("/", above, F.concat(F.lit("LICENSE-"), name))).otherwise(F.concat_ws("/", above, F.expr("doc_id div 100").cast("string"), name))
     return license_scan.license_scan(docs.select("doc_id", "text", path.alias("path")))
 
 

@@ -8,7 +8,7 @@ import random
 import re
 import textwrap
 import time
-from collections import Counter
+from collections import Counter, defaultdict
 
 import brute
 import numpy as np
@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from talkgrain.llm import decontamination, license_scan, pii, quality_rules, token_counts
-from talkgrain.llm.queries import tokenizer_path
+from talkgrain.llm.queries import op2_license_scan, tokenizer_path
 
 EDGES = [(1, None), (2, ""), (3, " \n\t "), (4, "word " * 30_000), (5, "x" * 50_000), (None, "no id here"), (7, "é" * 25 + " ß \x0b日本")]
 
@@ -347,3 +347,24 @@ def test_every_prefix_near_special_strings_and_gaps():
         for k, more in enumerate(counter.prefixes(text), 1):
             total += int(more)
             assert total == len(library.encode(text[:k], add_special_tokens=False).ids), (text, k)
+
+
+def test_licence_query_inherits(spark):
+    """The query's rows against a walk up the directories, from what each file says of itself; two files of one path, too."""
+    rows = {r.doc_id: r for r in op2_license_scan(spark, "/root/testdata/sf0.1").collect()}
+    files = defaultdict(list)
+    for r in rows.values():
+        if r.own_license and (re.search(license_scan.FILE_NAMES.replace("(?U)", ""), r.path) or r.whole_text):
+            files[r.path.rpartition("/")[0]].append((r.path, r.own_license))
+    inherited = 0
+    for r in rows.values():
+        at, wanted = r.path.rpartition("/")[0], (r.own_license, None)
+        while not r.own_license and wanted[0] is None and at:
+            if at in files:
+                wanted = (min(files[at])[1], at)
+            at = at.rpartition("/")[0]
+        inherited += wanted[1] is not None
+        assert (r.license, r.inherited_from) == wanted
+    assert len(rows) == 10_000 and inherited > 200
+    twice = spark.createDataFrame([(1, "Released under the MIT License.", "a/LICENSE"), (2, "SPDX-License-Identifier: Apache-2.0", "a/LICENSE"), (3, "x", "a/b")], "doc_id long, text string, path string")
+    assert {r.doc_id: r.license for r in license_scan.license_scan(twice).collect()} == {1: "MIT", 2: "Apache-2.0", 3: "Apache-2.0"}
