@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import xxhash
+import zstandard
 
 
 def words(text):
@@ -18,12 +20,12 @@ def ascii_lower(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
 
 
-def near_duplicates(docs):
+def near_duplicates(docs, width=3, share=(90, 100)):
     """docs: [(doc_id, text)], ids unique."""
     sets = {}
     for doc_id, text in docs:
         w = words(ascii_lower(text))
-        sets[doc_id] = {tuple(w[k : k + 3]) for k in range(len(w) - 2)} if len(w) >= 3 else {tuple(w)} - {()}
+        sets[doc_id] = {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} - {()}
     parent = {d: d for d in sets}
 
     def find(x):
@@ -34,7 +36,7 @@ def near_duplicates(docs):
     ids = sorted(sets)
     for a in ids:
         for b in ids:
-            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and sets[b] and share[1] * len(sets[a] & sets[b]) >= share[0] * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 parent[y] = x
     return {d: (len(sets[d]), find(d)) for d in ids}
@@ -84,6 +86,42 @@ def hits(docs, items, width=10):
     return found
 
 
+def without_hits(text, items, width=10, most_share=0.5):
+    """The text without what lies in a window of an item, or None if that is most of it."""
+    found = list(re.finditer("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", ascii_lower(text)))
+    w, hit = [m.group() for m in found], set()
+    for _, item in items:
+        own = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", ascii_lower(item))
+        size = min(width, len(own))
+        windows = {tuple(own[k : k + size]) for k in range(len(own) - size + 1)} if size else set()
+        for k in range(len(w) - size + 1):
+            if tuple(w[k : k + size]) in windows:
+                hit |= set(range(k, k + size))
+    if len(hit) > most_share * len(w):
+        return None
+    out, at = "", 0
+    for k in sorted(hit):
+        if k - 1 not in hit:
+            out += text[at : found[k].start()]
+        if k + 1 not in hit:
+            at = found[k].end()
+            at += len(text[at:]) - len(text[at:].lstrip(" \t"))
+    return out + text[at:]
+
+
+def good_text(text):
+    """The quality rules with their production parameters."""
+    n, _, _, _, repeated = base_counts(text)
+    raw = (text or "").encode()
+    press = zstandard.ZstdCompressor(level=3, write_content_size=False).compress
+    bands = [(200, 0.9, 2.4), (400, 1.0, 2.8), (1_000, 1.1, 3.2), (2_500, 1.2, 3.8), (10_000, 1.3, 5.0)]
+    low, high = next(((a, b) for start, a, b in reversed(bands) if len(raw) >= start), (0, math.inf))
+    if n < 20 or 100 * repeated > 30 * n or not low <= len(raw) / len(press(raw)) <= high:
+        return False
+    chunks = [raw[min(k, len(raw) - 4096) :][:4096] for k in range(0, len(raw), 4096)] if len(raw) >= 4096 else []
+    return 2 * sum(not 1.15 <= len(c) / len(press(c)) <= 4.5 for c in chunks) <= len(chunks)
+
+
 def base_counts(text):
     text = text or ""
     w = words(text)

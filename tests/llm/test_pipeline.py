@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import random
+from collections import defaultdict
 
 import brute
+import duckdb
 import pytest
+from pyspark.sql import functions as F
+
+from talkgrain.llm import mixing
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -50,5 +55,51 @@ def test_stages(spark, folder):
     assert [r.position for r in mix] == sorted(r.position for r in mix)
 
 
+def _plain(rows, item):
+    """What is left after each of the first four stages, one after the other, by plain versions."""
+    docs = {d: t for d, t, *_ in rows if brute.good_text(t)}
+    gone = brute.deleted_lines(list(docs.items()), 10)
+    docs = {d: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in set(gone.get(d, []))) for d, t in docs.items()}
+    docs = {d: t for d, t in docs.items() if brute.words(t)}
+    groups = brute.near_duplicates(list(docs.items()), 5, (4, 5))
+    docs = {d: t for d, t in docs.items() if groups[d][1] == d}
+    docs = {d: brute.without_hits(t, [(1, item)]) for d, t in docs.items()}
+    return {d: t for d, t in docs.items() if t is not None}
+
+
 def test_run(spark, folder):
-    assert corpus_pipeline.run(spark, folder[0]).count() > 0
+    """The whole run against the chain of plain versions, and the mix against its SQL."""
+    place, rows, item, _ = folder
+    wanted, sources = _plain(rows, item), {r[0]: r[3] for r in rows}
+    found = corpus_pipeline.run(spark, place).collect()
+    with duckdb.connect() as db:
+        db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+        db.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(d, t, sources[d]) for d, t in wanted.items()])
+        taken = {d: n for d, n in db.sql(f"SELECT doc_id, taken FROM ({mixing.ORACLE_SQL})").fetchall() if n}
+    total = defaultdict(int)
+    for r in found:
+        total[r.doc_id] += r.taken_words
+    assert dict(total) == taken and len(wanted) > 50
+    for r in found:
+        assert wanted[r.doc_id].startswith(r.text) or r.text == wanted[r.doc_id]
+
+
+def test_run_of_odd_tables(spark, folder, tmp_path):
+    """Null and repeated ids, repeated rows, columns with names that the stages use themselves, and nothing at all."""
+    place, rows, _, _ = folder
+    docs = spark.read.parquet(f"{place}/documents.parquet")
+    odd = docs.where("doc_id < 3").withColumn("doc_id", F.lit(None).cast("long")).union(docs.where("doc_id = 4").withColumn("doc_id", F.lit(5).cast("long"))).union(docs.where("doc_id = 9"))
+    extra = ("_hash", "_gone", "copy", "_spans", "_items", "_key", "taken", "rank")
+    docs = docs.union(odd).select("*", *(F.lit(k).alias(c) for k, c in enumerate(extra)))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{place}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    read = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        read = stage(spark, read, str(tmp_path))
+        assert read.columns == docs.columns, name
+        read = spark.createDataFrame(read.collect(), docs.schema)
+    ids = [r.doc_id for r in read.collect()]
+    assert len(set(ids) - {None}) == len([i for i in ids if i is not None]) and all(r[c] == k for r in read.collect() for k, c in enumerate(extra))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    docs.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).isEmpty()
