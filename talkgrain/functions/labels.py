@@ -180,8 +180,8 @@ def output_violations(output: Column) -> Column:
     """What a prediction's JSON text must not hold."""
     return F.filter(
         F.array(
-            F.when(output.rlike(r"https?://|www\."), "invented_url"),
-            F.when(output.rlike(r"(?U)\b\d{2,3}-\d{3,4}-\d{4}\b"), "invented_phone"),
+            F.when(contains_any(output, ("://", "www.")) & output.rlike(r"https?://|www\."), "invented_url"),
+            F.when(output.contains("-") & output.rlike(r"(?U)\b\d{2,3}-\d{3,4}-\d{4}\b"), "invented_phone"),
             F.when(output.contains("MASKED_") & contains_any(output, ("복구", "추정", "원래", "실제 값")), "masked_value_recovery"),
             F.when(contains_any(output, ("공격자 대사", "설득", "우회", "악성코드", "계정 탈취")), "unsafe_procedure_or_attacker_continuation"),
         ),

@@ -147,25 +147,61 @@ def latencies(items: DataFrame) -> DataFrame:
     return counted.join(ranked, "run", "left")
 
 
+def _pairs(labels: tuple[str, ...], name: str, predicted: str, gold: str) -> dict[str, Column]:
+    """For each label, how often it is predicted, due, and both."""
+    pair = F.col("on_gold") & F.col("predicted")
+    out = {}
+    for k, label in enumerate(labels):
+        p, g = F.coalesce(F.col(predicted) == label, F.lit(False)), F.coalesce(F.col(gold) == label, F.lit(False))
+        out |= {f"_{name}{k}p": F.count_if(pair & p), f"_{name}{k}g": F.count_if(pair & g), f"_{name}{k}b": F.count_if(pair & p & g)}
+    return out
+
+
+def _mean_f1(labels: tuple[str, ...], name: str) -> Column:
+    """The mean over the labels that occur on either side."""
+    sides = [F.col(f"_{name}{k}p") + F.col(f"_{name}{k}g") for k in range(len(labels))]
+    each = F.filter(F.array(*[F.when(n > 0, 2.0 * F.col(f"_{name}{k}b") / n) for k, n in enumerate(sides)]), lambda x: x.isNotNull())
+    return F.when(F.size(each) > 0, F.aggregate(each, F.lit(0.0), lambda a, x: a + x) / F.size(each))
+
+
 def score(public: DataFrame, gold: DataFrame, predictions: DataFrame, *, order: str = "ord", raw: bool = False) -> DataFrame:
-    """One row a run: counts, the total cost, and ratios that are not rounded."""
+    """One row a run: counts, the total cost, and ratios that are not rounded.
+
+    Items are made once: all counts are summed up by stream, then by how long a
+    stream's first alert took, among as many rows as there are such times its median and
+    percentile are found, and then by run.
+    """
     items = scored_items(public, gold, predictions, order=order, raw=raw)
-    n = gold.count()
-    totals = items.groupBy("run").agg(
-        F.count_if("predicted").alias("distinct_predictions"), F.count_if(F.col("predicted") & F.col("on_gold")).alias("matched_prediction_count"), F.count_if(F.col("on_gold") & ~F.col("predicted")).alias("missing_prediction_count"),
-        F.count_if(F.col("predicted") & ~F.col("on_gold")).alias("extra_prediction_count"), F.count_if(F.col("copies") > 1).alias("duplicate_prediction_count"), F.sum("cost").alias("_cost"),
-        F.count_if("missed").alias("missed"), F.count_if(F.col("on_gold") & F.col("gold_active")).alias("actionable"), F.count_if("false_active").alias("false_active"), F.count_if(F.col("on_gold") & ~F.col("gold_active")).alias("inactive"),
-        F.count_if("duplicate_alert").alias("duplicate_alerts"), F.count_if(F.col("missed") & (F.col("gold_event") == "recovery_followup_due")).alias("missed_recovery"),
-        F.count_if(F.col("gold_event") == "recovery_followup_due").alias("recovery"), F.count_if(F.col("invalid") & F.col("predicted")).alias("invalid_prediction_count"),
-        F.avg("evidence_f1").alias("evidence_turn_id_set_f1"), F.avg("policy_f1").alias("policy_rule_set_f1"),
+    on_gold, predicted = F.col("on_gold"), F.col("predicted")
+    counts = {
+        "distinct_predictions": F.count_if("predicted"), "matched_prediction_count": F.count_if(predicted & on_gold), "missing_prediction_count": F.count_if(on_gold & ~predicted), "extra_prediction_count": F.count_if(predicted & ~on_gold),
+        "duplicate_prediction_count": F.count_if(F.col("copies") > 1), "missed": F.count_if("missed"), "actionable": F.count_if(on_gold & F.col("gold_active")), "false_active": F.count_if("false_active"), "inactive": F.count_if(on_gold & ~F.col("gold_active")),
+        "duplicate_alerts": F.count_if("duplicate_alert"), "missed_recovery": F.count_if(F.col("missed") & (F.col("gold_event") == "recovery_followup_due")), "recovery": F.count_if(F.col("gold_event") == "recovery_followup_due"),
+        "invalid_prediction_count": F.count_if(F.col("invalid") & predicted), "_cost": F.sum("cost"), "_evidence": F.sum("evidence_f1"), "_evidence_n": F.count("evidence_f1"), "_policy": F.sum("policy_f1"), "_policy_n": F.count("policy_f1"),
+    } | _pairs(K.EVENTS, "event", "event", "gold_event") | _pairs(K.ACTIONS, "action", "action", "gold_action")
+    first = lambda flag: F.min(F.when(on_gold & F.col(flag), F.col("position")))
+    streams = items.groupBy("run", "stream_id").agg(*[c.alias(k) for k, c in counts.items()], first("gold_active").alias("due"), first("pred_active").alias("came"))
+    late = F.when(F.col("came") > F.col("due"), F.least(F.lit(K.LATE_COST_CAP), (F.col("came") - F.col("due")) * K.LATE_COST_PER_TURN)).otherwise(0.0)
+    streams = streams.withColumn("_late", F.coalesce(late, F.lit(0.0))).withColumn("wait", F.when(F.col("came") >= F.col("due"), F.col("came") - F.col("due")))
+    due = F.col("due").isNotNull()
+    more = {"scored_stream_count": F.count_if(due), "missed_stream_count": F.count_if(due & F.col("came").isNull()), "_waits": F.count("wait")}
+    sums = [*counts, "_late"]
+    waits = streams.groupBy("run", "wait").agg(*[F.sum(k).alias(k) for k in sums], *[c.alias(k) for k, c in more.items()])
+    run = W.partitionBy("run")
+    waits = waits.withColumn("_upto", F.sum("_waits").over(run.orderBy(F.col("wait").asc_nulls_first()))).withColumn("_n", F.sum("_waits").over(run))
+    at = lambda place: F.min(F.when(F.col("wait").isNotNull() & (F.col("_upto") >= place), F.col("wait"))).cast("double")
+    # The nearest rank, halves to even.
+    found = waits.groupBy("run").agg(
+        *[F.sum(k).alias(k) for k in [*sums, "scored_stream_count", "missed_stream_count"]], (F.sum(F.col("wait") * F.col("_waits")) / F.nullif(F.sum("_waits"), F.lit(0))).alias("mean_turn_latency"),
+        ((at(F.floor((F.col("_n") + 1) / 2)) + at(F.floor(F.col("_n") / 2) + 1)) / 2).alias("median_turn_latency"), at(F.bround((F.col("_n") - 1) * 0.95) + 1).alias("p95_turn_latency"), F.max("wait").alias("max_turn_latency"),
     )
-    late = _streams(items).groupBy("run").agg(F.sum("late_cost").alias("_late"))
-    events = macro_f1(items, K.EVENTS, "event", "gold_event").withColumnRenamed("f1", "event_macro_f1_diagnostic")
-    actions = macro_f1(items, K.ACTIONS, "action", "gold_action").withColumnRenamed("f1", "action_macro_f1")
-    out = totals.join(late, "run", "left").join(events, "run", "left").join(actions, "run", "left").join(latencies(items), "run", "left")
+    mean = lambda name: F.col(f"_{name}") / F.nullif(F.col(f"_{name}_n"), F.lit(0))
     beyond = (F.col("extra_prediction_count") + F.col("duplicate_prediction_count")) * K.INVALID_COST
-    out = out.withColumn("total_penalty", F.col("_cost") + F.coalesce("_late", F.lit(0.0)) + beyond).withColumn("item_count", F.lit(n))
-    return out.withColumn("cost_per_100", 100 * F.col("total_penalty") / F.nullif(F.col("item_count"), F.lit(0))).drop("_cost", "_late")
+    out = found.withColumns({
+        "evidence_turn_id_set_f1": mean("evidence"), "policy_rule_set_f1": mean("policy"), "event_macro_f1_diagnostic": _mean_f1(K.EVENTS, "event"), "action_macro_f1": _mean_f1(K.ACTIONS, "action"),
+        "total_penalty": F.col("_cost") + F.coalesce("_late", F.lit(0.0)) + beyond, "item_count": F.lit(gold.count()),
+    })
+    return out.withColumn("cost_per_100", 100 * F.col("total_penalty") / F.nullif(F.col("item_count"), F.lit(0))).select(*[c for c in out.columns if not c.startswith("_")], "cost_per_100")
 
 
 def rounded(row: dict[str, Any]) -> dict[str, Any]:

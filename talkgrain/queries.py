@@ -42,9 +42,9 @@ def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as records: ids, an array of turns, and the fields that checks read."""
-    mask = "array<struct<label:string,placeholder:string>>"
-    turn = F.struct("turn_id", "speaker", "utterance", F.lit("").alias("risk_signal"), masking.mask_text(F.col("utterance"))["masked_items"].cast(mask).alias("masked_items"))
+    """Conversations as records: ids, an array of turns, and the fields that checks read; with no masked items, as no text is masked."""
+    none = F.array().cast("array<struct<label:string,placeholder:string>>")
+    turn = F.struct("turn_id", "speaker", "utterance", F.lit("").alias("risk_signal"), none.alias("masked_items"))
     rows = conversation_turns(spark, sf_dir).groupBy("stream_id").agg(F.array_sort(F.collect_list(turn)).alias("dialogue"))
     return rows.select(F.col("stream_id").alias("id"), "dialogue", F.lit("attack").alias("label"), F.array(F.lit("urgency")).alias("risk_labels"), F.lit("en").alias("locale"))
 
