@@ -36,7 +36,10 @@ def qa(spark: SparkSession, args: argparse.Namespace) -> int:
     jsonl.write_report(report, f"{args.out}/qa.json")
     with open(f"{args.out}/qa.md", "w", encoding="utf-8") as file:
         file.write(jsonl.markdown("qa", report))
-    return int(bool(report["schema_contract"]) or args.final and report["final_review"]["review_required"])
+    failed = quality.failed_gates(report, sum(report["schema_contract"].values()), final=args.final)
+    for gate in failed:
+        print(f"QA gate failed: {gate}; see {args.out}/qa.md")
+    return int(bool(failed))
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> int:

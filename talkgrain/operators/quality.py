@@ -193,6 +193,12 @@ def review(duplicate_rate: float, target: dict[str, Any], signals: dict[str, Any
     return {"review_required": bool(found), "reasons": found}
 
 
+def failed_gates(report: dict[str, Any], contract_failures: int, *, final: bool = False) -> list[str]:
+    """Which gates of a run fail: the records' contract always counts, the final review if it is asked for."""
+    gates = {"schema_contract": contract_failures > 0, "final_review": final and report["final_review"]["review_required"]}
+    return [name for name, failed in gates.items() if failed]
+
+
 def _record_facts(records: DataFrame, defaults: DataFrame) -> DataFrame:
     """``section, key, n, place``: what each record adds to the figures."""
     usual = defaults.select("scenario_type", F.array_sort(F.array_distinct("risks")).alias("_usual"))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from talkgrain import constants as K
 from talkgrain.functions import gates, labels, masking, text
-from talkgrain.operators import quality, records, shortcuts, stream
-from talkgrain.queries import registered
+from talkgrain.operators import quality, records, score, shortcuts, stream
+from talkgrain.queries import _EVENTS, event_items, registered
 from talkgrain.rule_queries import _HAS, _MASK, _RECORDS, _REFUSES, _RULES, _SPOKEN, _any, _item_records, _list, _names, _re, _said, spoken, spoken_records
 from talkgrain.sources import jsonl
 from talkgrain.streaming import transitions as online
@@ -285,3 +285,29 @@ SELECT list, place::INT AS place, utterance, count FROM l WHERE place <= 20""")
 def shortcut_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-k reports: the strings and turns that the shortcut report shows, twenty of each kind."""
     return shortcuts.report_lists(_joined_items(spark, sf_dir)).select("list", "place", "utterance", "count")
+
+
+@registered(_LONG + """, su AS (SELECT section || '/' || key AS k, sum(n) AS n FROM l GROUP BY ALL), v AS (SELECT sum(n) FILTER (k = 'target/assigned') AS assigned, COALESCE(sum(n) FILTER (k = 'target/matches'), 0) AS matches, COALESCE(sum(n) FILTER (k = 'target/repaired'), 0) AS repaired,
+  COALESCE(sum(n) FILTER (k = 'signal/stage_direction_count'), 0) AS directions, COALESCE(sum(n) FILTER (k = 'placeholder/[MASKED_MEMBER_STATUS]'), 0) AS unclassified FROM su),
+rep AS (SELECT sum(n - 1) / sum(n) AS repeats FROM (SELECT count(*) AS n FROM u GROUP BY lower(regexp_replace(phrase, '\\s+', '', 'g'))))
+SELECT unnest(list_filter([CASE WHEN matches < assigned THEN 'target_outcome_alignment_below_final_threshold' END, CASE WHEN repaired / assigned > 0.25 THEN 'target_outcome_repair_rate_above_final_threshold' END, CASE WHEN repeats > 0.2 THEN 'duplicate_utterance_rate_above_final_threshold' END,
+  CASE WHEN directions > 0 THEN 'stage_direction_present' END, CASE WHEN unclassified > 0 THEN 'unknown_placeholder_unclassified_review_required' END], lambda x: x IS NOT NULL)) AS reason, 'final_review' AS gate FROM v, rep""")
+def final_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why a corpus needs a look, and which gate of a final run fails for it."""
+    report = quality.report(*_corpus(spark, sf_dir))
+    gates_ = quality.failed_gates(report, 0, final=True)
+    return spark.createDataFrame([(reason, gate) for reason in report["final_review"]["reasons"] for gate in gates_], "reason string, gate string")
+
+
+def _rounded(c: str) -> str:
+    return f"round_even({c}, 4)"
+
+
+@registered(_EVENTS + f""", t AS (SELECT c.run, sum(cost) + any_value(late) AS total, count(*) FILTER (ga AND NOT pa) AS missed, count(*) FILTER (ga) AS due, count(*) FILTER (pa AND NOT ga) AS false_active, count(*) FILTER (NOT ga) AS quiet, count(*) FILTER (pa AND NOT ga AND alerted) AS again, count(*) AS n
+FROM c JOIN (SELECT run, sum(CASE WHEN came > due THEN least(2.0, 0.5 * (came - due)) ELSE 0 END)::DOUBLE AS late FROM s GROUP BY run) l ON c.run = l.run GROUP BY c.run)
+SELECT run, {_rounded('100 * total / n')} AS weighted_cost_per_100, {_rounded('100 - least(100, ' + _rounded('100 * total / n') + ')')} AS ssu, {_rounded('missed / due')} AS missed_actionable_rate, {_rounded('false_active / quiet')} AS false_active_rate, {_rounded('again / n')} AS duplicate_alert_rate FROM t""")
+def rounded_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published figures of each predictor, rounded half to even at four places."""
+    rows = [(r["run"], score.rounded(r.asDict())) for r in score.score(*event_items(spark, sf_dir)).collect()]
+    names = {"weighted_cost_per_100": "weighted_cost_per_100", "ssu": "SSU", "missed_actionable_rate": "missed_actionable_rate", "false_active_rate": "false_active_rate", "duplicate_alert_rate": "duplicate_alert_rate"}
+    return spark.createDataFrame([(run, *(float(r[k]) for k in names.values())) for run, r in rows], "run string, " + ", ".join(f"{k} double" for k in names))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from talkgrain.__main__ import main
+from talkgrain.operators import quality
 
 
 def _record(k):
@@ -16,11 +17,14 @@ def _record(k):
     return {"id": f"r{k}", "label": "attack", "scenario_type": "one", "outcome": "inconclusive", "dialogue": dialogue, "safety_masks": [], "gen_metadata": {}, "quality_checks": {}}
 
 
-def test_commands(spark, tmp_path):
+def test_commands(spark, tmp_path, capsys):
     path = tmp_path / "records.jsonl"
     path.write_text("\n".join(json.dumps(_record(k), ensure_ascii=False) for k in range(3)), encoding="utf-8")
     assert main(["qa", "--records", str(path), "--out", str(tmp_path / "qa")]) == 1
+    assert "QA gate failed: schema_contract" in capsys.readouterr().out
     report = json.loads((tmp_path / "qa" / "qa.json").read_text())
+    review = report | {"final_review": {"review_required": True}}
+    assert [quality.failed_gates(r, n, final=f) for r, n, f in ((report, 0, True), (report, 2, False), (review, 0, False), (review, 0, True), (review, 1, True))] == [[], ["schema_contract"], [], ["final_review"], ["schema_contract", "final_review"]]
     assert report["record_count"] == 3 and sum(report["schema_contract"].values()) == 3
     out = tmp_path / "built"
     assert main(["build", "--records", str(path), "--out", str(out), "--gate"]) == 1
