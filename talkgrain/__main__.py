@@ -35,7 +35,7 @@ def qa(spark: SparkSession, args: argparse.Namespace) -> int:
     report["schema_contract"] = {r.error: r["count"] for r in bad.groupBy("error").count().orderBy("error").collect()}
     jsonl.write_report(report, f"{args.out}/qa.json")
     with open(f"{args.out}/qa.md", "w", encoding="utf-8") as file:
-        file.write(jsonl.markdown("qa", report))
+        file.write(jsonl.qa_markdown(report, jsonl.source_metadata(spark, args.records, report["record_count"])))
     failed = quality.failed_gates(report, sum(report["schema_contract"].values()), final=args.final)
     for gate in failed:
         print(f"QA gate failed: {gate}; see {args.out}/qa.md")

@@ -225,9 +225,13 @@ def _record_facts(records: DataFrame, defaults: DataFrame) -> DataFrame:
         when(styled, counted("style", "assigned")), when(F.array_contains("_cues", style), counted("style", "matches")), when((style != "urgency") & F.array_contains("_cues", "urgency"), counted("style", "urgency_leaks")),
         when(aimed, counted("target", "assigned")), when(aimed & matches, counted("target", "matches")), when(aimed & repaired, counted("target", "repaired")), when(aimed & rewritten, counted("target", "rewritten")),
         when(aimed & matches & ~repaired & ~rewritten & (meta["target_outcome_generation_attempts"] > 1), counted("target", "retried")),
+        when(aimed, named("target mode", target)), when(aimed, named("target observed", observed)), when(aimed & repaired, named("repaired by target", target)), when(aimed & rewritten, named("rewritten by target", target)),
+        when(aimed & meta["target_outcome_generation_attempts"].isNotNull(), named("generation attempts", meta["target_outcome_generation_attempts"])), when(aimed & (meta["target_outcome_llm_rewrite_attempts"] > 0), named("rewrite attempts", meta["target_outcome_llm_rewrite_attempts"])),
+        when(styled, named("style assigned", style)), when(context.isNotNull(), counted("corpus", "with_context")), *([named("split", F.col("split"))] if "split" in records.columns else []),
     ]
     masks = F.transform(F.coalesce("safety_masks", F.array().cast("array<struct<label:string,placeholder:string>>")), lambda m: named("mask", m["label"]))
-    return rows.select(F.inline(F.filter(F.concat(F.array(*facts), masks), lambda x: x.isNotNull())))
+    seen_styles = F.transform(F.coalesce("_cues", F.array().cast("array<string>")), lambda c: named("style observed", c))
+    return rows.select(F.inline(F.filter(F.concat(F.array(*facts), masks, seen_styles), lambda x: x.isNotNull())))
 
 
 def _turn_facts(turns: DataFrame) -> DataFrame:
@@ -279,8 +283,26 @@ def all_examples(turns: DataFrame, limit: int = 10) -> DataFrame:
     return rows.withColumn("place", F.row_number().over(W.partitionBy("kind").orderBy("_order"))).where(F.col("place") <= limit).drop("_order")
 
 
+def record_examples(records: DataFrame, limit: int = 10, order: str = "id") -> DataFrame:
+    """A top-k report: ``kind, place, record_id, expected, observed``, the first few records of each kind that is not as it was to be, all kinds in one pass."""
+    meta = F.col("gen_metadata")
+    style, target, context = meta["pressure_style"], meta["target_outcome_mode"], meta["environmental_context"]
+    cues, observed = L.pressure_cues(F.array_join(speaker_texts(F.col("dialogue"), "attacker"), " ")), F.coalesce("outcome", F.lit("unknown"))
+    expected = F.when(target == "masked_compromise", "compromised").otherwise(target)
+    empty = F.filter(F.array(*[F.when(F.coalesce(stripped(context[f]) == "", F.lit(True)), f) for f in K.CONTEXT_FIELDS]), lambda x: x.isNotNull())
+    missing = F.when(context.isNull(), "environmental_context").otherwise(F.array_join(empty, ", "))
+    kind = lambda condition, name, wanted, seen: F.when(F.coalesce(condition, F.lit(False)), F.struct(F.lit(name).alias("kind"), wanted.alias("expected"), seen.alias("observed")))
+    styled = stripped(style) != ""
+    kinds = F.array(
+        kind((stripped(target) != "") & (observed != expected), "target_mismatch_examples", expected, observed), kind(styled & ~F.array_contains("_cues", style), "style_mismatch_examples", style, F.array_join(F.array_sort("_cues"), ", ")),
+        kind(styled & (style != "urgency") & F.array_contains("_cues", "urgency"), "urgency_leakage_examples", style, F.lit("urgency")), kind(missing != "", "missing_context_examples", F.lit("environmental_context"), missing),
+    )
+    rows = records.withColumn("_cues", F.when(styled, cues)).select(F.col(order).alias("_order"), F.col("id").alias("record_id"), F.inline(F.filter(kinds, lambda x: x.isNotNull())))
+    return rows.withColumn("place", F.row_number().over(W.partitionBy("kind").orderBy("_order", "record_id"))).where(F.col("place") <= limit).drop("_order")
+
+
 def report(records: DataFrame, turns: DataFrame, defaults: DataFrame) -> dict[str, Any]:
-    """All figures of a corpus as one dictionary, rounded at four places: one query for the figures, one for examples."""
+    """All figures of a corpus as one dictionary, rounded at four places: one query for the figures, two for the examples of turns and of records."""
     rate = lambda a, b: round(a / b, 4) if b else 0.0
     found: dict[str, dict[str, Any]] = {}
     for r in figures(records, turns, defaults).collect():
@@ -301,6 +323,9 @@ def report(records: DataFrame, turns: DataFrame, defaults: DataFrame) -> dict[st
     shown: dict[str, list] = {name: [] for name in ("stage_direction_examples", "mask_usage_anomaly_examples", "unknown_masked_placeholder_examples", "partial_compliance_examples", "korean_entity_warnings")}
     for r in sorted(all_examples(turns).collect(), key=lambda r: r.place):
         shown[r.kind].append({"record_id": r.record_id, "turn_id": r.turn_id, "utterance": r.utterance})
+    for r in sorted(record_examples(records).collect(), key=lambda r: r.place):
+        shown.setdefault(r.kind, []).append({"record_id": r.record_id, "expected": r.expected, "observed": r.observed})
+    records_shown = {k: shown.pop(k, []) for k in ("target_mismatch_examples", "style_mismatch_examples", "urgency_leakage_examples", "missing_context_examples")}
     n, duplicate_rate, urgent = number("corpus", "records"), rate(repeats["duplicates"], repeats["n"]), rate(cue_sums["urgent"], cue_sums["with_cue"])
     contexts_ = {f: {"present": sum(r.n for k, r in own.items() if k), "missing": own[""].n if "" in own else 0, "distinct": sum(1 for k in own if k)} for f in K.CONTEXT_FIELDS for own in [found.get(f"context {f}", {})]}
     return {
@@ -311,6 +336,8 @@ def report(records: DataFrame, turns: DataFrame, defaults: DataFrame) -> dict[st
         "attack_only_policy": {"pass": (bad := number("corpus", "not_attacks")) == 0, "non_attack_count": bad}, "scenario_risk_coverage": risk | {"mismatch_rate": rate(risk["mismatches"], risk["records"])},
         "pressure_cues": cue_sums | {"category_counts": {r.key: r.n for r in sorted(cues, key=lambda r: r.key)}, "dominant": cues[0].key if cues else "", "dominant_rate": rate(cues[0].n, observations) if cues else 0.0,
                                      "urgency_rate": urgent, "urgency_warning": cue_sums["with_cue"] >= 3 and urgent >= 0.75 and len(cues) <= 2},
+        "split_distribution": table("split"), "record_examples": records_shown, "with_context": number("corpus", "with_context"),
+        "target_distributions": {k: table(k) for k in ("target mode", "target observed", "repaired by target", "rewritten by target", "generation attempts", "rewrite attempts")}, "style_distributions": {k: table(k) for k in ("style assigned", "style observed")},
         "pressure_style_alignment": style | {"match_rate": rate(style["matches"], style["assigned"]), "urgency_leakage_rate": rate(style["urgency_leaks"], style["assigned"])},
         "target_outcome_alignment": target | {"match_rate": rate(target["matches"], target["assigned"]), "repair_rate": rate(target["repaired"], target["assigned"])}, "quality_signals": signals | shown,
         "environmental_context": contexts_, "placeholder_policy": {r.placeholder: {"count": r.n, "decision": r.decision, "bucket": r.bucket} for r in sorted(policy, key=lambda r: r.placeholder)},

@@ -226,6 +226,72 @@ def markdown(title: str, report: dict[str, Any], level: int = 1) -> str:
     return "\n".join(lines)
 
 
+def _facts(**facts: Any) -> list[str]:
+    told = lambda v: str(v).lower() if isinstance(v, bool) else v
+    return [*(f"- {k}: {told(v)}" for k, v in facts.items()), ""]
+
+
+def _below(name: str, values: dict[str, Any] | list[str]) -> list[str]:
+    """A list under a name, if it has entries."""
+    if not values:
+        return []
+    return [f"- {name}:", *(f"  - {k}: {v}" for k, v in sorted(values.items())), ""] if isinstance(values, dict) else [f"- {name}:", *(f"  - {v}" for v in values), ""]
+
+
+def _counted(name: str, values: dict[str, int]) -> list[str]:
+    return [f"### {name}", "", *(f"- {k}: {v}" for k, v in values.items()), ""] if values else [f"### {name}", "", "- none: 0", ""]
+
+
+def qa_markdown(report: dict[str, Any], source: dict[str, Any] | None = None) -> str:
+    """The quality report in its published layout, as far as its figures go; ``source`` is what ``source_metadata`` says of the file."""
+    source, signals, cues, style, target = source or {}, report["quality_signals"], report["pressure_cues"], report["pressure_style_alignment"], report["target_outcome_alignment"]
+    risk, modes, styles, shown, contract = report["scenario_risk_coverage"], report["target_distributions"], report["style_distributions"], report["record_examples"], report.get("schema_contract", {})
+    policy, repeated = report["placeholder_policy"], report["duplicate_record_ids"]
+    turn = lambda e: f"id={e['record_id']} turn={e['turn_id']}: {e['utterance']}"
+    record = lambda names: lambda e: " ".join([f"id={e['record_id']}", *(f"{name}={e[k]}" for k, name in names.items())])
+    some = lambda name, examples, say: _below(name, [say(e) for e in examples[:5]])
+    tally = lambda key: {v: sum(p["count"] for p in policy.values() if p[key] == v) for v in {p[key] for p in policy.values()}}
+    checks = report["quality_checks"]
+    table = ["| check | pass | fail | missing | pass_rate |", "| --- | ---: | ---: | ---: | ---: |", *(f"| {k} | {v['pass']} | {v['fail']} | {v['missing']} | {report['quality_pass_rate'][k]} |" for k, v in checks.items()), ""] if checks else ["- none: 0", ""]
+    contexts = ["| field | present | missing |", "| --- | ---: | ---: |", *(f"| {k} | {v['present']} | {v['missing']} |" for k, v in report["environmental_context"].items()), ""]
+    sections: dict[str, list[str]] = {
+        "Source Metadata": _facts(**{k: source.get(k, [] if k == "ignored_date_like_tokens" else False if k.endswith("warning") else None) for k in ("source_path", "jsonl_line_count", "filename_count_hint", "ignored_date_like_tokens", "count_mismatch_warning", "line_count_mismatch_warning")}),
+        "Duplicate Record Ids": [*_facts(scope="dataset_record_id", blocking=False, duplicate_count=sum(n - 1 for n in repeated.values()))[:-1], *(["- duplicate_ids:", *(f"  - {k}: {n}" for k, n in sorted(repeated.items()))] if repeated else []), ""],
+        "Quality Checks": table,
+        "Schema Contract Validation": [*_facts(enabled="schema_contract" in report, **{"pass": report["record_count"] - sum(contract.values()), "fail": sum(contract.values())}), *_below("failures", contract)],
+        "Quality Signals": [
+            *_facts(**{k: v for k, v in signals.items() if k.endswith("_count")}, gate_stage_direction_free=signals["stage_direction_count"] == 0, gate_mask_usage_anomaly_free=signals["mask_usage_anomaly_count"] == 0),
+            *_below("unknown_masked_placeholders", {k: p["count"] for k, p in policy.items()}), *_below("decision_counts", tally("decision")), *_below("bucket_counts", tally("bucket")),
+            *_below("placeholders", [f"{k}: count={p['count']} decision={p['decision']} bucket={p['bucket']}" for k, p in sorted(policy.items())]),
+            *(line for name in ("unknown_masked_placeholder_examples", "partial_compliance_examples", "korean_entity_warnings") for line in some(name, signals[name], turn)),
+        ],
+        "Attack-Only Policy": _facts(expected_label="attack", status="pass" if report["attack_only_policy"]["pass"] else "fail", non_attack_count=report["attack_only_policy"]["non_attack_count"]),
+        "Scenario Default Attacker Risk Signal Coverage": _facts(blocking=False, record_count=risk["records"], match_count=risk["records"] - risk["mismatches"], mismatch_count=risk["mismatches"], mismatch_rate=risk["mismatch_rate"], missing_attacker_risk_count=risk["without_risk"]),
+        "Attacker Pressure Cue Diversity": [
+            *_facts(blocking=False, attacker_turn_count=cues["attacker_turns"], categorized_attacker_turn_count=cues["with_cue"], uncategorized_attacker_turn_count=cues["attacker_turns"] - cues["with_cue"], unique_pressure_cue_count=len(cues["category_counts"]), dominant_pressure_cue=cues["dominant"],
+                    dominant_pressure_cue_rate=cues["dominant_rate"], urgency_turn_count=cues["urgent"], urgency_turn_rate=cues["urgency_rate"], urgency_dominant_warning_only=cues["urgency_warning"]),
+            *_below("category_counts", cues["category_counts"]),
+        ],
+        "Assigned Pressure Style Alignment": [
+            *_facts(blocking=False, assigned_record_count=style["assigned"], observed_match_count=style["matches"], observed_match_rate=style["match_rate"], urgency_leakage_count=style["urgency_leaks"], urgency_leakage_rate=style["urgency_leakage_rate"]),
+            *_below("assigned_distribution", styles["style assigned"]), *_below("observed_distribution", styles["style observed"]), *some("mismatch_examples", shown["style_mismatch_examples"], record({"expected": "assigned", "observed": "observed"})),
+        ],
+        "Target Outcome Mode Alignment": [
+            *_facts(blocking=False, assigned_record_count=target["assigned"], match_count=target["matches"], match_rate=target["match_rate"], alignment_review_required=0 < target["assigned"] > target["matches"], repair_applied_count=target["repaired"], repair_applied_rate=target["repair_rate"],
+                    llm_rewrite_applied_count=target["rewritten"], retry_success_count=target["retried"]),
+            *(line for name, key in (("target_distribution", "target mode"), ("observed_distribution", "target observed"), ("repair_applied_by_target", "repaired by target"), ("llm_rewrite_applied_by_target", "rewritten by target"), ("generation_attempt_distribution", "generation attempts"), ("llm_rewrite_attempt_distribution", "rewrite attempts")) for line in _below(name, modes[key])),
+            *some("mismatch_examples", shown["target_mismatch_examples"], record({"expected": "expected", "observed": "observed"})),
+        ],
+        "Final Dialogue Corpus Review": [*_facts(blocking=False, review_required=report["final_review"]["review_required"]), *_below("reasons", report["final_review"]["reasons"])],
+        "Environmental Context Coverage": [
+            *_facts(record_count=report["record_count"], with_environmental_context=report["with_context"], missing_environmental_context=report["record_count"] - report["with_context"]), *contexts, *some("missing_records", shown["missing_context_examples"], lambda e: f"id={e['record_id']}: {e['observed']}"),
+        ],
+        "Distributions": [line for name in ("label", "outcome", "scenario", "split", "victim", "attacker") for line in _counted(name, report[f"{name}_distribution"])] + _counted("masks", report["mask_counts"]),
+    }
+    head = _facts(record_count=report["record_count"], average_turn_count=report["average_turns"], duplicate_utterance_count=report["duplicate_utterances"], duplicate_utterance_rate=report["duplicate_utterance_rate"], duplicate_record_id_count=sum(n - 1 for n in repeated.values()))
+    return "\n".join(["# QA Report", "", *head, *(line for title, lines in sections.items() for line in (f"## {title}", "", *lines))]).rstrip() + "\n"
+
+
 def _listed(mapping: dict[str, Any]) -> list[str]:
     return [f"- {k}: {v}" for k, v in sorted(mapping.items())] or ["- none"]
 

@@ -221,6 +221,9 @@ l AS (SELECT 'corpus' AS section, 'records' AS key, 1 AS n FROM d UNION ALL SELE
   UNION ALL SELECT 'risk', 'without_risk', 1 FROM d WHERE len(seen) = 0 UNION ALL SELECT 'id', '', 1 FROM d UNION ALL SELECT 'context ' || f, CASE WHEN k % (j + 3) = 0 THEN '' ELSE f || '-' || k % (j + 2) END, 1 FROM d, (SELECT unnest({_list(K.CONTEXT_FIELDS)}) AS f, unnest(range({len(K.CONTEXT_FIELDS)})) AS j)
   UNION ALL SELECT 'style', 'assigned', 1 FROM d WHERE style IS NOT NULL UNION ALL SELECT 'style', 'matches', 1 FROM d WHERE list_contains(cues, style) UNION ALL SELECT 'style', 'urgency_leaks', 1 FROM d WHERE style <> 'urgency' AND list_contains(cues, 'urgency')
   UNION ALL SELECT 'target', 'assigned', 1 FROM d WHERE target IS NOT NULL UNION ALL SELECT 'target', 'matches', 1 FROM d WHERE matches UNION ALL SELECT 'target', 'repaired', 1 FROM d WHERE target IS NOT NULL AND k % 6 = 1 UNION ALL SELECT 'target', 'rewritten', 1 FROM d WHERE target IS NOT NULL AND k % 8 = 1
+  UNION ALL SELECT 'target mode', target, 1 FROM d WHERE target IS NOT NULL UNION ALL SELECT 'target observed', outcome, 1 FROM d WHERE target IS NOT NULL UNION ALL SELECT 'repaired by target', target, 1 FROM d WHERE target IS NOT NULL AND k % 6 = 1
+  UNION ALL SELECT 'rewritten by target', target, 1 FROM d WHERE target IS NOT NULL AND k % 8 = 1 UNION ALL SELECT 'generation attempts', (k % 3 + 1)::VARCHAR, 1 FROM d WHERE target IS NOT NULL UNION ALL SELECT 'rewrite attempts', (k % 2)::VARCHAR, 1 FROM d WHERE target IS NOT NULL AND k % 2 > 0
+  UNION ALL SELECT 'style assigned', style, 1 FROM d WHERE style IS NOT NULL UNION ALL SELECT 'style observed', unnest(cues), 1 FROM d WHERE style IS NOT NULL UNION ALL SELECT 'corpus', 'with_context', 1 FROM d
   UNION ALL SELECT 'target', 'retried', 1 FROM d WHERE matches AND k % 6 <> 1 AND k % 8 <> 1 AND k % 3 > 0 UNION ALL SELECT 'mask', lower(unnest(list_filter(found, lambda p: list_contains({_list(K.STANDARD_PLACEHOLDERS)}, p)))[9:-2]), 1 FROM w
   UNION ALL SELECT 'cues', 'attacker_turns', 1 FROM w WHERE speaker = 'attacker' UNION ALL SELECT 'cues', 'with_cue', 1 FROM w WHERE speaker = 'attacker' AND len(cues) > 0 UNION ALL SELECT 'cues', 'urgent', 1 FROM w WHERE speaker = 'attacker' AND list_contains(cues, 'urgency')
   UNION ALL SELECT 'cue', unnest(cues), 1 FROM w WHERE speaker = 'attacker' UNION ALL SELECT 'signal', 'stage_direction_count', CASE WHEN contains(phrase, '[한숨]') THEN 1 ELSE 0 END FROM w UNION ALL SELECT 'signal', 'mask_usage_anomaly_count', 1 FROM w WHERE {_re('phrase', K.OTP_TRANSFER)}
@@ -237,6 +240,16 @@ def quality_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("section", "key", "n", F.when(F.col("section") == "utterance", F.col("repeats")).alias("repeats"))
 
 
+@registered(_LONG.partition("\nw AS (")[0].rstrip(",") + f""", x AS (SELECT *, CASE target WHEN 'masked_compromise' THEN 'compromised' ELSE target END AS due, array_to_string(list_filter({_list(K.CONTEXT_FIELDS)}, lambda f, i: k % (i + 2) = 0), ', ') AS missing FROM d),
+re AS (SELECT 'target_mismatch_examples' AS kind, id, k, due AS expected, outcome AS observed FROM x WHERE outcome <> due UNION ALL SELECT 'style_mismatch_examples', id, k, style, array_to_string(list_sort(cues), ', ') FROM x WHERE style IS NOT NULL AND NOT list_contains(cues, style)
+  UNION ALL SELECT 'urgency_leakage_examples', id, k, style, 'urgency' FROM x WHERE style <> 'urgency' AND list_contains(cues, 'urgency') UNION ALL SELECT 'missing_context_examples', id, k, 'environmental_context', missing FROM x WHERE missing <> '')
+SELECT kind, place::INT AS place, id AS record_id, expected, observed FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY k) AS place FROM re) WHERE place <= 10""")
+def quality_record_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A top-k report: the first ten records of each kind that are not as they were to be."""
+    rows = _corpus(spark, sf_dir)[0].withColumn("k", F.col("id").cast("bigint"))
+    return quality.record_examples(rows, order="k")
+
+
 @registered(_SPOKEN.rstrip() + f""", w AS (SELECT stream_id, turn_id, phrase, unnest(list_filter([CASE WHEN contains(phrase, '[한숨]') THEN 'stage_direction_examples' END, CASE WHEN {_re('phrase', K.OTP_TRANSFER)} THEN 'mask_usage_anomaly_examples' END,
   CASE WHEN contains(phrase, '[MASKED_MEMBER_STATUS]') THEN 'unknown_masked_placeholder_examples' END, CASE WHEN speaker = 'victim' AND {_HAS('phrase')} AND {_any('lower(phrase)', K.COMPLIANCE_KEYWORDS)} THEN 'partial_compliance_examples' END,
   CASE WHEN {_re(f"regexp_replace(phrase, '{_MASK}', '', 'g')", K.ENTITY)} THEN 'korean_entity_warnings' END], lambda x: x IS NOT NULL)) AS kind FROM u),

@@ -79,13 +79,13 @@ def test_references(spark):
     references.check(tables, [references.Rule("unique", "pairs", "id")])
 
 
-def test_report_takes_two_queries(spark):
+def test_report_takes_few_queries(spark):
     """The report's figures equal those of the functions that make them one by one."""
     rows, told, defaults = turn_queries._corpus(spark, SF)
     store = spark._jsparkSession.sharedState().statusStore()
     before = store.executionsCount()
     report = quality.report(rows, told, defaults)
-    assert store.executionsCount() - before <= 4  # figures, the few kinds of placeholders, examples
+    assert store.executionsCount() - before <= 5  # figures, the few kinds of placeholders, examples of turns and of records
     one = lambda df: df.first().asDict()
     assert {k: report["scenario_risk_coverage"][k] for k in ("records", "mismatches", "without_risk")} == one(quality.risk_coverage(rows, defaults))
     assert {k: report["pressure_style_alignment"][k] for k in ("assigned", "matches", "urgency_leaks")} == one(quality.style_alignment(rows))
@@ -102,4 +102,8 @@ def test_report_takes_two_queries(spark):
     twice = quality.report(rows.unionByName(rows.limit(1)), told, defaults)
     assert list(twice["duplicate_record_ids"].values()) == [2] and twice["record_count"] == report["record_count"] + 1
     assert quality.report(rows.limit(0), told.limit(0), defaults)["record_count"] == 0
-    assert jsonl.markdown("qa", report).startswith("# qa")
+    told = jsonl.qa_markdown(report).split("\n")
+    heads = [line for line in told if line.startswith("## ")]
+    assert told[0] == "# QA Report" and len(heads) == 13 and heads[-1] == "## Distributions" and f"- record_count: {report['record_count']}" in told
+    at = told.index("## Target Outcome Mode Alignment")
+    assert told[at + 3] == f"- assigned_record_count: {report['target_outcome_alignment']['assigned']}" and "- mismatch_examples:" in told[at:] and sum(line.startswith("  - id=") for line in told[at : told.index("## Final Dialogue Corpus Review")]) == 5
