@@ -12,10 +12,14 @@ documents by their hash; any order that all documents agree on is right, and
 this one keeps passages that many documents share out of the prefixes.
 
 Only who is connected is asked for, so pairs inside a large group need not all
-be made. First each entry of a shingle's list is tried with the entry before it
-and with the list's first one, which joins up a group of near copies with a
-pair or two for each member. Then the remaining pairs, between members that are
-not connected yet, are made, filtered and verified; nothing is capped.
+be made. Lists are dealt into chunks of a bounded number of entries. First each
+entry is tried with the entry before it and with the first one of its chunk,
+and that one with the list's first, which joins up a group of near copies with
+a pair or two for each member. Then the remaining pairs, between members that
+are not connected yet, are made, filtered and verified. Where a list of these
+is long, members meet in it only if they share a later shingle as well: sets
+that are linked share two among the first few and one more. What is still long
+is paired chunk by chunk, so no task holds a whole list; nothing is capped.
 
 Null and empty texts, and texts of white space, have empty sets: they link with
 nothing and their component is their own id. A null id takes no part and has a
@@ -50,13 +54,19 @@ class Similarity:
     denominator: int = 10
     sketch_bits: int = 20
     filter_bits: int = 23
+    list_rows: int = 1024
 
     def prefix(self, size: int) -> int:
-        """How many shingles of a set cover what a partner may lack, and one more."""
-        return size + (-size * self.numerator // self.denominator) + 1
+        """How many shingles of a set cover what a partner may lack, and two more: a linked set shares two of them."""
+        return size + (-size * self.numerator // self.denominator) + 2
+
+    @property
+    def shares_two(self) -> bool:
+        """Whether different sets that are linked always share two shingles."""
+        return 2 * self.numerator > self.denominator
 
     def beyond_prefix(self, n):
-        """How many shingles of a set (a column of sizes) are not in its prefix."""
+        """How many shingles of a set (a column of sizes) come after the part of its prefix of which a linked set shares one."""
         return F.ceil(n * self.numerator / self.denominator) - 1
 
     @property
@@ -194,6 +204,23 @@ def _promising(pairs: DataFrame, index: DataFrame, sim: Similarity) -> DataFrame
     return both.where(sim.total * most >= sim.numerator * (F.col("_na") + F.col("_nb"))).select("a", "b")
 
 
+def _across(rows: DataFrame, keys: list[str], sim: Similarity) -> DataFrame:
+    """Pairs of ``rows`` with the same keys and different components, the second one's columns behind ``o_``.
+
+    Only keys with several components take part. Their rows are dealt into
+    chunks, and each pair of chunks is a key of the join of its own.
+    """
+    lists = rows.groupBy(*keys).agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_rows")).where("_low <> _high")
+    chunks = F.ceil(F.col("_rows") / sim.list_rows).cast("int")
+    dealt = rows.join(lists.select(*keys, chunks.alias("_chunks")), keys).withColumn("_chunk", F.pmod(F.xxhash64("rep"), F.col("_chunks")).cast("int"))
+    dealt = cut(dealt, name="rest")
+    every = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
+    names = [c for c in rows.columns if c not in keys]
+    left = dealt.select(*keys, *names, F.col("_chunk").alias("_i"), every.alias("_j"))
+    right = dealt.select(*keys, *(F.col(c).alias(f"o_{c}") for c in names), every.alias("_i"), F.col("_chunk").alias("_j"))
+    return left.join(right, [*keys, "_i", "_j"]).where((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")))
+
+
 def near_duplicates(docs: DataFrame, sim: Similarity | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_shingles, component_id`` of every row."""
     with temporary():
@@ -207,21 +234,25 @@ def _near_duplicates(docs: DataFrame, sim: Similarity, id_col: str, text_col: st
     groups = nodes.groupBy("group").agg(F.min("rep").alias("gid"))
     members = cut(nodes.join(groups, "group").select("rep", "key", "gid"), name="members")
 
-    # The index: what prefixes hold, with the neighbours of each entry in its shingle's list.
+    # The index: what prefixes hold but for their last shingle, with the neighbours of each entry in its chunk of its shingle's list.
     leaders = groups.select(F.col("gid").alias("_id"), "group")
-    entries = full.join(leaders, ["_id", "group"]).dropDuplicates(["_id", "group"]).select(F.col("_id").alias("gid"), "n", F.posexplode("prefix").alias("pos", "s"))
+    prefixes = cut(full.join(leaders, ["_id", "group"]).dropDuplicates(["_id", "group"]).select(F.col("_id").alias("gid"), "n", "prefix"), name="prefixes")
+    entries = cut(prefixes.select("gid", "n", F.posexplode("prefix").alias("pos", "s")).where(F.col("pos") < F.col("n") - sim.beyond_prefix(F.col("n"))), name="entries")
     # An entry whose shared shingles come early has few of its own: the first one links with most of its list.
-    listed = W.partitionBy("s").orderBy("pos", "n", "gid")
-    entry = F.struct("gid", "n", "pos")
-    index = entries.withColumn("_before", F.lag(entry).over(listed)).withColumn("_first", F.first(entry).over(listed)).withColumn("_last", F.lead("gid").over(listed).isNull())
-    # An entry alone in its list has no other entry before or after it.
-    index = cut(index.where("_before IS NOT NULL OR NOT _last"), name="index")
+    entry, place = F.struct("gid", "n", "pos"), F.struct("pos", "n", "gid")
+    # An entry alone in its list has no other to be tried with.
+    lists = entries.groupBy("s").agg(F.count("*").alias("_entries"), F.min_by(entry, place).alias("_head")).where("_entries > 1")
+    chunk = F.pmod(F.xxhash64("gid"), F.ceil(F.col("_entries") / sim.list_rows)).cast("int")
+    listed = W.partitionBy("s", "_chunk").orderBy("pos", "n", "gid")
+    index = entries.join(lists, "s").withColumn("_chunk", chunk).repartition("s", "_chunk")
+    index = index.withColumn("_before", F.lag(entry).over(listed)).withColumn("_first", F.coalesce(F.when(F.col("_before").isNull(), F.col("_head")), F.first(entry).over(listed)))
+    index = cut(index.select("s", "gid", "n", "pos", "_before", "_first"), name="index")
 
     def fits(n1, p1, n2, p2):
         """Whether sizes and positions leave enough to share."""
         return sim.total * F.least(n1 - p1, n2 - p2) >= sim.numerator * (n1 + n2)
 
-    near = index.where("_before IS NOT NULL").select("gid", "n", "pos", F.explode(F.array("_before", "_first")).alias("o")).where(fits(F.col("n"), F.col("pos"), F.col("o.n"), F.col("o.pos")))
+    near = index.select("gid", "n", "pos", F.explode(F.array("_before", "_first")).alias("o")).where("o IS NOT NULL").where(fits(F.col("n"), F.col("pos"), F.col("o.n"), F.col("o.pos")))
     near = near.select(F.least("gid", "o.gid").alias("a"), F.greatest("gid", "o.gid").alias("b"))
     inside = members.where("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
     near = cut(near.where("a <> b").distinct(), name="near")
@@ -235,15 +266,15 @@ def _near_duplicates(docs: DataFrame, sim: Similarity, id_col: str, text_col: st
     # The rest: pairs of members that are not connected yet, from lists and groups that hold several components.
     placed = members.join(first.withColumnRenamed("node", "rep"), "rep", "left").select("gid", "rep", F.coalesce("component", "rep").alias("component"))
     rest = index.select("s", "gid", "n", "pos").join(placed, "gid")
-    mixed_lists = rest.groupBy("s").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high").select("s")
-    rest = cut(rest.join(mixed_lists, "s"), name="rest")
-    other = rest.select("s", *(F.col(c).alias(f"o_{c}") for c in ("gid", "n", "pos", "rep", "component")))
-    pairs = rest.join(other, "s").where((F.col("gid") != F.col("o_gid")) & (F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")) & fits(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")))
+    mixed_lists = rest.groupBy("s").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_rows")).where("_low <> _high")
+    rest = cut(rest.join(mixed_lists.select("s", (F.lit(sim.shares_two) & (F.col("_rows") > sim.list_rows)).alias("_long")), "s"), name="mixed")
+    # A short list needs no second shingle, and its number here stands for none.
+    short = rest.where("NOT _long").drop("_long").withColumn("s2", F.lit(0).cast("bigint"))
+    later = rest.where("_long").drop("_long").join(prefixes.select("gid", "prefix"), "gid").withColumn("s2", F.explode(F.expr("slice(prefix, pos + 2, size(prefix))"))).drop("prefix")
+    pairs = _across(short.unionByName(later), ["s", "s2"], sim).where((F.col("gid") != F.col("o_gid")) & fits(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")))
     pairs = pairs.select(F.col("rep").alias("a"), F.col("o_rep").alias("b"), F.col("gid").alias("ga"), F.col("o_gid").alias("gb")).distinct()
     # Members of one group share a whole prefix, which the index need not hold.
-    split = placed.groupBy("gid").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high").select("gid")
-    own = cut(placed.join(split, "gid", "left_semi"), name="split_groups")
-    within = own.join(own.toDF("gid", "o_rep", "o_component"), "gid").where((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")))
+    within = _across(placed, ["gid"], sim)
     pairs = pairs.unionByName(within.select(F.col("rep").alias("a"), F.col("o_rep").alias("b"), F.col("gid").alias("ga"), F.col("gid").alias("gb")))
     pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), name="rest_pairs")
     pairs = cut(_promising(pairs.where("ga <> gb"), index, sim).unionByName(pairs.where("ga = gb").select("a", "b")), name="pairs")

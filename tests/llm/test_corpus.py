@@ -230,6 +230,43 @@ def test_order_without_a_cap(spark, monkeypatch):
     assert _near(spark, docs) == {k: (98, k) for k, _ in docs}
 
 
+def _in_a_flat_order(monkeypatch):
+    """Let all shingles seem equally frequent: shared passages come early then, and lists are long."""
+    monkeypatch.setattr(jaccard_join, "frequency_sketch", lambda docs, text_col, sim: np.zeros(1 << sim.sketch_bits, np.uint32))
+
+
+@pytest.mark.parametrize("numerator, denominator", [(4, 5), (2, 5)])
+def test_long_lists(spark, monkeypatch, numerator, denominator):
+    """Lists in many chunks, members that meet by two shingles, and groups of several components lose no link."""
+    _in_a_flat_order(monkeypatch)
+    rnd = random.Random(numerator)
+    passages = [" ".join(f"p{k}w{j}" for j in range(rnd.randint(4, 40))) for k in range(9)]
+    docs = []
+    for k in range(140):
+        words = " ".join(rnd.sample(passages, rnd.randint(1, 5))).split()
+        for _ in range(rnd.choice((0, 0, 1, 2))):
+            words[rnd.randrange(len(words))] = f"e{rnd.randint(0, 3)}"
+        docs.append((k, " ".join(words[: rnd.choice((2, 3, 4, len(words), len(words)))])))
+    sim = jaccard_join.Similarity(3, numerator, denominator, list_rows=4)
+    assert _near(spark, docs, sim) == brute.near_duplicates(docs, 3, (numerator, denominator))
+
+
+def test_a_shared_passage_makes_no_pairs(spark, monkeypatch):
+    """The order by frequency keeps a passage that all documents have out of their prefixes."""
+    shared = " ".join(f"s{k}" for k in range(60))
+    docs = [(k, " ".join(f"u{k}x{j}" for j in range(40)) + " " + shared) for k in range(1500)]
+    made = {}
+
+    def counted(df, **more):
+        out = cut(df, **more)
+        made[more["name"]] = max(made.get(more["name"], 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "cut", counted)
+    assert _near(spark, docs) == {k: (98, k) for k, _ in docs}
+    assert made["near"] == made["rest_pairs"] == 0, made
+
+
 def test_samples(spark):
     rows = spark.range(200).select((F.col("id") * 7).alias("_id")).union(spark.range(20_000).select(F.lit(7).cast("long").alias("_id")))
     assert least_hashes(rows, ["_id"], limit=2_000).count() == 200 and least_hashes(rows, ["_id"], limit=15).count() == 15
