@@ -104,6 +104,16 @@ def sentences(text: Column) -> Column:
     return F.when(F.size(found) > 0, found).otherwise(F.array(stripped(text)))
 
 
+#: A sentence that is not blank: white space and a mark, or anything else up to a mark or a line's end. White space without either is tried once, not from each of its characters.
+_BLANK = r"[\x09\x0B-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+_SENTENCE = rf"(?<!{_BLANK})(?:{_BLANK}++[.!?。！？]|{_BLANK}*+[^.!?\n。！？{_BLANK[1:-1]}][^.!?\n。！？]*+[.!?。！？]?)"
+
+
+def sentence_count(text: Column) -> Column:
+    """The size of ``sentences``, without making them."""
+    return F.greatest(F.lit(1), F.regexp_count(text, F.lit(_SENTENCE)))
+
+
 def joined_sentences(parts: Column) -> Column:
     return stripped(F.array_join(F.filter(F.transform(parts, stripped), lambda s: s != ""), " "))
 

@@ -36,6 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` dealt by keys over all cores, before each is much work: a table that is one block is one task else."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     speaker = F.when(F.col("role") == "user", "attacker").when(F.col("role") == "assistant", "victim").otherwise(F.col("role"))
     return table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("stream_id"), (F.col("turn") + 1).cast("int").alias("turn_id"), speaker.alias("speaker"), F.col("text").alias("utterance"))
@@ -113,7 +118,8 @@ def truncated_utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("""SELECT doc_id, greatest(1, len(list_filter(list_transform(regexp_extract_all(COALESCE(text, ''), '[^.!?\\n。！？]+[.!?。！？]?'), lambda x: trim(x, ' \t\r')), lambda x: x <> '')))::INT AS sentences FROM documents""")
 def sentence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(text.sentences(F.coalesce("text", F.lit("")))).alias("sentences"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return docs.select("doc_id", text.sentence_count(F.coalesce("text", F.lit(""))).alias("sentences"))
 
 
 # Identity.

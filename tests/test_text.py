@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from talkgrain import queries
 from talkgrain.functions import labels, masking, text
 
 
@@ -61,3 +64,15 @@ def test_states(spark):
     assert values(spark, said, labels.defense_action) == ["risky_or_unsafe", "uncertain_or_conditional", "needs_audit", "needs_audit", "safe_verify_or_refuse", "needs_audit"]
     assert values(spark, ["[MASKED_URL] 송금", "x"], labels.request_state) == ["transfer_or_payment_request", "none_or_context_only"]
     assert values(spark, ['{"a": "http://x 010-1234-5678 우회"}'], labels.output_violations) == [["invented_url", "invented_phone", "unsafe_procedure_or_attacker_continuation"]]
+
+
+def test_sentence_count(spark):
+    """As many as there are sentences, for any mix of marks, line ends and white space, and at once for long runs of it."""
+    rnd = random.Random(9)
+    texts = ["", " ", ".", " .", " \n.", "a", ".." , "\u3000", " \u3000a", "a \n b。 ！", *("".join(rnd.choice("ab .!\n。\t\u2003\x1c") for _ in range(rnd.randint(0, 14))) for _ in range(2000))]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert rows.where(text.sentence_count(F.col("t")) != F.size(text.sentences(F.col("t")))).collect() == []
+    long = spark.range(1).select(text.sentence_count(F.concat(F.repeat(F.lit(" "), 1_000_000), F.lit("\n"), F.repeat(F.lit("\t"), 1_000_000), F.lit("x"))).alias("n"))
+    assert long.first().n == 1
+    plan = queries.sentence_counts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "lambda" not in plan
