@@ -126,10 +126,15 @@ def _turn_error(turn: Column, k: Column) -> Column:
     )
 
 
+def checked(raw: DataFrame, *, max_turns: int = 10, risk_labels: tuple[str, ...] | None = None) -> DataFrame:
+    """All rows with their ``error``, which comes out of a generator, so that filters on it do not make it, and what it reads, again."""
+    return raw.select("*", F.inline(F.array(F.struct(record_error(max_turns=max_turns, risk_labels=risk_labels).alias("error")))))
+
+
 def contract(raw: DataFrame, *, max_turns: int = 10, risk_labels: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and bad ones with their ``error``: one pass, two outputs."""
-    checked = raw.withColumn("error", record_error(max_turns=max_turns, risk_labels=risk_labels))
-    return checked.where("error IS NULL").drop("error"), checked.where("error IS NOT NULL")
+    """Good rows, and bad ones with their ``error``."""
+    rows = checked(raw, max_turns=max_turns, risk_labels=risk_labels)
+    return rows.where("error IS NULL").drop("error"), rows.where("error IS NOT NULL")
 
 
 def forbidden_paths(items: DataFrame, key: str, raw: str = "raw") -> DataFrame:

@@ -16,7 +16,7 @@ from talkgrain import constants as K
 from talkgrain.functions import gates, labels, masking, text
 from talkgrain.operators import quality, records, score, shortcuts, stream, validate
 from talkgrain.plans import schedule, turns
-from talkgrain.queries import registered, table
+from talkgrain.queries import registered, spread, table
 from talkgrain.sources import jsonl
 
 #: What turns begin with.
@@ -375,7 +375,8 @@ def contract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ('"masked_items": []', '"masked_items": [{"label": "otp"}]'), ('"turn_count": 1', '"turn_count": 2'), ('"safety_passed": true', '"safety_passed": 1'), ('"phase": "opening", ', ""),
     )
     lines = tuple(whole.replace(old, new.replace("\\\\", "\\")) if old else whole for old, new in edits)
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.parse_json(_said(lines, F.col("c_custkey"))).alias("raw"))
+    keys = spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
+    return keys.select(F.col("c_custkey").alias("k"), F.parse_json(_said(lines, F.col("c_custkey"))).alias("raw"))
 
 
 _CONTRACT_ERRORS = (
@@ -392,8 +393,7 @@ def contract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(f"SELECT count(*) FILTER (c_custkey % {len(_CONTRACT_ERRORS)} = 0) AS good, count(*) FILTER (c_custkey % {len(_CONTRACT_ERRORS)} <> 0) AS bad FROM customer")
 def contract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = validate.contract(contract_lines(spark, sf_dir))
-    return good.agg(F.count("*").alias("good")).crossJoin(bad.agg(F.count("*").alias("bad")))
+    return validate.checked(contract_lines(spark, sf_dir)).agg(F.count_if(F.col("error").isNull()).alias("good"), F.count_if(F.col("error").isNotNull()).alias("bad"))
 
 
 @registered("""SELECT event_id, array_to_string(list_filter([CASE WHEN event_id % 11 = 1 THEN 'invalid_event' END, CASE WHEN event_id % 11 = 2 THEN 'invalid_action' END, CASE WHEN event_id % 11 = 3 THEN 'invalid_policy_rule_ids' END,

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from talkgrain import constants as K
+from talkgrain import rule_queries
 from talkgrain.operators import quality, records, score, shortcuts, stream, validate
 from talkgrain.plans import schedule, turns
 from talkgrain.sources import config, jsonl
@@ -118,6 +119,17 @@ def test_contract_errors(spark, stored):
     assert _errors(spark, good, *cases.values()) == [None, *cases]
 
 
+def test_contract_is_checked_once(spark, stored):
+    """Filters on the error do not make the rules, or the JSON they read, again; the work of a table of one block is dealt out."""
+    raw = spark.read.text(stored).select(F.parse_json("value").alias("raw"))
+    good, bad = validate.contract(raw)
+    assert (good.count(), bad.count(), good.columns) == (raw.count(), 0, ["raw"])
+    plan = good.agg(F.count("*"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson(") == 1 and plan.count("Filter") == 1
+    lines = rule_queries.contract_errors(spark, "/root/testdata/sf0.001")
+    assert "REPARTITION_BY_NUM" in lines._jdf.queryExecution().executedPlan().toString()
+
+
 def test_items_scores_and_reports(spark, stored):
     corpus = jsonl.read_records(spark, stored).persist()
     items = {k: df.persist() for k, df in stream.build_planned_items(corpus, {}).items()}
