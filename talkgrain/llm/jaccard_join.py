@@ -192,7 +192,7 @@ def _verified(docs: DataFrame, id_col: str, text_col: str, pairs: DataFrame, nod
 
 
 def _promising(pairs: DataFrame, index: DataFrame, sim: Similarity) -> DataFrame:
-    """The pairs ``(a, b, ga, gb)`` whose groups' prefixes share enough.
+    """The pairs of groups ``(ga, gb)`` whose prefixes share enough.
 
     Of two sets, the one whose prefix ends first in the order shares with the
     other what the prefixes share, and of its rest no more than it has.
@@ -201,7 +201,7 @@ def _promising(pairs: DataFrame, index: DataFrame, sim: Similarity) -> DataFrame
     lists = cut(index.join(wanted, "gid", "left_semi").groupBy("gid").agg(F.collect_list("s").alias("_s"), F.min("n").alias("_n")), name="prefixes")
     both = pairs.join(lists.toDF("ga", "_sa", "_na"), "ga").join(lists.toDF("gb", "_sb", "_nb"), "gb")
     most = F.size(F.array_intersect("_sa", "_sb")) + F.greatest(sim.beyond_prefix(F.col("_na")), sim.beyond_prefix(F.col("_nb")))
-    return both.where(sim.total * most >= sim.numerator * (F.col("_na") + F.col("_nb"))).select("a", "b")
+    return both.where(sim.total * most >= sim.numerator * (F.col("_na") + F.col("_nb"))).select("ga", "gb")
 
 
 def _across(rows: DataFrame, keys: list[str], sim: Similarity) -> DataFrame:
@@ -218,7 +218,9 @@ def _across(rows: DataFrame, keys: list[str], sim: Similarity) -> DataFrame:
     names = [c for c in rows.columns if c not in keys]
     left = dealt.select(*keys, *names, F.col("_chunk").alias("_i"), every.alias("_j"))
     right = dealt.select(*keys, *(F.col(c).alias(f"o_{c}") for c in names), every.alias("_i"), F.col("_chunk").alias("_j"))
-    return left.join(right, [*keys, "_i", "_j"]).where((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")))
+    # Few bytes make many comparisons here, and partitions that are numbered are not put together by their bytes.
+    parts, meet = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), [*keys, "_i", "_j"]
+    return left.repartition(parts, *meet).join(right.repartition(parts, *meet), meet).where((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")))
 
 
 def near_duplicates(docs: DataFrame, sim: Similarity | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -231,20 +233,22 @@ def _near_duplicates(docs: DataFrame, sim: Similarity, id_col: str, text_col: st
     signed = signatures(docs, id_col, text_col, sim)
     full = signed.where("_id IS NOT NULL AND n > 0")
     nodes = cut(full.groupBy("key").agg(F.min("_id").alias("rep"), F.min("n").alias("n"), F.min("group").alias("group")), name="nodes")
-    groups = nodes.groupBy("group").agg(F.min("rep").alias("gid"))
-    members = cut(nodes.join(groups, "group").select("rep", "key", "gid"), name="members")
+    # A group's number is given once, in what is written: whatever ids are, entries and pairs of groups stay short.
+    groups = full.groupBy("group").agg(F.min("_id").alias("lead"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    prefixes = cut(groups.select(F.monotonically_increasing_id().alias("gid"), "group", "lead", "n", "prefix"), name="prefixes")
+    members = cut(nodes.join(prefixes.select("group", "gid", "lead"), "group").select("rep", "key", "gid", "lead"), name="members")
 
     # The index: what prefixes hold but for their last shingle, with the neighbours of each entry in its chunk of its shingle's list.
-    leaders = groups.select(F.col("gid").alias("_id"), "group")
-    prefixes = cut(full.join(leaders, ["_id", "group"]).dropDuplicates(["_id", "group"]).select(F.col("_id").alias("gid"), "n", "prefix"), name="prefixes")
-    entries = cut(prefixes.select("gid", "n", F.posexplode("prefix").alias("pos", "s")).where(F.col("pos") < F.col("n") - sim.beyond_prefix(F.col("n"))), name="entries")
+    entries = prefixes.select("gid", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "s")).where(F.col("pos") < F.col("n") - sim.beyond_prefix(F.col("n")))
+    # An entry alone in its list has no other to be tried with. Most are, so shingles are counted by themselves and only the other entries go on.
+    lists = cut(entries.groupBy("s").agg(F.count("*").alias("_entries")).where("_entries > 1"), name="lists")
+    entries = cut(entries.join(lists, "s"), name="entries")
     # An entry whose shared shingles come early has few of its own: the first one links with most of its list.
     entry, place = F.struct("gid", "n", "pos"), F.struct("pos", "n", "gid")
-    # An entry alone in its list has no other to be tried with.
-    lists = entries.groupBy("s").agg(F.count("*").alias("_entries"), F.min_by(entry, place).alias("_head")).where("_entries > 1")
+    heads = entries.groupBy("s").agg(F.min_by(entry, place).alias("_head"))
     chunk = F.pmod(F.xxhash64("gid"), F.ceil(F.col("_entries") / sim.list_rows)).cast("int")
     listed = W.partitionBy("s", "_chunk").orderBy("pos", "n", "gid")
-    index = entries.join(lists, "s").withColumn("_chunk", chunk).repartition("s", "_chunk")
+    index = entries.join(heads, "s").withColumn("_chunk", chunk).repartition("s", "_chunk")
     index = index.withColumn("_before", F.lag(entry).over(listed)).withColumn("_first", F.coalesce(F.when(F.col("_before").isNull(), F.col("_head")), F.first(entry).over(listed)))
     index = cut(index.select("s", "gid", "n", "pos", "_before", "_first"), name="index")
 
@@ -253,11 +257,13 @@ def _near_duplicates(docs: DataFrame, sim: Similarity, id_col: str, text_col: st
         return sim.total * F.least(n1 - p1, n2 - p2) >= sim.numerator * (n1 + n2)
 
     near = index.select("gid", "n", "pos", F.explode(F.array("_before", "_first")).alias("o")).where("o IS NOT NULL").where(fits(F.col("n"), F.col("pos"), F.col("o.n"), F.col("o.pos")))
-    near = near.select(F.least("gid", "o.gid").alias("a"), F.greatest("gid", "o.gid").alias("b"))
-    inside = members.where("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
-    near = cut(near.where("a <> b").distinct(), name="near")
-    good = _promising(near.select("a", "b", F.col("a").alias("ga"), F.col("b").alias("gb")), index, sim)
-    tried = cut(good.unionByName(inside.distinct()), name="pairs")
+    near = near.select(F.least("gid", "o.gid").alias("ga"), F.greatest("gid", "o.gid").alias("gb"))
+    inside = members.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
+    near = cut(near.where("ga <> gb").distinct(), name="near")
+    leads = prefixes.select("gid", "lead")
+    good = _promising(near, index, sim).join(leads.toDF("ga", "_la"), "ga").join(leads.toDF("gb", "_lb"), "gb")
+    good = good.where("_la <> _lb").select(F.least("_la", "_lb").alias("a"), F.greatest("_la", "_lb").alias("b"))
+    tried = cut(good.unionByName(inside).distinct(), name="pairs")
     linked = _verified(docs, id_col, text_col, tried, nodes, sim)
     several = full.groupBy("_id").agg(F.min("key").alias("_one"), F.max("key").alias("_other")).where("_one <> _other").select("_id")
     same_id = full.join(several, "_id", "left_semi").join(nodes.select("key", "rep"), "key").select(F.col("_id").alias("a"), F.col("rep").alias("b"))
@@ -265,19 +271,28 @@ def _near_duplicates(docs: DataFrame, sim: Similarity, id_col: str, text_col: st
 
     # The rest: pairs of members that are not connected yet, from lists and groups that hold several components.
     placed = members.join(first.withColumnRenamed("node", "rep"), "rep", "left").select("gid", "rep", F.coalesce("component", "rep").alias("component"))
-    rest = index.select("s", "gid", "n", "pos").join(placed, "gid")
-    mixed_lists = rest.groupBy("s").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_rows")).where("_low <> _high")
-    rest = cut(rest.join(mixed_lists.select("s", (F.lit(sim.shares_two) & (F.col("_rows") > sim.list_rows)).alias("_long")), "s"), name="mixed")
+    held = index.select("s", "gid", "n", "pos").join(placed, "gid")
+    mixed_lists = held.groupBy("s").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_rows")).where("_low <> _high")
+    mixed_lists = cut(mixed_lists.select("s", F.monotonically_increasing_id().alias("_list"), (F.lit(sim.shares_two) & (F.col("_rows") > sim.list_rows)).alias("_long")), name="mixed_lists")
+    rest = cut(held.join(mixed_lists, "s"), name="mixed")
+    # What members of different components share of the index is in such lists: each entry takes with it those, by short numbers, in which its group stands earlier.
+    own = rest.select("gid", "pos", "_list").distinct().groupBy("gid").agg(F.collect_list(F.struct("pos", "_list")).alias("_own"))
+    earlier = F.transform(F.filter("_own", lambda e: e["pos"] < F.col("pos")), lambda e: e["_list"])
+    rest = rest.join(own, "gid").withColumn("_earlier", earlier).drop("_own", "_list")
     # A short list needs no second shingle, and its number here stands for none.
     short = rest.where("NOT _long").drop("_long").withColumn("s2", F.lit(0).cast("bigint"))
     later = rest.where("_long").drop("_long").join(prefixes.select("gid", "prefix"), "gid").withColumn("s2", F.explode(F.expr("slice(prefix, pos + 2, size(prefix))"))).drop("prefix")
-    pairs = _across(short.unionByName(later), ["s", "s2"], sim).where((F.col("gid") != F.col("o_gid")) & fits(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")))
-    pairs = pairs.select(F.col("rep").alias("a"), F.col("o_rep").alias("b"), F.col("gid").alias("ga"), F.col("o_gid").alias("gb")).distinct()
+    # Two members meet in many lists, but are a pair in that of the first shingle they share only.
+    first_shared = fits(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")) & ~F.arrays_overlap("_earlier", "o__earlier")
+    pairs = _across(short.unionByName(later), ["s", "s2"], sim).where((F.col("gid") != F.col("o_gid")) & first_shared)
+    pairs = cut(pairs.select(F.col("rep").alias("a"), F.col("o_rep").alias("b"), F.col("gid").alias("ga"), F.col("o_gid").alias("gb")).distinct(), name="rest_pairs")
+    among = F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")
+    good = _promising(pairs.select(*among).distinct(), index, sim)
+    pairs = pairs.select("a", "b", *among).join(good, ["ga", "gb"]).select("a", "b")
     # Members of one group share a whole prefix, which the index need not hold.
     within = _across(placed, ["gid"], sim)
-    pairs = pairs.unionByName(within.select(F.col("rep").alias("a"), F.col("o_rep").alias("b"), F.col("gid").alias("ga"), F.col("gid").alias("gb")))
-    pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), name="rest_pairs")
-    pairs = cut(_promising(pairs.where("ga <> gb"), index, sim).unionByName(pairs.where("ga = gb").select("a", "b")), name="pairs")
+    met = cut(pairs.unionByName(within.select(F.col("rep").alias("a"), F.col("o_rep").alias("b"))), name="met")
+    pairs = cut(met.join(tried, ["a", "b"], "left_anti"), name="pairs")
     if not pairs.isEmpty():
         crossing = _verified(docs, id_col, text_col, pairs, nodes, sim)
         places = placed.select("rep", "component")

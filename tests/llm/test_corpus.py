@@ -267,6 +267,34 @@ def test_a_shared_passage_makes_no_pairs(spark, monkeypatch):
     assert made["near"] == made["rest_pairs"] == 0, made
 
 
+def _most_joined(spark, since):
+    """The most rows that a join made in any query that began after the first ``since``."""
+    store, most = spark._jsparkSession.sharedState().statusStore(), 0
+    runs = store.executionsList()
+    for k in range(since, runs.size()):
+        key = runs.apply(k).executionId()
+        values, nodes = store.executionMetrics(key), store.planGraph(key).allNodes()
+        for node in map(nodes.apply, range(nodes.size())):
+            for m in map(node.metrics().apply, range(node.metrics().size())):
+                if "Join" in node.name() and m.name() == "number of output rows" and (told := values.get(m.accumulatorId())).isDefined():
+                    most = max(most, int(told.get().replace(",", "")))
+    return most
+
+
+def test_texts_that_just_miss_a_link_meet_once(spark):
+    """Forty edits of one text share most of their prefixes: each pair is made in one list, not in every list of both."""
+    rnd, base = random.Random(4), [f"b{k}" for k in range(300)]
+    docs = []
+    for k in range(40):
+        words = list(base)
+        for at in rnd.sample(range(60), 4):
+            words[5 * at + 2] = f"own{k}x{at}"
+        docs.append((k, " ".join(words)))
+    before = spark._jsparkSession.sharedState().statusStore().executionsCount()
+    assert _near(spark, docs) == brute.near_duplicates(docs)
+    assert _most_joined(spark, before) <= 2_000
+
+
 def test_samples(spark):
     rows = spark.range(200).select((F.col("id") * 7).alias("_id")).union(spark.range(20_000).select(F.lit(7).cast("long").alias("_id")))
     assert least_hashes(rows, ["_id"], limit=2_000).count() == 200 and least_hashes(rows, ["_id"], limit=15).count() == 15
