@@ -48,6 +48,10 @@ def transition_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: In how many batches the turns of a stream arrive at most.
+ARRIVALS = 4
+
+
 def timed_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same turns with the time at which each was said: ten seconds a turn."""
     rows = spoken(spark, sf_dir)
@@ -56,21 +60,19 @@ def timed_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(_TRANSITIONS + " SELECT stream_id, turn_id::BIGINT AS turn_id, event, action, evidence::BIGINT AS evidence FROM x")
 def transition_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by a stateful stream in two runs on one checkpoint: each turn arrives up to thirty seconds late, behind later ones."""
+    """The same by a stateful stream in a few runs on one checkpoint: each turn arrives up to thirty seconds late, behind later ones."""
     run = jsonl.scratch(spark, "turns")
     rows = timed_turns(spark, sf_dir)
     arrives = F.unix_timestamp("at") + F.pmod(F.xxhash64("stream_id", "turn_id"), F.lit(30))
-    # A file for each twenty seconds in which something arrives; a tick moves the watermark past all.
-    batch = F.floor((arrives - 1_704_067_200) / 20)
-    parts = rows.withColumn("_batch", batch)
-    low, high = (k or 0 for k in parts.agg(F.min("_batch"), F.max("_batch")).first())
-    source = lambda: spark.readStream.schema(online.TURNS).option("maxFilesPerTrigger", 1).parquet(f"{run}/in")
-    for k in range(low, high + 1):
-        parts.where(F.col("_batch") == k).drop("_batch").coalesce(1).write.mode("append").parquet(f"{run}/in")
-        if k == (low + high) // 2:
-            online.run_available(source(), f"{run}/state", f"{run}/out", "30 seconds")
-    online.tick(spark, "2100-01-01 00:00:00").coalesce(1).write.mode("append").parquet(f"{run}/in")
-    online.run_available(source(), f"{run}/state", f"{run}/out", "30 seconds")
+    # What arrives in one of a few spans of time, however long the conversations are, is one batch, of any number of files; a tick moves the watermark past all.
+    low, high = (k or 0 for k in rows.select(arrives.alias("s")).agg(F.min("s"), F.max("s")).first())
+    span = max(20, -(-(high - low + 1) // ARRIVALS))
+    rows.withColumn("_batch", F.floor((arrives - low) / span).cast("int")).write.partitionBy("_batch").parquet(f"{run}/arrivals")
+    arrivals = spark.read.schema(f"{online.TURNS}, _batch int").parquet(f"{run}/arrivals")
+    batches = [arrivals.where(F.col("_batch") == k).drop("_batch") for k in range((high - low) // span + 1)]
+    for batch in [*batches, online.tick(spark, "2100-01-01 00:00:00").coalesce(1)]:
+        batch.write.mode("append").parquet(f"{run}/in")
+        online.run_available(spark.readStream.schema(online.TURNS).parquet(f"{run}/in"), f"{run}/state", f"{run}/out", "30 seconds")
     return spark.read.parquet(f"{run}/out").select("stream_id", "turn_id", "event", "action", F.get("evidence_turn_ids", 0).alias("evidence"))
 
 
