@@ -16,10 +16,13 @@ be made. Lists are dealt into chunks of a bounded number of entries. First each
 entry is tried with the entry before it and with the first one of its chunk,
 and that one with the list's first, which joins up a group of near copies with
 a pair or two for each member. Then the remaining pairs, between members that
-are not connected yet, are made, filtered and verified. Where a list of these
-is long, members meet in it only if they share a later shingle as well: sets
-that are linked share two among the first few and one more. What is still long
-is paired chunk by chunk, so no task holds a whole list; nothing is capped.
+are not connected yet, are made, filtered and verified. Members of a list of
+more than a few bring a fixed number of bits, the parities of how many of their
+shingles have each value of the last bits of the hash: two sets differ in at
+least as many shingles as they do in bits, so most texts that just miss a link
+are told apart where they meet. Such pairs are made in the first list of more
+than a few that both share. Lists are paired chunk by chunk, so no task holds a
+whole list; nothing is capped.
 
 Null and empty texts, and texts of white space, have empty sets: they link with
 nothing and their component is their own id. A null id takes no part and has a
@@ -55,18 +58,14 @@ class Similarity:
     sketch_bits: int = 20
     filter_bits: int = 23
     list_rows: int = 1024
+    few_rows: int = 16
 
     def prefix(self, size: int) -> int:
-        """How many shingles of a set cover what a partner may lack, and two more: a linked set shares two of them."""
-        return size + (-size * self.numerator // self.denominator) + 2
-
-    @property
-    def shares_two(self) -> bool:
-        """Whether different sets that are linked always share two shingles."""
-        return 2 * self.numerator > self.denominator
+        """How many shingles of a set cover what a partner may lack, and one more, so that a linked set shares one of them."""
+        return size + (-size * self.numerator // self.denominator) + 1
 
     def beyond_prefix(self, n):
-        """How many shingles of a set (a column of sizes) come after the part of its prefix of which a linked set shares one."""
+        """How many shingles of a set (a column of sizes) come after its prefix."""
         return F.ceil(n * self.numerator / self.denominator) - 1
 
     @property
@@ -83,6 +82,15 @@ def shingles(text: bytes, width: int) -> np.ndarray:
     return np.unique(window_hashes(word_hashes(words), min(width, len(words))))
 
 
+#: Numbers of 64 bits that hold the parities of a set.
+_PARITIES = 4
+
+
+def parities(own: np.ndarray) -> np.ndarray:
+    """Whether the number of hashes with each value of their last eight bits is odd, a bit each."""
+    return np.packbits(np.bincount((own & np.uint64(64 * _PARITIES - 1)).astype(np.int64), minlength=64 * _PARITIES) & 1).view(np.int64)
+
+
 def frequency_sketch(docs: DataFrame, text_col: str, sim: Similarity) -> np.ndarray:
     """How many shingles of all documents fall on each value of the first bits of a hash, as numbers of 21 bits that grow with it."""
     ensure_importable(docs.sparkSession)
@@ -123,14 +131,14 @@ def frequency_sketch(docs: DataFrame, text_col: str, sim: Similarity) -> np.ndar
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> DataFrame:
-    """``_id, n, key, group, prefix``: key names the set, group its prefix and size; they are null for empty sets."""
+    """``_id, n, key, group, prefix, bits``: key names the set, group its prefix and size; they are null for empty sets."""
     sketch = docs.sparkSession.sparkContext.broadcast(frequency_sketch(docs, text_col, sim))
     shift = np.uint64(64 - sim.sketch_bits)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts = sketch.value
-        sizes, keys, groups, prefixes = [], [], [], []
+        sizes, keys, groups, prefixes, bits = [], [], [], [], []
         for text in texts_of(batch.column(1)):
             own = shingles(text, sim.width)
             sizes.append(len(own))
@@ -138,16 +146,20 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) ->
                 keys.append(None)
                 groups.append(None)
                 prefixes.append(None)
+                bits.append(np.zeros(_PARITIES, np.int64))
                 continue
             rank = (counts[own >> shift].astype(np.uint64) << np.uint64(43)) | (mixed(own) >> np.uint64(21))
             prefix = own[np.argsort(rank, kind="stable")[: sim.prefix(len(own))]]
             keys.append(xxhash.xxh3_128_digest(own.tobytes()))
             groups.append(xxhash.xxh3_128_digest(prefix.tobytes() + len(own).to_bytes(8, "little")))
             prefixes.append(prefix.view(np.int64))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(groups, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))], ["_id", "n", "key", "group", "prefix"])
+            bits.append(parities(own))
+        words = pa.StructArray.from_arrays([pa.array([b[k] for b in bits], pa.int64()) for k in range(_PARITIES)], [f"w{k}" for k in range(_PARITIES)])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(groups, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), words], ["_id", "n", "key", "group", "prefix", "bits"])
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return cut(map_arrow(rows, run, f"_id {kind}, n bigint, key binary, group binary, prefix array<bigint>"), name="signatures")
+    words = ", ".join(f"w{k}: bigint" for k in range(_PARITIES))
+    return cut(map_arrow(rows, run, f"_id {kind}, n bigint, key binary, group binary, prefix array<bigint>, bits struct<{words}>"), name="signatures")
 
 
 def _verified(docs: DataFrame, id_col: str, text_col: str, pairs: DataFrame, nodes: DataFrame, sim: Similarity) -> DataFrame:
@@ -208,7 +220,8 @@ def _across(rows: DataFrame, keys: list[str], sim: Similarity) -> DataFrame:
     """Pairs of ``rows`` with the same keys and different components, the second one's columns behind ``o_``.
 
     Only keys with several components take part. Their rows are dealt into
-    chunks, and each pair of chunks is a key of the join of its own.
+    chunks, and each pair of chunks is a key of the join of its own. Pairs with
+    more different bits than sets that are linked may have are not made.
     """
     lists = rows.groupBy(*keys).agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_rows")).where("_low <> _high")
     chunks = F.ceil(F.col("_rows") / sim.list_rows).cast("int")
@@ -220,7 +233,10 @@ def _across(rows: DataFrame, keys: list[str], sim: Similarity) -> DataFrame:
     right = dealt.select(*keys, *(F.col(c).alias(f"o_{c}") for c in names), every.alias("_i"), F.col("_chunk").alias("_j"))
     # Few bytes make many comparisons here, and partitions that are numbered are not put together by their bytes.
     parts, meet = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), [*keys, "_i", "_j"]
-    return left.repartition(parts, *meet).join(right.repartition(parts, *meet), meet).where((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")))
+    size = F.col("n") + F.col("o_n")
+    differ = sum((F.bit_count(F.col(f"bits.w{k}").bitwiseXOR(F.col(f"o_bits.w{k}"))) for k in range(_PARITIES)), F.lit(0))
+    alike = F.coalesce(sim.total * (size - differ) >= 2 * sim.numerator * size, F.lit(True))
+    return left.repartition(parts, *meet).join(right.repartition(parts, *meet), meet).where((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")) & alike)
 
 
 def near_duplicates(docs: DataFrame, sim: Similarity | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,14 +248,18 @@ def near_duplicates(docs: DataFrame, sim: Similarity | None = None, *, id_col: s
 def _near_duplicates(docs: DataFrame, sim: Similarity, id_col: str, text_col: str) -> DataFrame:
     signed = signatures(docs, id_col, text_col, sim)
     full = signed.where("_id IS NOT NULL AND n > 0")
-    nodes = cut(full.groupBy("key").agg(F.min("_id").alias("rep"), F.min("n").alias("n"), F.min("group").alias("group")), name="nodes")
+    nodes = cut(full.groupBy("key").agg(F.min("_id").alias("rep"), F.min("n").alias("n"), F.min("group").alias("group"), F.min("bits").alias("bits")), name="nodes")
     # A group's number is given once, in what is written: whatever ids are, entries and pairs of groups stay short.
     groups = full.groupBy("group").agg(F.min("_id").alias("lead"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     prefixes = cut(groups.select(F.monotonically_increasing_id().alias("gid"), "group", "lead", "n", "prefix"), name="prefixes")
     members = cut(nodes.join(prefixes.select("group", "gid", "lead"), "group").select("rep", "key", "gid", "lead"), name="members")
+    # Prefixes are most of what is written, and need not be there twice.
+    sets = cut(signed.select("_id", "n", "key"), name="sets")
+    discard(signed)
+    full = sets.where("_id IS NOT NULL AND n > 0")
 
-    # The index: what prefixes hold but for their last shingle, with the neighbours of each entry in its chunk of its shingle's list.
-    entries = prefixes.select("gid", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "s")).where(F.col("pos") < F.col("n") - sim.beyond_prefix(F.col("n")))
+    # The index: what prefixes hold, with the neighbours of each entry in its chunk of its shingle's list.
+    entries = prefixes.select("gid", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "s"))
     # An entry alone in its list has no other to be tried with. Most are, so shingles are counted by themselves and only the other entries go on.
     lists = cut(entries.groupBy("s").agg(F.count("*").alias("_entries")).where("_entries > 1"), name="lists")
     entries = cut(entries.join(lists, "s"), name="entries")
@@ -251,6 +271,9 @@ def _near_duplicates(docs: DataFrame, sim: Similarity, id_col: str, text_col: st
     index = entries.join(heads, "s").withColumn("_chunk", chunk).repartition("s", "_chunk")
     index = index.withColumn("_before", F.lag(entry).over(listed)).withColumn("_first", F.coalesce(F.when(F.col("_before").isNull(), F.col("_head")), F.first(entry).over(listed)))
     index = cut(index.select("s", "gid", "n", "pos", "_before", "_first"), name="index")
+    discard(entries)
+    leads = cut(prefixes.select("gid", "lead"), name="leads")
+    discard(prefixes)
 
     def fits(n1, p1, n2, p2):
         """Whether sizes and positions leave enough to share."""
@@ -260,7 +283,6 @@ def _near_duplicates(docs: DataFrame, sim: Similarity, id_col: str, text_col: st
     near = near.select(F.least("gid", "o.gid").alias("ga"), F.greatest("gid", "o.gid").alias("gb"))
     inside = members.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
     near = cut(near.where("ga <> gb").distinct(), name="near")
-    leads = prefixes.select("gid", "lead")
     good = _promising(near, index, sim).join(leads.toDF("ga", "_la"), "ga").join(leads.toDF("gb", "_lb"), "gb")
     good = good.where("_la <> _lb").select(F.least("_la", "_lb").alias("a"), F.greatest("_la", "_lb").alias("b"))
     tried = cut(good.unionByName(inside).distinct(), name="pairs")
@@ -273,24 +295,25 @@ def _near_duplicates(docs: DataFrame, sim: Similarity, id_col: str, text_col: st
     placed = members.join(first.withColumnRenamed("node", "rep"), "rep", "left").select("gid", "rep", F.coalesce("component", "rep").alias("component"))
     held = index.select("s", "gid", "n", "pos").join(placed, "gid")
     mixed_lists = held.groupBy("s").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_rows")).where("_low <> _high")
-    mixed_lists = cut(mixed_lists.select("s", F.monotonically_increasing_id().alias("_list"), (F.lit(sim.shares_two) & (F.col("_rows") > sim.list_rows)).alias("_long")), name="mixed_lists")
+    mixed_lists = cut(mixed_lists.select("s", F.monotonically_increasing_id().alias("_list"), (F.col("_rows") > sim.few_rows).alias("_many")), name="mixed_lists")
     rest = cut(held.join(mixed_lists, "s"), name="mixed")
-    # What members of different components share of the index is in such lists: each entry takes with it those, by short numbers, in which its group stands earlier.
-    own = rest.select("gid", "pos", "_list").distinct().groupBy("gid").agg(F.collect_list(F.struct("pos", "_list")).alias("_own"))
+    # In lists of a few, where most entries are, pairs are no more than some for each entry: nothing else travels.
+    bits = nodes.select("rep", "bits")
+    few = rest.where("NOT _many").select("s", "gid", "n", "pos", "rep", "component", F.lit(None).cast(bits.schema["bits"].dataType).alias("bits"), F.array().cast("array<bigint>").alias("_earlier"))
+    # In the others an entry takes with it, by short numbers, which of them its group stands in earlier, and what its set's bits are.
+    many = rest.where("_many")
+    own = many.select("gid", "pos", "_list").distinct().groupBy("gid").agg(F.collect_list(F.struct("pos", "_list")).alias("_own"))
     earlier = F.transform(F.filter("_own", lambda e: e["pos"] < F.col("pos")), lambda e: e["_list"])
-    rest = rest.join(own, "gid").withColumn("_earlier", earlier).drop("_own", "_list")
-    # A short list needs no second shingle, and its number here stands for none.
-    short = rest.where("NOT _long").drop("_long").withColumn("s2", F.lit(0).cast("bigint"))
-    later = rest.where("_long").drop("_long").join(prefixes.select("gid", "prefix"), "gid").withColumn("s2", F.explode(F.expr("slice(prefix, pos + 2, size(prefix))"))).drop("prefix")
-    # Two members meet in many lists, but are a pair in that of the first shingle they share only.
+    many = many.join(own, "gid").join(bits, "rep").select("s", "gid", "n", "pos", "rep", "component", "bits", earlier.alias("_earlier"))
+    # What two members share first is in a list of a few, or in the first of the others that both are in.
     first_shared = fits(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")) & ~F.arrays_overlap("_earlier", "o__earlier")
-    pairs = _across(short.unionByName(later), ["s", "s2"], sim).where((F.col("gid") != F.col("o_gid")) & first_shared)
+    pairs = _across(few.unionByName(many), ["s"], sim).where((F.col("gid") != F.col("o_gid")) & first_shared)
     pairs = cut(pairs.select(F.col("rep").alias("a"), F.col("o_rep").alias("b"), F.col("gid").alias("ga"), F.col("o_gid").alias("gb")).distinct(), name="rest_pairs")
     among = F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")
     good = _promising(pairs.select(*among).distinct(), index, sim)
     pairs = pairs.select("a", "b", *among).join(good, ["ga", "gb"]).select("a", "b")
     # Members of one group share a whole prefix, which the index need not hold.
-    within = _across(placed, ["gid"], sim)
+    within = _across(placed.join(nodes.select("rep", "n", "bits"), "rep"), ["gid"], sim)
     met = cut(pairs.unionByName(within.select(F.col("rep").alias("a"), F.col("o_rep").alias("b"))), name="met")
     pairs = cut(met.join(tried, ["a", "b"], "left_anti"), name="pairs")
     if not pairs.isEmpty():
@@ -301,7 +324,7 @@ def _near_duplicates(docs: DataFrame, sim: Similarity, id_col: str, text_col: st
         placed = placed.join(second.withColumnRenamed("node", "component"), "component", "left").select("gid", "rep", F.coalesce("_joined", "component").alias("component"))
 
     classes = nodes.select("key", "rep").join(placed.select("rep", F.col("component").alias("_component")).distinct(), "rep").select("key", "_component")
-    answer = signed.select("_id", "n", F.when(F.col("_id").isNotNull(), F.col("key")).alias("key")).join(classes, "key", "left")
+    answer = sets.select("_id", "n", F.when(F.col("_id").isNotNull(), F.col("key")).alias("key")).join(classes, "key", "left")
     return answer.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("_component", "_id").alias("component_id"))
 
 

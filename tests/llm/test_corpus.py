@@ -295,6 +295,62 @@ def test_texts_that_just_miss_a_link_meet_once(spark):
     assert _most_joined(spark, before) <= 2_000
 
 
+def _edits(rnd, words, n, at_once):
+    """``n`` copies of a text, each with ``at_once`` words of its own."""
+    for k in range(n):
+        own = list(words)
+        for at in rnd.sample(range(len(words) // 5), at_once):
+            own[5 * at + 2] = f"own{k}x{at}"
+        yield " ".join(own)
+
+
+def test_long_lists_make_no_pair_twice(spark):
+    """Texts that just miss a link share lists of many chunks, and are told apart where they meet, not once for each shingle they share."""
+    rnd, base = random.Random(5), [f"b{k}" for k in range(300)]
+    docs = [*enumerate(_edits(rnd, base, 60, 4))]
+    before = spark._jsparkSession.sharedState().statusStore().executionsCount()
+    sim = jaccard_join.Similarity(list_rows=8)
+    assert _near(spark, docs, sim) == brute.near_duplicates(docs)
+    assert _most_joined(spark, before) <= 1_500
+
+
+def test_short_lists_take_no_others_with_them(spark, monkeypatch):
+    """What an entry brings to a pair does not grow with the prefix where lists are of two."""
+    rnd, docs = random.Random(6), []
+    for k in range(12):
+        half = [f"h{k}x{j}" for j in range(150)]
+        docs += [(2 * k + side, " ".join([*half, *(f"t{k}x{j}y{side}" for j in range(150))])) for side in (0, 1)]
+    most = []
+
+    def seen(df, **more):
+        out = cut(df, **more)
+        if "_earlier" in out.columns:
+            most.append(out.agg(F.sum(F.size("_earlier"))).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "cut", seen)
+    _in_a_flat_order(monkeypatch)
+    assert _near(spark, docs, jaccard_join.Similarity(3, 4, 5)) == brute.near_duplicates(docs, 3, (4, 5))
+    assert most and max(most) == 0, most
+
+
+@pytest.mark.parametrize("numerator, denominator", [(9, 10), (4, 5), (1, 2)])
+def test_bits_lose_no_link(spark, monkeypatch, numerator, denominator):
+    """Bits are compared in every list of two or more here, beside groups whose members have bits of their own."""
+    rnd = random.Random(denominator)
+    for _ in range(200):
+        x, y = (np.unique(np.array([rnd.randrange(2**64) for _ in range(rnd.randint(0, 90))] + [3, 260, 2**63], np.uint64)) for _ in range(2))
+        y = np.union1d(x[: rnd.randint(0, len(x))], y[: rnd.randint(0, 9)])
+        differ = sum(int(a ^ b).bit_count() for a, b in zip(*(jaccard_join.parities(z).view(np.uint64) for z in (x, y)), strict=True))
+        assert differ <= len(np.setxor1d(x, y)) and (len(np.setxor1d(x, y)) - differ) % 2 == 0
+    _in_a_flat_order(monkeypatch)
+    bases = [[f"w{rnd.randint(0, 60)}" for _ in range(n)] for n in (40, 90, 120)]
+    docs = [(100 * b + k, t) for b, words in enumerate(bases) for at_once in (1, 2, 3) for k, t in enumerate(_edits(rnd, words, 12, at_once), 12 * at_once)]
+    sim = jaccard_join.Similarity(3, numerator, denominator, list_rows=4, few_rows=1)
+    wanted = brute.near_duplicates(docs, 3, (numerator, denominator))
+    assert len({c for _, c in wanted.values()}) > 2 and _near(spark, docs, sim) == wanted
+
+
 def test_samples(spark):
     rows = spark.range(200).select((F.col("id") * 7).alias("_id")).union(spark.range(20_000).select(F.lit(7).cast("long").alias("_id")))
     assert least_hashes(rows, ["_id"], limit=2_000).count() == 200 and least_hashes(rows, ["_id"], limit=15).count() == 15
